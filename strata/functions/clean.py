@@ -195,3 +195,13 @@ def plain_text(c: Column, data_type: T.DataType) -> Column:
         decimal = F.regexp_replace(c.try_cast("decimal(38,12)").cast("string"), "[.]?0+$", "")
         return F.when(text.contains("E"), F.coalesce(decimal, text)).otherwise(text)
     return text
+
+
+# The qualifiers a chemical value can carry, in dictionary order.
+QUALIFIERS = ("<", ">", "I", "N")
+
+
+def category_code(c: Column) -> Column:
+    """Position in the qualifier dictionary. The dictionary is fixed, so no pass over
+    the data is needed to find it; Parquet stores the text itself dictionary-encoded."""
+    return F.coalesce(*[F.when(c == q, F.lit(i)) for i, q in enumerate(QUALIFIERS)])

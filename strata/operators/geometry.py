@@ -23,7 +23,8 @@ from . import quality, reshape
 ROWS_PER_BATCH = 1 << 16
 
 VERTEX_FIELDS = "part int, kind int, ring int, seq int, x double, y double, z double, m double"
-SEGMENT_FIELDS = "part int, ring int, seq int, closes boolean, x1 double, y1 double, x2 double, y2 double, cell double"
+SEGMENT_FIELDS = "part int, ring int, seq int, closes boolean, x1 double, y1 double, x2 double, y2 double"
+PLACED_FIELDS = SEGMENT_FIELDS.replace("closes boolean, ", "") + ", level int, cx bigint, cy bigint"
 
 
 # point structs ------------------------------------------------------------
@@ -151,7 +152,7 @@ def _spread(df: DataFrame, fid: str, geom: str, fields: str, columns_of) -> Data
             for i, cell in enumerate(cells):
                 if not cell.is_valid:
                     continue
-                for chunk in columns_of(cell.as_buffer()):
+                for chunk in columns_of(memoryview(cell.as_buffer())):
                     n = len(chunk[0])
                     for at in range(0, n, ROWS_PER_BATCH):
                         piece = [c[at:at + ROWS_PER_BATCH] for c in chunk]
@@ -188,30 +189,19 @@ def vertices(df: DataFrame, fid: str = "fid", geom: str = "geometry") -> DataFra
     return _spread(df, fid, geom, VERTEX_FIELDS, _vertex_columns)
 
 
-def _segment_columns(buf) -> Iterator[list[np.ndarray]]:
-    """Ring segments of one geometry, with the side of its search cells.
-
-    The side is the mean length of the non-degenerate segments: then all segments
-    together enter at most a small multiple of their own number of cells.
-    """
-    rings, length, count = [], 0.0, 0
+def _ring_points(buf) -> Iterator[tuple[int, int, np.ndarray]]:
     for part, kind, ring, xy, _ in blocks(buf):
-        if kind != wkb.POLYGON:
-            continue
-        xy = np.ascontiguousarray(xy[:, :2], dtype=np.float64)
-        rings.append((part, ring, xy))
-        sides = np.hypot(*np.diff(xy[np.isfinite(xy).all(axis=1)], axis=0).T)
-        length, count = length + float(sides.sum()), count + int((sides > 0).sum())
-    cell = min(length / count, np.finfo(np.float64).max) if count else 1.0
-    for part, ring, xy in rings:
+        if kind == wkb.POLYGON and len(xy):
+            yield part, ring, np.ascontiguousarray(xy[:, :2], dtype=np.float64)
+
+
+def _segment_columns(buf) -> Iterator[list[np.ndarray]]:
+    for part, ring, xy in _ring_points(buf):
         n = len(xy)
-        if n == 0:
-            continue
         # the last vertex starts no segment: it is kept as a row that only closes
         to = np.vstack([xy[1:], xy[:1]])
-        closes = np.arange(n) == n - 1
-        yield [_ints(n, part), _ints(n, ring), np.arange(n, dtype=np.int32), closes,
-               xy[:, 0], xy[:, 1], to[:, 0], to[:, 1], np.full(n, cell)]
+        yield [_ints(n, part), _ints(n, ring), np.arange(n, dtype=np.int32), np.arange(n) == n - 1,
+               xy[:, 0], xy[:, 1], to[:, 0], to[:, 1]]
 
 
 def segments(df: DataFrame, fid: str = "fid", geom: str = "geometry") -> DataFrame:
@@ -354,53 +344,92 @@ REASONS = ("Invalid Coordinate", "Ring not closed", "Too few points in geometry
 VALID_TEXT = "Valid Geometry"
 BAD_COORDINATE, NOT_CLOSED, TOO_FEW, CROSSING, UNCHECKED = range(len(REASONS))
 
-CROWDED = 64
-CELL_KEYS = ("_cx", "_cy", "_side")
+# Squares with more segments are divided again, DIVISION times per axis and level.
+CROWDED, DIVISION, LEVELS = 32, 4, 6
+
 
+def _expand(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, value) for every whole number from first to last of each row."""
+    n = np.maximum(last - first + 1, 0).astype(np.int64)
+    row = np.repeat(np.arange(len(n)), n)
+    return row, first[row] + (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n))
 
-def _cells(segs: DataFrame, side: Column, bounds: tuple[Column, Column] | None = None,
-           finer: Column | None = None) -> DataFrame:
-    """Give each segment one row per square it passes through.
 
-    Column by column of squares, only the rows between the segment's entry and
-    exit are taken, so a long diagonal costs its length and not its bounding box.
-    The slack covers the rounding of entry and exit. ``bounds`` and ``finer``
-    restrict the walk to the inside of an already chosen coarser square.
+def _squares(s: np.ndarray, side: float, inside: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """(row, cx, cy): the squares each segment of ``s`` (x1, y1, x2, y2) passes through.
+
+    Column by column, only the squares between the segment's entry and exit are taken,
+    so a long diagonal costs its length and not its bounding box. ``inside`` restricts
+    each row to one coarser square; the margin of one keeps rounding harmless.
+    """
+    x1, y1, x2, y2 = s.T
+    left, right, low, high = np.minimum(x1, x2), np.maximum(x1, x2), np.minimum(y1, y2), np.maximum(y1, y2)
+
+    def span(a, b, axis, row):
+        first, last = np.floor(a / side).astype(np.int64), np.floor(b / side).astype(np.int64)
+        if inside is not None:
+            start = inside[row, axis] * DIVISION
+            first, last = np.maximum(first, start - 1), np.minimum(last, start + DIVISION)
+        return _expand(first, last)
+
+    row, cx = span(left, right, 0, slice(None))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        slope = np.where(x1 == x2, 0.0, (y2 - y1) / (x2 - x1))[row]
+        enter = y1[row] + slope * (np.maximum(left[row], cx * side) - x1[row])
+        leave = y1[row] + slope * (np.minimum(right[row], (cx + 1) * side) - x1[row])
+    upright = (x1 == x2)[row] | ~np.isfinite(enter) | ~np.isfinite(leave)
+    reach = np.abs(s[row]).max(axis=1)
+    slack = side * 1e-6 + reach * (1 + np.abs(slope)) * 1e-15
+    first = np.where(upright, low[row], np.maximum(np.minimum(enter, leave) - slack, low[row]))
+    last = np.where(upright, high[row], np.minimum(np.maximum(enter, leave) + slack, high[row]))
+    at, cy = span(first, last, 1, row)
+    return row[at], cx[at], cy
+
+
+def _placed_columns(buf) -> Iterator[list[np.ndarray]]:
+    """Segments of one geometry with the squares they pass through.
+
+    The first side is the mean segment length, so all segments together enter at most
+    a small multiple of their own number of squares. Crowded squares are divided while
+    that thins them out.
     """
-    left, right = F.least("x1", "x2"), F.greatest("x1", "x2")
-    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
-    side_col = F.col("_side")
-
-    def clipped(first: Column, last: Column, coarse: Column | None) -> dict[str, Column]:
-        if coarse is not None:
-            margin = (finer > 1).cast("bigint")
-            first = F.greatest(first, coarse * finer - margin)
-            last = F.least(last, coarse * finer + finer - 1 + margin)
-        return {"_lo": first, "_hi": last}
-
-    bx, by = bounds or (None, None)
-    walk = segs.withColumn("_side", side)
-    walk = walk.withColumns(clipped(F.floor(left / side_col), F.floor(right / side_col), bx))
-    walk = walk.where("_lo <= _hi").withColumn("_cx", F.explode(F.sequence("_lo", "_hi")))
-    upright = F.col("x1") == F.col("x2")
-    slope = F.when(upright, 0.0).otherwise((F.col("y2") - F.col("y1")) / (F.col("x2") - F.col("x1")))
-    walk = walk.withColumn("_slope", slope)
-
-    def y_at(x: Column) -> Column:
-        return F.col("y1") + F.col("_slope") * (x - F.col("x1"))
-
-    enter = y_at(F.greatest(left, F.col("_cx") * side_col))
-    leave = y_at(F.least(right, (F.col("_cx") + 1) * side_col))
-    first = F.when(upright, low).otherwise(F.least(enter, leave))
-    last = F.when(upright, high).otherwise(F.greatest(enter, leave))
-    reach = F.greatest(F.abs("y1"), F.abs("y2")) \
-        + F.abs("_slope") * F.greatest(F.abs("x1"), F.abs("x2"))
-    slack = side_col * 1e-6 + reach * 1e-15
-    walk = walk.withColumns(clipped(
-        F.floor(F.greatest(first - slack, low) / side_col),
-        F.floor(F.least(last + slack, high) / side_col), by))
-    walk = walk.where("_lo <= _hi").withColumn("_cy", F.explode(F.sequence("_lo", "_hi")))
-    return walk.drop("_lo", "_hi", "_slope")
+    ids, sides = [], []
+    for part, ring, xy in _ring_points(buf):
+        s = np.hstack([xy[:-1], xy[1:]])
+        solid = np.isfinite(s).all(axis=1) & (s[:, :2] != s[:, 2:]).any(axis=1)
+        seq = np.flatnonzero(solid)
+        ids.append(np.column_stack([np.full(len(seq), part), np.full(len(seq), ring), seq]).astype(np.int32))
+        sides.append(s[solid])
+    if not ids or not sum(map(len, ids)):
+        return
+    key, s = np.concatenate(ids), np.concatenate(sides)
+    with np.errstate(over="ignore"):
+        side = min(float(np.hypot(s[:, 2] - s[:, 0], s[:, 3] - s[:, 1]).mean()), np.finfo(np.float64).max)
+    side = max(side, float(np.abs(s).max()) * 1e-15)
+    row, cx, cy = _squares(s, side)
+    for level in range(LEVELS + 1):
+        _, group, count = np.unique(np.column_stack([cx, cy]), axis=0, return_inverse=True, return_counts=True)
+        crowded = (count > CROWDED)[group.ravel()]
+        finer = None
+        if level < LEVELS and crowded.any() and side / DIVISION > float(np.abs(s).max()) * 1e-15:
+            inside = np.column_stack([cx[crowded], cy[crowded]])
+            finer = _squares(s[row[crowded]], side / DIVISION, inside)
+            if len(finer[0]) > 3 * DIVISION * crowded.sum():
+                finer = None
+        keep = ~crowded if finer is not None else np.ones(len(row), bool)
+        r = row[keep]
+        yield [*key[r].T, *s[r].T, _ints(len(r), level), cx[keep], cy[keep]]
+        if finer is None:
+            return
+        # a segment may reach a finer square through two coarser ones: once is enough
+        met = np.unique(np.column_stack([row[crowded][finer[0]], finer[1], finer[2]]), axis=0)
+        row, cx, cy = met.T
+        side /= DIVISION
+
+
+def placed_segments(df: DataFrame, fid: str = "fid", geom: str = "geometry") -> DataFrame:
+    """Ring segments, one row per search square (level, cx, cy)."""
+    return _spread(df, fid, geom, PLACED_FIELDS, _placed_columns)
 
 
 def _side_of(px: Column, py: Column, s: str) -> Column:
@@ -440,38 +469,30 @@ def _conflict() -> Column:
     same_ring = (F.col("a.part") == F.col("b.part")) & (F.col("a.ring") == F.col("b.ring"))
     neighbours = joint("1", "2") | joint("2", "1")
     contact = same_ring & (joint("1", "1") | joint("2", "2") | ~neighbours)
-    return boxes & meet & (proper | (same_line & overlap) | contact)
+    # a chain of cases and no conjunction: evaluated in this order, cheapest first
+    return (
+        F.when(~boxes, False).when(~meet, False)
+        .otherwise(proper | (same_line & overlap) | contact)
+    )
 
 
-def crossings(segs: DataFrame, fid: str = "fid") -> DataFrame:
+def crossings(df: DataFrame, fid: str = "fid", geom: str = "geometry") -> DataFrame:
     """Key of the feature, once per ring segment that crosses or overlaps another
     one, or touches another one of its own ring.
 
     Segments meet only when they pass through a common square, so the join key is
     (feature, square) and a ring of any size spreads over as many keys as it has
-    squares. Squares holding more than ``CROWDED`` segments are divided once more
-    according to their own count. The semi-join stops at a segment's first
-    conflict: pairs are never written out.
+    squares. The semi-join stops at a segment's first conflict: pairs are never
+    written out.
     """
-    solid = segs.where(~F.col("closes")).where("x1 <> x2 or y1 <> y2").drop("closes")
-    finite = F.lit(True)
-    for c in ("x1", "y1", "x2", "y2"):
-        finite = finite & (F.abs(c) < float("inf"))
-    coarse = _cells(solid.where(finite), F.col("cell"))
-    keys = [fid, "_cx", "_cy"]
-    crowded = coarse.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > CROWDED)
-    # every row learns its square's division; 1 keeps the square as it is
-    placed = coarse.join(crowded, keys, "left").withColumn(
-        "_k", F.coalesce(F.ceil(F.sqrt(F.col("_n") / 4.0)).cast("bigint"), F.lit(1).cast("bigint"))
-    ).withColumnsRenamed({"_cx": "_bx", "_cy": "_by"}).drop("_side", "_n")
-    placed = _cells(placed, F.col("cell") / F.col("_k"), (F.col("_bx"), F.col("_by")), F.col("_k")).drop(
-        "_k", "_bx", "_by", "cell")
-    join = [fid, *CELL_KEYS]
-    a, b = placed.alias("a"), placed.alias("b")
-    other = (F.col("a.part") != F.col("b.part")) | (F.col("a.ring") != F.col("b.ring")) \
-        | (F.col("a.seq") != F.col("b.seq"))
-    on = other & _conflict()
-    for k in join:
+    placed = placed_segments(df, fid, geom)
+    # the planner cannot see how far cells expand into segments, so its size estimate
+    # must not choose a broadcast here
+    a, b = placed.alias("a"), placed.hint("merge").alias("b")
+    itself = (F.col("a.seq") == F.col("b.seq")) & (F.col("a.ring") == F.col("b.ring")) \
+        & (F.col("a.part") == F.col("b.part"))
+    on = F.when(itself, False).otherwise(_conflict())
+    for k in (fid, "level", "cx", "cy"):
         on = on & (F.col(f"a.{k}") == F.col(f"b.{k}"))
     return a.join(b, on, "left_semi").select(fid)
 
@@ -518,11 +539,11 @@ def validity(df: DataFrame, fid: str = "fid", geom: str = "geometry") -> DataFra
     or parts is left undecided. A NULL geometry is not valid and has no reason.
     """
     held = wkb.base_type(F.col(geom)).isin(3, 6, wkb.COLLECTION)
-    segs = segments(df.where(held), fid, geom)
+    areas = df.where(held)
     rows = df.select(fid, F.lit(0).alias("rings"), F.lit(None).cast("int").alias("code"),
                      F.col(geom).isNotNull().alias("present"))
-    crossed = crossings(segs, fid).select(fid, F.lit(0).alias("rings"), F.lit(CROSSING).alias("code"))
-    found = reshape.concat_parts([rows, ring_faults(segs, fid), point_faults(df, fid, geom), crossed])
+    crossed = crossings(areas, fid, geom).select(fid, F.lit(0).alias("rings"), F.lit(CROSSING).alias("code"))
+    found = reshape.concat_parts([rows, ring_faults(segments(areas, fid, geom), fid), point_faults(df, fid, geom), crossed])
     # one aggregation instead of joins: every feature brings a row of its own
     worst = found.groupBy(fid).agg(
         F.sum("rings").alias("rings"), F.min("code").alias("code"), F.max("present").alias("present"))
