@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -129,79 +130,120 @@ def rewrite(buf: bytes, edit: Callable[[int, np.ndarray], np.ndarray | None], po
 
 # vertices and segments ----------------------------------------------------
 
-def _spread(df: DataFrame, fid: str, geom: str, fields: str, columns_of) -> DataFrame:
-    """Spread geometry cells into rows. Output batches are bounded in size, so a
-    single huge geometry is streamed, not held twice."""
+@dataclass
+class Group:
+    """Coordinate blocks of some whole geometries: one entry per block."""
+
+    row: list[int]
+    part: list[int]
+    kind: list[int]
+    ring: list[int]
+    has_z: list[bool]
+    views: list[np.ndarray]
+
+    def only(self, keep: Callable[[int, int], bool]) -> Group:
+        """The blocks whose (kind, number of points) pass."""
+        at = [i for i, v in enumerate(self.views) if keep(self.kind[i], len(v))]
+        return Group(*[[column[i] for i in at] for column in (
+            self.row, self.part, self.kind, self.ring, self.has_z, self.views)])
+
+    def sizes(self) -> np.ndarray:
+        return np.array([len(v) for v in self.views], np.int64)
+
+    def axis(self, i: int) -> np.ndarray:
+        return np.concatenate([v[:, i] for v in self.views]).astype(np.float64, copy=False)
+
+    def each(self, values: list[int]) -> np.ndarray:
+        """A value of the blocks, repeated for their points."""
+        return np.repeat(np.array(values, np.int32), self.sizes())
+
+    def seq(self) -> np.ndarray:
+        n = self.sizes()
+        return (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)).astype(np.int32)
+
+
+def _groups(cells: pa.Array) -> Iterator[Group]:
+    """Blocks of a batch of WKB cells, handed on whenever enough points are together."""
+    group, points = Group([], [], [], [], [], []), 0
+    for i, cell in enumerate(cells.to_pylist()):
+        if cell is None:
+            continue
+        for part, kind, ring, view, has_z in blocks(cell):
+            group.row.append(i)
+            group.part.append(part)
+            group.kind.append(kind)
+            group.ring.append(ring)
+            group.has_z.append(has_z)
+            group.views.append(view)
+            points += len(view)
+        if points >= ROWS_PER_BATCH:
+            yield group
+            group, points = Group([], [], [], [], [], []), 0
+    if group.row:
+        yield group
+
+
+def _spread(df: DataFrame, fid: str, geom: str, fields: str, expand) -> DataFrame:
+    """Spread geometry cells into rows.
+
+    ``expand`` turns a group of blocks into (number of the cell per row, columns). The
+    work is vectorised over all geometries of a group, and output batches are bounded.
+    """
     key = df.schema[fid]
     schema = T.StructType([T.StructField(fid, key.dataType), *T._parse_datatype_string(fields).fields])
     names = schema.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, cells = batch.column(0), batch.column(1)
-            rows, pending, size = [], [], 0
-
-            def flush():
-                merged = [
-                    pa.array(np.concatenate(cs), from_pandas=name in ("z", "m"))
-                    for name, cs in zip(names[1:], zip(*pending))
-                ]
-                keys = ids.take(pa.array(np.concatenate(rows)))
-                return pa.RecordBatch.from_arrays([keys, *merged], names)
-
-            for i, cell in enumerate(cells):
-                if not cell.is_valid:
+            for group in _groups(batch.column(1)):
+                row, columns = expand(group)
+                if not len(row):
                     continue
-                for chunk in columns_of(memoryview(cell.as_buffer())):
-                    n = len(chunk[0])
-                    for at in range(0, n, ROWS_PER_BATCH):
-                        piece = [c[at:at + ROWS_PER_BATCH] for c in chunk]
-                        pending.append(piece)
-                        rows.append(np.full(len(piece[0]), i, np.int64))
-                        size += len(piece[0])
-                        if size >= ROWS_PER_BATCH:
-                            yield flush()
-                            rows, pending, size = [], [], 0
-            if pending:
-                yield flush()
+                arrays = [pa.array(c, from_pandas=n in ("z", "m")) for n, c in zip(names[1:], columns)]
+                out = pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), *arrays], names)
+                for at in range(0, len(row), ROWS_PER_BATCH):
+                    yield out.slice(at, ROWS_PER_BATCH)
 
     return df.select(fid, geom).mapInArrow(run, schema)
 
 
-def _ints(n: int, value: int) -> np.ndarray:
-    return np.full(n, value, np.int32)
+NOTHING = np.empty(0, np.int32), []
 
 
-def _vertex_columns(buf) -> Iterator[list[np.ndarray]]:
-    for part, kind, ring, xy, has_z in blocks(buf):
-        n, dims = xy.shape
-        if kind == wkb.POINT and np.isnan(xy[:, :2]).all():
-            continue
-        nothing = np.full(n, np.nan)
-        z = xy[:, 2] if has_z else nothing
-        m = xy[:, dims - 1] if dims > 2 + has_z else nothing
-        native = [c.astype(np.float64) for c in (xy[:, 0], xy[:, 1], z, m)]
-        yield [_ints(n, part), _ints(n, kind), _ints(n, ring), np.arange(n, dtype=np.int32), *native]
+def _vertex_rows(group: Group) -> tuple[np.ndarray, list[np.ndarray]]:
+    g = group.only(lambda kind, n: n > 0)
+    if not g.row:
+        return NOTHING
+    x, y = g.axis(0), g.axis(1)
+    z, m = (np.full(len(x), np.nan) for _ in "zm")
+    if any(v.shape[1] > 2 for v in g.views):
+        z = np.concatenate([v[:, 2] if has else np.full(len(v), np.nan) for v, has in zip(g.views, g.has_z)])
+        m = np.concatenate([v[:, -1] if v.shape[1] > 2 + has else np.full(len(v), np.nan)
+                            for v, has in zip(g.views, g.has_z)])
+    kind = g.each(g.kind)
+    # an empty point is a point of two missing coordinates
+    there = (kind != wkb.POINT) | ~(np.isnan(x) & np.isnan(y))
+    columns = [g.each(g.part), kind, g.each(g.ring), g.seq(), x, y, z, m]
+    return g.each(g.row)[there], [c[there] for c in columns]
 
 
 def vertices(df: DataFrame, fid: str = "fid", geom: str = "geometry") -> DataFrame:
     """One row per vertex; empty and NULL geometries have none."""
-    return _spread(df, fid, geom, VERTEX_FIELDS, _vertex_columns)
-
+    return _spread(df, fid, geom, VERTEX_FIELDS, _vertex_rows)
 
-def _ring_points(buf) -> Iterator[tuple[int, int, np.ndarray]]:
-    for part, kind, ring, xy, _ in blocks(buf):
-        if kind == wkb.POLYGON and len(xy):
-            yield part, ring, np.ascontiguousarray(xy[:, :2], dtype=np.float64)
 
-
-def _segment_columns(buf) -> Iterator[list[np.ndarray]]:
-    for part, ring, xy in _ring_points(buf):
-        n = len(xy)
-        # the last vertex starts no segment: it is kept as a row that only closes
-        to = np.vstack([xy[1:], xy[:1]])
-        yield [_ints(n, part), _ints(n, ring), np.arange(n, dtype=np.int32), np.arange(n) == n - 1,
-               xy[:, 0], xy[:, 1], to[:, 0], to[:, 1]]
+def _segment_rows(group: Group) -> tuple[np.ndarray, list[np.ndarray]]:
+    g = group.only(lambda kind, n: kind == wkb.POLYGON and n > 0)
+    if not g.row:
+        return NOTHING
+    x, y, n = g.axis(0), g.axis(1), g.sizes()
+    last = np.cumsum(n) - 1
+    after = np.arange(1, len(x) + 1)
+    # the last vertex starts no segment: it is kept as a row that only closes
+    after[last] = last - n + 1
+    closes = np.zeros(len(x), bool)
+    closes[last] = True
+    return g.each(g.row), [g.each(g.part), g.each(g.ring), g.seq(), closes, x, y, x[after], y[after]]
 
 
 def segments(df: DataFrame, fid: str = "fid", geom: str = "geometry") -> DataFrame:
@@ -210,7 +252,7 @@ def segments(df: DataFrame, fid: str = "fid", geom: str = "geometry") -> DataFra
     ``closes`` marks the last vertex of a ring, whose next is the first one: the
     ring is closed when both are equal.
     """
-    return _spread(df, fid, geom, SEGMENT_FIELDS, _segment_columns)
+    return _spread(df, fid, geom, SEGMENT_FIELDS, _segment_rows)
 
 
 # header profile -----------------------------------------------------------
@@ -345,17 +387,18 @@ VALID_TEXT = "Valid Geometry"
 BAD_COORDINATE, NOT_CLOSED, TOO_FEW, CROSSING, UNCHECKED = range(len(REASONS))
 
 # Squares with more segments are divided again, DIVISION times per axis and level.
-CROWDED, DIVISION, LEVELS = 32, 4, 6
+CROWDED, DIVISION, LEVELS = 32, 4, 8
+FINEST = 1e-15
 
 
 def _expand(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, value) for every whole number from first to last of each row."""
-    n = np.maximum(last - first + 1, 0).astype(np.int64)
+    n = np.maximum(last - first + 1, 0)
     row = np.repeat(np.arange(len(n)), n)
     return row, first[row] + (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n))
 
 
-def _squares(s: np.ndarray, side: float, inside: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+def _squares(s: np.ndarray, side: np.ndarray, inside: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """(row, cx, cy): the squares each segment of ``s`` (x1, y1, x2, y2) passes through.
 
     Column by column, only the squares between the segment's entry and exit are taken,
@@ -366,70 +409,96 @@ def _squares(s: np.ndarray, side: float, inside: np.ndarray | None = None) -> tu
     left, right, low, high = np.minimum(x1, x2), np.maximum(x1, x2), np.minimum(y1, y2), np.maximum(y1, y2)
 
     def span(a, b, axis, row):
-        first, last = np.floor(a / side).astype(np.int64), np.floor(b / side).astype(np.int64)
+        first = np.floor(a / side[row]).astype(np.int64)
+        last = np.floor(b / side[row]).astype(np.int64)
         if inside is not None:
             start = inside[row, axis] * DIVISION
             first, last = np.maximum(first, start - 1), np.minimum(last, start + DIVISION)
         return _expand(first, last)
 
-    row, cx = span(left, right, 0, slice(None))
-    with np.errstate(divide="ignore", invalid="ignore"):
+    row, cx = span(left, right, 0, np.arange(len(s)))
+    with np.errstate(all="ignore"):
         slope = np.where(x1 == x2, 0.0, (y2 - y1) / (x2 - x1))[row]
-        enter = y1[row] + slope * (np.maximum(left[row], cx * side) - x1[row])
-        leave = y1[row] + slope * (np.minimum(right[row], (cx + 1) * side) - x1[row])
-    upright = (x1 == x2)[row] | ~np.isfinite(enter) | ~np.isfinite(leave)
-    reach = np.abs(s[row]).max(axis=1)
-    slack = side * 1e-6 + reach * (1 + np.abs(slope)) * 1e-15
-    first = np.where(upright, low[row], np.maximum(np.minimum(enter, leave) - slack, low[row]))
-    last = np.where(upright, high[row], np.minimum(np.maximum(enter, leave) + slack, high[row]))
-    at, cy = span(first, last, 1, row)
+        enter = y1[row] + slope * (np.maximum(left[row], cx * side[row]) - x1[row])
+        leave = y1[row] + slope * (np.minimum(right[row], (cx + 1) * side[row]) - x1[row])
+        # rounding of entry and exit
+        slack = side[row] * 1e-6 + np.abs(s[row]).max(axis=1) * (1 + np.abs(slope)) * 1e-15
+        unsure = (x1 == x2)[row] | ~np.isfinite(enter) | ~np.isfinite(leave) | ~np.isfinite(slack)
+        first = np.where(unsure, low[row], np.maximum(np.minimum(enter, leave) - slack, low[row]))
+        last = np.where(unsure, high[row], np.minimum(np.maximum(enter, leave) + slack, high[row]))
+    at, cy = span(np.minimum(first, last), np.maximum(first, last), 1, row)
     return row[at], cx[at], cy
 
 
-def _placed_columns(buf) -> Iterator[list[np.ndarray]]:
-    """Segments of one geometry with the squares they pass through.
+def _company(*keys: np.ndarray) -> np.ndarray:
+    """How many rows share the keys of each row."""
+    order = np.lexsort(keys)
+    starts = np.ones(len(order), bool)
+    starts[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0)
+    number = np.cumsum(starts) - 1
+    out = np.empty(len(order), np.int64)
+    out[order] = np.bincount(number)[number]
+    return out
+
 
-    The first side is the mean segment length, so all segments together enter at most
-    a small multiple of their own number of squares. Crowded squares are divided while
-    that thins them out.
+def _placed_rows(group: Group) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Ring segments of a group with the squares they pass through.
+
+    A feature's first side is its mean segment length, so all its segments together
+    enter at most a small multiple of their own number of squares. A crowded square is
+    divided when that leaves at most half of the comparisons.
     """
-    ids, sides = [], []
-    for part, ring, xy in _ring_points(buf):
-        s = np.hstack([xy[:-1], xy[1:]])
-        solid = np.isfinite(s).all(axis=1) & (s[:, :2] != s[:, 2:]).any(axis=1)
-        seq = np.flatnonzero(solid)
-        ids.append(np.column_stack([np.full(len(seq), part), np.full(len(seq), ring), seq]).astype(np.int32))
-        sides.append(s[solid])
-    if not ids or not sum(map(len, ids)):
-        return
-    key, s = np.concatenate(ids), np.concatenate(sides)
+    owner, columns = _segment_rows(group)
+    if not len(owner):
+        return NOTHING
+    part, ring, seq, closes = columns[:4]
+    s = np.column_stack(columns[4:])
+    solid = ~closes & np.isfinite(s).all(axis=1) & (s[:, :2] != s[:, 2:]).any(axis=1)
+    if not solid.any():
+        return NOTHING
+    owner, part, ring, seq, s = owner[solid], part[solid], ring[solid], seq[solid], s[solid]
+    _, starts, of = np.unique(owner, return_index=True, return_inverse=True)
     with np.errstate(over="ignore"):
-        side = min(float(np.hypot(s[:, 2] - s[:, 0], s[:, 3] - s[:, 1]).mean()), np.finfo(np.float64).max)
-    side = max(side, float(np.abs(s).max()) * 1e-15)
+        mean = np.add.reduceat(np.hypot(s[:, 2] - s[:, 0], s[:, 3] - s[:, 1]), starts) / np.bincount(of)
+    finest = np.maximum.reduceat(np.abs(s).max(axis=1), starts) * FINEST
+    side = np.clip(mean, np.maximum(finest, np.finfo(np.float64).tiny), np.finfo(np.float64).max)[of]
+    finest = finest[of]
+
+    out = []
     row, cx, cy = _squares(s, side)
     for level in range(LEVELS + 1):
-        _, group, count = np.unique(np.column_stack([cx, cy]), axis=0, return_inverse=True, return_counts=True)
-        crowded = (count > CROWDED)[group.ravel()]
-        finer = None
-        if level < LEVELS and crowded.any() and side / DIVISION > float(np.abs(s).max()) * 1e-15:
-            inside = np.column_stack([cx[crowded], cy[crowded]])
-            finer = _squares(s[row[crowded]], side / DIVISION, inside)
-            if len(finer[0]) > 3 * DIVISION * crowded.sum():
-                finer = None
-        keep = ~crowded if finer is not None else np.ones(len(row), bool)
-        r = row[keep]
-        yield [*key[r].T, *s[r].T, _ints(len(r), level), cx[keep], cy[keep]]
-        if finer is None:
-            return
-        # a segment may reach a finer square through two coarser ones: once is enough
-        met = np.unique(np.column_stack([row[crowded][finer[0]], finer[1], finer[2]]), axis=0)
-        row, cx, cy = met.T
-        side /= DIVISION
+        n = _company(cy, cx, owner[row])
+        divide = (n > CROWDED) & (side[row] / DIVISION > finest[row]) & (level < LEVELS)
+        if divide.any():
+            at = np.flatnonzero(divide)
+            seg = row[at]
+            sub, fx, fy = _squares(s[seg], side[seg] / DIVISION, np.column_stack([cx[at], cy[at]]))
+            # comparisons after dividing, per coarse square, against before
+            parent = at[sub]
+            after = _company(fy, fx, cy[parent], cx[parent], owner[row[parent]])
+            order = np.lexsort((cy[at], cx[at], owner[seg]))
+            first = np.ones(len(at), bool)
+            first[1:] = np.any([k[order][1:] != k[order][:-1] for k in (cy[at], cx[at], owner[seg])], axis=0)
+            number = np.empty(len(at), np.int64)
+            number[order] = np.cumsum(first) - 1
+            cost = np.bincount(number[sub], weights=after, minlength=number.max() + 1)
+            worth = cost[number] <= n[at].astype(np.float64) ** 2 / 2
+            divide[at] = worth
+            chosen = worth[sub]
+            finer = np.unique(np.column_stack([row[parent[chosen]], fx[chosen], fy[chosen]]), axis=0)
+        keep = ~divide
+        out.append((row[keep], np.full(keep.sum(), level, np.int32), cx[keep], cy[keep]))
+        if not divide.any():
+            break
+        row, cx, cy = finer.T
+        side = side / DIVISION
+    row, level, cx, cy = (np.concatenate(c) for c in zip(*out))
+    return owner[row], [part[row], ring[row], seq[row], *s[row].T, level, cx, cy]
 
 
 def placed_segments(df: DataFrame, fid: str = "fid", geom: str = "geometry") -> DataFrame:
     """Ring segments, one row per search square (level, cx, cy)."""
-    return _spread(df, fid, geom, PLACED_FIELDS, _placed_columns)
+    return _spread(df, fid, geom, PLACED_FIELDS, _placed_rows)
 
 
 def _side_of(px: Column, py: Column, s: str) -> Column:

@@ -242,7 +242,9 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     if key not in _stored:
         text = spark.sql(features_sql("{orders}"), orders=table(spark, sf_dir, "orders"))
         path = new_run_dir(spark, "features")
-        text.selectExpr("fid", "shape", "bx", "byy", "nome", "unhex(wkb) AS geometry").write.parquet(path)
+        cells = text.selectExpr("fid", "shape", "bx", "byy", "nome", "unhex(wkb) AS geometry")
+        # one small source file would leave all decoding to one task
+        cells.repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
         _stored[key] = path
     return spark.read.parquet(_stored[key])
 
