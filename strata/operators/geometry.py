@@ -190,7 +190,10 @@ def _spread(df: DataFrame, fid: str, geom: str, fields: str, expand) -> DataFram
     work is vectorised over all geometries of a group, and output batches are bounded.
     """
     key = df.schema[fid]
-    schema = T.StructType([T.StructField(fid, key.dataType), *T._parse_datatype_string(fields).fields])
+    # only z and m can be missing; the rest free of NULL checks in generated code
+    schema = T.StructType([T.StructField(fid, key.dataType, key.nullable)] + [
+        T.StructField(f.name, f.dataType, f.name in ("z", "m")) for f in T._parse_datatype_string(fields).fields
+    ])
     names = schema.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -517,20 +520,11 @@ def _conflict() -> Column:
     b = {n: F.col(f"b.{n}") for n in ("x1", "y1", "x2", "y2")}
     b1, b2 = _side_of(b["x1"], b["y1"], "a"), _side_of(b["x2"], b["y2"], "a")
     a1, a2 = _side_of(a["x1"], a["y1"], "b"), _side_of(a["x2"], a["y2"], "b")
-    boxes = F.lit(True)
-    for p, q in (("x1", "x2"), ("y1", "y2")):
-        boxes = boxes & (F.greatest(a[p], a[q]) >= F.least(b[p], b[q])) \
-            & (F.greatest(b[p], b[q]) >= F.least(a[p], a[q]))
-    meet = boxes & (b1 * b2 <= 0) & (a1 * a2 <= 0)
-    same_line = (b1 == 0) & (b2 == 0) & (a1 == 0) & (a2 == 0)
-    # collinear segments share a stretch when their ranges overlap by more than a point
-    overlap = F.lit(False)
+    apart, overlap = F.lit(False), F.lit(False)
     for p, q in (("x1", "x2"), ("y1", "y2")):
-        overlap = overlap | (
-            F.least(F.greatest(a[p], a[q]), F.greatest(b[p], b[q]))
-            > F.greatest(F.least(a[p], a[q]), F.least(b[p], b[q]))
-        )
-    proper = (b1 * b2 < 0) & (a1 * a2 < 0)
+        first = F.greatest(F.least(a[p], a[q]), F.least(b[p], b[q]))
+        last = F.least(F.greatest(a[p], a[q]), F.greatest(b[p], b[q]))
+        apart, overlap = apart | (first > last), overlap | (first < last)
 
     def joint(p: str, q: str) -> Column:
         return (a[f"x{p}"] == b[f"x{q}"]) & (a[f"y{p}"] == b[f"y{q}"])
@@ -538,10 +532,16 @@ def _conflict() -> Column:
     same_ring = (F.col("a.part") == F.col("b.part")) & (F.col("a.ring") == F.col("b.ring"))
     neighbours = joint("1", "2") | joint("2", "1")
     contact = same_ring & (joint("1", "1") | joint("2", "2") | ~neighbours)
-    # a chain of cases and no conjunction: evaluated in this order, cheapest first
+    # cases and no conjunction: evaluated in this order, cheapest first, and short
+    # enough for the join to stay in compiled code
+    across = b1 * b2
     return (
-        F.when(~boxes, False).when(~meet, False)
-        .otherwise(proper | (same_line & overlap) | contact)
+        F.when(apart, False)
+        .when(across > 0, False)
+        .when(a1 * a2 > 0, False)
+        .when(contact, True)
+        .when(across < 0, a1 * a2 < 0)
+        .otherwise((b1 == 0) & (b2 == 0) & overlap)
     )
 
 
