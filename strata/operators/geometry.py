@@ -24,8 +24,9 @@ from . import quality, reshape
 ROWS_PER_BATCH = 1 << 16
 
 VERTEX_FIELDS = "part int, kind int, ring int, seq int, x double, y double, z double, m double"
-SEGMENT_FIELDS = "part int, ring int, seq int, closes boolean, x1 double, y1 double, x2 double, y2 double"
-PLACED_FIELDS = SEGMENT_FIELDS.replace("closes boolean, ", "") + ", level int, cx bigint, cy bigint"
+SEGMENT_FIELDS = "part int, kind int, ring int, seq int, closes boolean, x1 double, y1 double, x2 double, y2 double"
+PLACED_FIELDS = "part int, ring int, seq int, x1 double, y1 double, x2 double, y2 double, " \
+    "level int, cx bigint, cy bigint"
 
 
 # point structs ------------------------------------------------------------
@@ -236,7 +237,7 @@ def vertices(df: DataFrame, fid: str = "fid", geom: str = "geometry") -> DataFra
 
 
 def _segment_rows(group: Group) -> tuple[np.ndarray, list[np.ndarray]]:
-    g = group.only(lambda kind, n: kind == wkb.POLYGON and n > 0)
+    g = group.only(lambda kind, n: n > 0)
     if not g.row:
         return NOTHING
     x, y, n = g.axis(0), g.axis(1), g.sizes()
@@ -246,14 +247,17 @@ def _segment_rows(group: Group) -> tuple[np.ndarray, list[np.ndarray]]:
     after[last] = last - n + 1
     closes = np.zeros(len(x), bool)
     closes[last] = True
-    return g.each(g.row), [g.each(g.part), g.each(g.ring), g.seq(), closes, x, y, x[after], y[after]]
+    kind = g.each(g.kind)
+    there = (kind != wkb.POINT) | ~(np.isnan(x) & np.isnan(y))
+    columns = [g.each(g.part), kind, g.each(g.ring), g.seq(), closes, x, y, x[after], y[after]]
+    return g.each(g.row)[there], [c[there] for c in columns]
 
 
 def segments(df: DataFrame, fid: str = "fid", geom: str = "geometry") -> DataFrame:
-    """One row per polygon-ring vertex with the next vertex beside it.
+    """One row per vertex with the next vertex beside it.
 
-    ``closes`` marks the last vertex of a ring, whose next is the first one: the
-    ring is closed when both are equal.
+    ``closes`` marks the last vertex of a ring or line, whose next is the first one:
+    a ring is closed when both are equal.
     """
     return _spread(df, fid, geom, SEGMENT_FIELDS, _segment_rows)
 
@@ -451,11 +455,11 @@ def _placed_rows(group: Group) -> tuple[np.ndarray, list[np.ndarray]]:
     enter at most a small multiple of their own number of squares. A crowded square is
     divided when that leaves at most half of the comparisons.
     """
-    owner, columns = _segment_rows(group)
+    owner, columns = _segment_rows(group.only(lambda kind, n: kind == wkb.POLYGON))
     if not len(owner):
         return NOTHING
-    part, ring, seq, closes = columns[:4]
-    s = np.column_stack(columns[4:])
+    part, _, ring, seq, closes = columns[:5]
+    s = np.column_stack(columns[5:])
     solid = ~closes & np.isfinite(s).all(axis=1) & (s[:, :2] != s[:, 2:]).any(axis=1)
     if not solid.any():
         return NOTHING
@@ -566,39 +570,27 @@ def crossings(df: DataFrame, fid: str = "fid", geom: str = "geometry") -> DataFr
     return a.join(b, on, "left_semi").select(fid)
 
 
-def ring_faults(segs: DataFrame, fid: str = "fid") -> DataFrame:
-    """(feature, 1, fault code or NULL) per ring, from one pass over the segments.
+def block_faults(segs: DataFrame, fid: str = "fid") -> DataFrame:
+    """(feature, rings, fault code or NULL) per point, line and ring, in one pass.
 
-    A ring's points leave the tasks already combined to one row.
+    The rows of a block leave the tasks already combined to one.
     """
     bad = F.lit(False)
     for c in ("x1", "y1"):
         bad = bad | F.isnan(c) | (F.abs(c) == float("inf"))
     differs = (F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2"))
-    rings = segs.groupBy(fid, "part", "ring").agg(
+    found = segs.groupBy(fid, "part", "kind", "ring").agg(
         F.max(bad).alias("bad"),
         F.max(F.col("closes") & differs).alias("open"),
         F.count_if(~F.col("closes") & differs).alias("sides"),
     )
+    area = F.col("kind") == wkb.POLYGON
     code = (
-        F.when(F.col("bad"), BAD_COORDINATE).when(F.col("open"), NOT_CLOSED)
-        .when(F.col("sides") < 3, TOO_FEW)
-    )
-    return rings.select(fid, F.lit(1).alias("rings"), code.alias("code"))
-
-
-def point_faults(df: DataFrame, fid: str, geom: str) -> DataFrame:
-    """Coordinate and length faults of the points and lines in a geometry column."""
-    held = wkb.base_type(F.col(geom)).isin(3, 6)
-    pts = vertices(df.where(~held), fid, geom).where(F.col("kind") != wkb.POLYGON)
-    bad = F.isnan("x") | F.isnan("y") | (F.abs("x") == float("inf")) | (F.abs("y") == float("inf"))
-    parts = pts.groupBy(fid, "part", "kind").agg(
-        F.max(bad).alias("bad"),
-        F.min("x").alias("ax"), F.max("x").alias("bx"), F.min("y").alias("ay"), F.max("y").alias("by"),
+        F.when(F.col("bad"), BAD_COORDINATE).when(area & F.col("open"), NOT_CLOSED)
+        .when(area & (F.col("sides") < 3), TOO_FEW)
+        .when((F.col("kind") == wkb.LINESTRING) & (F.col("sides") < 1), TOO_FEW)
     )
-    still = (F.col("kind") == wkb.LINESTRING) & (F.col("ax") == F.col("bx")) & (F.col("ay") == F.col("by"))
-    code = F.when(F.col("bad"), BAD_COORDINATE).when(still, TOO_FEW)
-    return parts.select(fid, F.lit(0).alias("rings"), code.alias("code"))
+    return found.select(fid, area.cast("int").alias("rings"), code.alias("code"))
 
 
 def validity(df: DataFrame, fid: str = "fid", geom: str = "geometry") -> DataFrame:
@@ -607,12 +599,11 @@ def validity(df: DataFrame, fid: str = "fid", geom: str = "geometry") -> DataFra
     ``valid`` is NULL, with a reason that says so, where only the nesting of rings
     or parts is left undecided. A NULL geometry is not valid and has no reason.
     """
-    held = wkb.base_type(F.col(geom)).isin(3, 6, wkb.COLLECTION)
-    areas = df.where(held)
+    areas = df.where(wkb.base_type(F.col(geom)).isin(3, 6, wkb.COLLECTION))
     rows = df.select(fid, F.lit(0).alias("rings"), F.lit(None).cast("int").alias("code"),
                      F.col(geom).isNotNull().alias("present"))
     crossed = crossings(areas, fid, geom).select(fid, F.lit(0).alias("rings"), F.lit(CROSSING).alias("code"))
-    found = reshape.concat_parts([rows, ring_faults(segments(areas, fid, geom), fid), point_faults(df, fid, geom), crossed])
+    found = reshape.concat_parts([rows, block_faults(segments(df, fid, geom), fid), crossed])
     # one aggregation instead of joins: every feature brings a row of its own
     worst = found.groupBy(fid).agg(
         F.sum("rings").alias("rings"), F.min("code").alias("code"), F.max("present").alias("present"))

@@ -6,6 +6,7 @@ their layers and enforce the gates.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -154,8 +155,10 @@ def run_lab(source: DataFrame, spec: LabSpec, root: str) -> dict[str, str]:
     spark = source.sparkSession
     bronze = scan.read_layer_parquet(spark, run_bronze(source, spec, root))
     labels = [spec.labels.get(c, c) for c in assay_columns(bronze, spec)]
-    survey = scan.read_layer_parquet(spark, run_survey(bronze, spec, root))
-    assay = scan.read_layer_parquet(spark, run_assay(bronze, spec, root))
+    # the two silver layers do not depend on each other: submit both, Spark shares the slots
+    with ThreadPoolExecutor(2) as pool:
+        paths = [pool.submit(run, bronze, spec, root) for run in (run_survey, run_assay)]
+        survey, assay = (scan.read_layer_parquet(spark, p.result()) for p in paths)
     return publish(spark, survey, assay, spec, labels, f"{root}/{spec.name}/gold")
 
 

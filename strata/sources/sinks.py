@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -121,6 +122,14 @@ def clone_schema(df: DataFrame, table: str, renames: dict[str, str] | None = Non
     (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
+def _write_all(frames: dict[str, DataFrame]) -> None:
+    """Independent writes, submitted together so that they fill each other's gaps."""
+    with ThreadPoolExecutor(len(frames)) as pool:
+        jobs = [pool.submit(df.write.mode("overwrite").parquet, path) for path, df in frames.items()]
+        for job in jobs:
+            job.result()
+
+
 # two tables, one publication ----------------------------------------------
 
 MANIFEST_SCHEMA = "version bigint, survey string, assay string"
@@ -147,8 +156,7 @@ def replace_survey_and_assay(survey: DataFrame, assay: DataFrame, root: str) ->
     last = _latest(spark, root)
     version = (last.version if last else 0) + 1
     home = f"{root}/v{version}-{uuid.uuid4().hex}"
-    survey.write.parquet(f"{home}/survey")
-    assay.write.parquet(f"{home}/assay")
+    _write_all({f"{home}/survey": survey, f"{home}/assay": assay})
     row = spark.range(1).select(
         F.lit(version).cast("bigint").alias("version"),
         F.lit(f"{home}/survey").alias("survey"), F.lit(f"{home}/assay").alias("assay"),
@@ -173,11 +181,8 @@ def view_name(item: str) -> tuple[str, str]:
 
 def refresh_views(root: str, views: dict[str, DataFrame]) -> dict[str, str]:
     """Recompute dependent tables after a load; returns their paths."""
-    paths = {}
-    for item, df in views.items():
-        schema, name = view_name(item)
-        paths[item] = f"{root}/{schema}/{name}"
-        df.write.mode("overwrite").parquet(paths[item])
+    paths = {item: "/".join([root, *view_name(item)]) for item in views}
+    _write_all({paths[item]: df for item, df in views.items()})
     return paths
 
 
