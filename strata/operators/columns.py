@@ -133,7 +133,9 @@ def infer_types(df: DataFrame) -> DataFrame:
 def table_name(prefix: str = "", suffix: str = ".parquet") -> Column:
     """Table name of the file a row was read from."""
     pattern = f"^{re.escape(prefix)}|{re.escape(suffix)}$"
-    return F.regexp_replace(F.col("_metadata.file_name"), pattern, "")
+    # the metadata column holds the name URI-encoded, where "+" is a plain character
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(name, pattern, "")
 
 
 def with_table_name(df: DataFrame, prefix: str = "", suffix: str = ".parquet", name: str = "table_name") -> DataFrame:
