@@ -79,7 +79,11 @@ def long_values(bronze: DataFrame, spec: LabSpec, analytes: list[str] | None = N
     df = columns.humanize(df, spec.labels)
     cells = [c for c in df.columns if c != spec.pk]
     long = reshape.unpivot_assays(df, spec.pk, cells, key, var, "_text")
-    return quality.drop_missing(long.withColumn("_text", clean.clean_value(F.col("_text"), spec.kind)), "_text")
+    # the missing test runs as a filter of its own, so that dropped cells cost no replacing
+    # and kept ones are not tested again
+    bare = clean.strip_spaces(F.col("_text"))
+    kept = quality.keep_valid(long, clean.missing_to_null(bare, spec.kind).isNotNull())
+    return kept.withColumn("_text", clean.replace_chain(bare, clean.REPLACEMENTS[spec.kind]))
 
 
 def chem_assay_frame(bronze: DataFrame, spec: LabSpec, analytes: list[str] | None = None,
