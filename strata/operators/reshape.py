@@ -53,30 +53,34 @@ def split_analyte_unit(df: DataFrame, analyte: str = "analito", unit: str = "uni
     return df.select(*cols)
 
 
-def qualifier_of(c: Column) -> Column:
+def chem_qualifier(c: Column) -> Column:
+    """Leading ``<``, ``>``, ``I`` or ``N`` of a cleaned chemical value."""
     first = F.left(c, F.lit(1))
-    return F.when(first.isin("<", ">", "I", "N"), first)
+    return F.when(clean.chem_class(c).isNotNull() & first.isin(*clean.QUALIFIERS), first)
+
+
+def chem_number(c: Column) -> Column:
+    """Number of a cleaned chemical value; 0 for ``I`` and ``N``; NULL outside the grammar."""
+    kind = clean.chem_class(c)
+    return (
+        F.when(kind == "number", F.ltrim(c, F.lit("<>")).try_cast("double"))
+        .when(kind.isNotNull(), F.lit(0.0))
+    )
+
+
+def whole_number(c: Column) -> Column:
+    return F.when(c.rlike(clean.INTEGER), c.try_cast("bigint"))
 
 
 def decompose_value(df: DataFrame, value: str = "valor", qualifier: str = "qualificador",
                     number: str = "valor") -> DataFrame:
     """Cleaned chemical text -> (qualifier, number).
 
-    ``I`` and ``N`` rows carry 0. A value outside the grammar gets two NULLs, so
-    a gate can count it in the same pass.
+    A value outside the grammar gets two NULLs, so a gate can count it in the same pass.
     """
     c = F.col(value)
-    kind = clean.chem_class(c)
-    amount = (
-        F.when(kind == "number", F.ltrim(c, F.lit("<>")).try_cast("double"))
-        .when(kind.isNotNull(), F.lit(0.0))
-    )
     kept = [n for n in df.columns if n not in (value, qualifier, number)]
-    return df.select(
-        *kept,
-        F.when(kind.isNotNull(), qualifier_of(c)).alias(qualifier),
-        amount.alias(number),
-    )
+    return df.select(*kept, chem_qualifier(c).alias(qualifier), chem_number(c).alias(number))
 
 
 def concat_parts(parts: list[DataFrame]) -> DataFrame:

@@ -41,13 +41,13 @@ def assay_columns(bronze: DataFrame, spec: LabSpec) -> list[str]:
 
 # survey -------------------------------------------------------------------
 
-def survey_frame(bronze: DataFrame, spec: LabSpec) -> DataFrame:
-    """Sample attributes with flags, dates and the sample point."""
+def survey_frame(bronze: DataFrame, spec: LabSpec, also: list[str] | None = None) -> DataFrame:
+    """Sample attributes with flags, dates and the sample point (``also``: more columns to keep)."""
     wanted = [spec.pk, *[c for c in spec.survey_columns if c != spec.pk]]
     at = geometry.point(F.col(spec.coordinates.x), F.col(spec.coordinates.y), spec.coordinates.srid)
     # the point comes from the bronze columns even when the survey does not keep them
     located = bronze.withColumn("geometry", at)
-    df = columns.select_existing(located, [*[c for c in wanted if c != "geometry"], "geometry"])
+    df = columns.select_existing(located, [*[c for c in wanted if c != "geometry"], "geometry", *(also or [])])
     df = clean.empty_to_null_columns(df)
     df = columns.slugify_columns(df, keep=(spec.pk,))
     df = df.withColumns({c: clean.yes_flag(F.col(c)) for c in spec.flags})
@@ -97,8 +97,7 @@ def chem_assay_frame(bronze: DataFrame, spec: LabSpec, analytes: list[str] | Non
 
 def count_assay_frame(bronze: DataFrame, spec: LabSpec, analytes: list[str] | None = None) -> DataFrame:
     """(sample, analyte, count); count is NULL where the text is no integer."""
-    text = F.col("_text")
-    number = F.when(text.rlike(clean.INTEGER), text.try_cast("bigint"))
+    number = reshape.whole_number(F.col("_text"))
     return long_values(bronze, spec, analytes).select(*spec.index_columns, number.alias(spec.value_columns[0]))
 
 
@@ -115,6 +114,26 @@ def assay_frame(bronze: DataFrame, spec: LabSpec, analytes: list[str] | None = N
     return ASSAY_FRAMES[spec.kind](bronze, spec, analytes)
 
 
+NUMBERS = {"chem": reshape.chem_number, "count": reshape.whole_number, "weight": clean.to_number_try}
+
+
+def survey_pivot_frame(bronze: DataFrame, spec: LabSpec) -> DataFrame:
+    """Survey with one number column per analyte, straight from the wide table.
+
+    With a unique key this equals unpivoting, pivoting back and joining, but it is a
+    projection: no row leaves its partition.
+    """
+    analytes = assay_columns(bronze, spec)
+    types = dict(zip(bronze.columns, (f.dataType for f in bronze.schema.fields)))
+    df = survey_frame(bronze, spec, analytes)
+    names = columns.slug_map(analytes)
+    numbers = {}
+    for source, name in names.items():
+        text = clean.plain_text(F.col(f"`{name}`"), types[source])
+        numbers[name] = NUMBERS[spec.kind](clean.clean_value(text, spec.kind))
+    return columns.humanize(df.withColumns(numbers), spec.labels)
+
+
 def run_assay(bronze: DataFrame, spec: LabSpec, root: str) -> str:
     """Silver assay layer; a value outside the grammar stops the job before publication."""
     return sinks.write_layer(
@@ -147,11 +166,17 @@ def dependent_views(survey: DataFrame, assay: DataFrame, spec: LabSpec,
 
 
 def publish(spark: SparkSession, survey: DataFrame, assay: DataFrame, spec: LabSpec,
-            labels: list[str], root: str) -> dict[str, str]:
-    """Publish the pair of tables, then recompute the views from what was published."""
+            labels: list[str], root: str, joined: DataFrame | None = None) -> dict[str, str]:
+    """Publish the pair of tables, then recompute the views from what was published.
+
+    ``joined`` is the third view where the caller can compute it without a shuffle.
+    """
     sinks.replace_survey_and_assay(survey, assay, root)
     survey, assay = sinks.published(spark, root)
-    return sinks.refresh_views(f"{root}/views", dependent_views(survey, assay, spec, labels))
+    views = dependent_views(survey, assay, spec, labels)
+    if joined is not None:
+        views[spec.views[2]] = joined
+    return sinks.refresh_views(f"{root}/views", views)
 
 
 def run_lab(source: DataFrame, spec: LabSpec, root: str) -> dict[str, str]:
@@ -163,7 +188,8 @@ def run_lab(source: DataFrame, spec: LabSpec, root: str) -> dict[str, str]:
     with ThreadPoolExecutor(2) as pool:
         paths = [pool.submit(run, bronze, spec, root) for run in (run_survey, run_assay)]
         survey, assay = (scan.read_layer_parquet(spark, p.result()) for p in paths)
-    return publish(spark, survey, assay, spec, labels, f"{root}/{spec.name}/gold")
+    joined = survey_pivot_frame(bronze, spec)
+    return publish(spark, survey, assay, spec, labels, f"{root}/{spec.name}/gold", joined)
 
 
 def all_assays(bronzes: dict[str, tuple[DataFrame, LabSpec]]) -> DataFrame:
@@ -175,12 +201,22 @@ def all_assays(bronzes: dict[str, tuple[DataFrame, LabSpec]]) -> DataFrame:
     return reduce(DataFrame.unionByName, tagged)
 
 
+def run_all_assays(bronzes: dict[str, tuple[DataFrame, LabSpec]], path: str) -> str:
+    """The tagged table, one directory per medium; rows stay where they were read."""
+    all_assays(bronzes).write.mode("overwrite").partitionBy("meio").parquet(path)
+    return path
+
+
 # feature classes ----------------------------------------------------------
 
 def extract_features(source: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """Key and geometry renamed, SRID attached, single parts promoted when the column is multi."""
+    """Key and geometry renamed, SRID attached."""
     df = columns.rename(source, {spec.pk: "fid", spec.geometry: "geometry"})
-    df = geometry.with_srid(columns.key_columns(df, ["fid"]), "geometry", spec.srid)
+    return geometry.with_srid(columns.key_columns(df, ["fid"]), "geometry", spec.srid)
+
+
+def typed_features(df: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """Profile attached to the geometry; single parts promoted when the column is multi."""
     # one row of metadata travels to the driver
     profile = geometry.geometry_profile(df).first()
     if profile is None:
@@ -194,13 +230,14 @@ def run_features(source: DataFrame, spec: FeatureSpec, root: str) -> dict[str, s
     """Extract, report, clean, reproject, audit, repair, split into layers, load.
 
     Each stage that is used more than once is a written table, so a lost executor
-    costs a task of that stage and not the whole chain.
+    costs a task of that stage and not the whole chain. The source itself, possibly a
+    database, is read once.
     """
     spark = source.sparkSession
     name = spec.target.split(".")[-1]
     stage = f"{root}/{name}"
     bronze_path = sinks.write_features(extract_features(source, spec), f"{stage}/bronze")
-    bronze = scan.read_layer_parquet(spark, bronze_path)
+    bronze = typed_features(scan.read_layer_parquet(spark, bronze_path), spec)
     quality.enforce(quality.unique_key(bronze, ["fid"]), f"{name}: repeated fid", ["fid"])
 
     cleaned = geometry.reproject(clean.strip_null_bytes(bronze), "geometry", spec.target_srid)

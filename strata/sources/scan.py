@@ -37,6 +37,21 @@ def scan_features(spark: SparkSession, path_or_table: str, pk: str, geom: str, s
     return geometry.with_srid(columns.key_columns(df, ["fid"]), "geometry", srid)
 
 
+def spatial_query(table: str, names: list[str], geom: str, as_binary: str = "sde.st_asbinary") -> str:
+    """SELECT that has the database hand over its geometry column as WKB."""
+    items = [f"{as_binary}({n}) AS {n}" if n == geom else n for n in names]
+    return f"(SELECT {', '.join(items)} FROM {table}) features"
+
+
+def scan_features_jdbc(spark: SparkSession, url: str, table: str, names: list[str], pk: str, geom: str,
+                       srid: int, bounds: tuple[int, int], partitions: int,
+                       as_binary: str = "sde.st_asbinary", **options: str) -> DataFrame:
+    """``scan_features`` from a spatial database, in key ranges."""
+    query = spatial_query(table, names, geom, as_binary)
+    df = scan_jdbc(spark, url, query, pk, bounds, partitions, **options)
+    return geometry.with_srid(columns.rename(df, {pk: "fid", geom: "geometry"}), "geometry", srid)
+
+
 def scan_sql(spark: SparkSession, query: str, **views: DataFrame) -> DataFrame:
     """A projection query; ``{name}`` in the text stands for the DataFrame given as ``name``."""
     return spark.sql(query, **views)

@@ -11,6 +11,7 @@ import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -140,10 +141,12 @@ def _manifest(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _latest(spark: SparkSession, root: str):
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/manifest")
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
-        return None
-    return _manifest(spark, root).orderBy(F.desc("version")).first()
+    try:
+        return _manifest(spark, root).orderBy(F.desc("version")).first()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def replace_survey_and_assay(survey: DataFrame, assay: DataFrame, root: str) -> int:

@@ -143,6 +143,37 @@ def test_scan_dir_takes_tokens_literally(spark, tmp_path):
     assert scan.scan_dir(spark, str(tmp_path / "d"), "af").count() == 4
 
 
+def test_database_hands_over_wkb():
+    assert scan.spatial_query("a.layer", ["objectid", "nome", "shape"], "shape") == \
+        "(SELECT objectid, nome, sde.st_asbinary(shape) AS shape FROM a.layer) features"
+
+
+@pytest.mark.parametrize("kind", ["count", "weight"])
+def test_direct_pivot_equals_the_long_way(spark, kind):
+    import dataclasses
+    from strata.operators import joins, reshape
+    cols, names, job = {
+        "count": (inputs.count_columns, inputs.COUNT_ANALYTES, inputs.COUNT_SPEC),
+        "weight": (inputs.weight_columns, inputs.WEIGHT_ANALYTES, inputs.WEIGHT_SPEC),
+    }[kind]
+    bronze = inputs.derived(spark, "/root/testdata/sf0.001", "orders", cols())
+    assay = jobs.assay_frame(bronze, job)
+    labels = [job.labels.get(n, n) for n in names]
+    long_way = joins.survey_pivot_join(
+        jobs.survey_frame(bronze, job),
+        reshape.pivot_assays(assay, labels, val=job.value_columns[0]))
+    direct = jobs.survey_pivot_frame(bronze, job)
+    assert direct.columns == long_way.columns
+    assert direct.exceptAll(long_way).isEmpty() and long_way.exceptAll(direct).isEmpty()
+
+
+def test_all_media_in_one_partitioned_table(spark, tmp_path):
+    bronze = jobs.bronze_frame(samples(spark), spec())
+    path = jobs.run_all_assays({"solo": (bronze, spec()), "rocha": (bronze, spec())}, str(tmp_path / "all"))
+    assert {(r.meio, r["count"]) for r in spark.read.parquet(path).groupBy("meio").count().collect()} == {
+        ("solo", 4), ("rocha", 4)}
+
+
 def test_type_inference(spark):
     df = spark.createDataFrame([("1", "1.5", "x", "1", None), ("2", "3", "4", "1d", None)], "a string, b string, c string, d string, e string")
     assert dict(columns.infer_types(df).dtypes) == {"a": "bigint", "b": "double", "c": "string", "d": "string", "e": "string"}

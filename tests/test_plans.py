@@ -43,6 +43,10 @@ def test_pivot_is_one_shuffle_with_partial_sums(spark, sf_dir):
     assert "partial_max" in plan(df) and "SortAggregate" not in plan(df)
 
 
+def test_direct_pivot_needs_no_shuffle(spark, sf_dir):
+    assert shuffles(jobs.survey_pivot_frame(lab.chem(spark, sf_dir), inputs.CHEM_SPEC)) == 0
+
+
 def test_filters_reach_the_scan(spark, sf_dir):
     df = quality.unique_key(inputs.table(spark, sf_dir, "lineitem").where("l_quantity > 40"), ["l_orderkey"])
     assert re.search(r"PushedFilters: \[IsNotNull\(l_quantity\), GreaterThan\(l_quantity,40", plan(df))

@@ -653,6 +653,11 @@ def _(spark, d):
     return flat_point(spark.read.parquet(paths["chem_pivot_join"]))
 
 
+@query("j6_survey_pivot_frame", _PIVOT_JOIN)
+def _(spark, d):
+    return flat_point(jobs.survey_pivot_frame(chem(spark, d), CHEM_SPEC))
+
+
 _MEDIA = {"solo": ("orders", "o_orderkey"), "rocha": ("customer", "c_custkey"), "agua": ("part", "p_partkey")}
 
 
