@@ -44,45 +44,71 @@ def _uint32(h: Column, start: Column | int) -> Column:
 
 
 def type_code(c: Column) -> Column:
+    """The raw code with its flag bits."""
     return _uint32(_hex(c), 1)
 
 
-def base_type(c: Column) -> Column:
-    return (type_code(c).bitwiseAND(F.lit(TYPE_BITS)) % 1000).cast("int")
+# Little-endian hex of the plain codes: seven types, then the same with Z, M, ZM.
+_PLAIN_CODES = [(1000 * dims + kind).to_bytes(4, "little").hex().upper() for dims in range(4) for kind in range(1, 8)]
+
+
+def _plain(h: Column) -> Column:
+    """Nearly every value: little-endian, no flag bits. The other form is only evaluated for the rest."""
+    return (F.substring(h, 1, 2) == "01") & (F.substring(h, 9, 2) == "00")
+
 
+def _slot(c: Column) -> Column:
+    """Position of the type in ``_PLAIN_CODES``, from 0; negative for an unknown code."""
+    h, code = _hex(c), type_code(c)
+    iso = F.floor(code.bitwiseAND(F.lit(TYPE_BITS)) / 1000)
+    z = (code.bitwiseAND(F.lit(FLAG_Z)) != 0) | iso.isin(1, 3)
+    m = (code.bitwiseAND(F.lit(FLAG_M)) != 0) | iso.isin(2, 3)
+    kind = code.bitwiseAND(F.lit(TYPE_BITS)) % 1000
+    known = kind.between(1, 7) & (iso < 4)
+    flagged = F.when(c.isNull(), None).when(known, kind - 1 + z.cast("int") * 7 + m.cast("int") * 14).otherwise(-1)
+    codes = F.array(*[F.lit(k) for k in _PLAIN_CODES])
+    return F.when(_plain(h), F.array_position(codes, F.substring(h, 3, 8)) - 1).otherwise(flagged).cast("int")
 
-def _iso(code: Column) -> Column:
-    return F.floor(code.bitwiseAND(F.lit(TYPE_BITS)) / 1000)
+
+def base_type(c: Column) -> Column:
+    """1 to 7; 0 for an unknown code."""
+    slot = _slot(c)
+    return F.when(slot >= 0, slot % 7 + 1).otherwise(F.when(c.isNotNull(), F.lit(0)))
 
 
 def has_z(c: Column) -> Column:
-    code = type_code(c)
-    return (code.bitwiseAND(F.lit(FLAG_Z)) != 0) | _iso(code).isin(1, 3)
+    return F.floor(_slot(c) / 7).isin(1, 3)
 
 
 def has_m(c: Column) -> Column:
-    code = type_code(c)
-    return (code.bitwiseAND(F.lit(FLAG_M)) != 0) | _iso(code).isin(2, 3)
+    return F.floor(_slot(c) / 7).isin(2, 3)
 
 
 def srid_bytes(c: Column) -> Column:
     """4 when the extended header carries a SRID, else 0."""
-    return F.when(type_code(c).bitwiseAND(F.lit(FLAG_SRID)) != 0, F.lit(4)).otherwise(F.lit(0))
+    flagged = type_code(c).bitwiseAND(F.lit(FLAG_SRID)) != 0
+    return F.when(_plain(_hex(c)), F.lit(0)).when(flagged, F.lit(4)).otherwise(F.lit(0))
 
 
 def type_name(c: Column) -> Column:
-    names = F.create_map(*[F.lit(x) for kv in TYPE_NAMES.items() for x in kv])
-    return F.when(c.isNotNull(), F.coalesce(F.try_element_at(names, base_type(c)), F.lit("UNKNOWN")))
+    names = F.array(F.lit("UNKNOWN"), *[F.lit(n) for n in TYPE_NAMES.values()])
+    return F.get(names, base_type(c))
+
+
+def _counted(c: Column) -> Column:
+    """The number after the header of anything but a point."""
+    h = _hex(c)
+    little = F.conv(_swapped(h, 5, 4, True), 16, 10).cast("bigint")
+    return F.when(_plain(h), little).otherwise(_uint32(h, F.lit(5) + srid_bytes(c)))
 
 
 def element_count(c: Column) -> Column:
     """Points of a line, rings of a polygon, parts of a collection; 1 for a point."""
-    counted = _uint32(_hex(c), F.lit(5) + srid_bytes(c))
-    return F.when(base_type(c) == POINT, F.lit(1).cast("bigint")).otherwise(counted)
+    return F.when(base_type(c) == POINT, F.lit(1).cast("bigint")).otherwise(_counted(c))
 
 
 def num_parts(c: Column) -> Column:
-    return F.when(c.isNull(), None).when(base_type(c) > POLYGON, element_count(c)).otherwise(F.lit(1).cast("bigint"))
+    return F.when(c.isNull(), None).when(base_type(c) > POLYGON, _counted(c)).otherwise(F.lit(1).cast("bigint"))
 
 
 def _is_nan(be_hex: Column) -> Column:
@@ -94,15 +120,14 @@ def is_empty(c: Column) -> Column:
 
     A collection or polygon of only empty members is as long as their bare headers.
     """
-    h, shift, kind, count = _hex(c), srid_bytes(c), base_type(c), element_count(c)
+    h, shift, count = _hex(c), srid_bytes(c), _counted(c)
     extra = F.length(c) - 9 - shift
     point_empty = _is_nan(_bytes(h, F.lit(5) + shift, 8)) & _is_nan(_bytes(h, F.lit(13) + shift, 8))
+    kind = base_type(c)
+    member = F.when(kind == POLYGON, 4).otherwise(9)
     return (
-        F.when(c.isNull(), None)
-        .when(kind == POINT, point_empty)
-        .when(kind == LINESTRING, count == 0)
-        .when(kind == POLYGON, extra == count * 4)
-        .otherwise(extra == count * 9)
+        F.when(kind == POINT, point_empty).when(kind == LINESTRING, count == 0)
+        .otherwise(extra == count * member)
     )
 
 

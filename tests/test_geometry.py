@@ -60,6 +60,9 @@ def frame(spark, cells):
     (point(NAN, NAN), "POINT", False, False, 1, True),
     (point(NAN, NAN, flags=0x20000000, srid=4674), "POINT", False, False, 1, True),
     (line(), "LINESTRING", False, False, 1, True),
+    (line((0, 0), (1, 1)), "LINESTRING", False, False, 1, False),
+    (line((0, 0), (1, 1), e=">"), "LINESTRING", False, False, 1, False),
+    (b"\x01\x63\x00\x00\x00", "UNKNOWN", False, False, 1, None),
     (polygon(), "POLYGON", False, False, 1, True),
     (polygon([]), "POLYGON", False, False, 1, True),
     (polygon(SQUARE), "POLYGON", False, False, 1, False),
