@@ -560,9 +560,9 @@ def _(spark, d):
 
 # gates --------------------------------------------------------------------
 
-@query("q1_not_empty", "SELECT CAST(0 AS BIGINT) AS n FROM (SELECT count(*) AS c FROM orders WHERE o_orderkey < 0) q WHERE c = 0")
+@query("q1_not_empty", "SELECT CAST(0 AS BIGINT) AS n FROM (SELECT count(*) AS c FROM lineitem WHERE l_quantity > 1000) q WHERE c = 0")
 def _(spark, d):
-    return quality.not_empty(table(spark, d, "orders").where("o_orderkey < 0"))
+    return quality.not_empty(table(spark, d, "lineitem").where("l_quantity > 1000"))
 
 
 @query("q2_unique_key", "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
