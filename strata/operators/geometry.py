@@ -25,8 +25,9 @@ ROWS_PER_BATCH = 1 << 16
 
 VERTEX_FIELDS = "part int, kind int, ring int, seq int, x double, y double, z double, m double"
 SEGMENT_FIELDS = "part int, kind int, ring int, seq int, closes boolean, x1 double, y1 double, x2 double, y2 double"
-PLACED_FIELDS = "part int, ring int, seq int, x1 double, y1 double, x2 double, y2 double, " \
+PLACED_FIELDS = "body int, part int, ring int, seq int, rings int, x1 double, y1 double, x2 double, y2 double, " \
     "level int, cx bigint, cy bigint"
+COLUMN_FIELDS = "body int, part int, ring int, sample boolean, x1 double, y1 double, x2 double, y2 double, cx bigint"
 
 
 # point structs ------------------------------------------------------------
@@ -61,37 +62,37 @@ def crs_differs(df: DataFrame, geom: str, target: int) -> bool:
 
 # WKB walking --------------------------------------------------------------
 
-def blocks(buf, pos: int = 0, part: int = 0) -> Iterator[tuple]:
-    """Coordinate blocks of one WKB value: (part, kind, ring, view, has_z).
+def blocks(buf, pos: int = 0, parts: list[int] | None = None, body: int = 0) -> Iterator[tuple]:
+    """Coordinate blocks of one WKB value: (body, part, kind, ring, view, has_z).
 
-    The view is an (n, dimensions) array over the buffer itself. The generator
-    returns the position behind the value.
+    ``part`` numbers the points, lines and polygons of the value; ``body`` the members of a
+    collection, between which no rule of validity holds. The view is an (n, dimensions)
+    array over the buffer itself. The generator returns the position behind the value.
     """
+    parts = [0] if parts is None else parts
     order = "<" if buf[pos] else ">"
     code, = struct.unpack_from(order + "I", buf, pos + 1)
     iso, kind = divmod(code & wkb.TYPE_BITS, 1000)
     z = bool(code & wkb.FLAG_Z) or iso in (1, 3)
     dims = 2 + z + (bool(code & wkb.FLAG_M) or iso in (2, 3))
     pos += 9 if code & wkb.FLAG_SRID else 5
-
-    def view(at: int, n: int) -> np.ndarray:
-        return np.frombuffer(buf, order + "f8", n * dims, at).reshape(n, dims)
-
-    if kind == wkb.POINT:
-        yield part, kind, 0, view(pos, 1), z
-        return pos + 8 * dims
-    count, = struct.unpack_from(order + "I", buf, pos)
-    pos += 4
-    if kind == wkb.LINESTRING:
-        yield part, kind, 0, view(pos, count), z
-        return pos + 8 * dims * count
-    for i in range(count):
+    count = 1
+    if kind != wkb.POINT:
+        count, = struct.unpack_from(order + "I", buf, pos)
+        pos += 4
+    if kind > wkb.POLYGON:
+        for i in range(count):
+            pos = yield from blocks(buf, pos, parts, i if kind == wkb.COLLECTION else body)
+        return pos
+    part = parts[0]
+    parts[0] += 1
+    for ring in range(count if kind == wkb.POLYGON else 1):
+        n = count
         if kind == wkb.POLYGON:
             n, = struct.unpack_from(order + "I", buf, pos)
-            yield part, kind, i, view(pos + 4, n), z
-            pos += 4 + 8 * dims * n
-        else:
-            pos = yield from blocks(buf, pos, i)
+            pos += 4
+        yield body, part, kind, ring, np.frombuffer(buf, order + "f8", n * dims, pos).reshape(n, dims), z
+        pos += 8 * dims * n
     return pos
 
 
@@ -136,6 +137,7 @@ class Group:
     """Coordinate blocks of some whole geometries: one entry per block."""
 
     row: list[int]
+    body: list[int]
     part: list[int]
     kind: list[int]
     ring: list[int]
@@ -146,7 +148,7 @@ class Group:
         """The blocks whose (kind, number of points) pass."""
         at = [i for i, v in enumerate(self.views) if keep(self.kind[i], len(v))]
         return Group(*[[column[i] for i in at] for column in (
-            self.row, self.part, self.kind, self.ring, self.has_z, self.views)])
+            self.row, self.body, self.part, self.kind, self.ring, self.has_z, self.views)])
 
     def sizes(self) -> np.ndarray:
         return np.array([len(v) for v in self.views], np.int64)
@@ -165,12 +167,13 @@ class Group:
 
 def _groups(cells: pa.Array) -> Iterator[Group]:
     """Blocks of a batch of WKB cells, handed on whenever enough points are together."""
-    group, points = Group([], [], [], [], [], []), 0
+    group, points = Group([], [], [], [], [], [], []), 0
     for i, cell in enumerate(cells.to_pylist()):
         if cell is None:
             continue
-        for part, kind, ring, view, has_z in blocks(cell):
+        for body, part, kind, ring, view, has_z in blocks(cell):
             group.row.append(i)
+            group.body.append(body)
             group.part.append(part)
             group.kind.append(kind)
             group.ring.append(ring)
@@ -179,7 +182,7 @@ def _groups(cells: pa.Array) -> Iterator[Group]:
             points += len(view)
         if points >= ROWS_PER_BATCH:
             yield group
-            group, points = Group([], [], [], [], [], []), 0
+            group, points = Group([], [], [], [], [], [], []), 0
     if group.row:
         yield group
 
@@ -343,7 +346,7 @@ def reproject(df: DataFrame, geom: str, dst: int, src: int | None = None) -> Dat
 
     def change(cells: list) -> list:
         copies = [bytearray(c) if c is not None else None for c in cells]
-        views = [b[3] for c in copies if c is not None for b in blocks(c)]
+        views = [b[4] for c in copies if c is not None for b in blocks(c)]
         if views:
             x = np.concatenate([v[:, 0] for v in views]).astype(np.float64)
             y = np.concatenate([v[:, 1] for v in views]).astype(np.float64)
@@ -389,9 +392,10 @@ def repair_simple(df: DataFrame, geom: str = "geometry") -> DataFrame:
 
 # Reason texts, in order of precedence.
 REASONS = ("Invalid Coordinate", "Ring not closed", "Too few points in geometry component",
-           "Self-intersection", "Unchecked: ring nesting")
+           "Self-intersection", "Unchecked: rings touch", "Hole lies outside shell", "Holes are nested",
+           "Nested shells")
 VALID_TEXT = "Valid Geometry"
-BAD_COORDINATE, NOT_CLOSED, TOO_FEW, CROSSING, UNCHECKED = range(len(REASONS))
+BAD_COORDINATE, NOT_CLOSED, TOO_FEW, CROSSING, UNCHECKED, HOLE_OUTSIDE, NESTED_HOLES, NESTED_SHELLS = range(8)
 
 # Squares with more segments are divided again, DIVISION times per axis and level.
 CROWDED, DIVISION, LEVELS = 32, 4, 8
@@ -448,28 +452,42 @@ def _company(*keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def _placed_rows(group: Group) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Ring segments of a group with the squares they pass through.
+def _sides(group: Group) -> tuple | None:
+    """The ring segments of a group that have a length.
 
-    A feature's first side is its mean segment length, so all its segments together
-    enter at most a small multiple of their own number of squares. A crowded square is
-    divided when that leaves at most half of the comparisons.
+    (owner, [body, part, ring, seq, rings of the owner], coordinates, square side, finest side)
     """
-    owner, columns = _segment_rows(group.only(lambda kind, n: kind == wkb.POLYGON))
+    g = group.only(lambda kind, n: kind == wkb.POLYGON and n > 0)
+    owner, columns = _segment_rows(g)
     if not len(owner):
-        return NOTHING
+        return None
     part, _, ring, seq, closes = columns[:5]
     s = np.column_stack(columns[5:])
-    solid = ~closes & np.isfinite(s).all(axis=1) & (s[:, :2] != s[:, 2:]).any(axis=1)
-    if not solid.any():
-        return NOTHING
-    owner, part, ring, seq, s = owner[solid], part[solid], ring[solid], seq[solid], s[solid]
+    keep = ~closes & np.isfinite(s).all(axis=1) & (s[:, :2] != s[:, 2:]).any(axis=1)
+    if not keep.any():
+        return None
+    rings = np.bincount(g.row).astype(np.int32)[owner]
+    keys = [k[keep] for k in (g.each(g.body), part, ring, seq, rings)]
+    owner, s = owner[keep], s[keep]
     _, starts, of = np.unique(owner, return_index=True, return_inverse=True)
     with np.errstate(over="ignore"):
         mean = np.add.reduceat(np.hypot(s[:, 2] - s[:, 0], s[:, 3] - s[:, 1]), starts) / np.bincount(of)
     finest = np.maximum.reduceat(np.abs(s).max(axis=1), starts) * FINEST
-    side = np.clip(mean, np.maximum(finest, np.finfo(np.float64).tiny), np.finfo(np.float64).max)[of]
-    finest = finest[of]
+    side = np.clip(mean, np.maximum(finest, np.finfo(np.float64).tiny), np.finfo(np.float64).max)
+    return owner, keys, s, side[of], finest[of]
+
+
+def _placed_rows(group: Group) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Ring segments of a group with the squares they pass through.
+
+    A feature's first side is its mean segment length, so all its segments together
+    enter at most a small multiple of their own number of squares. A crowded square is
+    divided when that leaves at most half of the comparisons.
+    """
+    found = _sides(group)
+    if found is None:
+        return NOTHING
+    owner, keys, s, side, finest = found
 
     out = []
     row, cx, cy = _squares(s, side)
@@ -500,7 +518,29 @@ def _placed_rows(group: Group) -> tuple[np.ndarray, list[np.ndarray]]:
         row, cx, cy = finer.T
         side = side / DIVISION
     row, level, cx, cy = (np.concatenate(c) for c in zip(*out))
-    return owner[row], [part[row], ring[row], seq[row], *s[row].T, level, cx, cy]
+    return owner[row], [*(k[row] for k in keys), *s[row].T, level, cx, cy]
+
+
+def _column_rows(group: Group) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Segments of geometries with several rings, per vertical strip, and one sample vertex of each ring."""
+    found = _sides(group)
+    if found is None:
+        return NOTHING
+    owner, (body, part, ring, seq, rings), s, side, _ = found
+    several = rings > 1
+    left, right = np.minimum(s[:, 0], s[:, 2]), np.maximum(s[:, 0], s[:, 2])
+    first, last = (np.floor(v / side).astype(np.int64) for v in (left, right))
+    at = np.flatnonzero(several)
+    row, cx = _expand(first[at], last[at])
+    row = at[row]
+    # rows of a ring are consecutive: its first row is its sample
+    starts = np.ones(len(owner), bool)
+    starts[1:] = np.any([k[1:] != k[:-1] for k in (owner, part, ring)], axis=0)
+    sample = np.flatnonzero(starts & several)
+    row = np.concatenate([row, sample])
+    cx = np.concatenate([cx, np.floor(s[sample, 0] / side[sample]).astype(np.int64)])
+    is_sample = np.arange(len(row)) >= len(row) - len(sample)
+    return owner[row], [body[row], part[row], ring[row], is_sample, *s[row].T, cx]
 
 
 def placed_segments(df: DataFrame, fid: str = "fid", geom: str = "geometry") -> DataFrame:
@@ -514,11 +554,12 @@ def _side_of(px: Column, py: Column, s: str) -> Column:
     return F.signum((x2 - x1) * (py - y1) - (y2 - y1) * (px - x1))
 
 
-def _conflict() -> Column:
-    """Do segments ``a`` and ``b`` meet in a way a valid polygon forbids?
+def _meeting(touch: bool) -> Column:
+    """Do segments ``a`` and ``b`` meet?
 
-    Any pair: a proper crossing, or a shared stretch. Same ring: also any contact
-    other than the joint of neighbours, and the same start vertex twice.
+    With ``touch`` false: in a way a valid polygon forbids. Any pair: a proper crossing, or a
+    shared stretch. Same ring: also any contact other than the joint of neighbours, and the
+    same start vertex twice. With ``touch`` true: at all, being of different rings.
     """
     a = {n: F.col(f"a.{n}") for n in ("x1", "y1", "x2", "y2")}
     b = {n: F.col(f"b.{n}") for n in ("x1", "y1", "x2", "y2")}
@@ -534,21 +575,34 @@ def _conflict() -> Column:
         return (a[f"x{p}"] == b[f"x{q}"]) & (a[f"y{p}"] == b[f"y{q}"])
 
     same_ring = (F.col("a.part") == F.col("b.part")) & (F.col("a.ring") == F.col("b.ring"))
-    neighbours = joint("1", "2") | joint("2", "1")
-    contact = same_ring & (joint("1", "1") | joint("2", "2") | ~neighbours)
+    across, along = b1 * b2, a1 * a2
     # cases and no conjunction: evaluated in this order, cheapest first, and short
     # enough for the join to stay in compiled code
-    across = b1 * b2
+    if touch:
+        return F.when(same_ring | apart, False).when(across > 0, False).otherwise(along <= 0)
+    neighbours = joint("1", "2") | joint("2", "1")
+    contact = same_ring & (joint("1", "1") | joint("2", "2") | ~neighbours)
     return (
-        F.when(apart, False)
+        F.when(same_ring & (F.col("a.seq") == F.col("b.seq")), False)
+        .when(apart, False)
         .when(across > 0, False)
-        .when(a1 * a2 > 0, False)
+        .when(along > 0, False)
         .when(contact, True)
-        .when(across < 0, a1 * a2 < 0)
+        .when(across < 0, along < 0)
         .otherwise((b1 == 0) & (b2 == 0) & overlap)
     )
 
 
+def _meeting_rows(placed: DataFrame, fid: str, touch: bool) -> DataFrame:
+    # the planner cannot see how far cells expand into segments, so its size estimate
+    # must not choose a broadcast here
+    a, b = placed.alias("a"), placed.hint("merge").alias("b")
+    on = _meeting(touch)
+    for k in (fid, "body", "level", "cx", "cy"):
+        on = on & (F.col(f"a.{k}") == F.col(f"b.{k}"))
+    return a.join(b, on, "left_semi").select(fid)
+
+
 def crossings(df: DataFrame, fid: str = "fid", geom: str = "geometry") -> DataFrame:
     """Key of the feature, once per ring segment that crosses or overlaps another
     one, or touches another one of its own ring.
@@ -558,20 +612,48 @@ def crossings(df: DataFrame, fid: str = "fid", geom: str = "geometry") -> DataFr
     squares. The semi-join stops at a segment's first conflict: pairs are never
     written out.
     """
-    placed = placed_segments(df, fid, geom)
-    # the planner cannot see how far cells expand into segments, so its size estimate
-    # must not choose a broadcast here
-    a, b = placed.alias("a"), placed.hint("merge").alias("b")
-    itself = (F.col("a.seq") == F.col("b.seq")) & (F.col("a.ring") == F.col("b.ring")) \
-        & (F.col("a.part") == F.col("b.part"))
-    on = F.when(itself, False).otherwise(_conflict())
-    for k in (fid, "level", "cx", "cy"):
-        on = on & (F.col(f"a.{k}") == F.col(f"b.{k}"))
-    return a.join(b, on, "left_semi").select(fid)
+    return _meeting_rows(placed_segments(df, fid, geom), fid, touch=False)
+
+
+def touching_rings(df: DataFrame, fid: str = "fid", geom: str = "geometry") -> DataFrame:
+    """Key of the feature, once per segment that meets a segment of another ring."""
+    return _meeting_rows(placed_segments(df, fid, geom).where("rings > 1"), fid, touch=True)
+
+
+def nesting_faults(df: DataFrame, fid: str = "fid", geom: str = "geometry") -> DataFrame:
+    """(feature, fault code) of rings that do not touch but lie wrongly inside or outside others.
+
+    A ring lies inside another one when a ray up from its sample vertex crosses that ring an
+    odd number of times; only segments in the sample's own strip can be crossed.
+    """
+    strips = _spread(df, fid, geom, COLUMN_FIELDS, _column_rows)
+    samples = strips.where("sample").selectExpr(fid, "body", "part", "ring", "x1 as px", "y1 as py", "cx")
+    walls = strips.where("not sample").selectExpr(
+        fid, "body", "cx", "part as other", "ring as other_ring", "x1", "y1", "x2", "y2")
+    x, y = F.col("px"), F.col("py")
+    spans = (F.least("x1", "x2") <= x) & (x < F.greatest("x1", "x2"))
+    at = F.col("y1") + (F.col("y2") - F.col("y1")) * ((x - F.col("x1")) / (F.col("x2") - F.col("x1")))
+    foreign = (F.col("part") != F.col("other")) | (F.col("ring") != F.col("other_ring"))
+    met = samples.join(walls.hint("merge"), [fid, "body", "cx"]).where(F.when(foreign & spans, at > y).otherwise(False))
+    inside = met.groupBy(fid, "body", "part", "ring", "other", "other_ring").agg(
+        F.count(F.lit(1)).alias("n")).where("n % 2 = 1")
+    seen = inside.select(fid, "part", "ring", "other", (F.col("other_ring") == 0).alias("in_shell"),
+                         (F.col("other_ring") > 0).alias("in_hole"))
+    itself = samples.select(fid, "part", "ring", F.col("part").alias("other"), F.lit(False).alias("in_shell"),
+                            F.lit(False).alias("in_hole"))
+    place = seen.unionByName(itself).groupBy(fid, "part", "ring", "other").agg(
+        F.max("in_shell").alias("in_shell"), F.max("in_hole").alias("in_hole"))
+    own, hole = F.col("other") == F.col("part"), F.col("ring") > 0
+    code = (
+        F.when(hole & own & ~F.col("in_shell"), HOLE_OUTSIDE)
+        .when(hole & own & F.col("in_hole"), NESTED_HOLES)
+        .when(~hole & ~own & F.col("in_shell") & ~F.col("in_hole"), NESTED_SHELLS)
+    )
+    return place.select(fid, code.alias("code")).where("code is not null")
 
 
 def block_faults(segs: DataFrame, fid: str = "fid") -> DataFrame:
-    """(feature, rings, fault code or NULL) per point, line and ring, in one pass.
+    """(feature, fault code or NULL) per point, line and ring, in one pass.
 
     The rows of a block leave the tasks already combined to one.
     """
@@ -590,26 +672,32 @@ def block_faults(segs: DataFrame, fid: str = "fid") -> DataFrame:
         .when(area & (F.col("sides") < 3), TOO_FEW)
         .when((F.col("kind") == wkb.LINESTRING) & (F.col("sides") < 1), TOO_FEW)
     )
-    return found.select(fid, area.cast("int").alias("rings"), code.alias("code"))
+    return found.select(fid, code.alias("code")).where("code is not null")
 
 
 def validity(df: DataFrame, fid: str = "fid", geom: str = "geometry") -> DataFrame:
     """(fid, valid, reason) for every feature.
 
-    ``valid`` is NULL, with a reason that says so, where only the nesting of rings
-    or parts is left undecided. A NULL geometry is not valid and has no reason.
+    ``valid`` is NULL, with a reason that says so, where different rings touch: whether
+    they then cross or cut the interior in two is not decided. A NULL geometry is not
+    valid and has no reason.
     """
     areas = df.where(wkb.base_type(F.col(geom)).isin(3, 6, wkb.COLLECTION))
-    rows = df.select(fid, F.lit(0).alias("rings"), F.lit(None).cast("int").alias("code"),
-                     F.col(geom).isNotNull().alias("present"))
-    crossed = crossings(areas, fid, geom).select(fid, F.lit(0).alias("rings"), F.lit(CROSSING).alias("code"))
-    found = reshape.concat_parts([rows, block_faults(segments(df, fid, geom), fid), crossed])
+    # by header: a polygon of one ring has no nesting to look at
+    several = areas.where((wkb.base_type(F.col(geom)) > wkb.POLYGON) | (wkb.element_count(F.col(geom)) > 1))
+    rows = df.select(fid, F.lit(None).cast("int").alias("code"), F.col(geom).isNotNull().alias("present"))
+
+    def coded(keys: DataFrame, code: int) -> DataFrame:
+        return keys.select(fid, F.lit(code).alias("code"))
+
+    found = reshape.concat_parts([
+        rows, block_faults(segments(df, fid, geom), fid), coded(crossings(areas, fid, geom), CROSSING),
+        coded(touching_rings(several, fid, geom), UNCHECKED), nesting_faults(several, fid, geom),
+    ])
     # one aggregation instead of joins: every feature brings a row of its own
-    worst = found.groupBy(fid).agg(
-        F.sum("rings").alias("rings"), F.min("code").alias("code"), F.max("present").alias("present"))
-    code = F.coalesce(F.col("code"), F.when(F.col("rings") > 1, F.lit(UNCHECKED)))
+    worst = found.groupBy(fid).agg(F.min("code").alias("code"), F.max("present").alias("present"))
     reasons = F.array(*[F.lit(r) for r in REASONS])
-    return worst.withColumn("code", code).select(
+    return worst.select(
         fid,
         F.when(~F.col("present"), F.lit(False)).when(F.col("code") == UNCHECKED, None)
         .otherwise(F.col("code").isNull()).alias("valid"),

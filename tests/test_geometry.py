@@ -40,6 +40,8 @@ def multi(kind, *members):
 
 
 SQUARE = [(0, 0), (1, 0), (1, 1), (0, 1), (0, 0)]
+BOX = [(0, 0), (4, 0), (4, 4), (0, 4), (0, 0)]
+BOX_HOLE = [(1, 1), (1, 2), (2, 2), (2, 1), (1, 1)]
 FAR = [(x + 5, y + 5) for x, y in SQUARE]
 
 
@@ -114,8 +116,20 @@ VALIDITY = {
     "spike": (polygon([(0, 0), (2, 0), (2, 2), (2, 0), (0, 2), (0, 0)]), False, "Self-intersection"),
     "touch at vertex": (polygon([(0, 0), (2, 2), (4, 0), (4, 4), (2, 2), (0, 4), (0, 0)]), False, "Self-intersection"),
     "touch at side": (polygon([(0, 0), (4, 0), (4, 4), (2, 0), (0, 4), (0, 0)]), False, "Self-intersection"),
-    "hole": (polygon([(0, 0), (4, 0), (4, 4), (0, 4), (0, 0)], [(1, 1), (1, 2), (2, 2), (2, 1), (1, 1)]),
-             None, "Unchecked: ring nesting"),
+    "hole": (polygon(BOX, BOX_HOLE), True, "Valid Geometry"),
+    "hole outside": (polygon(SQUARE, FAR), False, "Hole lies outside shell"),
+    "hole around shell": (polygon(BOX_HOLE, BOX), False, "Hole lies outside shell"),
+    "nested holes": (polygon([(-1, -1), (9, -1), (9, 9), (-1, 9), (-1, -1)], BOX, BOX_HOLE), False, "Holes are nested"),
+    "two holes": (polygon([(-1, -1), (9, -1), (9, 9), (-1, 9), (-1, -1)], BOX, FAR), True, "Valid Geometry"),
+    "touching hole": (polygon(BOX, [(0, 2), (2, 1), (2, 3), (0, 2)]), None, "Unchecked: rings touch"),
+    "two parts": (multi(6, polygon(SQUARE), polygon(FAR)), True, "Valid Geometry"),
+    "nested shells": (multi(6, polygon(BOX), polygon(BOX_HOLE)), False, "Nested shells"),
+    "island in a lake": (multi(6, polygon([(-1, -1), (9, -1), (9, 9), (-1, 9), (-1, -1)], BOX), polygon(BOX_HOLE)),
+                         True, "Valid Geometry"),
+    "overlapping members": (multi(7, polygon(BOX), polygon([(x + 1, y + 1) for x, y in BOX]), polygon(BOX_HOLE)),
+                            True, "Valid Geometry"),
+    "bad member": (multi(7, multi(6, polygon(SQUARE), polygon(FAR)), multi(6, polygon(BOX), polygon(BOX_HOLE))),
+                   False, "Nested shells"),
     "crossing hole": (polygon([(0, 0), (2, 0), (2, 2), (0, 2), (0, 0)], [(1, 1), (4, 1), (4, 3), (1, 1)]),
                       False, "Self-intersection"),
     "crossing parts": (multi(6, polygon(SQUARE), polygon([(x + .5, y + .5) for x, y in SQUARE])),

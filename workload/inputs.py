@@ -156,6 +156,13 @@ SHAPES: dict[int, tuple | None] = {
     16: (4, [[[(0, 0)]], [[(3, 4)]]]),
     17: (3, [[[(0, 0), (2, 0), (2, 2), (0, 2), (0, 0)], [(1, 1), (4, 1), (4, 3), (1, 1)]]]),
     18: (1, [[[(N, N)]]]),
+    19: (3, [[[(0, 0), (1, 0), (1, 1), (0, 1), (0, 0)], [(2, 2), (3, 2), (3, 3), (2, 2)]]]),
+    20: (6, [[[(0, 0), (4, 0), (4, 4), (0, 4), (0, 0)]], [[(1, 1), (2, 1), (2, 2), (1, 2), (1, 1)]]]),
+    21: (3, [[[(0, 0), (4, 0), (4, 4), (0, 4), (0, 0)], [(0, 2), (2, 1), (2, 3), (0, 2)]]]),
+    22: (6, [[[(0, 0), (5, 0), (5, 5), (0, 5), (0, 0)], [(1, 1), (4, 1), (4, 4), (1, 4), (1, 1)]],
+             [[(2, 2), (3, 2), (3, 3), (2, 3), (2, 2)]]]),
+    23: (3, [[[(0, 0), (5, 0), (5, 5), (0, 5), (0, 0)], [(1, 1), (4, 1), (4, 4), (1, 4), (1, 1)],
+              [(2, 2), (3, 2), (3, 3), (2, 3), (2, 2)]]]),
 }
 FEATURE_BASE = {
     "fid": "o_orderkey", "shape": f"o_orderkey % {len(SHAPES)}",
@@ -222,8 +229,8 @@ def _shape_hex(shape: tuple) -> str:
 def features_sql(orders: str = "orders") -> str:
     """fid, shape, bx, byy, nome and the WKB of the shape as hex text."""
     spans = {"x": "bx", "y": "byy"}
-    raw = ", ".join(f"{double_hex(f'({c} + {d})')} AS r{a}{d}" for a, c in spans.items() for d in range(5))
-    low = ", ".join(f"{swap8(f'r{a}{d}')} AS h{a}{d}" for a in spans for d in range(5))
+    raw = ", ".join(f"{double_hex(f'({c} + {d})')} AS r{a}{d}" for a, c in spans.items() for d in range(6))
+    low = ", ".join(f"{swap8(f'r{a}{d}')} AS h{a}{d}" for a in spans for d in range(6))
     arms = " ".join(f"WHEN {i} THEN {_shape_hex(s)}" for i, s in SHAPES.items() if s)
     base = ", ".join(f"{e} AS {n}" for n, e in FEATURE_BASE.items())
     return (

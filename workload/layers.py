@@ -12,7 +12,7 @@ from strata.plans import jobs
 from strata.sources import scan, sinks
 from strata.spec import FeatureSpec
 
-from .inputs import CHEM_SPEC, double_hex, features, features_sql, select_text, swap8, table, vertices_sql
+from .inputs import CHEM_SPEC, SHAPES, double_hex, features, features_sql, select_text, swap8, table, vertices_sql
 from .lab import SURVEY_SQL, chem, chem_columns, flat_point, sql_chem
 from .registry import query
 
@@ -195,9 +195,9 @@ def _(spark, d):
 
 # headers ------------------------------------------------------------------
 
-_KIND = "CASE WHEN shape IN (0,1,2,3,4,5,6,7,12,14,17) THEN 'POLYGON' WHEN shape IN (8,15,18) THEN 'POINT' " \
-        "WHEN shape IN (9,13) THEN 'LINESTRING' WHEN shape = 10 THEN 'MULTIPOLYGON' WHEN shape = 16 THEN 'MULTIPOINT' END"
-_PARTS = "CASE WHEN shape IN (10, 16) THEN 2 WHEN shape <> 11 THEN 1 END"
+_KIND = "CASE WHEN shape IN (0,1,2,3,4,5,6,7,12,14,17,19,21,23) THEN 'POLYGON' WHEN shape IN (8,15,18) THEN 'POINT' " \
+        "WHEN shape IN (9,13) THEN 'LINESTRING' WHEN shape IN (10, 20, 22) THEN 'MULTIPOLYGON' WHEN shape = 16 THEN 'MULTIPOINT' END"
+_PARTS = "CASE WHEN shape IN (10, 16, 20, 22) THEN 2 WHEN shape <> 11 THEN 1 END"
 _EMPTY = "CASE WHEN shape = 11 THEN NULL ELSE shape IN (5, 18) END"
 
 
@@ -352,6 +352,18 @@ _SIDES = (
     "OR (same AND det = 0 AND un = 0 AND least(greatest(p0, p1), 1) >= greatest(least(p0, p1), 0) AND p0 <> 1 AND p1 <> 0) "
     "OR (same AND det <> 0 AND tn / det BETWEEN 0 AND 1 AND un / det BETWEEN 0 AND 1 "
     "AND NOT (tn / det = 1 AND un / det = 0) AND NOT (tn / det = 0 AND un / det = 1))), "
+    "touched AS (SELECT DISTINCT fid FROM pairs WHERE NOT same AND "
+    "((det <> 0 AND tn / det BETWEEN 0 AND 1 AND un / det BETWEEN 0 AND 1) "
+    "OR (det = 0 AND un = 0 AND least(greatest(p0, p1), 1) >= greatest(least(p0, p1), 0)))), "
+    "samples AS (SELECT fid, part, ring, x AS px, y AS py FROM verts WHERE kind = 3 AND seq = 0 AND isfinite(x)), "
+    "hits AS (SELECT r.fid, r.part, r.ring, s.part AS op, s.ring AS o_ring FROM samples r JOIN sides s ON r.fid = s.fid "
+    "AND (r.part <> s.part OR r.ring <> s.ring) AND ((s.x1 <= px AND px < s.x1 + s.dx) OR (s.x1 + s.dx <= px AND px < s.x1)) "
+    "AND s.y1 + s.dy * (px - s.x1) / s.dx > py GROUP BY ALL HAVING count(*) % 2 = 1), "
+    "nests AS (SELECT fid, 5 AS code FROM samples r WHERE ring > 0 AND NOT EXISTS (SELECT 1 FROM hits h WHERE h.fid = r.fid "
+    "AND h.part = r.part AND h.ring = r.ring AND h.op = r.part AND h.o_ring = 0) "
+    "UNION ALL SELECT fid, 6 FROM hits WHERE ring > 0 AND op = part AND o_ring > 0 "
+    "UNION ALL SELECT fid, 7 FROM hits h WHERE ring = 0 AND op <> part AND o_ring = 0 AND NOT EXISTS (SELECT 1 FROM hits g "
+    "WHERE g.fid = h.fid AND g.part = h.part AND g.ring = 0 AND g.op = h.op AND g.o_ring > 0)), "
 )
 _AUDIT = (
     f"{_FEATS}, {_VERTS}, {_SIDES}"
@@ -362,11 +374,12 @@ _AUDIT = (
     "FROM firsts f LEFT JOIN side_counts s ON f.fid = s.fid AND f.part = s.part AND f.ring = s.ring), "
     "still AS (SELECT fid, 2 AS code FROM verts WHERE kind = 2 GROUP BY fid, part HAVING count(DISTINCT (x, y)) < 2), "
     "codes AS (SELECT fid, code FROM rings UNION ALL SELECT fid, code FROM still UNION ALL SELECT fid, 3 FROM crossed "
-    "UNION ALL SELECT fid, 4 FROM rings GROUP BY fid HAVING count(*) > 1), "
+    "UNION ALL SELECT fid, 4 FROM touched UNION ALL SELECT fid, code FROM nests), "
     "worst AS (SELECT fid, min(code) AS code FROM codes GROUP BY fid), "
     "audit AS (SELECT f.fid, f.shape, f.nome, f.wkb, CASE WHEN f.shape = 11 THEN false WHEN w.code = 4 THEN NULL ELSE w.code IS NULL END AS valid, "
     "CASE WHEN f.shape = 11 THEN NULL ELSE CASE w.code WHEN 0 THEN 'Invalid Coordinate' WHEN 1 THEN 'Ring not closed' "
-    "WHEN 2 THEN 'Too few points in geometry component' WHEN 3 THEN 'Self-intersection' WHEN 4 THEN 'Unchecked: ring nesting' "
+    "WHEN 2 THEN 'Too few points in geometry component' WHEN 3 THEN 'Self-intersection' WHEN 4 THEN 'Unchecked: rings touch' "
+    "WHEN 5 THEN 'Hole lies outside shell' WHEN 6 THEN 'Holes are nested' WHEN 7 THEN 'Nested shells' "
     "ELSE 'Valid Geometry' END END AS reason FROM feats f LEFT JOIN worst w ON f.fid = w.fid) "
 )
 
@@ -386,7 +399,7 @@ _REPAIRED = (
     f"{_VERTS}, marked AS (SELECT *, lag(x) OVER w AS px, lag(y) OVER w AS py, lag(seq) OVER w AS ps FROM verts "
     "WINDOW w AS (PARTITION BY fid, part, ring ORDER BY seq)), "
     "moved AS (SELECT fid, part, kind, ring, seq, x, y FROM marked WHERE ps IS NULL OR x <> px OR y <> py OR isnan(x) "
-    "OR (kind = 2 AND fid % 19 = 13)), "
+    f"OR (kind = 2 AND fid % {len(SHAPES)} = 13)), "
     "ends AS (SELECT fid, part, ring, arg_min(x, seq) AS fx, arg_min(y, seq) AS fy, arg_max(x, seq) AS lx, arg_max(y, seq) AS ly, "
     "max(seq) AS last FROM moved WHERE kind = 3 GROUP BY ALL), "
     "closed AS (SELECT * FROM moved UNION ALL SELECT fid, part, 3, ring, last + 1, fx, fy FROM ends "
