@@ -95,3 +95,64 @@ def test_overlapping_copies_of_one_segment(spark):
     ring = [(0, 0), (1, 0), (1, 1)] * 3000 + [(0, 0)]
     df = spark.createDataFrame([(1, bytearray(polygon(ring)))], "fid long, geometry binary")
     assert geometry.crossings(df).distinct().count() == 1
+
+
+def box(rng):
+    (x1, x2), (y1, y2) = np.sort(rng.uniform(0, 10, 2)), np.sort(rng.uniform(0, 10, 2))
+    return x1, y1, x2, y2
+
+
+def outline(b, steps):
+    """The box with extra points on its sides, so that rings spread over several strips."""
+    x1, y1, x2, y2 = b
+    t = np.linspace(0, 1, steps, endpoint=False)
+    pts = np.concatenate([np.column_stack([x1 + (x2 - x1) * t, np.full(steps, y1)]),
+                          np.column_stack([np.full(steps, x2), y1 + (y2 - y1) * t]),
+                          np.column_stack([x2 - (x2 - x1) * t, np.full(steps, y2)]),
+                          np.column_stack([np.full(steps, x1), y2 - (y2 - y1) * t])])
+    return np.vstack([pts, pts[:1]])
+
+
+def within(a, b):
+    return b[0] < a[0] and b[1] < a[1] and a[2] < b[2] and a[3] < b[3]
+
+
+def separate(a, b):
+    return a[2] < b[0] or b[2] < a[0] or a[3] < b[1] or b[3] < a[1]
+
+
+def expected_reason(parts):
+    rings = [(p, r, b) for p, bs in enumerate(parts) for r, b in enumerate(bs)]
+    for i, (_, _, a) in enumerate(rings):
+        for _, _, b in rings[i + 1:]:
+            if not (within(a, b) or within(b, a) or separate(a, b)):
+                return "Self-intersection"
+    if any(not within(h, bs[0]) for bs in parts for h in bs[1:]):
+        return "Hole lies outside shell"
+    if any(within(g, h) for bs in parts for g in bs[1:] for h in bs[1:] if g is not h):
+        return "Holes are nested"
+    for p, bs in enumerate(parts):
+        for q, other in enumerate(parts):
+            if p != q and within(bs[0], other[0]) and not any(within(bs[0], h) for h in other[1:]):
+                return "Nested shells"
+    return "Valid Geometry"
+
+
+def test_nesting_matches_boxes(spark):
+    ship(spark)
+    rng = np.random.default_rng(11)
+    cells, expected = [], []
+    for i in range(900):
+        boxes = sorted((box(rng) for _ in range(3)), key=lambda b: -(b[2] - b[0]) * (b[3] - b[1]))
+        if i % 3 == 0:
+            boxes = boxes[:2]
+        parts = [boxes] if i % 2 else ([[boxes[0]], *[[b] for b in boxes[1:]]] if i % 4 else [boxes[:2], boxes[2:]])
+        parts = [p for p in parts if p]
+        members = [polygon(*[outline(b, 1 + i % 5) for b in p]) for p in parts]
+        cells.append(members[0] if len(members) == 1 else struct.pack("<BII", 1, 6, len(members)) + b"".join(members))
+        expected.append(expected_reason(parts))
+    assert {"Self-intersection", "Hole lies outside shell", "Holes are nested", "Nested shells",
+            "Valid Geometry"} <= set(expected)
+    df = spark.createDataFrame([(i, bytearray(c)) for i, c in enumerate(cells)], "fid long, geometry binary")
+    got = {r.fid: r.reason for r in geometry.validity(df.repartition(4)).collect()}
+    assert got == dict(enumerate(expected))
