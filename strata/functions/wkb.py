@@ -1,8 +1,9 @@
-"""What the first bytes of a WKB value say, as built-in Column expressions.
+"""What the first bytes of a WKB value say, as short built-in Column expressions.
 
 No decoding and no Python: type, Z/M flags, part count and emptiness come from
 the header and the length of the value. ISO and extended type codes, and both
-byte orders, are understood.
+byte orders, are understood: the possible headers are listed by rule, and a value's
+header is looked up in that list.
 """
 
 from __future__ import annotations
@@ -16,90 +17,67 @@ TYPE_NAMES = {1: "POINT", 2: "LINESTRING", 3: "POLYGON", 4: "MULTIPOINT",
               5: "MULTILINESTRING", 6: "MULTIPOLYGON", 7: "GEOMETRYCOLLECTION"}
 # Flag bits of the extended type code.
 FLAG_Z, FLAG_M, FLAG_SRID, TYPE_BITS = 0x80000000, 0x40000000, 0x20000000, 0x0FFFFFFF
-HEADER_BYTES = 25
 
+KINDS = len(TYPE_NAMES)
+# Ways to write a type: (added to the code, Z, M); the SRID ones come last.
+PLAIN_WAYS = ((0, False, False), (1000, True, False), (2000, False, True), (3000, True, True),
+              (FLAG_Z, True, False), (FLAG_M, False, True), (FLAG_Z | FLAG_M, True, True))
+SRID_WAYS = tuple((FLAG_SRID | add, z, m) for add, z, m in PLAIN_WAYS if add not in (1000, 2000, 3000))
+WAYS = PLAIN_WAYS + SRID_WAYS
+PER_ORDER = len(WAYS) * KINDS
 
-def _hex(c: Column) -> Column:
-    return F.hex(F.substring(c, 1, HEADER_BYTES))
+_HEADERS = [
+    f"{mark:02X}" + (add + kind).to_bytes(4, order).hex().upper()
+    for mark, order in ((1, "little"), (0, "big")) for add, _, _ in WAYS for kind in TYPE_NAMES
+]
 
 
-def _byte(h: Column, start: Column | int, i: int) -> Column:
-    at = start + i
-    return F.substring(h, at * 2 + 1, F.lit(2)) if isinstance(at, Column) else F.substring(h, at * 2 + 1, 2)
+def _list(values: list[str]) -> Column:
+    """A constant array; the split is folded away by the optimizer."""
+    return F.split(F.lit(",".join(values)), ",")
 
 
-def _swapped(h: Column, start: Column | int, n: int, order: bool) -> Column:
-    span = range(n - 1, -1, -1) if order else range(n)
-    return F.concat(*[_byte(h, start, i) for i in span])
-
-
-def _bytes(h: Column, start: Column | int, n: int) -> Column:
-    """``n`` bytes from ``start`` (0-based) as big-endian hex text."""
-    little = F.substring(h, 1, 2) == "01"
-    return F.when(little, _swapped(h, start, n, True)).otherwise(_swapped(h, start, n, False))
-
-
-def _uint32(h: Column, start: Column | int) -> Column:
-    return F.conv(_bytes(h, start, 4), 16, 10).cast("bigint")
-
-
-def type_code(c: Column) -> Column:
-    """The raw code with its flag bits."""
-    return _uint32(_hex(c), 1)
-
-
-# Little-endian hex of the plain codes: seven types, then the same with Z, M, ZM.
-_PLAIN_CODES = [(1000 * dims + kind).to_bytes(4, "little").hex().upper() for dims in range(4) for kind in range(1, 8)]
-
-
-def _plain(h: Column) -> Column:
-    """Nearly every value: little-endian, no flag bits. The other form is only evaluated for the rest."""
-    return (F.substring(h, 1, 2) == "01") & (F.substring(h, 9, 2) == "00")
+def _slot(c: Column) -> Column:
+    """Place of the value's header in the list, from 0; -1 for an unknown header."""
+    return F.array_position(_list(_HEADERS), F.hex(F.substring(c, 1, 5))) - 1
 
 
-def _slot(c: Column) -> Column:
-    """Position of the type in ``_PLAIN_CODES``, from 0; negative for an unknown code."""
-    h, code = _hex(c), type_code(c)
-    iso = F.floor(code.bitwiseAND(F.lit(TYPE_BITS)) / 1000)
-    z = (code.bitwiseAND(F.lit(FLAG_Z)) != 0) | iso.isin(1, 3)
-    m = (code.bitwiseAND(F.lit(FLAG_M)) != 0) | iso.isin(2, 3)
-    kind = code.bitwiseAND(F.lit(TYPE_BITS)) % 1000
-    known = kind.between(1, 7) & (iso < 4)
-    flagged = F.when(c.isNull(), None).when(known, kind - 1 + z.cast("int") * 7 + m.cast("int") * 14).otherwise(-1)
-    codes = F.array(*[F.lit(k) for k in _PLAIN_CODES])
-    return F.when(_plain(h), F.array_position(codes, F.substring(h, 3, 8)) - 1).otherwise(flagged).cast("int")
+def _way(c: Column) -> Column:
+    return F.floor(_slot(c) % PER_ORDER / KINDS)
 
 
 def base_type(c: Column) -> Column:
-    """1 to 7; 0 for an unknown code."""
+    """1 to 7; 0 for an unknown header; NULL for a NULL value."""
     slot = _slot(c)
-    return F.when(slot >= 0, slot % 7 + 1).otherwise(F.when(c.isNotNull(), F.lit(0)))
+    return F.when(slot < 0, F.lit(0)).otherwise(slot % KINDS + 1).cast("int")
 
 
 def has_z(c: Column) -> Column:
-    return F.floor(_slot(c) / 7).isin(1, 3)
+    return _way(c).isin(*[i for i, w in enumerate(WAYS) if w[1]])
 
 
 def has_m(c: Column) -> Column:
-    return F.floor(_slot(c) / 7).isin(2, 3)
+    return _way(c).isin(*[i for i, w in enumerate(WAYS) if w[2]])
+
 
+def _little(c: Column) -> Column:
+    return F.substring(c, 1, 1) == F.lit(b"\x01")
 
-def srid_bytes(c: Column) -> Column:
-    """4 when the extended header carries a SRID, else 0."""
-    flagged = type_code(c).bitwiseAND(F.lit(FLAG_SRID)) != 0
-    return F.when(_plain(_hex(c)), F.lit(0)).when(flagged, F.lit(4)).otherwise(F.lit(0))
+
+def _body_start(c: Column) -> Column:
+    """Position (from 1) behind the header and the SRID."""
+    return F.when(_way(c) >= len(PLAIN_WAYS), F.lit(10)).otherwise(F.lit(6))
 
 
 def type_name(c: Column) -> Column:
-    names = F.array(F.lit("UNKNOWN"), *[F.lit(n) for n in TYPE_NAMES.values()])
-    return F.get(names, base_type(c))
+    return F.get(_list(["UNKNOWN", *TYPE_NAMES.values()]), base_type(c))
 
 
 def _counted(c: Column) -> Column:
     """The number after the header of anything but a point."""
-    h = _hex(c)
-    little = F.conv(_swapped(h, 5, 4, True), 16, 10).cast("bigint")
-    return F.when(_plain(h), little).otherwise(_uint32(h, F.lit(5) + srid_bytes(c)))
+    h = F.hex(F.substring(c, _body_start(c), F.lit(4)))
+    swapped = F.concat(*[F.substring(h, i, 2) for i in (7, 5, 3, 1)])
+    return F.conv(F.when(_little(c), swapped).otherwise(h), 16, 10).cast("bigint")
 
 
 def element_count(c: Column) -> Column:
@@ -108,11 +86,15 @@ def element_count(c: Column) -> Column:
 
 
 def num_parts(c: Column) -> Column:
-    return F.when(c.isNull(), None).when(base_type(c) > POLYGON, _counted(c)).otherwise(F.lit(1).cast("bigint"))
+    return (
+        F.when(c.isNull(), None).when(base_type(c) > POLYGON, _counted(c))
+        .otherwise(F.lit(1).cast("bigint"))
+    )
 
 
-def _is_nan(be_hex: Column) -> Column:
-    return F.substring(be_hex, 1, 3).isin("7FF", "FFF") & (F.substring(be_hex, 4, 13) != "0" * 13)
+# Two coordinates that are not numbers (and not infinite), as hex text of either byte order.
+_EMPTY_LITTLE = "^(?:(?!0{12}F0).{12}F.[7F]F){2}$"
+_EMPTY_BIG = "^(?:(?![7F]FF0{13})[7F]FF.{13}){2}$"
 
 
 def is_empty(c: Column) -> Column:
@@ -120,20 +102,22 @@ def is_empty(c: Column) -> Column:
 
     A collection or polygon of only empty members is as long as their bare headers.
     """
-    h, shift, count = _hex(c), srid_bytes(c), _counted(c)
-    extra = F.length(c) - 9 - shift
-    point_empty = _is_nan(_bytes(h, F.lit(5) + shift, 8)) & _is_nan(_bytes(h, F.lit(13) + shift, 8))
+    xy = F.hex(F.substring(c, _body_start(c), F.lit(16)))
+    point_empty = F.when(_little(c), xy.rlike(_EMPTY_LITTLE)).otherwise(xy.rlike(_EMPTY_BIG))
     kind = base_type(c)
-    member = F.when(kind == POLYGON, 4).otherwise(9)
+    rest = F.length(c) - _body_start(c) - 3
+    member = F.when(kind == POLYGON, F.lit(4)).otherwise(F.lit(9))
     return (
-        F.when(kind == POINT, point_empty).when(kind == LINESTRING, count == 0)
-        .otherwise(extra == count * member)
+        F.when(kind == POINT, point_empty)
+        .when(kind == LINESTRING, rest == 0)
+        .when(kind > 0, rest == _counted(c) * member)
     )
 
 
 def to_multi(c: Column) -> Column:
     """A single part becomes the one member of its multi type; others stay."""
-    multi = F.lpad(F.hex(type_code(c) + 3), 8, "0")
-    little = F.concat(*[F.substring(multi, i, 2) for i in (7, 5, 3, 1)])
-    wrapped = F.concat(F.unhex(F.concat(F.lit("01"), little, F.lit("01000000"))), c)
-    return F.when(base_type(c).between(POINT, POLYGON) & (srid_bytes(c) == 0), wrapped).otherwise(c)
+    slot = _slot(c)
+    wrapper = F.get(_list(_HEADERS), (slot % PER_ORDER + 3).cast("int"))
+    wrapped = F.concat(F.unhex(F.concat(wrapper, F.lit("01000000"))), c)
+    single = (slot >= 0) & base_type(c).between(POINT, POLYGON) & (_way(c) < len(PLAIN_WAYS))
+    return F.when(single, wrapped).otherwise(c)
