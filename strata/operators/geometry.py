@@ -634,20 +634,29 @@ def nesting_faults(df: DataFrame, fid: str = "fid", geom: str = "geometry") -> D
     spans = (F.least("x1", "x2") <= x) & (x < F.greatest("x1", "x2"))
     at = F.col("y1") + (F.col("y2") - F.col("y1")) * ((x - F.col("x1")) / (F.col("x2") - F.col("x1")))
     foreign = (F.col("part") != F.col("other")) | (F.col("ring") != F.col("other_ring"))
-    met = samples.join(walls.hint("merge"), [fid, "body", "cx"]).where(F.when(foreign & spans, at > y).otherwise(False))
-    inside = met.groupBy(fid, "body", "part", "ring", "other", "other_ring").agg(
-        F.count(F.lit(1)).alias("n")).where("n % 2 = 1")
-    seen = inside.select(fid, "part", "ring", "other", (F.col("other_ring") == 0).alias("in_shell"),
-                         (F.col("other_ring") > 0).alias("in_hole"))
-    itself = samples.select(fid, "part", "ring", F.col("part").alias("other"), F.lit(False).alias("in_shell"),
-                            F.lit(False).alias("in_hole"))
-    place = seen.unionByName(itself).groupBy(fid, "part", "ring", "other").agg(
-        F.max("in_shell").alias("in_shell"), F.max("in_hole").alias("in_hole"))
-    own, hole = F.col("other") == F.col("part"), F.col("ring") > 0
+    same = F.lit(True)
+    for k in (fid, "body", "cx"):
+        same = same & (F.col(f"r.{k}") == F.col(f"w.{k}"))
+    crossed = F.when(foreign & spans, at > y).otherwise(False)
+    # a sample that meets nothing stays, with other NULL
+    met = samples.alias("r").join(walls.hint("merge").alias("w"), same & crossed, "left")
+    ring = [F.col(f"r.{fid}").alias(fid), "part", "ring"]
+    # The holes of a part are counted together: inside one of them is odd, and holes inside
+    # holes are a fault of their own that the middle one shows.
+    inside = met.groupBy(*ring, "other").agg(
+        (F.count_if(F.col("other_ring") == 0) % 2 == 1).alias("in_shell"),
+        (F.count_if(F.col("other_ring") > 0) % 2 == 1).alias("in_hole"),
+    )
+    own = F.coalesce(F.col("other") == F.col("part"), F.lit(False))
+    place = inside.groupBy(fid, "part", "ring").agg(
+        F.max(own & F.col("in_shell")).alias("in_own_shell"),
+        F.max(own & F.col("in_hole")).alias("in_own_hole"),
+        F.max(~own & F.col("in_shell") & ~F.col("in_hole")).alias("in_other"),
+    )
+    hole = F.col("ring") > 0
     code = (
-        F.when(hole & own & ~F.col("in_shell"), HOLE_OUTSIDE)
-        .when(hole & own & F.col("in_hole"), NESTED_HOLES)
-        .when(~hole & ~own & F.col("in_shell") & ~F.col("in_hole"), NESTED_SHELLS)
+        F.when(hole & ~F.col("in_own_shell"), HOLE_OUTSIDE).when(hole & F.col("in_own_hole"), NESTED_HOLES)
+        .when(~hole & F.col("in_other"), NESTED_SHELLS)
     )
     return place.select(fid, code.alias("code")).where("code is not null")
 
