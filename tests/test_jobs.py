@@ -5,13 +5,13 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from strata.operators import columns, features, geometry, quality
+from strata.operators import columns, geometry, quality
 from strata.operators.quality import GateError
 from strata.plans import jobs
 from strata.session import ship
 from strata.sources import scan, sinks
 from strata.spec import FeatureSpec, lab_catalogue
-from test_geometry import FAR, SQUARE, line, multi, point, polygon
+from test_geometry import FAR, SQUARE, polygon
 from workload import inputs
 
 

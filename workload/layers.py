@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import functions as F
 
 from strata.functions import crs, wkb
-from strata.operators import columns, features as feature_ops, geometry, quality, reshape
+from strata.operators import columns, features as feature_ops, geometry, quality
 from strata.plans import jobs
 from strata.sources import scan, sinks
 from strata.spec import FeatureSpec
 
 from .inputs import CHEM_SPEC, SHAPES, double_hex, features, features_sql, select_text, swap8, table, vertices_sql
-from .lab import SURVEY_SQL, chem, chem_columns, flat_point, sql_chem
+from .lab import SURVEY_SQL, chem, sql_chem
 from .registry import query
 
 _FEATS = f"feats AS ({features_sql()})"
