@@ -4,8 +4,9 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import compare, connect
+from workload import registry
 
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLE = registry.QUERIES, registry.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +25,7 @@ def test_query(spark, sf_dir, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(ORACLE) == set(QUERIES)
+    assert set(registry.ORACLE) == set(registry.QUERIES)
 
 
 def test_entry(spark):
