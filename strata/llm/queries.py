@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
-from . import mixing, packing, quality_fm, scaled_sketch, separator_scan, toxicity_wfst
+from . import chosen_path, mixing, packing, pq_dedup, quality_fm, scaled_sketch, separator_scan, toxicity_wfst
 from .common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,16 @@ def _query(name: str, sql: str | None = None):
     return add
 
 
+@_query("op1_pq_dedup", pq_dedup.DEDUP_SQL)
+def op1_pq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq_dedup.dedup(load(spark, sf_dir, "embeddings"))
+
+
+@_query("op2_chosen_path_join", chosen_path.JOIN_SQL)
+def op2_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.join(load(spark, sf_dir, "documents"))
+
+
 @_query("op3_mix_sources", mixing.MIX_SQL)
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(load(spark, sf_dir, "documents"), ["doc_id"])
