@@ -8,7 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
-from . import chosen_path, mixing, packing, pq_dedup, quality_fm, scaled_sketch, separator_scan, toxicity_wfst
+from . import (
+    chosen_path,
+    mixing,
+    packing,
+    pq_dedup,
+    quality_fm,
+    scaled_sketch,
+    segment_edit,
+    separator_scan,
+    toxicity_wfst,
+)
 from .common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +60,11 @@ def op6_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scaled_sketch.fingerprints(load(spark, sf_dir, "documents"))
 
 
+@_query("op7_line_edit_dedup")
+def op7_line_edit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment_edit.dedup(load(spark, sf_dir, "documents"))
+
+
 @_query("op8_quality_fm")
 def op8_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_fm.classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
