@@ -12,6 +12,7 @@ from . import (
     chosen_path,
     mixing,
     packing,
+    phrase_automata,
     pq_dedup,
     quality_fm,
     scaled_sketch,
@@ -55,6 +56,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return separator_scan.token_counts(load(spark, sf_dir, "documents"))
 
 
+@_query("op5_phrase_automata", phrase_automata.DEDUP_SQL)
+def op5_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_automata.dedup(load(spark, sf_dir, "documents"))
+
+
 @_query("op6_scaled_sketch")
 def op6_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scaled_sketch.fingerprints(load(spark, sf_dir, "documents"))
