@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .wordhash import BY_SPACE, chunks, words
 
@@ -193,14 +194,29 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", folds:
 
 def score(docs: DataFrame, machine: Machine, keep: list[str]) -> DataFrame:
     """The columns ``keep`` (text among them or not) and ``quality_score`` of every document; nothing is shuffled."""
-    chosen = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col("text").cast("string").alias("text"))
+    chosen = with_text(docs, keep)
+    schema = T.StructType([chosen.schema["row"], T.StructField("quality_score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(machine.score(b.column(1).to_pylist()), pa.float64())],
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(machine.score(texts_of(b)), pa.float64())],
                                              ["row", "quality_score"])
 
-    return chosen.mapInArrow(run, f"row {chosen.schema['row'].dataType.simpleString()}, quality_score double")
+    return chosen.mapInArrow(run, schema)
+
+
+def with_text(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """``row`` (struct of ``keep``) and ``text``, null where the row holds the text itself."""
+    held = "text" in keep and docs.schema["text"].dataType == T.StringType()
+    text = F.lit(None).cast("string") if held else F.col("text").cast("string")
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), text.alias("text"), F.lit(held).alias("held"))
+
+
+def texts_of(batch: pa.RecordBatch) -> list[str | None]:
+    """The texts of a batch of ``with_text``."""
+    if batch.num_rows and batch.column(2)[0].as_py():
+        return batch.column(0).field("text").to_pylist()
+    return batch.column(1).to_pylist()
 
 
 def classify(docs: DataFrame, labels: DataFrame, *, folds: int = 4, held_out: int = 2, threshold: float = 0.7) -> DataFrame:

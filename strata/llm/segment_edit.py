@@ -97,8 +97,9 @@ def near_pairs(distinct: DataFrame, edits: int = EDITS, least: int = LEAST) -> D
     return both.where(F.levenshtein("a_line", "b_line", edits) >= 0).select("a", "b")
 
 
-def dedup(docs: DataFrame, *, edits: int = EDITS, least: int = LEAST) -> DataFrame:
-    """``doc_id, n_lines, n_repeated, n_near, text`` of every document, the text without repeated lines.
+def dedup(docs: DataFrame, *, edits: int = EDITS, least: int = LEAST, carry: list[str] | None = None) -> DataFrame:
+    """``doc_id, n_lines, n_repeated, n_near, text`` of every document, the text without repeated lines
+    (and ``row``, a struct of the columns ``carry``).
 
     A line is dropped if it, without outer white space, occurs earlier (smaller doc_id, then smaller line number), or if
     it has ``least`` characters or more and a line within ``edits`` edits occurs first earlier than it does. Blank
@@ -128,7 +129,8 @@ def dedup(docs: DataFrame, *, edits: int = EDITS, least: int = LEAST) -> DataFra
         F.array_sort(F.collect_list(F.when(~F.col("near"), F.struct("line_no", "raw")))).alias("kept"),
         F.count_if("near").alias("n_near"))
     kept = kept.select("doc_id", "n_near", F.size("kept").alias("n_kept"), F.array_join(F.col("kept.raw"), "\n").alias("new"))
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").isNull().alias("none"),
+    row = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")] if carry else []
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *row, F.col("text").isNull().alias("none"),
                       F.when(F.col("doc_id").isNull(), F.col("text")).alias("old"),
                       F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines")).join(kept, "doc_id", "left")
     same = F.col("doc_id").isNull() | F.col("none")
@@ -138,6 +140,6 @@ def dedup(docs: DataFrame, *, edits: int = EDITS, least: int = LEAST) -> DataFra
         F.when(same, F.lit(0)).otherwise(F.col("n_lines") - F.coalesce("n_kept", F.lit(0)) - near).cast("long").alias("n_repeated"),
         F.when(same, F.lit(0)).otherwise(near).cast("long").alias("n_near"),
         F.when(F.col("none"), F.lit(None).cast("string")).when(F.col("doc_id").isNull(), F.col("old"))
-        .otherwise(F.coalesce("new", F.lit(""))).alias("text"))
+        .otherwise(F.coalesce("new", F.lit(""))).alias("text"), *(["row"] if carry else []))
 
 

@@ -17,8 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .quality_fm import labelled_sample
+from .quality_fm import labelled_sample, texts_of, with_text
 from .wordhash import BY_LETTER, chunks, mix, rolling, words
 
 # Word lists of the grammar.
@@ -199,16 +200,17 @@ def fit_weights(counts: np.ndarray, labels: np.ndarray, pull: float = 2.0, steps
 
 def patterns(docs: DataFrame, grammar: Grammar, keep: list[str]) -> DataFrame:
     """``row`` (struct of ``keep``), ``counts`` of the grammar's patterns and ``score`` for every document."""
-    chosen = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col("text").cast("string").alias("text"))
+    chosen = with_text(docs, keep)
+    schema = T.StructType([chosen.schema["row"], T.StructField("counts", T.ArrayType(T.DoubleType())), T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            counts = np.array([grammar.patterns(t) for t in b.column(1).to_pylist()]).reshape(-1, len(PATTERNS))
+            counts = np.array([grammar.patterns(t) for t in texts_of(b)]).reshape(-1, len(PATTERNS))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(list(counts), pa.list_(pa.float64())), pa.array(grammar.score(counts), pa.float64())],
                 ["row", "counts", "score"])
 
-    return chosen.mapInArrow(run, f"row {chosen.schema['row'].dataType.simpleString()}, counts array<double>, score double")
+    return chosen.mapInArrow(run, schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, *, folds: int = 5, held_out: int = 0, threshold: float = 0.5) -> DataFrame:
