@@ -191,12 +191,24 @@ def chem_valid(c: Column) -> Column:
     return c.rlike(CHEM_NUMBER) | c.rlike(CHEM_INSUFFICIENT) | c.rlike(CHEM_NOT_ANALYSED)
 
 
+def _without_exponent(text: Column) -> Column:
+    """``-1.25E-7`` -> ``-0.000000125``: the same digits with the point moved, nothing rounded."""
+    mantissa, power = F.substring_index(text, "E", 1), F.substring_index(text, "E", -1).try_cast("int")
+    sign = F.when(text.startswith("-"), "-").otherwise("")
+    lead = F.ltrim(F.substring_index(mantissa, ".", 1), F.lit("-"))
+    rest = F.rtrim(F.substring_index(mantissa, ".", -1), F.lit("0"))
+    zeros = F.lit("0")
+    small = F.concat(sign, F.lit("0."), F.repeat(zeros, -power - 1), lead, rest)
+    whole = F.concat(sign, lead, rest, F.repeat(zeros, power - F.length(rest)))
+    mixed = F.concat(sign, lead, F.left(rest, power), F.lit("."), F.substring(rest, power + 1, F.length(rest)))
+    return F.when(power < 0, small).when(F.length(rest) <= power, whole).otherwise(mixed)
+
+
 def plain_text(c: Column, data_type: T.DataType) -> Column:
-    """Text of any cell; floating cells never in scientific notation."""
+    """Text of any cell; floating cells never in scientific notation and never rounded."""
     text = c.cast("string")
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
-        decimal = F.regexp_replace(c.try_cast("decimal(38,12)").cast("string"), "[.]?0+$", "")
-        return F.when(text.contains("E"), F.coalesce(decimal, text)).otherwise(text)
+        return F.when(text.contains("E"), _without_exponent(text)).otherwise(text)
     return text
 
 

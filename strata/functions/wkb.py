@@ -31,6 +31,12 @@ _HEADERS = [
     for mark, order in ((1, "little"), (0, "big")) for add, _, _ in WAYS for kind in TYPE_NAMES
 ]
 
+# The same headers without the SRID flag.
+_BARE = [
+    f"{mark:02X}" + (add + kind & ~FLAG_SRID & 0xFFFFFFFF).to_bytes(4, order).hex().upper()
+    for mark, order in ((1, "little"), (0, "big")) for add, _, _ in WAYS for kind in TYPE_NAMES
+]
+
 
 def _list(values: list[str]) -> Column:
     """A constant array; the split is folded away by the optimizer."""
@@ -115,9 +121,15 @@ def is_empty(c: Column) -> Column:
 
 
 def to_multi(c: Column) -> Column:
-    """A single part becomes the one member of its multi type; others stay."""
+    """A single part becomes the one member of its multi type; others stay.
+
+    The wrapper has the member's byte order and flags. An SRID moves to the wrapper, and the member's
+    header loses its flag.
+    """
     slot = _slot(c)
-    wrapper = F.get(_list(_HEADERS), (slot % PER_ORDER + 3).cast("int"))
-    wrapped = F.concat(F.unhex(F.concat(wrapper, F.lit("01000000"))), c)
-    single = (slot >= 0) & base_type(c).between(POINT, POLYGON) & (_way(c) < len(PLAIN_WAYS))
-    return F.when(single, wrapped).otherwise(c)
+    wrapper = F.unhex(F.get(_list(_HEADERS), (slot % PER_ORDER + 3 + F.when(_little(c), 0).otherwise(PER_ORDER)).cast("int")))
+    one = F.when(_little(c), F.lit(b"\x01\x00\x00\x00")).otherwise(F.lit(b"\x00\x00\x00\x01"))
+    bare = F.unhex(F.get(_list(_BARE), slot.cast("int")))
+    with_srid = F.concat(wrapper, F.substring(c, 6, 4), one, bare, F.substring(c, F.lit(10), F.length(c)))
+    single = (slot >= 0) & base_type(c).between(POINT, POLYGON)
+    return F.when(single & (_way(c) >= len(PLAIN_WAYS)), with_srid).when(single, F.concat(wrapper, one, c)).otherwise(c)

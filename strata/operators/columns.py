@@ -10,21 +10,39 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import clean
+
 # Characters that ASCII folding by decomposition would lose.
 FOLDS = {"µ": "u", "ß": "ss", "ø": "o", "Ø": "O", "æ": "ae", "Æ": "AE", "œ": "oe",
          "đ": "d", "ł": "l", "Ł": "L", "°": "deg"}
 
 
+def _fold(ch: str, name: str) -> str:
+    """One character in ASCII; a Greek letter by its name, and no letter is lost unseen."""
+    if ch in FOLDS:
+        return FOLDS[ch]
+    plain = unicodedata.normalize("NFKD", ch)
+    ascii_only = plain.encode("ascii", "ignore").decode("ascii")
+    if ascii_only or not any(c.isalpha() for c in plain):
+        return ascii_only if ascii_only or ch.isascii() else "" if unicodedata.category(ch).startswith("M") else " "
+    words = unicodedata.name(plain[0], "").split()
+    if words[:1] == ["GREEK"] and "LETTER" in words:
+        return words[words.index("LETTER") + 1].lower()
+    raise ValueError(f"the letter {ch!r} of the column name {name!r} has no ASCII form")
+
+
 def slug(name: str, sep: str = "_") -> str:
     """ASCII-fold, lower-case, every other run becomes one separator, ends trimmed.
 
     A comma between two digits is a decimal mark and disappears (``0,5`` -> ``05``).
     """
     text = html.unescape(name)
-    text = "".join(FOLDS.get(ch, ch) for ch in text)
-    text = unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode("ascii").lower()
+    text = "".join(_fold(ch, name) for ch in text).lower()
     text = re.sub(r"(?<=[0-9]),(?=[0-9])", "", text)
-    return re.sub(r"[^a-z0-9]+", sep, text).strip(sep)
+    folded = re.sub(r"[^a-z0-9]+", sep, text).strip(sep)
+    if not folded:
+        raise ValueError(f"nothing is left of the column name {name!r}")
+    return folded
 
 
 def slug_map(names: list[str], sep: str = "_") -> dict[str, str]:
@@ -99,26 +117,33 @@ def generalize_types(df: DataFrame) -> DataFrame:
 
 
 # Plain decimal text only: a bare cast would also take "1d" or "Infinity".
-_LONG_TEXT = r"^[+-]?[0-9]{1,18}$"
-_DOUBLE_TEXT = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+_LONG_TEXT = r"^-?[0-9]{1,18}$"
+_DOUBLE_TEXT = r"^-?[0-9]+([.][0-9]+)?$"
+
+
+def _back(c: Column, number: str) -> Column:
+    """Is the text one that the number prints as? A code (007), a lost digit and an infinity are not."""
+    value = c.try_cast(number)
+    if number == "bigint":
+        return c.rlike(_LONG_TEXT) & (value.cast("string") == c)
+    text = clean.plain_text(value, T.DoubleType())
+    return c.rlike(_DOUBLE_TEXT) & ((text == c) | (text == F.concat(c, F.lit(".0"))))
 
 
-def infer_types(df: DataFrame) -> DataFrame:
-    """Best type per text column, found in one aggregation over all of them.
+def infer_types(df: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """Best type per text column (of ``names``, or all), found in one aggregation over all of them.
 
-    Two counts per column travel to the driver, whatever the size of the table.
+    A column becomes a number only if every text of it comes back the same from that number; else it
+    stays text. Two counts per column travel to the driver, whatever the size of the table.
     """
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and (names is None or f.name in names)]
     if not texts:
         return df
     metrics = []
     for i, name in enumerate(texts):
         c = F.col(f"`{name}`")
-        metrics += [
-            F.count(c).alias(f"n{i}"),
-            F.count_if(c.rlike(_LONG_TEXT)).alias(f"l{i}"),
-            F.count_if(c.rlike(_DOUBLE_TEXT)).alias(f"d{i}"),
-        ]
+        metrics += [F.count(c).alias(f"n{i}"), F.count_if(_back(c, "bigint")).alias(f"l{i}"),
+                    F.count_if(_back(c, "double")).alias(f"d{i}")]
     row = df.agg(*metrics).first()
     casts = {}
     for i, name in enumerate(texts):

@@ -58,3 +58,8 @@ def split_layers(df: DataFrame, faults: DataFrame, repaired: DataFrame | None =
 def faults_of(audit: DataFrame, fid: str = "fid") -> DataFrame:
     """(fid, invalid_reason) of the features an audit found invalid."""
     return audit.where(~F.col("valid")).select(fid, F.col("reason").alias("invalid_reason"))
+
+
+def unchecked_of(audit: DataFrame, fid: str = "fid") -> DataFrame:
+    """(fid, invalid_reason) of the features an audit could not decide."""
+    return audit.where(F.col("valid").isNull()).select(fid, F.col("reason").alias("invalid_reason"))

@@ -687,9 +687,9 @@ def block_faults(segs: DataFrame, fid: str = "fid") -> DataFrame:
 def validity(df: DataFrame, fid: str = "fid", geom: str = "geometry") -> DataFrame:
     """(fid, valid, reason) for every feature.
 
-    ``valid`` is NULL, with a reason that says so, where different rings touch: whether
-    they then cross or cut the interior in two is not decided. A NULL geometry is not
-    valid and has no reason.
+    ``valid`` is NULL, with a reason that says so, where different rings touch and no other
+    fault is found: whether they then cross or cut the interior in two is not decided. A NULL
+    geometry is not valid and has no reason.
     """
     areas = df.where(wkb.base_type(F.col(geom)).isin(3, 6, wkb.COLLECTION))
     # by header: a polygon of one ring has no nesting to look at
@@ -703,8 +703,9 @@ def validity(df: DataFrame, fid: str = "fid", geom: str = "geometry") -> DataFra
         rows, block_faults(segments(df, fid, geom), fid), coded(crossings(areas, fid, geom), CROSSING),
         coded(touching_rings(several, fid, geom), UNCHECKED), nesting_faults(several, fid, geom),
     ])
-    # one aggregation instead of joins: every feature brings a row of its own
-    worst = found.groupBy(fid).agg(F.min("code").alias("code"), F.max("present").alias("present"))
+    # one aggregation instead of joins: every feature brings a row of its own; a certain fault outranks an open question
+    certain = F.min(F.when(F.col("code") != UNCHECKED, F.col("code")))
+    worst = found.groupBy(fid).agg(F.coalesce(certain, F.min("code")).alias("code"), F.max("present").alias("present"))
     reasons = F.array(*[F.lit(r) for r in REASONS])
     return worst.select(
         fid,

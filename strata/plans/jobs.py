@@ -6,6 +6,7 @@ their layers and enforce the gates.
 
 from __future__ import annotations
 
+import dataclasses
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -26,13 +27,13 @@ def bronze_frame(source: DataFrame, spec: LabSpec) -> DataFrame:
 
 def run_bronze(source: DataFrame, spec: LabSpec, root: str) -> str:
     """Bronze layer of a non-empty table with a unique key."""
-    df = bronze_frame(source, spec)
-    path = sinks.write_layer(df, root, f"{spec.name}/bronze", f"{spec.source}.parquet",
-                             gates={"null_key": F.col(spec.pk).isNull()})
-    stored = scan.read_layer_parquet(source.sparkSession, path)
-    quality.enforce(quality.not_empty(stored), f"{spec.name}: empty table")
-    quality.enforce(quality.unique_key(stored, [spec.pk]), f"{spec.name}: repeated key", [spec.pk])
-    return path
+
+    def check(stored: DataFrame) -> None:
+        quality.enforce(quality.not_empty(stored), f"{spec.name}: empty table")
+        quality.enforce(quality.unique_key(stored, [spec.pk]), f"{spec.name}: repeated key", [spec.pk])
+
+    return sinks.write_layer(bronze_frame(source, spec), root, f"{spec.name}/bronze", f"{spec.source}.parquet",
+                             gates={"null_key": F.col(spec.pk).isNull()}, check=check)
 
 
 def assay_columns(bronze: DataFrame, spec: LabSpec) -> list[str]:
@@ -50,7 +51,7 @@ def survey_frame(bronze: DataFrame, spec: LabSpec, also: list[str] | None = None
     df = columns.select_existing(located, [*[c for c in wanted if c != "geometry"], "geometry", *(also or [])])
     df = clean.empty_to_null_columns(df)
     df = columns.slugify_columns(df, keep=(spec.pk,))
-    df = df.withColumns({c: clean.yes_flag(F.col(c)) for c in spec.flags})
+    df = df.withColumns({c: clean.yes_flag(F.col(c)) for c in spec.flags if c in df.columns})
     return df.withColumns({
         d.name: clean.parse_date(F.col(d.name), d.format) for d in spec.dates if d.name in df.columns
     })
@@ -165,31 +166,54 @@ def dependent_views(survey: DataFrame, assay: DataFrame, spec: LabSpec,
     return dict(zip(spec.views, (reshape.survey_view(survey), reshape.assay_view(assay), joined)))
 
 
-def publish(spark: SparkSession, survey: DataFrame, assay: DataFrame, spec: LabSpec,
-            labels: list[str], root: str, joined: DataFrame | None = None) -> dict[str, str]:
-    """Publish the pair of tables, then recompute the views from what was published.
+def publish(spark: SparkSession, survey_path: str, assay_path: str, spec: LabSpec, labels: list[str], root: str,
+            joined: DataFrame | None = None, schema: str | None = None) -> dict[str, str]:
+    """Publish the pair of checked tables, then recompute the views from what was published.
 
-    ``joined`` is the third view where the caller can compute it without a shuffle.
+    The two identity views are the published folders themselves; only the pivoted one is data of its own.
+    ``joined`` is that view where the caller can compute it without a shuffle. With ``schema`` the three become
+    tables of the catalog, with statistics.
     """
-    sinks.replace_survey_and_assay(survey, assay, root)
+    sinks.publish_pair(spark, survey_path, assay_path, root)
     survey, assay = sinks.published(spark, root)
-    views = dependent_views(survey, assay, spec, labels)
-    if joined is not None:
-        views[spec.views[2]] = joined
-    return sinks.refresh_views(f"{root}/views", views)
+    if joined is None:
+        joined = dependent_views(survey, assay, spec, labels)[spec.views[2]]
+    paths = {spec.views[0]: survey_path, spec.views[1]: assay_path,
+             **sinks.refresh_views(f"{root}/views", {spec.views[2]: joined})}
+    if schema:
+        for view, path in paths.items():
+            sinks.point_table(spark, f"{schema}.{sinks.view_name(view)[1]}", path)
+    return paths
+
+
+def with_target_columns(spark: SparkSession, spec: LabSpec, target: str) -> LabSpec:
+    """The spec with the survey columns that its target table has, in their order."""
+    return dataclasses.replace(spec, survey_columns=tuple(columns.target_columns(spark, target)))
+
 
+def run_lab(source: DataFrame, spec: LabSpec, root: str, target: str | None = None,
+            schema: str | None = None) -> dict[str, str]:
+    """Bronze -> survey and assay -> publication.
 
-def run_lab(source: DataFrame, spec: LabSpec, root: str) -> dict[str, str]:
-    """Bronze -> survey and assay -> publication."""
+    ``target`` is the survey's target table, whose columns say what belongs to the survey; without it the spec must.
+    """
     spark = source.sparkSession
+    if target:
+        spec = with_target_columns(spark, spec, target)
+    if not spec.survey_columns:
+        raise ValueError(f"{spec.name}: no survey columns; give the target table or name them in the spec")
     bronze = scan.read_layer_parquet(spark, run_bronze(source, spec, root))
     labels = [spec.labels.get(c, c) for c in assay_columns(bronze, spec)]
     # the two silver layers do not depend on each other: submit both, Spark shares the slots
     with ThreadPoolExecutor(2) as pool:
-        paths = [pool.submit(run, bronze, spec, root) for run in (run_survey, run_assay)]
-        survey, assay = (scan.read_layer_parquet(spark, p.result()) for p in paths)
-    joined = survey_pivot_frame(bronze, spec)
-    return publish(spark, survey, assay, spec, labels, f"{root}/{spec.name}/gold", joined)
+        survey, assay = (p.result() for p in [pool.submit(run, bronze, spec, root) for run in (run_survey, run_assay)])
+    return publish(spark, survey, assay, spec, labels, f"{root}/{spec.name}/gold", survey_pivot_frame(bronze, spec), schema)
+
+
+def run_catalogue(sources: dict[str, DataFrame], specs: dict[str, LabSpec], root: str,
+                  targets: dict[str, str] | None = None) -> dict[str, dict[str, str]]:
+    """Every laboratory job of a catalogue whose source is given."""
+    return {name: run_lab(source, specs[name], root, (targets or {}).get(name)) for name, source in sources.items()}
 
 
 def all_assays(bronzes: dict[str, tuple[DataFrame, LabSpec]]) -> DataFrame:
@@ -226,9 +250,12 @@ def typed_features(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     return geometry.promote_to_multi(df, "geometry", profile.geometry_type)
 
 
-def run_features(source: DataFrame, spec: FeatureSpec, root: str) -> dict[str, str]:
+def run_features(source: DataFrame, spec: FeatureSpec, root: str, load: bool = False) -> dict[str, str]:
     """Extract, report, clean, reproject, audit, repair, split into layers, load.
 
+    With ``load`` the good features replace the rows of the catalog table ``spec.target``, whose schema stays (it is
+    created where it is missing), and its statistics are computed anew.
+
     Each stage that is used more than once is a written table, so a lost executor
     costs a task of that stage and not the whole chain. The source itself, possibly a
     database, is read once.
@@ -260,14 +287,26 @@ def run_features(source: DataFrame, spec: FeatureSpec, root: str) -> dict[str, s
         repaired = scan.read_layer_parquet(spark, repaired_path)
         repaired_faults = features.faults_of(geometry.validity(repaired))
     layers = features.split_layers(silver, faults, repaired, repaired_faults)
+    layers["unchecked"] = features.unchecked_of(audit)
     layers_path = sinks.write_layers(layers, f"{stage}/layers")
     valid = scan.read_named_layer(spark, layers_path, "valid").drop("invalid_reason")
     gold = geometry.with_srid(valid, "geometry", spec.target_srid)
     sinks.load_audit(gold, f"{stage}/gold", spec.target, f"{root}/load_audit")
+    if load:
+        loaded = scan.read_layer_parquet(spark, f"{stage}/gold")
+        sinks.clone_schema(loaded, spec.target)
+        sinks.replace_rows(loaded, spec.target)
+        sinks.analyze_table(spark, spec.target)
     return {"bronze": bronze_path, "report": report_path, "layers": layers_path,
             "gold": f"{stage}/gold", "audit": f"{root}/load_audit"}
 
 
+def run_all_features(sources: dict[str, DataFrame], specs: dict[str, FeatureSpec], root: str,
+                     load: bool = False) -> dict[str, dict[str, str]]:
+    """Every feature job whose source layer is given, by layer."""
+    return {layer: run_features(source, specs[layer], root, load) for layer, source in sources.items()}
+
+
 def migrate_layer(source: DataFrame, spec: FeatureSpec, root: str, table: str) -> dict[str, DataFrame]:
     """Copy one layer with its structure: profile, typed copy, empty target table."""
     spark = source.sparkSession
@@ -276,19 +315,36 @@ def migrate_layer(source: DataFrame, spec: FeatureSpec, root: str, table: str) -
     quality.enforce(quality.unique_key(df, ["fid"]), f"{table}: repeated fid", ["fid"])
     stored = scan.read_layer_parquet(spark, sinks.write_features(df, f"{root}/{table}.parquet"))
     sinks.write_layers({table: columns.infer_types(stored)}, f"{root}/layers")
-    sinks.clone_schema(source, table, {spec.pk: "fid", spec.geometry: "geometry"}, f"{root}/target/{table}")
+    sinks.clone_schema(columns.generalize_types(source), table, {spec.pk: "fid", spec.geometry: "geometry"},
+                       f"{root}/target/{table}")
     return {"profile": quality.frame_profile(stored),
             "layer": scan.read_named_layer(spark, f"{root}/layers", table)}
 
 
-def reload_dir(spark: SparkSession, directory: str, name_contains: str, root: str,
-               prefix: str = "") -> DataFrame:
-    """Reload matching files without null bytes; rows per table name, counted from the result."""
-    df = columns.with_table_name(scan.scan_dir(spark, directory, name_contains), prefix)
-    clean.strip_null_bytes(df).write.mode("overwrite").partitionBy("table_name").parquet(root)
-    return quality.value_counts(spark.read.parquet(root), "table_name")
+def reload_dir(spark: SparkSession, directory: str, name_contains: str, root: str, prefix: str = "",
+               geom: str = "geometry", fid: str = "fid") -> DataFrame:
+    """Every matching file as a table of its own, replaced without null bytes: table_name, rows, and the features that
+    are valid, invalid and unchecked (NULL for a table without geometry)."""
+    reports = []
+    for name, df in scan.dir_tables(spark, directory, name_contains, prefix).items():
+        path = sinks.write_layer(clean.strip_null_bytes(df), root, "tables", name)
+        stored = spark.read.parquet(path)
+        counts = stored.agg(F.count(F.lit(1)).alias("rows"))
+        if {geom, fid} <= set(stored.columns):
+            shapes = geometry.validity(stored, fid, geom).agg(
+                F.count_if(F.col("valid")).alias("valid"), F.count_if(~F.col("valid")).alias("invalid"),
+                F.count_if(F.col("valid").isNull()).alias("unchecked"))
+            counts = reshape.concat_parts([counts, shapes])
+            counts = counts.agg(*[F.max(c).alias(c) for c in counts.columns])
+        else:
+            counts = counts.select("rows", *[F.lit(None).cast("bigint").alias(c) for c in ("valid", "invalid", "unchecked")])
+        reports.append(counts.select(F.lit(name).alias("table_name"), "*"))
+    if not reports:
+        raise FileNotFoundError(f"no file of {directory} has {name_contains!r} in its name")
+    return reshape.concat_parts(reports)
 
 
 def style_table(units: DataFrame, feature_rows: DataFrame, on: str = "sigla") -> DataFrame:
-    """Features with the drawing rule of their unit."""
+    """Features with the drawing rule of their unit; a unit with two rules would double its features."""
+    quality.enforce(quality.unique_key(units.where(F.col(on).isNotNull()), [on]), f"repeated {on} in the rules", [on])
     return joins.style_features(feature_rows, styles.style_rules(units, on), on)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,10 +63,34 @@ def read_layer_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _literal(name: str) -> str:
+    return "".join(f"\\{ch}" if ch in "*?[]{}\\" else ch for ch in name)
+
+
+def _glob(name_contains: str) -> str:
+    return f"*{_literal(name_contains)}*.parquet"
+
+
 def scan_dir(spark: SparkSession, directory: str, name_contains: str) -> DataFrame:
-    """All Parquet files of a directory whose name contains a token, as one table."""
-    token = "".join(f"\\{ch}" if ch in "*?[]{}\\" else ch for ch in name_contains)
-    return spark.read.option("pathGlobFilter", f"*{token}*.parquet").parquet(directory)
+    """All Parquet files of a directory whose name contains a token, as one table.
+
+    Columns of any file are kept and NULL for the others; columns of one name and different types
+    are an error.
+    """
+    return spark.read.option("pathGlobFilter", _glob(name_contains)).option("mergeSchema", "true").parquet(directory)
+
+
+def dir_tables(spark: SparkSession, directory: str, name_contains: str, prefix: str = "") -> dict[str, DataFrame]:
+    """The same files as one table each, every one with its own schema; by table name.
+
+    File names alone come to the driver.
+    """
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", _glob(name_contains)).load(directory)
+    files = sorted(unquote(r.path.rsplit("/", 1)[-1]) for r in listed.select("path").collect())
+    tables = {f.removesuffix(".parquet").removeprefix(prefix): f for f in files}
+    if len(tables) != len(files):
+        raise ValueError(f"files share a table name: {files}")
+    return {name: spark.read.parquet(f"{directory.rstrip('/')}/{_literal(f)}") for name, f in tables.items()}
 
 
 def read_named_layer(spark: SparkSession, path: str, layer: str) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
@@ -45,29 +46,54 @@ def new_run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def write_layer(df: DataFrame, root: str, rel: str, name: str,
-                gates: dict[str, Column] | None = None) -> str:
-    """Write ``<root>/<rel>/<name>`` and return its path.
+def write_layer(df: DataFrame, root: str, rel: str, name: str, gates: dict[str, Column] | None = None,
+                check: Callable[[DataFrame], None] | None = None) -> str:
+    """Write a new run of the layer ``<root>/<rel>/<name>``, check it, and only then hand it over; returns the run's path.
 
-    ``gates`` maps a gate name to the condition of a violation. They are counted
-    while the rows are written, so checking costs no further pass; when one counts
-    anything the path is not handed on.
+    ``gates`` maps a gate name to the condition of a violation. They are counted while the rows are written, so
+    checking costs no further pass; ``check`` looks at the written rows and raises. A run that fails leaves the
+    layer's last good run as the current one.
     """
-    path = f"{root}/{rel}/{name}"
-    if not gates:
-        df.write.mode("overwrite").parquet(path)
-        return path
-    seen = Observation()
-    counts = [F.count_if(c).alias(g) for g, c in gates.items()]
-    df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts).write.mode("overwrite").parquet(path)
-    found = seen.get
-    broken = {g: found[g] for g in gates if found[g]}
-    if broken:
-        first = {g: [tuple(r) for r in df.where(gates[g]).limit(5).collect()] for g in broken}
-        raise GateError(f"{name}: {broken}, first {first}")
+    home = f"{root}/{rel}/{name}"
+    path = f"{home}/run-{uuid.uuid4().hex}"
+    if gates:
+        seen = Observation()
+        counts = [F.count_if(c).alias(g) for g, c in gates.items()]
+        df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts).write.parquet(path)
+        found = seen.get
+        broken = {g: found[g] for g in gates if found[g]}
+        if broken:
+            first = {g: [tuple(r) for r in df.where(gates[g]).limit(5).collect()] for g in broken}
+            raise GateError(f"{name}: {broken}, first {first}")
+    else:
+        df.write.parquet(path)
+    if check:
+        check(df.sparkSession.read.parquet(path))
+    _hand_over(df.sparkSession, f"{home}/manifest", {"path": path})
     return path
 
 
+def current_layer(spark: SparkSession, root: str, rel: str, name: str) -> DataFrame:
+    """The last run of a layer that passed its gates."""
+    last = _last(spark, f"{root}/{rel}/{name}/manifest")
+    if last is None:
+        raise FileNotFoundError(f"no run of {root}/{rel}/{name} has passed")
+    return spark.read.parquet(last.path)
+
+
+def retire(spark: SparkSession, manifest: str, keep: int = 2) -> list[str]:
+    """Delete the folders of all but the last ``keep`` handed-over versions; returns their paths."""
+    rows = _read_manifest(spark, manifest).orderBy(F.desc("version"), "writer").offset(keep).collect()
+    paths = [p for r in rows for p in (r.path, r.survey, r.assay) if p]
+    kept = _read_manifest(spark, manifest).orderBy(F.desc("version"), "writer").limit(keep).collect()
+    alive = {p for r in kept for p in (r.path, r.survey, r.assay)}
+    jvm = spark.sparkContext._jvm
+    for path in set(paths) - alive:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    return sorted(set(paths) - alive)
+
+
 def write_features(df: DataFrame, path: str, geom: str = "geometry") -> str:
     """Feature layer: WKB cells, SRID and type in the field metadata of the Parquet schema."""
     if geometry.srid_of(df, geom) is None:
@@ -106,6 +132,13 @@ def analyze_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
 
 
+def point_table(spark: SparkSession, table: str, path: str) -> None:
+    """An external table over a written folder, with statistics."""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.catalog.createTable(table, path=path, source="parquet")
+    analyze_table(spark, table)
+
+
 def table_statistics(spark: SparkSession, table: str) -> DataFrame:
     """(table_name, num_rows) as the catalog knows them after ``analyze_table``."""
     info = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Statistics'")
@@ -131,46 +164,63 @@ def _write_all(frames: dict[str, DataFrame]) -> None:
             job.result()
 
 
-# two tables, one publication ----------------------------------------------
+# versions and manifests ---------------------------------------------------
 
-MANIFEST_SCHEMA = "version bigint, survey string, assay string"
+MANIFEST_SCHEMA = "version bigint, writer string, path string, survey string, assay string"
 
 
-def _manifest(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(MANIFEST_SCHEMA).option("ignoreMissingFiles", "true").json(f"{root}/manifest")
+def _read_manifest(spark: SparkSession, manifest: str) -> DataFrame:
+    return (spark.read.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", "true")
+            .option("ignoreMissingFiles", "true").json(manifest))
 
 
-def _latest(spark: SparkSession, root: str):
+def _last(spark: SparkSession, manifest: str):
+    """The newest row; of several writers of one version the one with the smallest name counts."""
     try:
-        return _manifest(spark, root).orderBy(F.desc("version")).first()
+        return _read_manifest(spark, manifest).orderBy(F.desc("version"), "writer").first()
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
+def _hand_over(spark: SparkSession, manifest: str, values: dict[str, str]) -> int:
+    """Add a row under the next free version: a writer owns the version whose claim file it was the one to create."""
+    writer = uuid.uuid4().hex
+    jvm = spark.sparkContext._jvm
+    last = _last(spark, manifest)
+    version = (last.version if last else 0) + 1
+    while True:
+        claim = jvm.org.apache.hadoop.fs.Path(f"{manifest}-claims/{version}")
+        if claim.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).createNewFile(claim):
+            break
+        version += 1
+    row = spark.range(1).select(
+        F.lit(version).cast("bigint").alias("version"), F.lit(writer).alias("writer"),
+        *[F.lit(v).alias(k) for k, v in values.items()])
+    row.coalesce(1).write.json(f"{manifest}/{version}-{writer}")  # writers never share a folder
+    return version
+
+
+def publish_pair(spark: SparkSession, survey_path: str, assay_path: str, root: str) -> int:
+    """Make two written and checked tables the current pair; nothing is copied."""
+    return _hand_over(spark, f"{root}/manifest", {"survey": survey_path, "assay": assay_path})
+
+
 def replace_survey_and_assay(survey: DataFrame, assay: DataFrame, root: str) -> int:
-    """Write both tables to a new version, then publish them together.
+    """Write both tables to a folder of their own, then publish them together.
 
     Readers follow the manifest, so they see the old pair or the new pair. A run
     that dies earlier leaves an unreferenced directory and changes nothing.
     """
-    spark = survey.sparkSession
-    last = _latest(spark, root)
-    version = (last.version if last else 0) + 1
-    home = f"{root}/v{version}-{uuid.uuid4().hex}"
+    home = f"{root}/pair-{uuid.uuid4().hex}"
     _write_all({f"{home}/survey": survey, f"{home}/assay": assay})
-    row = spark.range(1).select(
-        F.lit(version).cast("bigint").alias("version"),
-        F.lit(f"{home}/survey").alias("survey"), F.lit(f"{home}/assay").alias("assay"),
-    )
-    row.coalesce(1).write.mode("append").json(f"{root}/manifest")
-    return version
+    return publish_pair(survey.sparkSession, f"{home}/survey", f"{home}/assay", root)
 
 
 def published(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """The current pair of tables."""
-    last = _latest(spark, root)
+    last = _last(spark, f"{root}/manifest")
     if last is None:
         raise FileNotFoundError(f"nothing published under {root}")
     return spark.read.parquet(last.survey), spark.read.parquet(last.assay)

@@ -31,9 +31,11 @@ def samples(spark, **change):
 
 def test_lab_run(spark, tmp_path):
     paths = jobs.run_lab(samples(spark), spec(), str(tmp_path))
-    assert [os.path.relpath(p, tmp_path) for p in paths.values()] == [
-        f"analise_quimica_solo/gold/views/public/{n}"
-        for n in ("solo_amostras", "solo_analises_quimicas", "solo_pivot_join")]
+    assert list(paths) == ["solo_amostras", "solo_analises_quimicas", "solo_pivot_join"]
+    assert os.path.relpath(paths["solo_pivot_join"], tmp_path) == "analise_quimica_solo/gold/views/public/solo_pivot_join"
+    survey, assay = sinks.published(spark, f"{tmp_path}/analise_quimica_solo/gold")
+    assert survey.exceptAll(spark.read.parquet(paths["solo_amostras"])).isEmpty()  # identity views are the pair itself
+    assert assay.exceptAll(spark.read.parquet(paths["solo_analises_quimicas"])).isEmpty()
     joined = spark.read.parquet(paths["solo_pivot_join"]).orderBy("objectid").collect()
     assert [(r.objectid, r.duplicata, r.au_ppb, r.cu_ppm) for r in joined] == [
         (1, True, 5.3, 1.0), (2, False, 0.0, 2.0), (3, True, None, None)]
@@ -76,6 +78,98 @@ def test_gates_stop_the_job(spark, tmp_path):
         jobs.run_survey(bronze, spec(), root, require_geometry=True)
 
 
+def test_broken_runs_leave_the_good_layer(spark, tmp_path):
+    root, job = str(tmp_path), spec()
+    good = jobs.run_bronze(samples(spark), job, root)
+    for broken in (samples(spark).where("false"), samples(spark, objectid=F.lit(7)),
+                   samples(spark, objectid=F.lit(None).cast("long"))):
+        with pytest.raises(GateError):
+            jobs.run_bronze(broken, job, root)
+        assert spark.read.parquet(good).count() == 3
+        assert sinks.current_layer(spark, root, f"{job.name}/bronze", f"{job.source}.parquet").count() == 3
+    jobs.run_bronze(samples(spark).limit(2), job, root)
+    assert sinks.current_layer(spark, root, f"{job.name}/bronze", f"{job.source}.parquet").count() == 2
+    with pytest.raises(FileNotFoundError):
+        sinks.current_layer(spark, root, "none", "x")
+
+
+def test_two_publishers_get_two_versions(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(4) as pool:
+        got = list(pool.map(lambda k: sinks.publish_pair(spark, f"s{k}", f"a{k}", str(tmp_path)), range(4)))
+    assert len(set(got)) == 4
+
+
+def test_old_versions_are_retired(spark, tmp_path):
+    paths = [sinks.write_layer(spark.range(k + 1), str(tmp_path), "a", "b") for k in range(4)]
+    assert sinks.retire(spark, f"{tmp_path}/a/b/manifest", keep=2) == sorted(paths[:2])
+    assert [os.path.exists(p) for p in paths] == [False, False, True, True]
+    assert sinks.current_layer(spark, str(tmp_path), "a", "b").count() == 4
+
+
+def test_catalogue_runs_from_its_target_tables(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS lab_targets")
+    specs = lab_catalogue("raw")
+    source = samples(spark)
+    chem, count, weight = source, source.drop("Au (ppb)", "Cu ppm").withColumn("ouro_1_mm", F.lit("3")), \
+        source.drop("Au (ppb)", "Cu ppm").withColumn("zircao", F.lit("1,5"))
+    sources = {n: {"chem": chem, "count": count, "weight": weight}[s.kind] for n, s in specs.items()}
+    targets = {}
+    for n in specs:
+        targets[n] = f"lab_targets.{n}_amostras"
+        spark.sql(f"DROP TABLE IF EXISTS {targets[n]}")
+        empty = spark.createDataFrame([], "objectid long, data_de_analise timestamp_ntz, duplicata boolean, longitude double, latitude double")
+        sinks.clone_schema(empty, targets[n], path=f"{tmp_path}/targets/{n}")
+    done = jobs.run_catalogue(sources, specs, str(tmp_path / "run"), targets)
+    assert set(done) == set(specs) and len(done) == 9
+    for n, paths in done.items():
+        assert spark.read.parquet(list(paths.values())[1]).count() == {"chem": 4, "count": 3, "weight": 3}[specs[n].kind]
+    with pytest.raises(ValueError, match="no survey columns"):
+        jobs.run_lab(chem, specs["solo"], str(tmp_path / "none"))
+
+
+def test_published_tables_have_statistics(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS lab_gold")
+    jobs.run_lab(samples(spark), spec(), str(tmp_path), schema="lab_gold")
+    assert {n: sinks.table_statistics(spark, f"lab_gold.{n}").first().num_rows
+            for n in ("solo_amostras", "solo_analises_quimicas", "solo_pivot_join")} == {
+        "solo_amostras": 3, "solo_analises_quimicas": 4, "solo_pivot_join": 3}
+    for n in ("solo_amostras", "solo_analises_quimicas", "solo_pivot_join"):
+        spark.sql(f"DROP TABLE lab_gold.{n}")
+
+
+def test_reload_keeps_every_file_as_its_own_table(spark, tmp_path):
+    os.makedirs(tmp_path / "d")
+    spark.createDataFrame([(1, "a\x00", 2)], "fid long, a string, only_a int").toPandas().to_parquet(tmp_path / "d" / "pre_one.parquet")
+    spark.createDataFrame([(1, "b"), (2, "c")], "fid long, only_b string").toPandas().to_parquet(tmp_path / "d" / "pre_two.parquet")
+    out = jobs.reload_dir(spark, str(tmp_path / "d"), "pre", str(tmp_path / "r"), "pre_")
+    assert {(r.table_name, r.rows, r.valid) for r in out.collect()} == {("one", 1, None), ("two", 2, None)}
+    assert sinks.current_layer(spark, str(tmp_path / "r"), "tables", "one").collect() == [(1, "a", 2)]
+    both = scan.scan_dir(spark, str(tmp_path / "d"), "pre")
+    assert sorted(both.columns) == ["a", "fid", "only_a", "only_b"] and both.where("only_b is not null").count() == 2
+
+
+def test_names_lose_no_letter():
+    assert columns.slug("δ18O (‰)") == "delta18o" and columns.slug("β") == "beta" and columns.slug("µg/l") == "ug_l"
+    for name in ("Ж", "--", "°"[:0]):
+        with pytest.raises(ValueError):
+            columns.slug(name)
+
+
+def test_floating_text_is_exact(spark):
+    from strata.functions import clean
+    values = [1.234567890123e-4, 1e-15, 3.2e-13, 1.5e30, -2.5e-7, 4.9e-324, 1.7976931348623157e308, 1e7, 123456789.25, 0.1, -0.0, 1e22, 9.999e15]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    out = df.select("v", clean.plain_text(F.col("v"), df.schema["v"].dataType).alias("t")).collect()
+    assert all("E" not in r.t and float(r.t) == r.v for r in out), out
+
+
+def test_a_unit_with_two_rules_is_refused(spark):
+    units = spark.createDataFrame([(1, "A", 1, 2, 3), (2, "A", 4, 5, 6)], "id long, sigla string, r int, g int, b int")
+    with pytest.raises(GateError, match="repeated sigla"):
+        jobs.style_table(units, spark.createDataFrame([("A",)], "sigla string"))
+
+
 def test_quarantine_and_clean_rows_are_all_rows(spark):
     bronze = samples(spark, **{"Cu ppm": F.when(F.col("objectid") == 2, "??").otherwise(F.col("`Cu ppm`"))})
     bronze = jobs.bronze_frame(bronze, spec())
@@ -175,8 +269,11 @@ def test_all_media_in_one_partitioned_table(spark, tmp_path):
 
 
 def test_type_inference(spark):
-    df = spark.createDataFrame([("1", "1.5", "x", "1", None), ("2", "3", "4", "1d", None)], "a string, b string, c string, d string, e string")
-    assert dict(columns.infer_types(df).dtypes) == {"a": "bigint", "b": "double", "c": "string", "d": "string", "e": "string"}
+    df = spark.createDataFrame([("1", "1.5", "x", "1", None, "007", "1.50"), ("2", "3", "4", "1d", None, "8", "2.0")],
+                               "a string, b string, c string, d string, e string, f string, g string")
+    assert dict(columns.infer_types(df).dtypes) == {
+        "a": "bigint", "b": "double", "c": "string", "d": "string", "e": "string", "f": "string", "g": "string"}
+    assert dict(columns.infer_types(df, ["b"]).dtypes)["a"] == "string"
 
 
 def test_generic_types(spark):

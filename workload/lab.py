@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import functions as F
 
 from strata.functions import clean
 from strata.operators import columns, joins, quality, reshape
 from strata.plans import jobs
 from strata.sources import scan, sinks
+from strata.spec import CHEMICAL_MEDIA
 
 from .inputs import (
     CHEM_ANALYTES, CHEM_SPEC, COUNT_ANALYTES, COUNT_SPEC, DATE_TEXT, FLAG_TEXT, SURVEY_COLUMNS, WEIGHT_ANALYTES,
@@ -184,6 +187,16 @@ def _(spark, d):
     return columns.infer_types(texts)
 
 
+@query("c9_infer_keeps_codes",
+       "SELECT lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS code, '1000' || lpad(CAST(o_orderkey AS VARCHAR), 16, '0') AS long_code, "
+       "o_custkey AS n, '1e400' AS huge, o_orderkey / 8.0 AS x FROM orders")
+def _(spark, d):
+    """Codes with leading zeros, numbers too long for a double and infinities stay text."""
+    return columns.infer_types(table(spark, d, "orders").selectExpr(
+        "lpad(cast(o_orderkey as string), 12, '0') as code", "concat('1000', lpad(cast(o_orderkey as string), 16, '0')) as long_code",
+        "cast(o_custkey as string) as n", "'1e400' as huge", "cast(o_orderkey / 8.0D as string) as x"))
+
+
 @query("c10_with_table_name", "SELECT 'orders' AS table_name, count(*) AS n FROM orders")
 def _(spark, d):
     named = columns.with_table_name(scan.scan_dir(spark, d, "order"))
@@ -317,10 +330,9 @@ def _(spark, d):
 
 
 @query("f13_as_category",
-       f"WITH {sql_chem()}, dim AS (SELECT qualificador, row_number() OVER (ORDER BY qualificador) - 1 AS code "
-       "FROM (SELECT DISTINCT qualificador FROM assay WHERE qualificador IS NOT NULL) q) "
+       f"WITH {sql_chem()}, dim(q, code) AS (VALUES ('<', 0), ('>', 1), ('I', 2), ('N', 3)) "
        "SELECT a.amostra, a.analito, a.unidade, CAST(dim.code AS INTEGER) AS code FROM assay a "
-       "LEFT JOIN dim ON a.qualificador = dim.qualificador")
+       "LEFT JOIN dim ON a.qualificador = dim.q")
 def _(spark, d):
     assay = jobs.chem_assay_frame(chem(spark, d), CHEM_SPEC)
     return assay.select("amostra", "analito", "unidade", clean.category_code(F.col("qualificador")).alias("code"))
@@ -400,6 +412,21 @@ def _(spark, d):
     return reshape.unpivot_assays(chem(spark, d, True), "objectid", CHEM_ANALYTES)
 
 
+_SMALL = {"tiny_ppb": "o_totalprice / 1000000000", "small_ppm": "o_totalprice / 1000", "huge_pct": "o_totalprice * 100000000000000000000"}
+
+
+@query("r1_unpivot_small_numbers", " UNION ALL ".join(
+    f"SELECT o_orderkey AS amostra, '{n}' AS analito, o_totalprice {e.removeprefix('o_totalprice ')[0]} CAST({e.split()[-1]} AS DOUBLE) AS valor FROM orders"
+    for n, e in _SMALL.items()))
+def _(spark, d):
+    """Floating cells of any size keep every digit on the way through text, without an exponent."""
+    cells = table(spark, d, "orders").selectExpr(
+        "o_orderkey as objectid", *[f"{e.rsplit(' ', 1)[0]} cast({e.split()[-1]} as double) as {n}" for n, e in _SMALL.items()])
+    text = F.col("valor")
+    plain = F.when(~text.contains("E"), clean.to_number_try(text))
+    return reshape.unpivot_assays(cells, "objectid", list(_SMALL)).withColumn("valor", plain)
+
+
 @query("r2_split_analyte_unit",
        f"WITH {sql_cleaned(chem_columns(), CHEM_ANALYTES, 'chem')} SELECT amostra, {_NAME} AS analito, {_UNIT} AS unidade, v FROM cleaned")
 def _(spark, d):
@@ -524,13 +551,16 @@ def _(spark, d):
     return quality.value_counts(table(spark, d, "events"), "event_type")
 
 
+_TYPES = {"objectid": "bigint", "longitude": "double", "latitude": "double"}
+
+
 @query("a6_frame_profile",
        f"WITH bronze AS ({select_text(chem_columns(), 'orders')}) "
        + " UNION ALL ".join(
-           f"SELECT '{c}' AS column_name, count({c}) AS non_null, '{t}' AS data_type FROM bronze"
-           for c, t in (("objectid", "bigint"), ("longitude", "double"), ("municipio", "string"), ("au_ppb", "string"))))
+           f"SELECT '{c}' AS column_name, count({c}) AS non_null, '{_TYPES.get(c, 'string')}' AS data_type FROM bronze"
+           for c in chem_columns()))
 def _(spark, d):
-    return quality.frame_profile(chem(spark, d).select("objectid", "longitude", "municipio", "au_ppb"))
+    return quality.frame_profile(chem(spark, d))
 
 
 @query("a7_distinct_keys",
@@ -670,6 +700,31 @@ def _(spark, d):
     })
 
 
+_ALL_MEDIA = {m: _MEDIA[("solo", "rocha", "agua")[k % 3]] for k, m in enumerate(CHEMICAL_MEDIA)}
+
+
+@query("j11_all_media", " UNION ALL ".join(
+    f"SELECT *, '{m}' AS meio FROM (WITH {sql_chem(chem_columns(k), t)} SELECT * FROM assay) q"
+    for m, (t, k) in _ALL_MEDIA.items()))
+def _(spark, d):
+    """The assays of all seven media in one table on disk."""
+    path = jobs.run_all_assays({
+        m: (derived(spark, d, t, chem_columns(k)), CHEM_SPEC) for m, (t, k) in _ALL_MEDIA.items()
+    }, sinks.new_run_dir(spark, "media"))
+    return spark.read.parquet(path)
+
+
+@query("c3_from_target_table", f"WITH bronze AS ({select_text(chem_columns(), 'orders')}) {SURVEY_SQL}")
+def _(spark, d):
+    """Survey columns read off the target table of a spec that names none."""
+    from uuid import uuid4
+    name = f"c3_{uuid4().hex[:12]}"
+    bronze = chem(spark, d)
+    sinks.clone_schema(jobs.survey_frame(bronze, CHEM_SPEC).drop("geometry"), name, path=sinks.new_run_dir(spark, "c3"))
+    spec = jobs.with_target_columns(spark, dataclasses.replace(CHEM_SPEC, survey_columns=()), name)
+    return flat_point(jobs.survey_frame(bronze, spec))
+
+
 # styles -------------------------------------------------------------------
 
 _RULES_SQL = (

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import functions as F
 
 from strata.functions import crs, wkb
 from strata.operators import columns, features as feature_ops, geometry, quality
 from strata.plans import jobs
 from strata.sources import scan, sinks
-from strata.spec import FeatureSpec
+from strata.spec import FeatureSpec, feature_specs
 
 from .inputs import CHEM_SPEC, SHAPES, double_hex, features, features_sql, select_text, swap8, table, vertices_sql
 from .lab import SURVEY_SQL, chem, sql_chem
@@ -40,12 +42,12 @@ def hexed(df, *more):
 
 # sources ------------------------------------------------------------------
 
-_ORDERS = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders"
+_ORDERS = "SELECT * FROM orders"
 
 
-@query("s1_scan_table", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
+@query("s1_scan_table", _ORDERS)
 def _(spark, d):
-    return scan.scan_table(spark, f"{d}/orders.parquet", "o_orderkey").drop("o_orderdate")
+    return scan.scan_table(spark, f"{d}/orders.parquet", "o_orderkey")
 
 
 @query("s2_scan_features", f"WITH {_FEATS} SELECT fid, wkb, 4674 AS srid FROM feats")
@@ -64,12 +66,23 @@ def _(spark, d):
 @query("s4_read_layer_parquet", _ORDERS)
 def _(spark, d):
     path = sinks.write_layer(table(spark, d, "orders"), fresh(spark, "s4"), "job/bronze", "orders.parquet")
-    return scan.read_layer_parquet(spark, path).drop("o_orderdate")
+    return scan.read_layer_parquet(spark, path)
 
 
 @query("s5_scan_dir", _ORDERS)
 def _(spark, d):
-    return scan.scan_dir(spark, d, "order").drop("o_orderdate")
+    return scan.scan_dir(spark, d, "order")
+
+
+@query("s5_scan_dir_mixed",
+       "SELECT o_orderkey AS fid, o_custkey AS only_a, CAST(NULL AS DOUBLE) AS only_b FROM orders UNION ALL "
+       "SELECT c_custkey AS fid, NULL AS only_a, c_acctbal AS only_b FROM customer")
+def _(spark, d):
+    """Files of different columns in one directory: no column is lost."""
+    path = fresh(spark, "s5")
+    table(spark, d, "orders").selectExpr("o_orderkey as fid", "o_custkey as only_a").write.mode("append").parquet(path)
+    table(spark, d, "customer").selectExpr("c_custkey as fid", "c_acctbal as only_b").write.mode("append").parquet(path)
+    return scan.scan_dir(spark, path, "part").select("fid", "only_a", "only_b")
 
 
 @query("s6_read_named_layer", "SELECT c_custkey AS id, c_mktsegment AS nome FROM customer")
@@ -146,7 +159,7 @@ def _(spark, d):
 @query("k7_analyze_table", "SELECT 'lineitem' AS table_name, count(*) AS num_rows FROM lineitem")
 def _(spark, d):
     name = new_table("k7")
-    sinks.replace_table(table(spark, d, "lineitem").select("l_orderkey", "l_partkey"), name, fresh(spark, "k7"))
+    sinks.replace_table(table(spark, d, "lineitem"), name, fresh(spark, "k7"))
     sinks.analyze_table(spark, name)
     return sinks.table_statistics(spark, name).withColumn("table_name", F.lit("lineitem"))
 
@@ -231,6 +244,18 @@ def _(spark, d):
     return hexed(geometry.promote_to_multi(wkb_features(spark, d), "geometry", "MULTIPOLYGON"))
 
 
+@query("g5_promote_srid_headers",
+       f"WITH {_FEATS} SELECT fid, CASE WHEN {_KIND} = 'POLYGON' "
+       "THEN '0106000020E6100000010000000103000000' || substr(wkb, 11) ELSE wkb END AS wkb FROM feats")
+def _(spark, d):
+    """Polygons with the SRID in their header: it moves to the multi wrapper."""
+    g = F.hex("geometry")
+    with_srid = F.unhex(F.concat(F.lit("0103000020E6100000"), F.substring(g, F.lit(11), F.length(g))))
+    polygon = wkb.base_type(F.col("geometry")) == wkb.POLYGON
+    df = wkb_features(spark, d).withColumn("geometry", F.when(polygon, with_srid).otherwise(F.col("geometry")))
+    return hexed(df.withColumn("geometry", F.when(polygon, wkb.to_multi(F.col("geometry"))).otherwise(F.col("geometry"))))
+
+
 @query("g6_crs_differs",
        "SELECT fid, true AS crs_is_different, false AS same_crs FROM (SELECT o_orderkey AS fid FROM orders) f")
 def _(spark, d):
@@ -479,6 +504,47 @@ def _(spark, d):
     return jobs.migrate_layer(source, SPEC, fresh(spark, "j8"), new_table("j8"))["profile"]
 
 
-@query("j9_reload_dir", "SELECT 'orders' AS table_name, count(*) AS n FROM orders")
+@query("j9_reload_dir", "SELECT 'orders' AS table_name, count(*) AS rows, CAST(NULL AS BIGINT) AS valid, "
+                        "CAST(NULL AS BIGINT) AS invalid, CAST(NULL AS BIGINT) AS unchecked FROM orders")
 def _(spark, d):
     return jobs.reload_dir(spark, d, "order", fresh(spark, "j9"))
+
+
+_COUNTED = "count(*) AS rows, count_if(valid) AS valid, count_if(NOT valid) AS invalid, count_if(valid IS NULL) AS unchecked"
+
+
+@query("j9_reload_layers",
+       f"WITH {_AUDIT} SELECT {_COUNTED} FROM audit UNION ALL SELECT {_COUNTED} FROM audit WHERE shape IN (0, 1, 5, 11)")
+def _(spark, d):
+    """Two layers of different columns in one directory: a table and its validity counts for each."""
+    path, df = fresh(spark, "j9-files"), features(spark, d)
+    df.select("fid", "nome", "geometry").coalesce(1).write.mode("append").parquet(path)
+    df.where("shape in (0, 1, 5, 11)").select("fid", "bx", "geometry").coalesce(1).write.mode("append").parquet(path)
+    return jobs.reload_dir(spark, path, "part", fresh(spark, "j9")).drop("table_name")
+
+
+@query("j7_target_table", "SELECT 'features' AS table_name, count(*) AS num_rows FROM orders")
+def _(spark, d):
+    """The load replaces the rows of the target and computes its statistics."""
+    name = new_table("j7")
+    jobs.run_features(_source(spark, d), dataclasses.replace(SPEC, target=name), fresh(spark, "j7"), load=True)
+    return sinks.table_statistics(spark, name).withColumn("table_name", F.lit("features"))
+
+
+_LAYERS = {"geo.outcrop": "shape in (0, 1, 5, 11)", "geo.contact": "shape in (9, 13)", "geo.station": "shape in (8, 15, 18)"}
+
+
+@query("j11_all_features", " UNION ALL ".join(
+    f"SELECT '{layer}' AS layer, 'gold.{layer.replace('.', '_')}' AS target, count(*) AS rows_inserted FROM ({features_sql()}) f WHERE {where}"
+    for layer, where in _LAYERS.items()))
+def _(spark, d):
+    specs = feature_specs(list(_LAYERS), "gold", srid=4326)
+    sources = {layer: _shaped(spark, d).where(where.replace("shape", "forma")).drop("forma") for layer, where in _LAYERS.items()}
+    root = fresh(spark, "j11")
+    jobs.run_all_features(sources, specs, root)
+    layer = F.create_map(*[F.lit(x) for s in specs.values() for x in (s.target, s.source)])[F.col("target")]
+    return spark.read.parquet(f"{root}/load_audit").select(layer.alias("layer"), "target", "rows_inserted")
+
+
+def _shaped(spark, d):
+    return features(spark, d).selectExpr("fid as objectid", f"{_NUL_NOME} as nome", "geometry as shape", "shape as forma")
