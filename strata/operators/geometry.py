@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,6 +61,10 @@ def crs_differs(df: DataFrame, geom: str, target: int) -> bool:
     return srid_of(df, geom) != target
 
 
+# Bytes of geometry cells that are taken apart at a time.
+BYTES_AT_ONCE = 16 << 20
+
+
 # WKB walking --------------------------------------------------------------
 
 def blocks(buf, pos: int = 0, parts: list[int] | None = None, body: int = 0) -> Iterator[tuple]:
@@ -165,10 +170,21 @@ class Group:
         return (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)).astype(np.int32)
 
 
+def _slices(cells: pa.Array, limit: int = BYTES_AT_ONCE) -> Iterator[tuple[int, list]]:
+    """(first cell, cells as bytes) of consecutive slices of a batch, bounded in bytes; a larger cell stands alone."""
+    total = np.cumsum(pc.fill_null(pc.binary_length(cells), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(cells):
+        before = total[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(total, before + limit, side="right")))
+        yield start, cells.slice(start, stop - start).to_pylist()
+        start = stop
+
+
 def _groups(cells: pa.Array) -> Iterator[Group]:
     """Blocks of a batch of WKB cells, handed on whenever enough points are together."""
     group, points = Group([], [], [], [], [], [], []), 0
-    for i, cell in enumerate(cells.to_pylist()):
+    for i, cell in ((first + k, cell) for first, part in _slices(cells) for k, cell in enumerate(part)):
         if cell is None:
             continue
         for body, part, kind, ring, view, has_z in blocks(cell):
@@ -325,10 +341,11 @@ def promote_to_multi(df: DataFrame, geom: str, geometry_type: str) -> DataFrame:
 # in-place rewriting -------------------------------------------------------
 
 def _rewritten(df: DataFrame, geom: str, change: Callable[[list], list]) -> DataFrame:
-    """Replace the geometry cells batch by batch; the other columns stay in the JVM."""
+    """Replace the geometry cells slice by slice of each batch; the other columns stay in the JVM."""
     @F.arrow_udf("binary")
     def run(cells: pa.Array) -> pa.Array:
-        return pa.array(change(cells.to_pylist()), pa.binary())
+        done = [pa.array(change(part), pa.binary()) for _, part in _slices(cells)]
+        return pa.concat_arrays(done) if done else pa.array([], pa.binary())
 
     field = df.schema[geom]
     return df.withColumn(geom, run(F.col(geom)).alias(geom, metadata=field.metadata))
@@ -337,7 +354,7 @@ def _rewritten(df: DataFrame, geom: str, change: Callable[[list], list]) -> Data
 def reproject(df: DataFrame, geom: str, dst: int, src: int | None = None) -> DataFrame:
     """Transform all coordinates to ``dst``; an unknown system is an error.
 
-    The coordinates of a whole batch are transformed in one vectorised call.
+    The coordinates of a slice are transformed in one vectorised call.
     """
     src = srid_of(df, geom) if src is None else src
     chain = crs.steps(src, dst)

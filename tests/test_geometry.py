@@ -251,3 +251,23 @@ def test_report_ors_over_all_text_columns(spark):
     assert row.null_byte_columns == ["first"] and row.has_null_byte_str
     assert row.fid_is_duplicated and row.crs_is_different and row.has_empty_geometry
     assert not row.has_invalid_geometry
+
+
+def test_slices_are_bounded_and_whole():
+    import pyarrow as pa
+    cells = [b"x" * n if n is not None else None for n in (5, None, 3, 20, 0, 4, 4, None)]
+    slices = list(geometry._slices(pa.array(cells, pa.binary()), 8))
+    assert [c for _, part in slices for c in part] == cells
+    assert [first for first, _ in slices] == [0, *np.cumsum([len(p) for _, p in slices])[:-1].tolist()]
+    assert all(sum(len(c or b"") for c in part) <= 8 or len(part) == 1 for _, part in slices)
+    assert list(geometry._slices(pa.array([], pa.binary()))) == []
+
+
+def test_single_parts_with_srid_join_the_multi_type(spark):
+    import struct
+    for order, mark in (("<", 1), (">", 0)):
+        body = struct.pack(order + "2d", 1.0, 2.0)
+        cell = bytes([mark]) + struct.pack(order + "II", 0x20000001, 4674) + body
+        want = bytes([mark]) + struct.pack(order + "III", 0x20000004, 4674, 1) + bytes([mark]) + struct.pack(order + "I", 1) + body
+        df = spark.createDataFrame([(bytearray(cell),)], "g binary")
+        assert bytes(df.select(wkb.to_multi(F.col("g"))).first()[0]) == want
