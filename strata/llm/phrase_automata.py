@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,18 +23,23 @@ from .wordhash import BY_SPACE, chunks, mix, rolling, words
 
 WINDOW, ANCHOR, CHUNK = 35, 12, 5
 #: Occurrences of one anchor that a shard takes whole; more are dealt over several shards.
-SHARD = 1024
+SHARD = 64
+#: Segments of one automaton, unless a single anchor brings more.
+BATCH = 1024
 
 
 def anchors(hashes: np.ndarray, at: np.ndarray, window: int, anchor: int):
-    """(text, first window, last window, anchor position, anchor hash) of the segments of several texts.
+    """(text, first window, last window, anchor hash, weight) of the segments of several texts.
 
-    Word positions are within the text; ``hashes[at[i]:at[i + 1]]`` are the words of text i.
+    A segment is a run of windows with one anchor hash. Word positions are within the text;
+    ``hashes[at[i]:at[i + 1]]`` are the words of text i. The weight is 2 if the anchor occurs more than once in its own
+    run, as in a text that repeats a phrase without end, and else 1.
     """
+    none = tuple(np.zeros(0, np.int64) for _ in range(3)) + (np.zeros(0, np.uint64), np.zeros(0, np.int64))
     sub = mix(rolling(hashes, anchor))
     reach = window - anchor + 1
     if len(sub) < reach:
-        return tuple(np.zeros(0, np.int64) for _ in range(4)) + (np.zeros(0, np.uint64),)
+        return none
     best = np.lib.stride_tricks.sliding_window_view(sub, reach).argmin(1) + np.arange(len(sub) - reach + 1)
     n = np.diff(at)
     owner = np.repeat(np.arange(len(n)), n)
@@ -41,13 +47,14 @@ def anchors(hashes: np.ndarray, at: np.ndarray, window: int, anchor: int):
     inside = owner[start] == owner[start + window - 1]
     start, best, owner = start[inside], best[inside], owner[start][inside]
     if not len(start):
-        return tuple(np.zeros(0, np.int64) for _ in range(4)) + (np.zeros(0, np.uint64),)
+        return none
+    h = sub[best]
     new = np.ones(len(start), bool)
-    new[1:] = (best[1:] != best[:-1]) | (owner[1:] != owner[:-1])
+    new[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(start)) - 1
     base = at[owner[first]]
-    return owner[first], start[first] - base, start[last] - base, best[first] - base, sub[best[first]]
+    return owner[first], start[first] - base, start[last] - base, h[first], 1 + (best[last] != best[first])
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -63,12 +70,12 @@ def _anchor_rows(texts: DataFrame, window: int, anchor: int) -> DataFrame:
             docs, rows, cells = np.array(b.column(0)), np.array(b.column(1)), b.column(2).to_pylist()
             for i, j in chunks(cells):
                 _, _, _, hashes, at = words(cells[i:j], BY_SPACE)
-                owner, _, _, place, h = anchors(hashes, at, window, anchor)
+                owner, place, _, h, weight = anchors(hashes, at, window, anchor)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), pa.array(docs[i:j][owner]), pa.array(rows[i:j][owner]), pa.array(place.astype(np.int32))],
-                    ["h", "doc", "row", "p"])
+                    [pa.array(h.view(np.int64)), pa.array(docs[i:j][owner]), pa.array(rows[i:j][owner]), pa.array(place.astype(np.int32)),
+                     pa.array(weight.astype(np.int32))], ["h", "doc", "row", "p", "weight"])
 
-    return texts.select("doc", "row", "text").mapInArrow(run, "h long, doc long, row long, p int")
+    return texts.select("doc", "row", "text").mapInArrow(run, "h long, doc long, row long, p int, weight int")
 
 
 def _finished(ws: list[bytes], removed: np.ndarray | None) -> tuple[int, int, str]:
@@ -85,8 +92,8 @@ def _split(texts: DataFrame) -> DataFrame:
                 count, _, digest = _finished((text.as_py() or "").encode("utf-8", "surrogatepass").split(), None) if not spots.is_valid else (None, 0, None)
                 n.append(count)
                 sha.append(digest)
-            suspect = pa.compute.is_valid(b.column(4))
-            text = pa.compute.if_else(suspect, b.column(3), pa.scalar(None, pa.string()))
+            suspect = pc.is_valid(b.column(4))
+            text = pc.if_else(suspect, b.column(3), pa.scalar(None, pa.string()))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), text, b.column(4), pa.array(n, pa.int64()), pa.array(sha, pa.string())],
                                              ["doc", "row", "doc_id", "text", "spots", "n_words", "sha"])
 
@@ -102,8 +109,8 @@ def _segments(suspects: DataFrame, window: int, anchor: int, shard: int, hot: bo
                 raw, starts, ends, hashes, at = words(cells[i:j], BY_SPACE)
                 out: tuple[list, ...] = ([], [], [], [], [], [])
                 wanted = [{s["p"]: s["n"] for s in spots[k] if (s["n"] > shard) == hot} for k in range(i, j)]
-                for k, first, last, place, h in zip(*(x.tolist() for x in anchors(hashes, at, window, anchor)), strict=True):
-                    if (n := wanted[k].get(place)) is None:
+                for k, first, last, h, _ in zip(*(x.tolist() for x in anchors(hashes, at, window, anchor)), strict=True):
+                    if (n := wanted[k].get(first)) is None:
                         continue
                     lo, hi = at[k] + first, at[k] + last + window - 1
                     piece = b" ".join(raw[starts[lo]:ends[hi]].split()).decode("utf-8", "surrogatepass")
@@ -142,7 +149,7 @@ def _confirmed_hot(hot: DataFrame, window: int) -> DataFrame:
     return hot.join(marks, ["doc", "row", "first"])
 
 
-def _locate(segments: DataFrame, window: int, shard: int) -> DataFrame:
+def _locate(segments: DataFrame, window: int) -> DataFrame:
     """``doc, row, start, stop``: words covered by recurring windows, segment by segment.
 
     ``g`` deals segments to shards. Rare anchors come whole, so windows are confirmed by counting them in the shard;
@@ -151,20 +158,28 @@ def _locate(segments: DataFrame, window: int, shard: int) -> DataFrame:
     """
     def search(batch: list[tuple[int, int, int, str, list[int] | None]]):
         import ahocorasick
+        # equal segments are spelled and searched once
+        members: dict[str, list[tuple[int, int, int]]] = {}
+        marked: dict[str, list[int]] = {}
+        for doc, row, first, text, marks in batch:
+            members.setdefault(text, []).append((doc, row, first))
+            if marks is not None:
+                marked[text] = marks
         names: dict[tuple, int] = {}
         numbers: dict[str, int] = {}
         seen: Counter = Counter()
         known: set[tuple] = set()
-        spelled = []
-        for _, _, _, text, marks in batch:
+        spelled = {}
+        for text, places in members.items():
             ids = [numbers.setdefault(w, len(numbers)) for w in text.split(" ")]
-            letters = [names.setdefault(t, len(names)) for t in zip(*(ids[k:] for k in range(CHUNK)), strict=False)]
-            spelled.append(letters)
+            spelled[text] = letters = [names.setdefault(t, len(names)) for t in zip(*(ids[k:] for k in range(CHUNK)), strict=False)]
             windows = [tuple(letters[s:s + window:CHUNK]) for s in range(len(ids) - window + 1)]
-            if marks is None:
-                seen.update(windows)
+            if text in marked:
+                known.update(windows[m] for m in marked[text])
+            elif len(places) > 1:
+                known.update(windows)
             else:
-                known.update(windows[m] for m in marks)
+                seen.update(windows)
         known.update(t for t, n in seen.items() if n > 1)
         if not known:
             return
@@ -173,18 +188,21 @@ def _locate(segments: DataFrame, window: int, shard: int) -> DataFrame:
         for t in known:
             automaton.add_word(t)
         automaton.make_automaton()
-        for (doc, row, first, _, _), letters in zip(batch, spelled, strict=True):
+        for text, letters in spelled.items():
             found = sorted(phase + CHUNK * (end - depth + 1) for phase in range(CHUNK)
                            for end, _ in automaton.iter(tuple(letters[phase::CHUNK])))
-            start = stop = -1
+            spans, start, stop = [], -1, -1
             for s in found:
                 if s > stop:
                     if stop > start:
-                        yield doc, row, first + start, first + stop
+                        spans.append((start, stop))
                     start = s
                 stop = s + window
             if stop > start:
-                yield doc, row, first + start, first + stop
+                spans.append((start, stop))
+            for doc, row, first in members[text]:
+                for start, stop in spans:
+                    yield doc, row, first + start, first + stop
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -197,7 +215,7 @@ def _locate(segments: DataFrame, window: int, shard: int) -> DataFrame:
 
         for group in sorted_groups(batches, ["g"]):
             held.extend(zip(*(group[c].to_pylist() for c in ("doc", "row", "first", "text", "marks")), strict=True))
-            if len(held) >= shard:
+            if len(held) >= BATCH:
                 yield result()
                 held = []
         yield result()
@@ -218,7 +236,7 @@ def dedup(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, shard:
         raise ValueError("the window must be a multiple of five words and longer than the anchor")
     texts = _texts(docs)
     found = stored(_anchor_rows(texts, window, anchor), "anchors")
-    often = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
+    often = found.groupBy("h").agg(F.sum("weight").alias("n")).where("n > 1")
     spots = found.join(often, "h").groupBy("doc", "row").agg(F.collect_set(F.struct("p", "n")).alias("spots"))
     parted = stored(_split(texts.join(spots, ["doc", "row"], "left").select("doc", "row", "doc_id", "text", "spots")), "suspects")
     forget(found)
@@ -226,9 +244,9 @@ def dedup(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, shard:
     none = F.lit(None).cast("array<int>")
     rare = _segments(suspects, window, anchor, shard, False).select(F.col("h").alias("g"), "doc", "row", "first", "text", none.alias("marks"))
     hot = stored(_segments(suspects, window, anchor, shard, True), "hot-segments")
-    dealt = F.xxhash64("h", F.pmod(F.xxhash64("doc", "row", "first"), F.ceil(F.col("n") / (shard // 2))))
+    dealt = F.xxhash64("h", F.pmod(F.xxhash64("doc", "row", "first"), F.ceil(F.col("n") / shard)))
     crowded = _confirmed_hot(hot, window).select(dealt.alias("g"), "doc", "row", "first", "text", "marks")
-    covered = _locate(rare.union(crowded), window, shard).groupBy("doc", "row").agg(
+    covered = _locate(rare.union(crowded), window).groupBy("doc", "row").agg(
         F.collect_set(F.struct("start", "stop")).alias("covered"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
