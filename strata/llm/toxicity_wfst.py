@@ -1,9 +1,11 @@
 """Toxicity: a weighted finite-state grammar over clauses.
 
-Words become symbols (insult, threat, target, negation, reported speech, other). Three transducers are composed into
-one: negation marks what stands in its scope, reported speech marks what follows it in the clause, targets turn what
-is left into abuse of someone. A clause yields patterns, not words; a document's score weighs its patterns. The
-insults beyond the given seeds, and all weights, are learned from the labelled documents of the training folds.
+Words become symbols (insult, suspect, threat, target, negation, reported speech, other). Three transducers are composed
+into one: negation marks what stands in its scope, reported speech marks what follows it in the clause, targets turn
+what is left into abuse of someone. A clause yields patterns, not words; a document's score weighs its patterns. The
+insults beyond the given seeds, and all weights, are learned from the labelled documents of the training folds: word
+beginnings that hardly any clean document has are insults, those that toxic documents have several times as often are
+suspect and count by their number.
 """
 
 from __future__ import annotations
@@ -30,18 +32,21 @@ TARGETS = ("you", "your", "he", "she", "they", "him", "her", "them", "du", "dich
 NEGATIONS = ("not", "no", "never", "nicht", "kein", "keine", "nie", "pas", "jamais", "nunca", "ni")
 REPORTS = ("said", "says", "called", "quoted", "wrote", "sagte", "nannte", "dit", "disait", "dijo", "dice")
 
-PATTERNS = ("insult", "directed_insult", "negated_insult", "reported_insult", "threat", "directed_threat", "excused_threat")
+PATTERNS = ("insult", "directed_insult", "negated_insult", "reported_insult", "threat", "directed_threat", "excused_threat",
+            "suspect", "excused_suspect", "suspect_share")
 # Where the weights start, and what they are drawn to: bias, then the patterns.
-PRIOR = np.array([-3.0, 4.0, 4.5, 1.0, 1.0, 1.0, 3.5, 0.5])
+PRIOR = np.array([-3.0, 4.0, 4.5, 1.0, 1.0, 1.0, 3.5, 0.5, 0.5, 0.2, 0.5])
+LENGTHS = range(4, 10)
 SCOPE = 2
 _WORD = re.compile(r"\w+")
+_LONG = re.compile(r"\w{4,}")
 _CLAUSE_END = re.compile(r"[.!?;:,\n]")
 
 
 def _negation(state: int, symbol: str) -> tuple[int, str]:
     if symbol == "N":
         return SCOPE, "N"
-    if state and symbol in "IT":
+    if state and symbol in "ITW":
         return state - 1, symbol.lower()
     return max(0, state - 1), symbol
 
@@ -49,7 +54,7 @@ def _negation(state: int, symbol: str) -> tuple[int, str]:
 def _reported(state: int, symbol: str) -> tuple[int, str]:
     if symbol == "R":
         return 1, "R"
-    return state, {"I": "q", "T": "t"}.get(symbol, symbol) if state else symbol
+    return state, {"I": "q", "T": "t", "W": "w"}.get(symbol, symbol) if state else symbol
 
 
 def _target(state: int, symbol: str) -> tuple[int, str]:
@@ -61,7 +66,7 @@ def _compose() -> dict[tuple[tuple[int, int, int], str], tuple[tuple[int, int, i
     arcs, todo = {}, [(0, 0, 0)]
     while todo:
         state = todo.pop()
-        for symbol in "ITYNRO":
+        for symbol in "ITWYNRO":
             n, out = _negation(state[0], symbol)
             r, out = _reported(state[1], out)
             t, out = _target(state[2], out)
@@ -74,24 +79,24 @@ def _compose() -> dict[tuple[tuple[int, int, int], str], tuple[tuple[int, int, i
 ARCS = _compose()
 #: What a clause's output symbols count as, by whether the clause names a target.
 _FINAL = {"I": ("insult", "directed_insult"), "i": ("negated_insult",) * 2, "q": ("reported_insult",) * 2,
-          "T": ("threat", "directed_threat"), "t": ("excused_threat",) * 2}
+          "T": ("threat", "directed_threat"), "t": ("excused_threat",) * 2,
+          "W": ("suspect",) * 2, "w": ("excused_suspect",) * 2}
 _FIXED = {w: s for s, group in (("T", THREATS), ("Y", TARGETS), ("N", NEGATIONS), ("R", REPORTS)) for w in group}
 
 
 class Grammar:
-    """The transducer with its insult prefixes and pattern weights."""
+    """The transducer with its learned word beginnings and pattern weights."""
 
-    def __init__(self, insults: list[str], weights: np.ndarray):
-        self.insults, self.weights = sorted(insults), weights
-        stems = "|".join(map(re.escape, [*self.insults]))
-        self._insult = re.compile(f"(?:{stems})") if stems else re.compile(r"(?!)")
-        self._hit = re.compile(rf"\b(?:{stems + '|' if stems else ''}(?:{'|'.join(map(re.escape, THREATS))})\b)")
-
-    def __reduce__(self):
-        return Grammar, (self.insults, self.weights)
+    def __init__(self, insults: list[str], weights: np.ndarray, suspects: list[str] = ()):
+        self.insults, self.weights, self.suspects = sorted(insults), weights, sorted(suspects)
+        self._starts = dict.fromkeys(self.suspects, "W") | dict.fromkeys(self.insults, "I")
+        self._heads = {w[:4] for w in (*self._starts, *THREATS)}
 
     def _symbol(self, word: str) -> str:
-        return "I" if self._insult.match(word) else _FIXED.get(word, "O")
+        if word in _FIXED:
+            return _FIXED[word]
+        found = [self._starts[word[:k]] for k in LENGTHS if word[:k] in self._starts]
+        return "O" if not found else "I" if "I" in found else "W"
 
     def clause(self, text: str) -> Counter:
         state, out = (0, 0, 0), []
@@ -102,16 +107,16 @@ class Grammar:
         return Counter(_FINAL[s][state[2]] for s in out)
 
     def patterns(self, text: str | None) -> np.ndarray:
-        """How often each pattern is matched; only clauses that hold an insult or threat are run."""
+        """How often each pattern is matched, and the suspects' share of the words in thousandths."""
         found: Counter = Counter()
         if text:
-            low, at = text.lower(), 0
-            while hit := self._hit.search(low, at):
-                start = hit.start()
-                begin = next((k + 1 for k in range(start - 1, at - 1, -1) if low[k] in ".!?;:,\n"), at)
-                end = stop.start() if (stop := _CLAUSE_END.search(low, hit.end())) else len(low)
-                found += self.clause(low[begin:end])
-                at = end
+            low = text.lower()
+            long_words = _LONG.findall(low)
+            if not self._heads.isdisjoint({w[:4] for w in long_words}):
+                for part in _CLAUSE_END.split(low):
+                    if part:
+                        found += self.clause(part)
+                found["suspect_share"] = 1000 * (found["suspect"] + found["excused_suspect"]) / len(long_words)
         return np.array([found[p] for p in PATTERNS], float)
 
     def score(self, counts: np.ndarray) -> np.ndarray:
@@ -127,18 +132,30 @@ def _evidence(t: np.ndarray, c: np.ndarray, rate: float) -> np.ndarray:
     return np.where(p > rate, n * kl, 0.0)
 
 
-def learn_insults(prefixes: list[tuple[str, int, int]], toxic: int, clean: int, purity: float = 0.98) -> list[str]:
-    """Prefixes (text, toxic documents, clean documents) that mark toxic documents beyond chance, shortest first."""
-    if not toxic or not prefixes:
-        return []
+def learn(prefixes: list[tuple[str, int, int]], toxic: int, clean: int, purity: float = 0.98,
+          ratio: float = 4.0) -> tuple[list[str], list[str]]:
+    """Insults and suspects among prefixes (text, toxic documents, clean documents): both mark toxic documents beyond chance.
+
+    Insults are the shortest prefixes of which ``purity`` of the documents are toxic. Suspects are, of prefixes that
+    begin one another, those of the strongest evidence that occur ``ratio`` times as often in toxic documents.
+    """
+    if not toxic or not clean or not prefixes:
+        return [], []
     rate = min(0.5, max(0.01, toxic / (toxic + clean)))
     t, c = (np.array([p[k] for p in prefixes], float) for k in (1, 2))
-    strong = (_evidence(t, c, rate) >= math.log(len(prefixes)) + 3) & (t / (t + c) >= purity)
+    evidence = _evidence(t, c, rate)
+    strong = evidence >= math.log(len(prefixes)) + 3
+    pure = strong & (t / (t + c) >= purity)
     kept: set[str] = set()
-    for p in sorted((p[0] for p, s in zip(prefixes, strong, strict=True) if s), key=lambda x: (len(x), x)):
+    for p in sorted((p[0] for p, s in zip(prefixes, pure, strict=True) if s), key=lambda x: (len(x), x)):
         if not any(p[:k] in kept for k in range(4, len(p))):
             kept.add(p)
-    return sorted(kept)
+    weak: list[str] = []
+    likely = strong & ~pure & ((t + 0.5) / (toxic + 1) >= ratio * (c + 0.5) / (clean + 1))
+    for _, p in sorted((-e, p[0]) for e, p, x in zip(evidence, prefixes, likely, strict=True) if x):
+        if not any(p.startswith(q) or q.startswith(p) for q in weak):
+            weak.append(p)
+    return sorted(kept), sorted(weak)
 
 
 def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", folds: int = 5, held_out: int = 0,
@@ -146,8 +163,8 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", folds: in
     """Learn from at most ``bound`` labelled documents outside the held-out fold.
 
     Near copies count once: documents with the same smallest five-word shingle are one family. What comes to the
-    driver is the list of word prefixes that occur in three or more toxic families and in hardly any clean one, and
-    seven counts for each sampled document.
+    driver is the list of word prefixes that occur in three or more toxic families and twice as often there as elsewhere,
+    and ten counts for each sampled document.
     """
     sample = labelled_sample(labels, label, folds, held_out, bound)
     chosen = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(sample), "doc_id")
@@ -169,13 +186,15 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", folds: in
     try:
         one = kept.groupBy("family").agg(F.min_by(F.struct("label", "text"), "doc_id").alias("d")).select("d.*")
         totals = {r.label: r["count"] for r in one.groupBy("label").count().collect()}
+        toxic, clean = totals.get(1, 0), totals.get(0, 0)
         tokens = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))
-        cut = F.flatten(F.transform(tokens, lambda w: F.array(*[F.substring(w, 1, k) for k in (4, 5, 6, 7)])))
-        marks = one.select("label", F.explode(F.array_distinct(cut)).alias("prefix")).where(F.length("prefix") >= 4)
+        cut = F.flatten(F.transform(tokens, lambda w: F.array(*[F.substring(w, 1, k) for k in LENGTHS])))
+        marks = one.select("label", F.explode(F.array_distinct(cut)).alias("prefix")).where(F.length("prefix") >= LENGTHS[0])
         counted = marks.groupBy("prefix").agg(F.sum("label").alias("t"), F.sum(1 - F.col("label")).alias("c"))
-        seen = counted.where("t >= 3 AND c * 20 <= t").collect()
-        insults = learn_insults([(r.prefix, r.t, r.c) for r in seen], totals.get(1, 0), totals.get(0, 0))
-        grammar = Grammar([*insults, *(s for s in SEEDS if not any(s.startswith(i) for i in insults))], PRIOR)
+        seen = counted.where((F.col("t") >= 3) & (F.col("t") * (clean + 1) >= 2 * F.col("c") * (toxic + 1))).collect()
+        insults, suspects = learn([(r.prefix, r.t, r.c) for r in seen], toxic, clean)
+        seeds = (s for s in SEEDS if not any(s.startswith(i) for i in insults))
+        grammar = Grammar([*insults, *seeds], PRIOR, suspects)
         rows = patterns(kept, grammar, ["doc_id", "label"]).select("row.doc_id", "row.label", "counts").collect()
     finally:
         kept.unpersist()
