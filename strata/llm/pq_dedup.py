@@ -1,9 +1,10 @@
 """Embedding near-dedup by product quantisation.
 
-Coarse inverted lists, residual subspace codes with the error of each code kept, table-lookup distances over every list
-that can hold a neighbour, and an exact cosine rerank. Both filters are bounds, so no pair at the threshold is lost:
-a list is probed if the bisecting hyperplane towards its centroid is within reach, and a code is a candidate if its
-looked-up distance less its error is within reach.
+Coarse inverted lists, residual subspace codes with the error of each code kept, table-lookup distances over the lists
+that are likely to hold a neighbour, and an exact cosine rerank. A neighbour at cosine t lies about (1 - t) towards the
+origin and sqrt(1 - t^2) to a side, of which 1 / sqrt(dimension) points towards any one centroid; a list is probed if the
+bisecting hyperplane towards its centroid is within ``SIGMAS`` such steps, or within the full distance if that is
+less. The second filter is a bound: a code is a candidate if its looked-up distance less its error is within reach.
 """
 
 from __future__ import annotations
@@ -16,11 +17,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import blocks
 from .common import stored
 from .components import components, spanning
 
+SIGMAS = 3.5
+
+
+def probe_reach(threshold: float, dim: int) -> float:
+    return min(math.sqrt(2 - 2 * threshold), SIGMAS * math.sqrt(1 - threshold**2) / math.sqrt(dim) / threshold) + 1e-6
+
 
 @dataclass
 class Index:
@@ -84,7 +92,7 @@ def _within(index: Index, queries: np.ndarray, centroid: np.ndarray, codes: np.n
 
 
 def dedup(vectors: DataFrame, *, threshold: float = 0.9, sample_rows: int = 20_000, most_lists: int = 1024,
-          block: int = 1024, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+          block: int = 2048, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row.
 
     Equal vectors are one point with a multiplicity, so copies are never paired. The index is fitted on at most
@@ -93,12 +101,14 @@ def dedup(vectors: DataFrame, *, threshold: float = 0.9, sample_rows: int = 20_0
 
     Vectors that are null, zero, or hold null or non-finite components link with nothing, as do rows with a null id;
     vectors link only with those of their own length. Lengths other than the commonest have no lists but one, so all
-    their pairs are compared. Repeated ids are rows of their own. An empty table gives no rows.
+    their pairs are compared. Rows that repeat an id with another vector share their links. An empty table gives no rows.
     """
     reach = math.sqrt(2 - 2 * threshold) + 1e-6
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
+    single = vectors.schema[vector_col].dataType.elementType == T.FloatType()
+    kind = np.dtype(np.float32 if single else np.float64)
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<float>" if single else "array<double>").alias("v"))
     whole = F.col("vec_id").isNotNull() & F.col("v").isNotNull() & F.forall(
-        "v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists("v", lambda x: x != 0)
+        "v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(float("inf")))) & F.exists("v", lambda x: x != 0)
     usable = F.coalesce(whole, F.lit(False))
     valid = rows.where(usable).withColumn("h", F.xxhash64("v"))
     points = stored(valid.groupBy("h", "v").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")), "points")
@@ -106,8 +116,7 @@ def dedup(vectors: DataFrame, *, threshold: float = 0.9, sample_rows: int = 20_0
     if sizes is None:
         return _alone(rows)
     chosen = points.where(F.size("v") == sizes.dim).orderBy(F.xxhash64("id", F.lit(5)), "id").limit(sample_rows).select("v").collect()
-    sample = np.array([r.v for r in chosen])
-    sample /= np.linalg.norm(sample / np.abs(sample).max(1, keepdims=True), axis=1, keepdims=True) * np.abs(sample).max(1, keepdims=True)
+    sample = _unit(np.array([r.v for r in chosen]))
     index = fit(sample, max(1, min(most_lists, round(math.sqrt(sizes["count"]) / 2))))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,36 +125,34 @@ def dedup(vectors: DataFrame, *, threshold: float = 0.9, sample_rows: int = 20_0
             cells = b.column(1).to_pylist()
             ids, copies = b.column(0).to_pylist(), b.column(2).to_pylist()
             main = [k for k, v in enumerate(cells) if len(v) == index.dim]
-            unit = {k: np.array(v) for k, v in enumerate(cells)}
-            for k, v in unit.items():
-                v = v / np.abs(v).max()  # no overflow in the norm
-                unit[k] = v / np.linalg.norm(v)
+            raw = [np.array(v, kind) for v in cells]
 
             def add(group, k, at_home, codes, error):
-                for o, value in zip(out, (group, ids[k], copies[k], at_home, codes, error, unit[k].tobytes()), strict=True):
+                for o, value in zip(out, (group, ids[k], copies[k], at_home, codes, error, raw[k].tobytes()), strict=True):
                     o.append(value)
 
             for k in range(len(cells)):
                 if len(cells[k]) != index.dim:
                     add(-len(cells[k]), k, True, b"", 0.0)
             if main:
-                home, near, codes, error = place(index, np.stack([unit[k] for k in main]), reach)
+                home, near, codes, error = place(index, _unit(np.stack([raw[k] for k in main])), probe_reach(threshold, index.dim))
                 for i, k in enumerate(main):
                     add(int(home[i]), k, True, codes[i].tobytes(), float(error[i]))
                     for g in near[i].tolist():
                         add(g, k, False, b"", 0.0)
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.float64(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, kinds, strict=True)],
-                                             ["group", "id", "copies", "home", "codes", "error", "unit"])
+                                             ["group", "id", "copies", "home", "codes", "error", "vector"])
 
     listed = stored(points.select("id", "v", "copies").mapInArrow(
-        assign, "group long, id long, copies long, home boolean, codes binary, error double, unit binary"), "lists")
-    listed = listed.join(listed.groupBy("group").agg(F.count("*").alias("members")), "group")
+        assign, "group long, id long, copies long, home boolean, codes binary, error double, vector binary"), "lists")
+    sizes = listed.groupBy("group").agg(F.count_if("home").alias("members"), F.count_if(~F.col("home")).alias("guests"))
+    listed = listed.join(sizes.where("members > 0"), "group")
 
     def kernel(a: pa.Table, b: pa.Table | None, group: int):
         def read(t: pa.Table):
             return (np.array(t["id"]), np.array(t["copies"]), np.array(t["home"].to_pylist(), bool), t["codes"].to_pylist(),
-                    np.array(t["error"]), np.frombuffer(b"".join(t["unit"].to_pylist()), np.float64).reshape(t.num_rows, -1))
+                    np.array(t["error"]), _unit(np.frombuffer(b"".join(t["vector"].to_pylist()), kind).reshape(t.num_rows, -1)))
 
         parts = [read(a)] + ([read(b)] if b is not None else [])
         links: dict[int, int] = {}
@@ -185,7 +192,7 @@ def dedup(vectors: DataFrame, *, threshold: float = 0.9, sample_rows: int = 20_0
         nodes, roots = spanning(np.concatenate(left), np.concatenate(right)) if left else ([], [])
         return nodes + list(links), roots + [None] * len(links), [None] * len(nodes) + list(links.values())
 
-    found = stored(blocks.compare(listed, block, kernel), "vector-links")
+    found = stored(blocks.compare(listed, block, kernel, visitors=True), "vector-links")
     degree = found.where("links IS NOT NULL").groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("links"))
     joined = components(found.where("b IS NOT NULL")).withColumnRenamed("node", "id")
     result = points.join(degree, "id", "left").join(joined, "id", "left").select(
@@ -200,6 +207,13 @@ def _alone(rows: DataFrame) -> DataFrame:
     return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
 
 
+def _unit(x: np.ndarray) -> np.ndarray:
+    """Rows at length one in double precision, without overflow on the way."""
+    x = x.astype(np.float64)
+    x = x / np.abs(x).max(1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def _sums(ids: np.ndarray, values: np.ndarray) -> tuple[list[int], list[int]]:
     nodes, at = np.unique(ids, return_inverse=True)
     return nodes.tolist(), np.bincount(at, values, len(nodes)).astype(np.int64).tolist()
