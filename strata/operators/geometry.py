@@ -28,7 +28,8 @@ VERTEX_FIELDS = "part int, kind int, ring int, seq int, x double, y double, z do
 SEGMENT_FIELDS = "part int, kind int, ring int, seq int, closes boolean, x1 double, y1 double, x2 double, y2 double"
 PLACED_FIELDS = "body int, part int, ring int, seq int, rings int, x1 double, y1 double, x2 double, y2 double, " \
     "level int, cx bigint, cy bigint"
-COLUMN_FIELDS = "body int, part int, ring int, sample boolean, x1 double, y1 double, x2 double, y2 double, cx bigint"
+COLUMN_FIELDS = "body int, part int, ring int, sample boolean, x1 double, y1 double, x2 double, y2 double, cx bigint, " \
+    "level int, cy bigint"
 
 
 # point structs ------------------------------------------------------------
@@ -417,6 +418,8 @@ BAD_COORDINATE, NOT_CLOSED, TOO_FEW, CROSSING, UNCHECKED, HOLE_OUTSIDE, NESTED_H
 # Squares with more segments are divided again, DIVISION times per axis and level.
 CROWDED, DIVISION, LEVELS = 32, 4, 8
 FINEST = 1e-15
+# Boxes of a strip grow by this factor from level to level.
+BOX_GROWTH, BOX_LEVELS = 8, 8
 
 
 def _expand(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -539,7 +542,11 @@ def _placed_rows(group: Group) -> tuple[np.ndarray, list[np.ndarray]]:
 
 
 def _column_rows(group: Group) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Segments of geometries with several rings, per vertical strip, and one sample vertex of each ring."""
+    """Segments of geometries with several rings, per vertical strip, and one sample vertex of each ring.
+
+    Strips are cut into boxes: a segment stands in those that its ring's height spans, on the level whose boxes are at
+    least as high as the ring, so in two at most; a sample stands in its box of every level.
+    """
     found = _sides(group)
     if found is None:
         return NOTHING
@@ -547,17 +554,30 @@ def _column_rows(group: Group) -> tuple[np.ndarray, list[np.ndarray]]:
     several = rings > 1
     left, right = np.minimum(s[:, 0], s[:, 2]), np.maximum(s[:, 0], s[:, 2])
     first, last = (np.floor(v / side).astype(np.int64) for v in (left, right))
-    at = np.flatnonzero(several)
-    row, cx = _expand(first[at], last[at])
-    row = at[row]
     # rows of a ring are consecutive: its first row is its sample
     starts = np.ones(len(owner), bool)
     starts[1:] = np.any([k[1:] != k[:-1] for k in (owner, part, ring)], axis=0)
-    sample = np.flatnonzero(starts & several)
+    of = np.cumsum(starts) - 1
+    low = np.minimum.reduceat(s[:, [1, 3]].min(axis=1), np.flatnonzero(starts))
+    high = np.maximum.reduceat(s[:, [1, 3]].max(axis=1), np.flatnonzero(starts))
+    with np.errstate(divide="ignore", over="ignore"):
+        level = np.ceil(np.log((high - low) / side[starts]) / np.log(BOX_GROWTH))
+    level = np.clip(np.nan_to_num(level, nan=0.0, posinf=BOX_LEVELS, neginf=0.0), 0, BOX_LEVELS).astype(np.int32)
+    box = side[starts] * float(BOX_GROWTH) ** level
+    at = np.flatnonzero(several)
+    row, cx = _expand(first[at], last[at])
+    row = at[row]
+    number = of[row]
+    again, cy = _expand(np.floor(low[number] / box[number]).astype(np.int64), np.floor(high[number] / box[number]).astype(np.int64))
+    row, cx, wall_level = row[again], cx[again], level[number[again]]
+    sample = np.repeat(np.flatnonzero(starts & several), BOX_LEVELS + 1)
+    levels = np.tile(np.arange(BOX_LEVELS + 1, dtype=np.int32), len(sample) // (BOX_LEVELS + 1))
+    n_walls = len(row)
     row = np.concatenate([row, sample])
     cx = np.concatenate([cx, np.floor(s[sample, 0] / side[sample]).astype(np.int64)])
-    is_sample = np.arange(len(row)) >= len(row) - len(sample)
-    return owner[row], [body[row], part[row], ring[row], is_sample, *s[row].T, cx]
+    cy = np.concatenate([cy, np.floor(s[sample, 1] / (side[sample] * float(BOX_GROWTH) ** levels)).astype(np.int64)])
+    is_sample = np.arange(len(row)) >= n_walls
+    return owner[row], [body[row], part[row], ring[row], is_sample, *s[row].T, cx, np.concatenate([wall_level, levels]), cy]
 
 
 def placed_segments(df: DataFrame, fid: str = "fid", geom: str = "geometry") -> DataFrame:
@@ -641,18 +661,19 @@ def nesting_faults(df: DataFrame, fid: str = "fid", geom: str = "geometry") -> D
     """(feature, fault code) of rings that do not touch but lie wrongly inside or outside others.
 
     A ring lies inside another one when a ray up from its sample vertex crosses that ring an
-    odd number of times; only segments in the sample's own strip can be crossed.
+    odd number of times; only segments in the sample's own strip can be crossed, and only those of a ring
+    whose height spans the sample matter.
     """
     strips = _spread(df, fid, geom, COLUMN_FIELDS, _column_rows)
-    samples = strips.where("sample").selectExpr(fid, "body", "part", "ring", "x1 as px", "y1 as py", "cx")
+    samples = strips.where("sample").selectExpr(fid, "body", "part", "ring", "x1 as px", "y1 as py", "cx", "level", "cy")
     walls = strips.where("not sample").selectExpr(
-        fid, "body", "cx", "part as other", "ring as other_ring", "x1", "y1", "x2", "y2")
+        fid, "body", "cx", "level", "cy", "part as other", "ring as other_ring", "x1", "y1", "x2", "y2")
     x, y = F.col("px"), F.col("py")
     spans = (F.least("x1", "x2") <= x) & (x < F.greatest("x1", "x2"))
     at = F.col("y1") + (F.col("y2") - F.col("y1")) * ((x - F.col("x1")) / (F.col("x2") - F.col("x1")))
     foreign = (F.col("part") != F.col("other")) | (F.col("ring") != F.col("other_ring"))
     same = F.lit(True)
-    for k in (fid, "body", "cx"):
+    for k in (fid, "body", "cx", "level", "cy"):
         same = same & (F.col(f"r.{k}") == F.col(f"w.{k}"))
     crossed = F.when(foreign & spans, at > y).otherwise(False)
     # a sample that meets nothing stays, with other NULL

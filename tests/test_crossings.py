@@ -156,3 +156,25 @@ def test_nesting_matches_boxes(spark):
     df = spark.createDataFrame([(i, bytearray(c)) for i, c in enumerate(cells)], "fid long, geometry binary")
     got = {r.fid: r.reason for r in geometry.validity(df.repartition(4)).collect()}
     assert got == dict(enumerate(expected))
+
+
+def test_holes_in_a_column_meet_few_walls(spark):
+    """The pairs of samples and walls grow with the holes and not with their square."""
+    from pyspark.sql import functions as F
+
+    from strata.operators.geometry import COLUMN_FIELDS, _column_rows, _spread
+
+    def column(n):
+        holes = [[(1, 3 * k + 1), (2, 3 * k + 1), (2, 3 * k + 2), (1, 3 * k + 2), (1, 3 * k + 1)] for k in range(n)]
+        shell = [(0, 0), (3, 0), (3, 3 * n + 1), (0, 3 * n + 1), (0, 0)]
+        return polygon(shell, *holes)
+
+    def pairs(n):
+        df = spark.createDataFrame([(1, bytearray(column(n)))], "fid long, geometry binary")
+        strips = _spread(df, "fid", "geometry", COLUMN_FIELDS, _column_rows)
+        keys = ["fid", "body", "cx", "level", "cy"]
+        a = strips.where("sample").groupBy(*keys).agg(F.count("*").alias("a"))
+        b = strips.where("not sample").groupBy(*keys).agg(F.count("*").alias("b"))
+        return a.join(b, keys).agg(F.sum(F.col("a") * F.col("b"))).first()[0]
+
+    assert pairs(4000) < 6 * pairs(1000)
