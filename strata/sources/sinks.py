@@ -7,7 +7,6 @@ manifest row. Nothing is collected but counts.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -20,32 +19,11 @@ from pyspark.sql import types as T
 from ..operators import columns, geometry, reshape
 from ..operators.quality import GateError
 
-LOCAL_DIR = "spark.strata.localDir"
-
 # Rows per insert batch of the database sinks.
 SURVEY_BATCH = 5_000
 ASSAY_BATCH = 10_000
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: the session's checkpoint directory.
-
-    Only a local session without one falls back to a temporary folder.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(LOCAL_DIR, None)
-    if configured:
-        return configured.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
-        spark.conf.set(LOCAL_DIR, tempfile.mkdtemp(prefix="strata-"))
-        return spark.conf.get(LOCAL_DIR)
-    raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-
-
-def new_run_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared one."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def write_layer(df: DataFrame, root: str, rel: str, name: str, gates: dict[str, Column] | None = None,
                 check: Callable[[DataFrame], None] | None = None) -> str:
     """Write a new run of the layer ``<root>/<rel>/<name>``, check it, and only then hand it over; returns the run's path.

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.sources.sinks import new_run_dir
 from strata.spec import LabSpec
 
+from .scratch import new_run_dir
+
 NAN_HEX = "000000000000F87F"
 
 

@@ -17,6 +17,7 @@ from .inputs import (
     WEIGHT_SPEC, chem_columns, count_columns, derived, select_text, table, weight_columns,
 )
 from .registry import query
+from .scratch import new_run_dir
 
 # SQL side -----------------------------------------------------------------
 
@@ -640,7 +641,7 @@ def _(spark, d):
 @query("j1_bronze",
        f"WITH bronze AS ({select_text(chem_columns(), 'orders')}) SELECT * FROM bronze")
 def _(spark, d):
-    path = jobs.run_bronze(chem(spark, d), CHEM_SPEC, sinks.new_run_dir(spark, "bronze"))
+    path = jobs.run_bronze(chem(spark, d), CHEM_SPEC, new_run_dir(spark, "bronze"))
     return scan.read_layer_parquet(spark, path)
 
 
@@ -679,7 +680,7 @@ def _(spark, d):
 @query("j6_publish_pivot_join", _PIVOT_JOIN)
 def _(spark, d):
     """Whole run: bronze, survey, assay, publication, views; returns the last view."""
-    paths = jobs.run_lab(chem(spark, d), CHEM_SPEC, sinks.new_run_dir(spark, "lab"))
+    paths = jobs.run_lab(chem(spark, d), CHEM_SPEC, new_run_dir(spark, "lab"))
     return flat_point(spark.read.parquet(paths["chem_pivot_join"]))
 
 
@@ -710,7 +711,7 @@ def _(spark, d):
     """The assays of all seven media in one table on disk."""
     path = jobs.run_all_assays({
         m: (derived(spark, d, t, chem_columns(k)), CHEM_SPEC) for m, (t, k) in _ALL_MEDIA.items()
-    }, sinks.new_run_dir(spark, "media"))
+    }, new_run_dir(spark, "media"))
     return spark.read.parquet(path)
 
 
@@ -720,7 +721,7 @@ def _(spark, d):
     from uuid import uuid4
     name = f"c3_{uuid4().hex[:12]}"
     bronze = chem(spark, d)
-    sinks.clone_schema(jobs.survey_frame(bronze, CHEM_SPEC).drop("geometry"), name, path=sinks.new_run_dir(spark, "c3"))
+    sinks.clone_schema(jobs.survey_frame(bronze, CHEM_SPEC).drop("geometry"), name, path=new_run_dir(spark, "c3"))
     spec = jobs.with_target_columns(spark, dataclasses.replace(CHEM_SPEC, survey_columns=()), name)
     return flat_point(jobs.survey_frame(bronze, spec))
 

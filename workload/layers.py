@@ -15,6 +15,7 @@ from strata.spec import FeatureSpec, feature_specs
 from .inputs import CHEM_SPEC, SHAPES, double_hex, features, features_sql, select_text, swap8, table, vertices_sql
 from .lab import SURVEY_SQL, chem, sql_chem
 from .registry import query
+from .scratch import new_run_dir
 
 _FEATS = f"feats AS ({features_sql()})"
 _VERTS = f"verts AS ({vertices_sql()})"
@@ -22,7 +23,7 @@ SPEC = FeatureSpec(source="features", target="layers.features", pk="objectid", g
 
 
 def fresh(spark, name):
-    return sinks.new_run_dir(spark, name)
+    return new_run_dir(spark, name)
 
 
 def new_table(name):
