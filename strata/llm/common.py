@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 #: What separates words: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 SPACES = " \t\n\x0b\x0c\r"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _LOCAL_DIR = "spark.strata.llm.localDir"
 
 
@@ -38,9 +39,14 @@ def run_dir(spark: SparkSession, name: str) -> str:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written to the shared folder and read again: later readers neither recompute them nor need this executor."""
-    path = run_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    spark, path = df.sparkSession, run_dir(df.sparkSession, name)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")  # what was shuffled for the table is of no use once it is written
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.parquet(path)
 
 
 def forget(df: DataFrame) -> None:

@@ -10,59 +10,71 @@ from .common import SPACES, stored
 EDITS = 2
 LEAST = 24
 # Letters whose counts make up a line's sketch.
-LETTERS = "entiaosr"
+LETTERS = "entiaos"
 
 
-def _segment(n: Column, i: int, parts: int) -> tuple[Column, Column]:
+def _segment(n: Column, i: Column, parts: int) -> tuple[Column, Column]:
     """Start (from 0) and length of segment i of a line of n characters; the last segments take the remainder."""
-    size, more = F.floor(n / parts).cast("int"), (n % parts).cast("int")
-    first_long = parts - more
-    return size * i + F.greatest(F.lit(0), F.lit(i) - first_long), size + (F.lit(i) >= first_long).cast("int")
+    more = n % parts
+    size = ((n - more) / parts).cast("int")
+    return size * i + F.greatest(F.lit(0), i - parts + more), size + (i >= parts - more).cast("int")
 
 
-def _key(line: Column, n: Column, i: int, at: Column, size: Column) -> Column:
-    return F.xxhash64(n, F.lit(i), F.substring(line, at + 1, size))
+def _key(line: Column, n: Column, i: Column, at: Column, size: Column) -> Column:
+    return F.xxhash64(n, i, F.substring(line, at + 1, size))
 
 
-def index_keys(line: Column, n: Column, edits: int) -> Column:
-    parts = edits + 1
-    return F.array(*[_key(line, n, i, *_segment(n, i, parts)) for i in range(parts)])
-
-
-def probe_keys(line: Column, n: Column, edits: int) -> Column:
-    """Where a segment of a line of n or up to ``edits`` fewer characters can lie in this one.
+def places(edits: int, index: bool) -> list[tuple[int, int, int]]:
+    """(characters fewer, segment, shift): where a segment of a line of equal or smaller length can lie in this one.
 
     A pair within the distance has a segment i without edits that has at most i edits before it and at most
-    ``edits`` - i behind it, which bounds the shift from both ends. Unshifted segments of equal length are left out:
-    they are index keys.
+    ``edits`` - i behind it, which bounds the shift from both ends. Unshifted segments of equal length are a line's
+    index keys; the others are only probed.
     """
-    parts, out = edits + 1, []
-    for less in range(edits + 1):
-        for i in range(parts):
-            at, size = _segment(n - less, i, parts)
-            for shift in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1):
-                if less or shift:
-                    where = at + shift
-                    inside = (where >= 0) & (where + size <= n)
-                    out.append(F.when(inside, _key(line, n - less, i, where, size)))
-    return F.array(*out)
+    out = [(less, i, shift) for less in range(edits + 1) for i in range(edits + 1)
+           for shift in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1)]
+    return [p for p in out if (p[0] == p[2] == 0) or not index]
+
+
+def keys(lines: DataFrame, edits: int, index: bool) -> DataFrame:
+    """``id, letters, key`` for every place of every line (``id, letters, line, n``)."""
+    spots = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(("less", "i", "shift"), p, strict=True)]) for p in places(edits, index)])
+    each = lines.select("id", "letters", "line", "n", F.inline(spots))
+    at, size = _segment(F.col("n") - F.col("less"), F.col("i"), edits + 1)
+    # the sketch's free bit tells keys that are in the index too from those that are only probed
+    mark = F.when((F.col("less") == 0) & (F.col("shift") == 0), F.col("letters").bitwiseOR(F.lit(-(2**63)))).otherwise(F.col("letters"))
+    return each.select("id", mark.alias("letters"), _key(F.col("line"), F.col("n") - F.col("less"), F.col("i"), at + F.col("shift"), size).alias("key"))
 
 
 def letter_counts(line: Column) -> Column:
-    """Counts of eight letters, a byte each: one edit changes their sum of differences by two at most."""
-    total = F.lit(0).cast("long")
+    """Counts of seven letters, a byte each, and the length in seven bits; the highest bit is free."""
+    total = F.shiftleft(F.pmod(F.length(line), F.lit(128)).cast("long"), 8 * len(LETTERS))
     for k, c in enumerate(LETTERS):
         count = F.pmod(F.length(line) - F.length(F.replace(line, F.lit(c), F.lit(""))), F.lit(256)).cast("long")
         total = total.bitwiseOR(F.shiftleft(count, 8 * k))
     return total
 
 
-def _apart(a: Column, b: Column) -> Column:
-    total = F.lit(0)
+def _may_be_near(a: Column, b: Column, edits: int) -> Column:
+    """Could lines of these counts be within the distance?
+
+    A replaced character changes the counts of all letters, those of no letter listed taken together, by two at most, a
+    character more or less by one. So their differences sum up to two an edit, less one for each character that one line has more.
+    """
+    def byte(x: Column, k: int) -> Column:
+        return F.shiftrightunsigned(x, 8 * k).bitwiseAND(255).cast("int")
+
+    def gap(x: Column, y: Column, around: int = 256) -> Column:
+        d = F.abs(x - y)
+        return F.least(d, around - d)
+
+    total, rest_a, rest_b = F.lit(0), byte(a, len(LETTERS)).bitwiseAND(127), byte(b, len(LETTERS)).bitwiseAND(127)
+    longer = gap(rest_a, rest_b, 128)
     for k in range(len(LETTERS)):
-        d = F.abs(F.shiftrightunsigned(a, 8 * k).bitwiseAND(255) - F.shiftrightunsigned(b, 8 * k).bitwiseAND(255))
-        total = total + F.least(d, 256 - d)
-    return total
+        total = total + gap(byte(a, k), byte(b, k))
+        rest_a, rest_b = rest_a - byte(a, k), rest_b - byte(b, k)
+    others = gap(F.pmod(rest_a, F.lit(128)), F.pmod(rest_b, F.lit(128)), 128)
+    return total + others <= 2 * edits - longer
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -75,25 +87,20 @@ def lines_of(docs: DataFrame) -> DataFrame:
 def near_pairs(distinct: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
     """``a, b``: ids of different lines of ``least`` characters or more within ``edits`` edits; each pair once.
 
-    ``distinct`` has ``id, line``. Only ids, keys and sketches are shuffled; candidates whose letter counts are too far
-    apart never leave the join. Texts are looked up for the others and compared by Spark's banded edit distance.
+    ``distinct`` has ``id, line, letters``. Only ids, keys and sketches are shuffled; candidates whose letter counts are
+    too far apart never leave the join. Texts are looked up for the others and compared by Spark's banded edit distance.
     """
-    base = distinct.withColumn("n", F.length("line")).where(F.col("n") >= max(least, edits + 1)).select(
-        "id", "line", "n", letter_counts(F.col("line")).alias("letters"))
-    line, n = F.col("line"), F.col("n")
-    index = base.select("id", "letters", F.explode(index_keys(line, n, edits)).alias("key"))
-    probe = base.select("id", "letters", F.explode(F.array_compact(probe_keys(line, n, edits))).alias("key"))
-    left = index.select("key", F.col("id").alias("a"), F.col("letters").alias("a_letters"), F.lit(True).alias("same"))
-    right = (index.select("key", "id", "letters", F.lit(True).alias("whole"))
-             .union(probe.select("key", "id", "letters", F.lit(False).alias("whole"))))
-    right = right.select("key", F.col("id").alias("b"), F.col("letters").alias("b_letters"), "whole")
-    apart = _apart(F.col("a_letters"), F.col("b_letters")) <= 2 * edits
-    distinct_pair = F.when(F.col("whole"), F.col("a") < F.col("b")).otherwise(F.col("a") != F.col("b"))
-    found = left.drop("same").join(right, (left["key"] == right["key"]) & distinct_pair & apart)
-    pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    texts = distinct.select(F.col("id"), F.col("line"))
-    both = (pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("a_line")), "a")
-            .join(texts.select(F.col("id").alias("b"), F.col("line").alias("b_line")), "b"))
+    base = distinct.withColumn("n", F.length("line")).where(F.col("n") >= max(least, 3 * (edits + 1)))
+    left = keys(base, edits, True).toDF("a", "a_letters", "key")
+    right = keys(base, edits, False).toDF("b", "b_letters", "key_b")
+    near = _may_be_near(F.col("a_letters"), F.col("b_letters"), edits)
+    # two index keys meet from both sides, so once is enough
+    once = F.when(F.col("b_letters") < 0, F.col("a") < F.col("b")).otherwise(F.col("a") != F.col("b"))
+    found = left.join(right, (F.col("key") == F.col("key_b")) & once & near)
+    pairs = stored(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-candidates")
+    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    texts = stored(distinct.select("id", "line").join(wanted, "id", "left_semi"), "candidate-lines")
+    both = pairs.join(texts.toDF("a", "a_line"), "a").join(texts.toDF("b", "b_line"), "b")
     return both.where(F.levenshtein("a_line", "b_line", edits) >= 0).select("a", "b")
 
 
@@ -114,20 +121,25 @@ def dedup(docs: DataFrame, *, edits: int = EDITS, least: int = LEAST, carry: lis
     # two hashes name a line: equal lines meet without their texts as a key
     first = rows.where("line != ''").groupBy(F.xxhash64("line").alias("id"), F.hash("line").alias("id2")).agg(
         F.min(F.struct("doc_id", "line_no", "raw")).alias("first"))
-    lines = stored(first.select("id", "first.*").withColumn("line", F.btrim("raw", F.lit(SPACES))), "lines")
-    pairs = stored(near_pairs(lines.select("id", "line"), edits, least), "line-pairs")
+    named = first.select("id", "first.*")
+    line = F.btrim("raw", F.lit(SPACES))
+    lines = stored(named.withColumn("letters", letter_counts(line)), "lines").withColumn("line", line)
+    pairs = stored(near_pairs(lines.select("id", "line", "letters"), edits, least), "line-pairs")
     place = lines.select("id", F.struct("doc_id", "line_no").alias("at"))
-    later = (
+    gone = (
         pairs.join(place.select(F.col("id").alias("a"), F.col("at").alias("a_at")), "a")
         .join(place.select(F.col("id").alias("b"), F.col("at").alias("b_at")), "b")
-        .select(F.when(F.col("a_at") > F.col("b_at"), F.col("a")).otherwise(F.col("b")).alias("id")).distinct()
-        .withColumn("near", F.lit(True))
+        .select(F.greatest("a_at", "b_at").alias("at")).distinct()
+        .select("at.*", F.lit(None).cast("string").alias("raw"), F.lit(True).alias("near"))
     )
-    marked = lines.join(later, "id", "left").select("doc_id", "line_no", "raw", F.coalesce("near", F.lit(False)).alias("near"))
-    blank = rows.where("line = ''").select("doc_id", "line_no", "raw", F.lit(False).alias("near")).distinct()
-    kept = marked.union(blank).groupBy("doc_id").agg(
-        F.array_sort(F.collect_list(F.when(~F.col("near"), F.struct("line_no", "raw")))).alias("kept"),
-        F.count_if("near").alias("n_near"))
+    blank = rows.where("line = ''").select("doc_id", "line_no", "raw").distinct()
+    there = lines.select("doc_id", "line_no", "raw").union(blank).withColumn("near", F.lit(False))
+    # the lines that first occur in a document, and which of them go; only a document's own lines meet
+    own = there.union(gone).groupBy("doc_id").agg(
+        F.array_sort(F.collect_list(F.when(~F.col("near"), F.struct("line_no", "raw")))).alias("all"),
+        F.collect_list(F.when(F.col("near"), F.col("line_no"))).alias("gone"))
+    kept = own.select("doc_id", F.filter("all", lambda x: ~F.array_contains(F.col("gone"), x["line_no"])).alias("kept"),
+                      F.size("gone").alias("n_near"))
     kept = kept.select("doc_id", "n_near", F.size("kept").alias("n_kept"), F.array_join(F.col("kept.raw"), "\n").alias("new"))
     row = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")] if carry else []
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *row, F.col("text").isNull().alias("none"),
