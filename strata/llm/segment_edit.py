@@ -99,7 +99,7 @@ def near_pairs(distinct: DataFrame, edits: int = EDITS, least: int = LEAST) -> D
     found = left.join(right, (F.col("key") == F.col("key_b")) & once & near)
     pairs = stored(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-candidates")
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    texts = stored(distinct.select("id", "line").join(wanted, "id", "left_semi"), "candidate-lines")
+    texts = stored(distinct.select("id", "line").join(wanted.hint("merge"), "id", "left_semi"), "candidate-lines")
     both = pairs.join(texts.toDF("a", "a_line"), "a").join(texts.toDF("b", "b_line"), "b")
     return both.where(F.levenshtein("a_line", "b_line", edits) >= 0).select("a", "b")
 
@@ -125,7 +125,8 @@ def dedup(docs: DataFrame, *, edits: int = EDITS, least: int = LEAST, carry: lis
     line = F.btrim("raw", F.lit(SPACES))
     lines = stored(named.withColumn("letters", letter_counts(line)), "lines").withColumn("line", line)
     pairs = stored(near_pairs(lines.select("id", "line", "letters"), edits, least), "line-pairs")
-    place = lines.select("id", F.struct("doc_id", "line_no").alias("at"))
+    # both sides grow with the input: planned as merges at every size
+    place = lines.select("id", F.struct("doc_id", "line_no").alias("at")).hint("merge")
     gone = (
         pairs.join(place.select(F.col("id").alias("a"), F.col("at").alias("a_at")), "a")
         .join(place.select(F.col("id").alias("b"), F.col("at").alias("b_at")), "b")
