@@ -1,10 +1,10 @@
 """Embedding near-dedup by product quantisation.
 
-Coarse inverted lists, residual subspace codes with the error of each code kept, table-lookup distances over the lists
-that are likely to hold a neighbour, and an exact cosine rerank. A neighbour at cosine t lies about (1 - t) towards the
-origin and sqrt(1 - t^2) to a side, of which 1 / sqrt(dimension) points towards any one centroid; a list is probed if the
-bisecting hyperplane towards its centroid is within ``SIGMAS`` such steps, or within the full distance if that is
-less. The second filter is a bound: a code is a candidate if its looked-up distance less its error is within reach.
+Coarse inverted lists, residual subspace codes with the error of each code kept, code distances over the lists that can
+hold a neighbour, and an exact cosine rerank. Every filter is a bound, so no link is lost whatever the vectors look like:
+a list is probed if the bisecting hyperplane towards its centroid is within the full distance, and a code is a candidate
+if its distance less its error is within reach. In many dimensions that probes most lists, so vectors are not sent to the
+lists: they first meet shards of codes alone, and only the lists that hold a candidate get the vector.
 """
 
 from __future__ import annotations
@@ -20,15 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import blocks
-from .common import stored
+from .common import sorted_groups, stored
 from .components import components, spanning
 
-SIGMAS = 3.5
-
-
-def probe_reach(threshold: float, dim: int) -> float:
-    return min(math.sqrt(2 - 2 * threshold), SIGMAS * math.sqrt(1 - threshold**2) / math.sqrt(dim) / threshold) + 1e-6
-
 
 @dataclass
 class Index:
@@ -63,22 +57,35 @@ def fit(sample: np.ndarray, lists: int, subspaces: int = 16, codes: int = 256, s
     return Index(coarse, np.stack([_kmeans(rest[:, k], size, rng) for k in range(m)]))
 
 
-def place(index: Index, x: np.ndarray, reach: float) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
-    """Home list, lists of a smaller number within reach, codes and code errors of unit vectors."""
+def probed(index: Index, x: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
+    """Home list of unit vectors, and which lists of a smaller number can hold a vector within reach."""
     c = index.coarse
     d2 = np.maximum(0, (x * x).sum(1)[:, None] - 2 * x @ c.T + (c * c).sum(1))
     home = d2.argmin(1)
     gap = (d2 - d2[np.arange(len(x)), home][:, None]) / 2
     between = np.sqrt(np.maximum(1e-30, (c * c).sum(1)[:, None] + (c * c).sum(1) - 2 * c @ c.T))
-    near = (gap <= reach * between[home] + 1e-9) & (np.arange(len(c)) < home[:, None])
-    rest = (x - c[home]).reshape(len(x), *index.books.shape[::2])
+    return home, (gap <= reach * between[home] + 1e-9) & (np.arange(len(c)) < home[:, None])
+
+
+def encode(index: Index, x: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes and code errors of unit vectors."""
+    rest = (x - index.coarse[home]).reshape(len(x), *index.books.shape[::2])
     codes = np.empty((len(x), len(index.books)), np.uint8)
     error = np.zeros(len(x))
     for k, book in enumerate(index.books):
         d = (rest[:, k] ** 2).sum(1)[:, None] - 2 * rest[:, k] @ book.T + (book * book).sum(1)
         codes[:, k] = d.argmin(1)
         error += ((rest[:, k] - book[codes[:, k]]) ** 2).sum(1)
-    return home, [np.flatnonzero(r) for r in near], codes, np.sqrt(error)
+    return codes, np.sqrt(error)
+
+
+def _holds(index: Index, queries: np.ndarray, group: int, codes: np.ndarray, error: np.ndarray, reach: float) -> np.ndarray:
+    """Which unit queries have a candidate among coded rows of one list: the sums of the lookup tables as one product."""
+    coded = index.coarse[group] + np.concatenate([book[codes[:, k]] for k, book in enumerate(index.books)], axis=1)
+    # |q - y| <= reach + error, solved for q . y; the margin covers single precision
+    least = (1 + (coded * coded).sum(1) - (reach + error) ** 2) / 2 - 1e-4
+    y, least = coded.astype(np.float32).T, least.astype(np.float32)
+    return np.concatenate([(queries[k:k + 1024].astype(np.float32) @ y >= least).any(1) for k in range(0, len(queries), 1024)])
 
 
 def _within(index: Index, queries: np.ndarray, centroid: np.ndarray, codes: np.ndarray, error: np.ndarray, reach: float) -> np.ndarray:
@@ -92,12 +99,12 @@ def _within(index: Index, queries: np.ndarray, centroid: np.ndarray, codes: np.n
 
 
 def dedup(vectors: DataFrame, *, threshold: float = 0.9, sample_rows: int = 20_000, most_lists: int = 1024,
-          block: int = 2048, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+          block: int = 2048, shard: int = 65_536, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row.
 
     Equal vectors are one point with a multiplicity, so copies are never paired. The index is fitted on at most
-    ``sample_rows`` points chosen by hash, and every point is indexed. Links are counted block by block; only a
-    spanning forest of each block pair is written.
+    ``sample_rows`` points chosen by hash, and every point is indexed. ``shard`` is the number of codes that a vector
+    meets at once. Links are counted block by block; only a spanning forest of each block pair is written.
 
     Vectors that are null, zero, or hold null or non-finite components link with nothing, as do rows with a null id;
     vectors link only with those of their own length. Lengths other than the commonest have no lists but one, so all
@@ -121,31 +128,29 @@ def dedup(vectors: DataFrame, *, threshold: float = 0.9, sample_rows: int = 20_0
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: tuple[list, ...] = ([], [], [], [], [], [], [])
-            cells = b.column(1).to_pylist()
-            ids, copies = b.column(0).to_pylist(), b.column(2).to_pylist()
-            main = [k for k, v in enumerate(cells) if len(v) == index.dim]
-            raw = [np.array(v, kind) for v in cells]
-
-            def add(group, k, at_home, codes, error):
-                for o, value in zip(out, (group, ids[k], copies[k], at_home, codes, error, raw[k].tobytes()), strict=True):
-                    o.append(value)
-
-            for k in range(len(cells)):
-                if len(cells[k]) != index.dim:
-                    add(-len(cells[k]), k, True, b"", 0.0)
-            if main:
-                home, near, codes, error = place(index, _unit(np.stack([raw[k] for k in main])), probe_reach(threshold, index.dim))
-                for i, k in enumerate(main):
-                    add(int(home[i]), k, True, codes[i].tobytes(), float(error[i]))
-                    for g in near[i].tolist():
-                        add(g, k, False, b"", 0.0)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.float64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, kinds, strict=True)],
-                                             ["group", "id", "copies", "home", "codes", "error", "vector"])
-
-    listed = stored(points.select("id", "v", "copies").mapInArrow(
-        assign, "group long, id long, copies long, home boolean, codes binary, error double, vector binary"), "lists")
+            h, ids, copies = b.column(0), b.column(1), b.column(3)
+            raw = [np.array(v, kind) for v in b.column(2).to_pylist()]
+            group = np.array([-len(v) for v in raw], np.int64)
+            codes, error = [b""] * len(raw), np.zeros(len(raw))
+            main = np.array([k for k, v in enumerate(raw) if len(v) == index.dim], np.int64)
+            if len(main):
+                x = _unit(np.stack([raw[k] for k in main]))
+                group[main] = probed(index, x, reach)[0]
+                coded, error[main] = encode(index, x, group[main])
+                for k, c in zip(main.tolist(), coded, strict=True):
+                    codes[k] = c.tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(group), h, ids, copies, pa.array(codes, pa.binary()), pa.array(error), pa.array([v.tobytes() for v in raw], pa.binary())],
+                ["group", "h", "id", "copies", "codes", "error", "vector"])
+
+    placed = stored(points.select("h", "id", "v", "copies").mapInArrow(
+        assign, "group long, h long, id long, copies long, codes binary, error double, vector binary"), "lists")
+    asked = _visits(placed.where("group >= 0"), index, kind, reach, shard)
+    home = placed.withColumn("home", F.lit(True))
+    # a key of its own for every point: ids can repeat
+    away = placed.drop("group", "codes", "error").join(asked, ["id", "h"]).withColumns(
+        {"home": F.lit(False), "codes": F.lit(b""), "error": F.lit(0.0)})
+    listed = stored(home.unionByName(away).drop("h"), "visits")
     sizes = listed.groupBy("group").agg(F.count_if("home").alias("members"), F.count_if(~F.col("home")).alias("guests"))
     listed = listed.join(sizes.where("members > 0"), "group")
 
@@ -203,6 +208,84 @@ def dedup(vectors: DataFrame, *, threshold: float = 0.9, sample_rows: int = 20_0
     return members.union(_alone(rows.where(~usable)))
 
 
+def _visits(placed: DataFrame, index: Index, kind: np.dtype, reach: float, shard: int, most: int = 4096) -> DataFrame:
+    """``id, group, h``: the lists away from home that hold a candidate of a point by the codes.
+
+    Lists are put together to shards of about ``shard`` codes, long lists cut by hash. A point's vector goes once to each shard
+    with a list it probes, in blocks of about ``most`` vectors; of the lists' side only packed codes and errors travel.
+    """
+    counts = {r["group"]: r["count"] for r in placed.groupBy("group").count().collect()}  # a row for each list
+    first, parts, last, room = {}, {}, -1, 0
+    for g in sorted(counts):
+        parts[g] = -(-counts[g] // shard)
+        if counts[g] > room:
+            first[g], last = last + 1, last + parts[g]
+            room = shard - counts[g] if parts[g] == 1 else 0
+        else:
+            first[g], room = last, room - counts[g]
+    cells = np.zeros((len(index.coarse), last + 1), np.float32)
+    for g in counts:
+        cells[g, first[g]:first[g] + parts[g]] = 1
+
+    def shards(b: pa.RecordBatch) -> np.ndarray:
+        x = _unit(np.frombuffer(b"".join(b.column("vector").to_pylist()), kind).reshape(b.num_rows, -1))
+        return probed(index, x, reach)[1].astype(np.float32) @ cells > 0
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array(range(last + 1), pa.int64()), pa.array(shards(b).sum(0), pa.int64())], ["shard", "n"])
+
+    guests = placed.select("vector").mapInArrow(count, "shard long, n long").groupBy("shard").agg(F.sum("n").alias("n")).collect()
+    blocks_of = {r["shard"]: -(-r["n"] // most) for r in guests}
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            out: tuple[list, ...] = ([], [], [], [], [], [], [])
+            group, h, ids = np.array(b.column("group")), b.column("h").to_pylist(), b.column("id").to_pylist()
+            codes, error, vectors = b.column("codes").to_pylist(), np.array(b.column("error")), b.column("vector").to_pylist()
+            part = np.array([x // 7 % parts[g] for x, g in zip(h, group.tolist(), strict=True)], np.int64)
+            for g, p in sorted(set(zip(group.tolist(), part.tolist(), strict=True))):
+                rows = np.flatnonzero((group == g) & (part == p))
+                packed = b"".join(codes[k] for k in rows)
+                for q in range(blocks_of.get(first[g] + p, 0)):
+                    for o, value in zip(out, (first[g] + p, q, g, None, None, packed, error[rows].tobytes()), strict=True):
+                        o.append(value)
+            for k, s in zip(*(x.tolist() for x in np.nonzero(shards(b))), strict=True):
+                for o, value in zip(out, (s, h[k] % blocks_of[s], -1, ids[k], h[k], vectors[k], None), strict=True):
+                    o.append(value)
+            kinds = (*[pa.int64()] * 5, pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, kinds, strict=True)],
+                                             ["shard", "part", "list", "id", "h", "bytes", "error"])
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in sorted_groups(batches, ["shard", "part"]):
+            lists = np.array(t["list"])
+            rows = np.flatnonzero(lists < 0)
+            if not len(rows):
+                continue
+            raw, errors = t["bytes"].to_pylist(), t["error"].to_pylist()
+            x = _unit(np.frombuffer(b"".join(raw[k] for k in rows), kind).reshape(len(rows), -1))
+            near = probed(index, x, reach)[1]
+            ids, h = np.array(t["id"].take(pa.array(rows))), np.array(t["h"].take(pa.array(rows)))
+            out: tuple[list, ...] = ([], [], [])
+            for g in np.unique(lists[lists >= 0]).tolist():
+                held, who = np.flatnonzero(lists == g), np.flatnonzero(near[:, g])
+                if not len(who):
+                    continue
+                codes = np.frombuffer(b"".join(raw[k] for k in held), np.uint8).reshape(-1, len(index.books))
+                who = who[_holds(index, x[who], g, codes, np.frombuffer(b"".join(errors[k] for k in held)), reach)]
+                for o, values in zip(out, (ids[who].tolist(), [g] * len(who), h[who].tolist()), strict=True):
+                    o.extend(values)
+            yield pa.RecordBatch.from_arrays([pa.array(o, pa.int64()) for o in out], ["id", "group", "h"])
+
+    sent = placed.mapInArrow(send, "shard long, part long, list long, id long, h long, bytes binary, error binary")
+    # a list cut over several shards is asked once
+    return sent.repartition("shard", "part").sortWithinPartitions("shard", "part").mapInArrow(look, "id long, group long, h long").distinct()
+
+
 def _alone(rows: DataFrame) -> DataFrame:
     return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
 

@@ -85,6 +85,22 @@ def test_embedding_links(spark, block, lists):
     assert all(r.kept == (r.vec_id == r.component_id) for r in out.collect())
 
 
+@pytest.mark.parametrize("dim,power,shard", [(64, 1.0, 65_536), (64, 1.5, 100), (768, 1.0, 300)])
+def test_embedding_links_of_concentrated_vectors(spark, dim, power, shard):
+    rng = np.random.default_rng(6)
+    scale = np.arange(1, dim + 1) ** -power
+    vectors = rng.normal(size=(1500, dim)) * scale
+    vectors = np.concatenate([vectors, vectors[:500] + 0.3 * rng.normal(size=(500, dim)) * scale])
+    data = [(k, v.astype(np.float32).tolist()) for k, v in enumerate(vectors)]
+    unit = np.array([v for _, v in data])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    links = unit @ unit.T >= 0.9
+    up = components(range(len(data)), [(int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(links, 1)))])
+    out = pq_dedup.dedup(spark.createDataFrame(data, "vec_id long, embedding array<float>").repartition(3), shard=shard)
+    found = {r.vec_id: (r.n_links, r.component_id) for r in out.collect()}
+    assert found == {k: (int(n) - 1, up[k]) for k, n in enumerate(links.sum(1))}
+
+
 def test_no_vectors(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert pq_dedup.dedup(empty).collect() == []
