@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -130,45 +131,57 @@ def join(docs: DataFrame, *, similarity: float = 0.8, recall: float = 0.9995, wi
          small: int = 128, block: int = 256) -> DataFrame:
     """``doc_id, class_id, n_links, component_id, kept`` for every document.
 
-    Documents of one word sequence are a class, named by its smallest doc_id; only classes are joined. ``n_links``
-    counts the other documents at ``similarity`` or more, copies included. ``component_id`` is the smallest doc_id
+    Documents of one word sequence are a class, named by its smallest doc_id; only classes are joined, under a key of
+    their own. ``n_links`` counts the other documents at ``similarity`` or more, copies included. ``component_id`` is the smallest doc_id
     reachable by links, and kept says that the document is its own. A pair is counted in the first bucket it shares.
 
     Null texts, texts without words and null ids link with nothing (their class is their own id). Rows that repeat an id
-    are copies of one another if their text is equal. Other columns are ignored; an empty table gives no rows.
+    are copies of one another if their word sequence is equal, otherwise documents of their own, each with its own
+    links. Other columns are ignored; an empty table gives no rows.
     """
     runs = runs_for(recall, similarity, levels)
     hashed = stored(classes_of(docs, runs, levels), "paths")
     usable = F.col("doc_id").isNotNull() & (F.size("paths") > 0)
     worded = hashed.where(usable)
-    classes = worded.groupBy("one", "two").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"))
-    classes = stored(classes, "classes")
-    # the paths of a class are those of its smallest document
-    reps = worded.join(classes, ["one", "two"]).where(F.col("doc_id") == F.col("id")).select("id", "paths").dropDuplicates(["id"])
+    held = worded.groupBy("one", "two", "doc_id").agg(F.count("*").alias("n"))
+    classes = held.groupBy("one", "two").agg(F.min(F.struct("doc_id", "n")).alias("first"), F.sum("n").alias("copies"))
+    # the key is fixed when the table is written; several texts can have one doc_id
+    classes = stored(classes.select("one", "two", F.col("first.doc_id").alias("first"), F.col("first.n").alias("rows"), "copies",
+                                    F.monotonically_increasing_id().alias("id")), "classes")
+    # a class is read from a row of its smallest document
+    reps = worded.join(classes, ["one", "two"]).where(F.col("doc_id") == F.col("first")).select("id", "paths").dropDuplicates(["id"])
     buckets = stored(_bucketed(reps, runs, levels, small), "members")
     own = buckets.groupBy("id").agg(F.array_sort(F.collect_list("group")).alias("groups"))  # one for each run at most
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    chosen = texts.join(own.join(classes.select("id", "copies"), "id"), "id").select("id", "copies", "groups", "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("first"), F.col("text").cast("string").alias("text"))
+    chosen = texts.join(own.join(classes, "id"), "first").select("id", "copies", "groups", "text", "one", "two", "rows")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            held, texts = [], b.column(3).to_pylist()
+            held, same, texts = [], [], b.column(3).to_pylist()
             for i, j in chunks(texts):
-                out, offsets, _, _ = shingles(texts[i:j], width)
+                out, offsets, one, two = shingles(texts[i:j], width)
                 held += [np.unique(out[s:e]).tobytes() for s, e in zip(offsets[:-1], offsets[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(held, pa.binary())],
-                                             ["id", "copies", "groups", "tokens"])
-
-    tokens = stored(chosen.mapInArrow(sets, "id long, copies long, groups array<long>, tokens binary"), "sets")
+                same += [_signed(one), _signed(two)]
+            # another text under the id of the class is not its text
+            own_text = [pc.equal(b.column(4 + k), pa.concat_arrays(same[k::2])) for k in (0, 1)] if same else []
+            made = pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(held, pa.binary()), b.column(6)],
+                                              ["id", "copies", "groups", "tokens", "rows"])
+            yield made.filter(pc.and_(*own_text)) if same else made
+
+    made = stored(chosen.mapInArrow(sets, "id long, copies long, groups array<long>, tokens binary, rows long"), "sets")
+    # a document that is there several times gives its set once
+    tokens = made.where("rows = 1").union(made.where("rows > 1").dropDuplicates(["id"])).drop("rows")
     kernel = _kernel(similarity)
     found = stored(blocks.compare(buckets.join(tokens, "id"), block, kernel), "text-links")
     degree = found.where("links IS NOT NULL").groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("links"))
     linked = components(found.where("b IS NOT NULL")).withColumnRenamed("node", "id")
-    for table in (tokens, buckets):
+    least = linked.join(classes, "id").groupBy("component").agg(F.min("first").alias("least"))
+    linked = linked.join(least, "component").select("id", "least")
+    for table in (made, buckets):
         forget(table)
     result = classes.join(degree, "id", "left").join(linked, "id", "left").select(
-        "one", "two", F.col("id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("component", "id").alias("component_id"))
+        "one", "two", F.col("first").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        F.coalesce("least", "first").alias("component_id"))
     alone = hashed.where(~usable | usable.isNull()).select(
         "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
         F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))

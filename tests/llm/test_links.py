@@ -54,6 +54,14 @@ def test_ngram_join_of_near_copies(spark, small, block):
     assert result(chosen_path.join(df, small=small, block=block, recall=0.9999999)) == plain_join(data)
 
 
+def test_ngram_join_of_two_texts_under_one_id(spark):
+    rng = random.Random(3)
+    a, b = prose(rng, 80), prose(rng, 80)
+    data = [(7, a), (7, b), (7, b), (9, a + " more"), (11, b + " tail"), (3, b + " end"), (12, prose(rng, 20))]
+    out = chosen_path.join(spark.createDataFrame(data, "doc_id long, text string").repartition(3))
+    assert result(out) == [(11, 3, 3), (12, 0, 12), (3, 3, 3), (7, 1, 7), (7, 3, 3), (7, 3, 3), (9, 1, 7)]
+
+
 def test_runs_reach_the_recall():
     n = chosen_path.runs_for(0.9995, 0.8, 3)
     assert 1 - (1 - 0.8**3) ** n >= 0.9995 > 1 - (1 - 0.8**3) ** (n - 1)
