@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm import chosen_path, mixing, packing, quality_fm, segment_edit
@@ -34,9 +34,17 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of documents linked by near-equal five-word shingles; a missing id is no copy."""
-    stay = chosen_path.join(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(stay, "doc_id", "left_semi").union(docs.where("doc_id IS NULL")).select(docs.columns)
+    """One document of each group of documents linked by near-equal five-word shingles; a missing id is no copy.
+
+    Of rows that repeat an id with the same word sequence one stays: the first by text, then by the other columns in order.
+    """
+    stay = chosen_path.join(docs).where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("strata_rows"))
+    # words are only taken apart where an id is repeated; such rows already meet in the join by id
+    words = F.regexp_extract_all(F.lower("text"), F.lit(r"[a-z0-9\x{80}-\x{10FFFF}]+"), 0)
+    sequence = F.when(F.col("strata_rows") > 1, F.xxhash64(words))
+    order = Window.partitionBy("doc_id", sequence).orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
+    once = docs.join(stay, "doc_id").withColumn("strata_place", F.row_number().over(order)).where("strata_place = 1")
+    return once.select(docs.columns).union(docs.where("doc_id IS NULL").select(docs.columns))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

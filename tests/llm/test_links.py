@@ -62,6 +62,17 @@ def test_ngram_join_of_two_texts_under_one_id(spark):
     assert result(out) == [(11, 3, 3), (12, 0, 12), (3, 3, 3), (7, 1, 7), (7, 3, 3), (7, 3, 3), (9, 1, 7)]
 
 
+def test_pipeline_keeps_one_row_of_a_repeated_document(spark):
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    a, b, c = prose(rng, 80), prose(rng, 80), prose(rng, 60)
+    data = [(5, a, "x"), (5, a, "w"), (5, a.upper(), "v"), (8, a + " more", "x"), (6, b, "x"), (6, c, "x"), (6, c, "x"), (None, a, "x"), (None, a, "x")]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string").repartition(3)
+    kept = [tuple(r) for r in corpus_pipeline.ngram_join(spark, docs, "").collect()]
+    assert sorted(kept, key=str) == sorted([(5, a.upper(), "v"), (6, b, "x"), (6, c, "x"), (None, a, "x"), (None, a, "x")], key=str)
+
+
 def test_runs_reach_the_recall():
     n = chosen_path.runs_for(0.9995, 0.8, 3)
     assert 1 - (1 - 0.8**3) ** n >= 0.9995 > 1 - (1 - 0.8**3) ** (n - 1)
