@@ -89,8 +89,11 @@ def near_pairs(distinct: DataFrame, edits: int = EDITS, least: int = LEAST) -> D
 
     ``distinct`` has ``id, line, letters``. Only ids, keys and sketches are shuffled; candidates whose letter counts are
     too far apart never leave the join. Texts are looked up for the others and compared by Spark's banded edit distance.
+    Segments need three characters, so ``least`` below 3 * (edits + 1) is an error.
     """
-    base = distinct.withColumn("n", F.length("line")).where(F.col("n") >= max(least, 3 * (edits + 1)))
+    if least < 3 * (edits + 1):
+        raise ValueError(f"lines of {least} characters are too short for segments of {edits} edits: at least {3 * (edits + 1)}")
+    base = distinct.withColumn("n", F.length("line")).where(F.col("n") >= least)
     left = keys(base, edits, True).toDF("a", "a_letters", "key")
     right = keys(base, edits, False).toDF("b", "b_letters", "key_b")
     near = _may_be_near(F.col("a_letters"), F.col("b_letters"), edits)

@@ -108,6 +108,13 @@ def test_line_dedup_of_awkward_rows(spark):
     assert segment_edit.dedup(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_line_dedup_skips_no_length_in_silence(spark):
+    df = spark.createDataFrame([(1, "a line of thirty characters ok"), (2, "a line of thirty characters no")], "doc_id long, text string")
+    with pytest.raises(ValueError):
+        segment_edit.dedup(df, edits=10)
+    assert [r.n_near for r in segment_edit.dedup(df, edits=7).orderBy("doc_id").collect()] == [0, 1]
+
+
 def test_line_dedup_runs_no_python(spark, capsys):
     segment_edit.dedup(documents(spark)).explain()
     assert "Python" not in (plan := capsys.readouterr().out) and "Arrow" not in plan
