@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from ..session import ship
 from . import (
+    alignment,
     chosen_path,
+    cross_polytope,
     mixing,
     packing,
+    permuterm,
     phrase_automata,
     pq_dedup,
     quality_fm,
@@ -84,3 +87,18 @@ def op9_toxicity_wfst(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_binary_packing")
 def op10_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"))
+
+
+@_query("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(load(spark, sf_dir, "documents"))
+
+
+@_query("op12_spelling_variants", permuterm.VARIANTS_SQL)
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permuterm.variants(load(spark, sf_dir, "documents"))
+
+
+@_query("op13_cross_polytope")
+def op13_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_polytope.nearest(load(spark, sf_dir, "embeddings"))
