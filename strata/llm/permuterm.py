@@ -66,18 +66,22 @@ _BASES = [int(b) * 8 + 5 for b in _rng.integers(2**57, 2**60, 2)]
 _LETTERS = _rng.integers(1, 2**63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, np.uint64(base), np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
 def _hashed(word: str, size: int) -> list[str]:
     """Names of the first ``size`` characters of every rotation of a long marked word, from two rolling hashes."""
     raw = np.frombuffer((word + END).encode("latin-1"), np.uint8)
     twice = np.concatenate([raw, raw])
     names = []
     for base, letters in zip(_BASES, _LETTERS, strict=True):
-        power = np.full(len(twice) + 1, np.uint64(base), np.uint64)
-        power[0] = 1
-        power = np.cumprod(power, dtype=np.uint64)
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(letters[twice] * power[:-1], dtype=np.uint64)])
-        # brought to one power, so that equal characters have equal sums wherever they stand
-        names.append(mix((total[size:size + len(raw)] - total[:len(raw)]) * power[len(raw) - np.arange(len(raw))]))
+        up, down = _powers(base, len(twice) + 1), _powers(pow(base, -1, 2**64), len(raw))
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(letters[twice] * up[:-1], dtype=np.uint64)])
+        # brought down to one power, so that equal characters have equal sums wherever they stand
+        names.append(mix((total[size:size + len(raw)] - total[:len(raw)]) * down))
     return [f"{END}{x:016x}{y:016x}{size}" for x, y in zip(*(n.tolist() for n in names), strict=True)]
 
 

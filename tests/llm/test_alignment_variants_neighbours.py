@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from fixtures import SCHEMA, documents, prose, rows
 
-from strata.llm import alignment, cross_polytope, permuterm
+from strata.llm import alignment, cross_polytope, packing, permuterm, separator_scan
 from strata.llm.queries import QUERIES
 from strata.llm.tokens import END_TEXT, encode, patient_encoder
 
@@ -170,7 +170,7 @@ def test_variants(spark):
 def test_variants_of_long_words(spark):
     rng = random.Random(8)
     data = []
-    for n in (62, 63, 64, 65, 66, 3000):  # around the length from which rotations are hashed
+    for n in (62, 63, 64, 65, 66, 400):  # around the length from which rotations are hashed
         word = "".join(rng.choice("abc") for _ in range(n))
         for k in (0, n // 2, n - 1):
             data += [word, word[:k] + "z" + word[k:], word[:k] + "y" + word[k + 1:], word[:k] + word[k + 1:], "w" + word[k + 1:]] * rng.randint(3, 9)
@@ -250,7 +250,7 @@ def test_rotations_keep_lengths_and_probes_are_all_buckets_within_reach():
     rng = np.random.default_rng(0)
     index = cross_polytope.Polytopes.make(24, 40_000, 2, 32, 5)
     x = cross_polytope._unit(rng.standard_normal((20, 24)))
-    assert index.axes == [32, 16] and np.allclose(np.linalg.norm(cross_polytope.hadamard(rng.standard_normal((3, 32))), axis=1) > 0, True)
+    assert index.axes == [32, 8]
     full = np.linalg.norm(cross_polytope.hadamard(np.pad(x, ((0, 0), (0, 8)))), axis=1)
     assert np.allclose(full, 1)
     costs = index.costs(x, 1)
