@@ -7,6 +7,7 @@ their layers and enforce the gates.
 from __future__ import annotations
 
 import dataclasses
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -168,21 +169,19 @@ def dependent_views(survey: DataFrame, assay: DataFrame, spec: LabSpec,
 
 def publish(spark: SparkSession, survey_path: str, assay_path: str, spec: LabSpec, labels: list[str], root: str,
             joined: DataFrame | None = None, schema: str | None = None) -> dict[str, str]:
-    """Publish the pair of checked tables, then recompute the views from what was published.
+    """Publish the pair of checked tables and the views computed from them as one version.
 
-    The two identity views are the published folders themselves; only the pivoted one is data of its own.
-    ``joined`` is that view where the caller can compute it without a shuffle. With ``schema`` the three become
-    tables of the catalog, with statistics.
+    The two identity views are the published folders themselves; only the pivoted one is data of its own, written
+    before anything is handed over. ``joined`` is that view where the caller can compute it without a shuffle. With ``schema``
+    the three become views of the catalog over tables with statistics.
     """
-    sinks.publish_pair(spark, survey_path, assay_path, root)
-    survey, assay = sinks.published(spark, root)
     if joined is None:
+        survey, assay = (scan.read_layer_parquet(spark, p) for p in (survey_path, assay_path))
         joined = dependent_views(survey, assay, spec, labels)[spec.views[2]]
-    paths = {spec.views[0]: survey_path, spec.views[1]: assay_path,
-             **sinks.refresh_views(f"{root}/views", {spec.views[2]: joined})}
+    paths = {spec.views[0]: survey_path, spec.views[1]: assay_path, **sinks.write_views(root, {spec.views[2]: joined})}
+    sinks.publish_pair(spark, survey_path, assay_path, root, **paths)
     if schema:
-        for view, path in paths.items():
-            sinks.point_table(spark, f"{schema}.{sinks.view_name(view)[1]}", path)
+        sinks.point_catalog(spark, root, schema, list(spec.views))
     return paths
 
 
@@ -251,10 +250,12 @@ def typed_features(df: DataFrame, spec: FeatureSpec) -> DataFrame:
 
 
 def run_features(source: DataFrame, spec: FeatureSpec, root: str, load: bool = False) -> dict[str, str]:
-    """Extract, report, clean, reproject, audit, repair, split into layers, load.
+    """Extract, report, clean, reproject, audit, repair, split into layers, gate, hand over, load.
 
-    With ``load`` the good features replace the rows of the catalog table ``spec.target``, whose schema stays (it is
-    created where it is missing), and its statistics are computed anew.
+    Everything is written to the folder of this run and becomes current by one manifest row (``current_features``) after
+    the gates: no repeated fid, and as many features behind as before. A run that fails leaves all tables of the last good one. With ``load`` the good
+    features then replace the rows of the catalog table ``spec.target``, whose schema stays (it is created where it is
+    missing), and its statistics are computed anew.
 
     Each stage that is used more than once is a written table, so a lost executor
     costs a task of that stage and not the whole chain. The source itself, possibly a
@@ -263,42 +264,51 @@ def run_features(source: DataFrame, spec: FeatureSpec, root: str, load: bool = F
     spark = source.sparkSession
     name = spec.target.split(".")[-1]
     stage = f"{root}/{name}"
-    bronze_path = sinks.write_features(extract_features(source, spec), f"{stage}/bronze")
-    bronze = typed_features(scan.read_layer_parquet(spark, bronze_path), spec)
-    quality.enforce(quality.unique_key(bronze, ["fid"]), f"{name}: repeated fid", ["fid"])
+    run = f"{stage}/run-{uuid.uuid4().hex}"
 
+    def write(part: str, df: DataFrame, **how) -> DataFrame:
+        return scan.read_layer_parquet(spark, sinks.write_checked(df, f"{run}/{part}", **how))
+
+    def one_row_each(stored: DataFrame) -> None:
+        quality.enforce(quality.unique_key(stored, ["fid"]), f"{name}: repeated fid", ["fid"])
+
+    bronze = write("bronze", sinks.require_srid(extract_features(source, spec)), check=one_row_each)
+    bronze = typed_features(bronze, spec)
     cleaned = geometry.reproject(clean.strip_null_bytes(bronze), "geometry", spec.target_srid)
-    silver = scan.read_layer_parquet(spark, sinks.write_features(cleaned, f"{stage}/silver"))
-    audit_path = f"{stage}/audit"
-    geometry.validity(silver).write.mode("overwrite").parquet(audit_path)
-    audit = scan.read_layer_parquet(spark, audit_path)
-    report_path = f"{stage}/report"
-    features.feature_report(bronze, audit, spec.target_srid).write.mode("overwrite").parquet(report_path)
+    silver = write("silver", sinks.require_srid(cleaned))
+    audit = write("validity", geometry.validity(silver))
+    write("report", features.feature_report(bronze, audit, spec.target_srid))
 
     # the few faulty keys and their repaired features are tables of known size, so the
     # joins below leave the large side where it is whenever that size allows it
-    faults_path = f"{stage}/faults"
-    features.faults_of(audit).write.mode("overwrite").parquet(faults_path)
-    faults = scan.read_layer_parquet(spark, faults_path)
+    faults = write("faults", features.faults_of(audit))
     repaired = repaired_faults = None
     if spec.auto_repair:
         faulty = silver.select("fid", "geometry").join(faults, "fid", "left_semi")
-        repaired_path = sinks.write_features(geometry.repair_simple(faulty), f"{stage}/repaired")
-        repaired = scan.read_layer_parquet(spark, repaired_path)
+        repaired = write("repaired", geometry.repair_simple(faulty))
         repaired_faults = features.faults_of(geometry.validity(repaired))
     layers = features.split_layers(silver, faults, repaired, repaired_faults)
     layers["unchecked"] = features.unchecked_of(audit)
-    layers_path = sinks.write_layers(layers, f"{stage}/layers")
+    layers_path = sinks.write_checked(sinks.tagged_layers(layers), f"{run}/layers", partition_by=("layer",))
     valid = scan.read_named_layer(spark, layers_path, "valid").drop("invalid_reason")
-    gold = geometry.with_srid(valid, "geometry", spec.target_srid)
-    sinks.load_audit(gold, f"{stage}/gold", spec.target, f"{root}/load_audit")
+    gold = write("gold", geometry.with_srid(valid, "geometry", spec.target_srid))
+    before, rows = bronze.count(), gold.count()  # from the files' footers
+    if before != rows:
+        raise quality.GateError(f"{name}: {rows} features behind the repair, {before} before")
+
+    paths = {part: f"{run}/{part}" for part in ("bronze", "silver", "validity", "report", "layers", "gold")}
+    sinks.hand_over(spark, f"{stage}/manifest", paths)
+    sinks.append_audit(spark, spec.target, rows, f"{root}/load_audit")
     if load:
-        loaded = scan.read_layer_parquet(spark, f"{stage}/gold")
-        sinks.clone_schema(loaded, spec.target)
-        sinks.replace_rows(loaded, spec.target)
+        sinks.clone_schema(gold, spec.target)
+        sinks.replace_rows(gold, spec.target)
         sinks.analyze_table(spark, spec.target)
-    return {"bronze": bronze_path, "report": report_path, "layers": layers_path,
-            "gold": f"{stage}/gold", "audit": f"{root}/load_audit"}
+    return {**paths, "audit": f"{root}/load_audit"}
+
+
+def current_features(spark: SparkSession, root: str, target: str) -> dict[str, str]:
+    """The folders of the last run of a feature job that passed its gates, all of one run."""
+    return sinks.current_tables(spark, f"{root}/{target.split('.')[-1]}")
 
 
 def run_all_features(sources: dict[str, DataFrame], specs: dict[str, FeatureSpec], root: str,
@@ -314,11 +324,11 @@ def migrate_layer(source: DataFrame, spec: FeatureSpec, root: str, table: str) -
         columns.rename(source, {spec.pk: "fid", spec.geometry: "geometry"}), "geometry", spec.srid)
     quality.enforce(quality.unique_key(df, ["fid"]), f"{table}: repeated fid", ["fid"])
     stored = scan.read_layer_parquet(spark, sinks.write_features(df, f"{root}/{table}.parquet"))
-    sinks.write_layers({table: columns.infer_types(stored)}, f"{root}/layers")
+    layers = sinks.write_layers({table: columns.infer_types(stored)}, f"{root}/layers")
     sinks.clone_schema(columns.generalize_types(source), table, {spec.pk: "fid", spec.geometry: "geometry"},
                        f"{root}/target/{table}")
     return {"profile": quality.frame_profile(stored),
-            "layer": scan.read_named_layer(spark, f"{root}/layers", table)}
+            "layer": scan.read_named_layer(spark, layers, table)}
 
 
 def reload_dir(spark: SparkSession, directory: str, name_contains: str, root: str, prefix: str = "",

@@ -7,10 +7,13 @@ manifest row. Nothing is collected but counts.
 
 from __future__ import annotations
 
+import os
+import re
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -24,67 +27,96 @@ SURVEY_BATCH = 5_000
 ASSAY_BATCH = 10_000
 
 
-def write_layer(df: DataFrame, root: str, rel: str, name: str, gates: dict[str, Column] | None = None,
-                check: Callable[[DataFrame], None] | None = None) -> str:
-    """Write a new run of the layer ``<root>/<rel>/<name>``, check it, and only then hand it over; returns the run's path.
+def write_checked(df: DataFrame, path: str, gates: dict[str, Column] | None = None,
+                  check: Callable[[DataFrame], None] | None = None, partition_by: tuple[str, ...] = ()) -> str:
+    """Write a folder that does not exist yet and check it; nothing is handed over.
 
     ``gates`` maps a gate name to the condition of a violation. They are counted while the rows are written, so
-    checking costs no further pass; ``check`` looks at the written rows and raises. A run that fails leaves the
-    layer's last good run as the current one.
+    checking costs no further pass; ``check`` looks at the written rows and raises.
     """
-    home = f"{root}/{rel}/{name}"
-    path = f"{home}/run-{uuid.uuid4().hex}"
-    if gates:
-        seen = Observation()
-        counts = [F.count_if(c).alias(g) for g, c in gates.items()]
-        df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts).write.parquet(path)
-        found = seen.get
-        broken = {g: found[g] for g in gates if found[g]}
-        if broken:
-            first = {g: [tuple(r) for r in df.where(gates[g]).limit(5).collect()] for g in broken}
-            raise GateError(f"{name}: {broken}, first {first}")
-    else:
-        df.write.parquet(path)
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(g) for g, c in gates.items()]) if gates else df
+    writer = counted.write.mode("error")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    broken = {g: n for g, n in seen.get.items() if g != "rows" and n} if gates else {}
+    if broken:
+        first = {g: [tuple(r) for r in df.where(gates[g]).limit(5).collect()] for g in broken}
+        raise GateError(f"{path}: {broken}, first {first}")
     if check:
-        check(df.sparkSession.read.parquet(path))
-    _hand_over(df.sparkSession, f"{home}/manifest", {"path": path})
+        check(df.sparkSession.read.schema(df.schema).parquet(path))
+    return path
+
+
+def _write_run(df: DataFrame, home: str, *how) -> str:
+    path = write_checked(df, f"{home}/run-{uuid.uuid4().hex}", *how)
+    hand_over(df.sparkSession, f"{home}/manifest", {"path": path})
     return path
 
 
+def write_layer(df: DataFrame, root: str, rel: str, name: str, gates: dict[str, Column] | None = None,
+                check: Callable[[DataFrame], None] | None = None) -> str:
+    """Write a new run of the layer ``<root>/<rel>/<name>``, check it, and only then hand it over; returns the run's path.
+
+    A run that fails (see ``write_checked``) leaves the layer's last good run as the current one.
+    """
+    return _write_run(df, f"{root}/{rel}/{name}", gates, check)
+
+
+def current_run(spark: SparkSession, home: str) -> str:
+    """The folder of the last run under ``home`` that passed its gates."""
+    return current_tables(spark, home)["path"]
+
+
 def current_layer(spark: SparkSession, root: str, rel: str, name: str) -> DataFrame:
     """The last run of a layer that passed its gates."""
-    last = _last(spark, f"{root}/{rel}/{name}/manifest")
-    if last is None:
-        raise FileNotFoundError(f"no run of {root}/{rel}/{name} has passed")
-    return spark.read.parquet(last.path)
+    return spark.read.parquet(current_run(spark, f"{root}/{rel}/{name}"))
+
 
+def retire(spark: SparkSession, manifest: str, keep: int = 2, schema: str | None = None) -> list[str]:
+    """Delete the folders of all but the last ``keep`` handed-over versions; returns their paths.
 
-def retire(spark: SparkSession, manifest: str, keep: int = 2) -> list[str]:
-    """Delete the folders of all but the last ``keep`` handed-over versions; returns their paths."""
-    rows = _read_manifest(spark, manifest).orderBy(F.desc("version"), "writer").offset(keep).collect()
-    paths = [p for r in rows for p in (r.path, r.survey, r.assay) if p]
-    kept = _read_manifest(spark, manifest).orderBy(F.desc("version"), "writer").limit(keep).collect()
-    alive = {p for r in kept for p in (r.path, r.survey, r.assay)}
+    With ``schema`` the catalog's tables of these versions go too.
+    """
+    newest = _read_manifest(spark, manifest).orderBy(F.desc("version"), "writer")
+    old = newest.offset(keep).collect()
+    alive = {p for r in newest.limit(keep).collect() for p in r.tables.values()}
+    gone = {p for r in old for p in r.tables.values()} - alive
+    if schema:
+        for r in old:
+            for name in r.tables:
+                spark.sql(f"DROP TABLE IF EXISTS {_version_table(schema, name, r.version)}")
     jvm = spark.sparkContext._jvm
-    for path in set(paths) - alive:
+    for path in gone:
         target = jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    return sorted(set(paths) - alive)
+    return sorted(gone)
+
 
+def write_features(df: DataFrame, home: str, geom: str = "geometry", gates: dict[str, Column] | None = None,
+                   check: Callable[[DataFrame], None] | None = None) -> str:
+    """Feature layer: WKB cells, SRID and type in the field metadata of the Parquet schema.
 
-def write_features(df: DataFrame, path: str, geom: str = "geometry") -> str:
-    """Feature layer: WKB cells, SRID and type in the field metadata of the Parquet schema."""
+    A new run under ``home``, handed over after its gates as in ``write_layer``; returns the run's path.
+    """
+    require_srid(df, geom)
+    return _write_run(df, home, gates, check)
+
+
+def require_srid(df: DataFrame, geom: str = "geometry") -> DataFrame:
     if geometry.srid_of(df, geom) is None:
         raise ValueError(f"{geom} has no SRID in its metadata")
-    df.write.mode("overwrite").parquet(path)
-    return path
+    return df
 
 
-def write_layers(frames: dict[str, DataFrame], path: str) -> str:
-    """Several layers in one dataset, one partition directory each."""
-    tagged = [df.withColumn("layer", F.lit(name)) for name, df in frames.items()]
-    reshape.concat_parts(tagged).write.mode("overwrite").partitionBy("layer").parquet(path)
-    return path
+def tagged_layers(frames: dict[str, DataFrame]) -> DataFrame:
+    """Several layers as one frame, told apart by the column ``layer``."""
+    return reshape.concat_parts([df.withColumn("layer", F.lit(name)) for name, df in frames.items()])
+
+
+def write_layers(frames: dict[str, DataFrame], home: str, gates: dict[str, Column] | None = None,
+                 check: Callable[[DataFrame], None] | None = None) -> str:
+    """Several layers in one dataset, one partition directory each: a new run under ``home``, returned after its gates."""
+    return _write_run(tagged_layers(frames), home, gates, check, ("layer",))
 
 
 def replace_rows(df: DataFrame, table: str) -> None:
@@ -110,16 +142,51 @@ def analyze_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
 
 
-def point_table(spark: SparkSession, table: str, path: str) -> None:
-    """An external table over a written folder, with statistics."""
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.catalog.createTable(table, path=path, source="parquet")
-    analyze_table(spark, table)
+def _version_table(schema: str, name: str, version: int) -> str:
+    return f"{schema}.{view_name(name)[1]}__v{version}"
+
+
+def point_view(spark: SparkSession, view: str, table: str) -> None:
+    """A catalog view over a table. An existing view is altered in one step, so readers always find it; a table of that
+    name is refused and kept."""
+    if not spark.catalog.tableExists(view):
+        try:
+            spark.sql(f"CREATE VIEW {view} AS SELECT * FROM {table}")
+            return
+        except AnalysisException as e:
+            if e.getCondition() != "TABLE_OR_VIEW_ALREADY_EXISTS":
+                raise
+    if spark.catalog.getTable(view).tableType != "VIEW":
+        raise ValueError(f"{view} is a table; it is not replaced by a view")
+    spark.sql(f"ALTER VIEW {view} AS SELECT * FROM {table}")
+
+
+def point_catalog(spark: SparkSession, root: str, schema: str, names: list[str]) -> int:
+    """Let the catalog's views ``schema.<name>`` show the current version under ``root``; returns that version.
+
+    Every version has external tables of its own, with statistics. A publisher that is overtaken points the views at the
+    newer version too, so the last one to finish never turns them back.
+    """
+    while True:
+        last = _last(spark, f"{root}/manifest")
+        for name in names:
+            table = _version_table(schema, name, last.version)
+            if not spark.catalog.tableExists(table):
+                spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING parquet LOCATION '{last.tables[name]}'")
+                analyze_table(spark, table)
+        for name in names:
+            point_view(spark, f"{schema}.{view_name(name)[1]}", _version_table(schema, name, last.version))
+        if _last(spark, f"{root}/manifest").version == last.version:
+            return last.version
 
 
 def table_statistics(spark: SparkSession, table: str) -> DataFrame:
-    """(table_name, num_rows) as the catalog knows them after ``analyze_table``."""
-    info = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Statistics'")
+    """(table_name, num_rows) as the catalog knows them after ``analyze_table``; for a view, those of the table it shows."""
+    info = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    shown = info.where("col_name = 'View Text'").first()
+    if shown:
+        info = spark.sql("DESCRIBE TABLE EXTENDED " + re.sub(r"^SELECT \* FROM ", "", shown.data_type))
+    info = info.where("col_name = 'Statistics'")
     return info.select(
         F.lit(table.split(".")[-1]).alias("table_name"),
         F.regexp_extract("data_type", "([0-9]+) rows", 1).cast("bigint").alias("num_rows"),
@@ -144,7 +211,7 @@ def _write_all(frames: dict[str, DataFrame]) -> None:
 
 # versions and manifests ---------------------------------------------------
 
-MANIFEST_SCHEMA = "version bigint, writer string, path string, survey string, assay string"
+MANIFEST_SCHEMA = "version bigint, writer string, tables map<string, string>"
 
 
 def _read_manifest(spark: SparkSession, manifest: str) -> DataFrame:
@@ -153,7 +220,7 @@ def _read_manifest(spark: SparkSession, manifest: str) -> DataFrame:
 
 
 def _last(spark: SparkSession, manifest: str):
-    """The newest row; of several writers of one version the one with the smallest name counts."""
+    """The newest row."""
     try:
         return _read_manifest(spark, manifest).orderBy(F.desc("version"), "writer").first()
     except AnalysisException as e:
@@ -162,27 +229,66 @@ def _last(spark: SparkSession, manifest: str):
         raise
 
 
-def _hand_over(spark: SparkSession, manifest: str, values: dict[str, str]) -> int:
-    """Add a row under the next free version: a writer owns the version whose claim file it was the one to create."""
-    writer = uuid.uuid4().hex
+def _claim(spark: SparkSession, place: str, writer: str) -> bool:
+    """Create the file ``place`` unless it exists; was it this writer who created it?
+
+    The store itself decides, in one step: no look before it could be outdated. Local folders create exclusively, HDFS does by its
+    protocol, and object stores are asked for a conditional put. Whoever meets an error reads whose claim it is.
+    """
     jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(place)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.getUri().getScheme() == "file":
+        local = path.toUri().getPath()
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        try:
+            with open(local, "x") as claim:
+                claim.write(writer)
+            return True
+        except FileExistsError:
+            return False
+    try:
+        out = fs.createFile(path).recursive().overwrite(False).opt("fs.option.create.conditional.overwrite", "true").build()
+        out.write(bytearray(writer.encode()))
+        out.close()
+        return True
+    except Py4JJavaError:
+        try:
+            held = fs.open(path)
+        except Py4JJavaError:
+            held = None
+        if held is None:  # nobody holds it: the error was another one
+            raise
+        owner = jvm.org.apache.commons.io.IOUtils.toString(held, "UTF-8")
+        held.close()
+        return owner == writer
+
+
+def hand_over(spark: SparkSession, manifest: str, tables: dict[str, str]) -> int:
+    """Make a set of written and checked folders the current one, by one row under the next free version."""
+    writer = uuid.uuid4().hex
     last = _last(spark, manifest)
     version = (last.version if last else 0) + 1
-    while True:
-        claim = jvm.org.apache.hadoop.fs.Path(f"{manifest}-claims/{version}")
-        if claim.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).createNewFile(claim):
-            break
+    while not _claim(spark, f"{manifest}-claims/{version}", writer):
         version += 1
     row = spark.range(1).select(
         F.lit(version).cast("bigint").alias("version"), F.lit(writer).alias("writer"),
-        *[F.lit(v).alias(k) for k, v in values.items()])
+        F.create_map(*[F.lit(x) for pair in tables.items() for x in pair]).alias("tables"))
     row.coalesce(1).write.json(f"{manifest}/{version}-{writer}")  # writers never share a folder
     return version
 
 
-def publish_pair(spark: SparkSession, survey_path: str, assay_path: str, root: str) -> int:
-    """Make two written and checked tables the current pair; nothing is copied."""
-    return _hand_over(spark, f"{root}/manifest", {"survey": survey_path, "assay": assay_path})
+def current_tables(spark: SparkSession, root: str) -> dict[str, str]:
+    """The folders of the last version handed over under ``root``, all of that version."""
+    last = _last(spark, f"{root}/manifest")
+    if last is None:
+        raise FileNotFoundError(f"nothing has been handed over under {root}")
+    return last.tables
+
+
+def publish_pair(spark: SparkSession, survey_path: str, assay_path: str, root: str, **views: str) -> int:
+    """Make two written and checked tables the current pair, with the views computed from them; nothing is copied."""
+    return hand_over(spark, f"{root}/manifest", {"survey": survey_path, "assay": assay_path, **views})
 
 
 def replace_survey_and_assay(survey: DataFrame, assay: DataFrame, root: str) -> int:
@@ -198,10 +304,8 @@ def replace_survey_and_assay(survey: DataFrame, assay: DataFrame, root: str) ->
 
 def published(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """The current pair of tables."""
-    last = _last(spark, f"{root}/manifest")
-    if last is None:
-        raise FileNotFoundError(f"nothing published under {root}")
-    return spark.read.parquet(last.survey), spark.read.parquet(last.assay)
+    tables = current_tables(spark, root)
+    return spark.read.parquet(tables["survey"]), spark.read.parquet(tables["assay"])
 
 
 def view_name(item: str) -> tuple[str, str]:
@@ -210,13 +314,21 @@ def view_name(item: str) -> tuple[str, str]:
     return (parts[0], parts[1]) if len(parts) == 2 else ("public", item)
 
 
-def refresh_views(root: str, views: dict[str, DataFrame]) -> dict[str, str]:
-    """Recompute dependent tables after a load; returns their paths."""
-    paths = {item: "/".join([root, *view_name(item)]) for item in views}
+def write_views(root: str, views: dict[str, DataFrame]) -> dict[str, str]:
+    """Dependent tables written to a folder of their own; returns their paths."""
+    home = f"{root}/views-{uuid.uuid4().hex}"
+    paths = {item: "/".join([home, *view_name(item)]) for item in views}
     _write_all({paths[item]: df for item, df in views.items()})
     return paths
 
 
+def refresh_views(root: str, views: dict[str, DataFrame]) -> dict[str, str]:
+    """Recompute dependent tables after a load and hand them over together; returns their paths."""
+    paths = write_views(root, views)
+    hand_over(next(iter(views.values())).sparkSession, f"{root}/manifest", paths)
+    return paths
+
+
 AUDIT_SCHEMA = T.StructType([
     T.StructField("target", T.StringType()), T.StructField("rows_inserted", T.LongType()),
     T.StructField("updated_at", T.TimestampType()),
@@ -227,9 +339,12 @@ def load_audit(df: DataFrame, path: str, target: str, audit_path: str) -> DataFr
     """Write a load and append (target, rows_inserted, updated_at), counted while writing."""
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
-    spark = df.sparkSession
+    return append_audit(df.sparkSession, target, seen.get["n"], audit_path)
+
+
+def append_audit(spark: SparkSession, target: str, rows: int, audit_path: str) -> DataFrame:
     row = spark.range(1).select(
-        F.lit(target).alias("target"), F.lit(seen.get["n"]).cast("bigint").alias("rows_inserted"),
+        F.lit(target).alias("target"), F.lit(rows).cast("bigint").alias("rows_inserted"),
         F.current_timestamp().alias("updated_at"),
     )
     row.coalesce(1).write.mode("append").parquet(audit_path)

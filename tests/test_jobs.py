@@ -1,6 +1,8 @@
 """Jobs end to end, gates, publication and layers."""
 
 import os
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -32,8 +34,10 @@ def samples(spark, **change):
 def test_lab_run(spark, tmp_path):
     paths = jobs.run_lab(samples(spark), spec(), str(tmp_path))
     assert list(paths) == ["solo_amostras", "solo_analises_quimicas", "solo_pivot_join"]
-    assert os.path.relpath(paths["solo_pivot_join"], tmp_path) == "analise_quimica_solo/gold/views/public/solo_pivot_join"
-    survey, assay = sinks.published(spark, f"{tmp_path}/analise_quimica_solo/gold")
+    gold = f"{tmp_path}/analise_quimica_solo/gold"
+    assert os.path.relpath(paths["solo_pivot_join"], gold).split("/")[1:] == ["public", "solo_pivot_join"]
+    assert sinks.current_tables(spark, gold) == {**paths, "survey": paths["solo_amostras"], "assay": paths["solo_analises_quimicas"]}
+    survey, assay = sinks.published(spark, gold)
     assert survey.exceptAll(spark.read.parquet(paths["solo_amostras"])).isEmpty()  # identity views are the pair itself
     assert assay.exceptAll(spark.read.parquet(paths["solo_analises_quimicas"])).isEmpty()
     joined = spark.read.parquet(paths["solo_pivot_join"]).orderBy("objectid").collect()
@@ -94,10 +98,129 @@ def test_broken_runs_leave_the_good_layer(spark, tmp_path):
 
 
 def test_two_publishers_get_two_versions(spark, tmp_path):
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(4) as pool:
-        got = list(pool.map(lambda k: sinks.publish_pair(spark, f"s{k}", f"a{k}", str(tmp_path)), range(4)))
-    assert len(set(got)) == 4
+    with ThreadPoolExecutor(8) as pool:
+        for r in range(3):
+            got = list(pool.map(lambda k: sinks.publish_pair(spark, f"s{k}", f"a{k}", f"{tmp_path}/{r}"), range(8)))
+            assert sorted(got) == list(range(1, 9))
+
+
+#: A store that never sees what others have written, but creates a file only once.
+LYING_STORE = """
+import java.io.*; import java.nio.file.*; import org.apache.hadoop.fs.*; import org.apache.hadoop.fs.Path;
+public class LyingStore extends RawLocalFileSystem {
+  public java.net.URI getUri() { return java.net.URI.create("lying:///"); }
+  public boolean exists(Path f) { return false; }
+  public FSDataOutputStream create(Path f, org.apache.hadoop.fs.permission.FsPermission p, boolean overwrite, int buffer, short copies,
+                                   long block, org.apache.hadoop.util.Progressable progress) throws IOException {
+    File file = pathToFile(f);
+    file.getParentFile().mkdirs();
+    OpenOption[] how = overwrite ? new OpenOption[] {StandardOpenOption.CREATE, StandardOpenOption.WRITE}
+                                 : new OpenOption[] {StandardOpenOption.CREATE_NEW, StandardOpenOption.WRITE};
+    return new FSDataOutputStream(Files.newOutputStream(file.toPath(), how), null);
+  }
+}
+"""
+
+
+@pytest.fixture
+def lying(spark):
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    before = conf.getClassLoader()
+    compiler = spark.sparkContext._jvm.org.codehaus.janino.SimpleCompiler()
+    compiler.setParentClassLoader(before)
+    compiler.cook(LYING_STORE)
+    conf.setClassLoader(compiler.getClassLoader())
+    conf.set("fs.lying.impl", "LyingStore")
+    yield "lying://"
+    conf.setClassLoader(before)
+
+
+@pytest.mark.parametrize("store", ["file", "lying"])
+def test_a_version_is_claimed_once(spark, tmp_path, lying, store):
+    """Eight writers, fifty versions, each claimed by exactly one, also where a look before creating would say nothing is there."""
+    base = f"{tmp_path}/claims" if store == "file" else f"{lying}{tmp_path}/claims"
+    with ThreadPoolExecutor(8) as pool:
+        for version in range(50):
+            won = list(pool.map(lambda k: sinks._claim(spark, f"{base}/{version}", f"writer-{k}"), range(8)))
+            assert sum(won) == 1
+            assert open(f"{tmp_path}/claims/{version}").read() == f"writer-{won.index(True)}"
+
+
+def test_a_store_that_cannot_write_is_no_rival(spark, tmp_path, lying):
+    (tmp_path / "flat").write_text("a file where the folder should be")
+    with pytest.raises(Exception, match="flat"):
+        sinks._claim(spark, f"{lying}{tmp_path}/flat/1", "writer")
+
+
+def test_pair_and_views_change_together(spark, tmp_path):
+    """A reader in a loop during twenty publications finds every name, whole and never older than before."""
+    root, names = str(tmp_path), ["pair_samples", "pair_values", "pair_joined"]
+    spark.sql("CREATE DATABASE IF NOT EXISTS lab_pairs")
+
+    def publish(k):
+        paths = {}
+        for n, rows in zip(names, (2, 3, 4), strict=True):
+            paths[n] = sinks.write_checked(spark.range(rows).select(F.lit(k).alias("mark"), "id"), f"{root}/data-{k}/{n}")
+        sinks.publish_pair(spark, paths[names[0]], paths[names[1]], root, **paths)
+        return sinks.point_catalog(spark, root, "lab_pairs", names)
+
+    publish(0)
+    seen, stop, read = [], threading.Event(), threading.Event()
+
+    def reader():
+        last = [0, 0, 0]
+        while not stop.is_set():
+            tables = sinks.current_tables(spark, root)
+            marks = {spark.read.parquet(tables[n]).first().mark for n in [*names, "survey", "assay"]}
+            assert len(marks) == 1, marks  # one manifest row: all of one version
+            for i, (n, rows) in enumerate(zip(names, (2, 3, 4), strict=True)):
+                got = spark.table(f"lab_pairs.{n}").collect()
+                assert len(got) == rows and len({r.mark for r in got}) == 1 and got[0].mark >= last[i]
+                last[i] = got[0].mark
+            seen.append(last[0])
+            read.set()
+
+    with ThreadPoolExecutor(1) as pool:
+        watch = pool.submit(reader)
+        try:
+            for k in range(1, 21):
+                assert publish(k) == k + 1
+            read.wait(30)
+        finally:
+            stop.set()
+        watch.result()
+    assert len(seen) > 1
+    assert sinks.table_statistics(spark, "lab_pairs.pair_joined").first().num_rows == 4
+    gone = sinks.retire(spark, f"{root}/manifest", keep=1, schema="lab_pairs")
+    assert len(gone) == 60 and not any(os.path.exists(p) for p in gone)
+    assert {t.name for t in spark.catalog.listTables("lab_pairs")} >= {f"{n}__v21" for n in names}
+    assert not spark.catalog.tableExists("lab_pairs.pair_joined__v20") and spark.table("lab_pairs.pair_joined").count() == 4
+    for n in names:
+        spark.sql(f"DROP VIEW lab_pairs.{n}")
+        spark.sql(f"DROP TABLE lab_pairs.{n}__v21")
+
+
+def test_a_managed_table_is_refused_not_dropped(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS lab_pairs")
+    spark.sql("DROP TABLE IF EXISTS lab_pairs.kept")
+    spark.range(7).write.saveAsTable("lab_pairs.kept")
+    path = sinks.write_checked(spark.range(1), f"{tmp_path}/data")
+    sinks.hand_over(spark, f"{tmp_path}/manifest", {"kept": path})
+    with pytest.raises(ValueError, match="is a table"):
+        sinks.point_catalog(spark, str(tmp_path), "lab_pairs", ["kept"])
+    assert spark.table("lab_pairs.kept").count() == 7
+    spark.sql("DROP TABLE lab_pairs.kept")
+    spark.sql("DROP TABLE lab_pairs.kept__v1")
+
+
+def test_a_failing_view_leaves_the_published_version(spark, tmp_path):
+    paths = jobs.run_lab(samples(spark), spec(), str(tmp_path))
+    gold = f"{tmp_path}/analise_quimica_solo/gold"
+    broken = spark.range(2).select(F.raise_error(F.lit("lost")).cast("long").alias("objectid"))
+    with pytest.raises(Exception, match="lost"):
+        jobs.publish(spark, paths["solo_amostras"], paths["solo_analises_quimicas"], spec(), [], gold, broken)
+    assert sinks.current_tables(spark, gold)["solo_pivot_join"] == paths["solo_pivot_join"]
+    assert spark.read.parquet(paths["solo_pivot_join"]).count() == 3
 
 
 def test_old_versions_are_retired(spark, tmp_path):
@@ -135,7 +258,8 @@ def test_published_tables_have_statistics(spark, tmp_path):
             for n in ("solo_amostras", "solo_analises_quimicas", "solo_pivot_join")} == {
         "solo_amostras": 3, "solo_analises_quimicas": 4, "solo_pivot_join": 3}
     for n in ("solo_amostras", "solo_analises_quimicas", "solo_pivot_join"):
-        spark.sql(f"DROP TABLE lab_gold.{n}")
+        spark.sql(f"DROP VIEW lab_gold.{n}")
+        spark.sql(f"DROP TABLE lab_gold.{n}__v1")
 
 
 def test_reload_keeps_every_file_as_its_own_table(spark, tmp_path):
@@ -221,6 +345,51 @@ def test_repeated_fid_stops_the_feature_run(spark, tmp_path):
         jobs.run_features(source, FeatureSpec(source="a", target="b"), str(tmp_path))
 
 
+@pytest.mark.parametrize("gate", ["repeated fid", "features behind the repair", "no SRID", "late"])
+def test_a_failing_feature_run_leaves_all_tables_of_the_last_good_one(spark, tmp_path, monkeypatch, gate):
+    job, root = FeatureSpec(source="a.layer", target="gold.a_layer", srid=4326), str(tmp_path)
+    good = jobs.run_features(feature_source(spark), job, root)
+    counts = {part: spark.read.parquet(path).count() for part, path in good.items()}
+    source = feature_source(spark)
+    if gate == "repeated fid":
+        source = source.union(source)
+    elif gate == "no SRID":
+        monkeypatch.setattr(geometry, "reproject", lambda df, geom, srid: df.withColumn(geom, F.concat(geom, F.lit(b""))))
+    elif gate == "late":  # lost in the very last table
+        def lose(*_args, **_how):
+            raise RuntimeError("late")
+        monkeypatch.setattr(sinks, "hand_over", lose)
+    else:
+        from strata.operators import features
+        split = features.split_layers
+        monkeypatch.setattr(features, "split_layers", lambda *a: {k: v.where("fid <> 0") for k, v in split(*a).items()})
+    with pytest.raises(Exception, match=gate):
+        jobs.run_features(source, job, root)
+    assert jobs.current_features(spark, root, job.target) == {k: v for k, v in good.items() if k != "audit"}
+    assert {part: spark.read.parquet(path).count() for part, path in good.items()} == counts
+    if gate != "late":
+        return
+    monkeypatch.undo()
+    again = jobs.run_features(feature_source(spark).where("objectid < 3"), job, root)
+    assert jobs.current_features(spark, root, job.target)["gold"] == again["gold"] != good["gold"]
+    assert [r.rows_inserted for r in spark.read.parquet(again["audit"]).orderBy("updated_at").collect()] == [5, 3]
+
+
+def test_layers_hand_over_after_their_gates(spark, tmp_path):
+    """Feature and layer sinks keep the last good run when a later one breaks a gate."""
+    located = geometry.with_srid(spark.range(3).withColumn("geometry", F.lit(bytearray(polygon(SQUARE)))), "geometry", 4326)
+    many = F.col("id") > 1
+    for home, write in ((f"{tmp_path}/f", lambda df, **how: sinks.write_features(df, f"{tmp_path}/f", **how)),
+                        (f"{tmp_path}/l", lambda df, **how: sinks.write_layers({"all": df}, f"{tmp_path}/l", **how))):
+        good = write(located.limit(2), gates={"too_many": many})
+        with pytest.raises(GateError, match="too_many"):
+            write(located, gates={"too_many": many})
+        with pytest.raises(GateError, match="empty"):
+            write(located.limit(0), check=lambda df: quality.enforce(quality.not_empty(df), "empty"))
+        assert sinks.current_run(spark, home) == good and spark.read.parquet(good).count() == 2
+        assert sinks.current_run(spark, home) != write(located) == sinks.current_run(spark, home)
+
+
 def test_layers_prune_to_their_directory(spark, tmp_path):
     path = sinks.write_layers({"valid": spark.range(3), "invalid": spark.range(2)}, str(tmp_path / "l"))
     df = scan.read_named_layer(spark, path, "invalid")
