@@ -77,18 +77,75 @@ def _may_be_near(a: Column, b: Column, edits: int) -> Column:
     return total + others <= 2 * edits - longer
 
 
-def lines_of(docs: DataFrame) -> DataFrame:
-    """``doc_id, line_no, raw, line``: every line of every document with an id, and the line without outer white space."""
-    cut = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
-    return cut.withColumn("line", F.btrim("raw", F.lit(SPACES)))
+def within(a: Column, b: Column, edits: int) -> Column:
+    """Are two texts within ``edits`` edits? A banded bit-parallel walk along the characters of ``b``.
+
+    Behind j characters of ``b``, bit d of the e-th number says that the first j + d - edits characters of ``a`` become them
+    with at most e edits: 2 * edits + 1 bits whatever the length. A character keeps the bits where both texts agree; an edit
+    comes from the number before, on the same diagonal (replaced), the one above (inserted) or the one below (left out).
+    """
+    if 2 * edits + 1 > 63:
+        raise ValueError("the band has to fit into one number: at most 31 edits")
+
+    def number(x: int) -> Column:
+        return F.lit(x).cast("long")
+
+    left, right = (F.regexp_extract_all(x, F.lit("(?s)."), F.lit(0)) for x in (a, b))
+    same = F.transform(right, lambda _: number(0))
+    for bit in range(2 * edits + 1):
+        ahead = bit - edits
+        shifted = F.slice(left, ahead + 1, F.length(b)) if ahead >= 0 else F.slice(
+            F.concat(F.array_repeat(F.lit(None).cast("string"), -ahead), left), F.lit(1), F.length(b))
+        same = F.zip_with(same, F.zip_with(shifted, right, lambda x, y: F.when(x == y, 1).otherwise(0)),
+                          lambda bits, x: bits.bitwiseOR(F.shiftleft(x.cast("long"), bit)))  # noqa: B023
+
+    def step(held: Column, agree: Column) -> Column:
+        out = [held["r0"].bitwiseAND(agree)]
+        for e in range(1, edits + 1):
+            before = held[f"r{e - 1}"]
+            edited = before.bitwiseOR(F.shiftright(before, 1)).bitwiseOR(F.shiftleft(out[-1], 1))
+            out.append(held[f"r{e}"].bitwiseAND(agree).bitwiseOR(edited).bitwiseAND(number((1 << 2 * edits + 1) - 1)))
+        return F.struct(*[x.alias(f"r{e}") for e, x in enumerate(out)])
+
+    start = F.struct(*[number((1 << e + 1) - 1 << edits).alias(f"r{e}") for e in range(edits + 1)])
+    last = F.aggregate(same, start, step)[f"r{edits}"]
+    diagonal = F.length(a) - F.length(b) + edits
+    bit = F.get(F.array(*[number(1 << d) for d in range(2 * edits + 1)]), diagonal)
+    return F.when(diagonal.between(0, 2 * edits), last.bitwiseAND(bit) != 0).otherwise(False)
+
+
+#: A place is one number, so that the first one is found by hashing: the id, 31 bits of the text's hash, the line number.
+_DIGIT = 2**31
+
+
+def _hash31(text: Column) -> Column:
+    return F.pmod(F.xxhash64(text), F.lit(_DIGIT)).cast("long")
+
+
+def _place(doc_id: Column, hash31: Column, line_no: Column) -> Column:
+    low = (hash31 * _DIGIT + line_no).cast("decimal(19,0)")
+    return (doc_id.cast("decimal(19,0)") * F.lit(_DIGIT * _DIGIT).cast("decimal(19,0)") + low).cast("decimal(38,0)")
+
+
+def _unplaced(place: Column) -> dict[str, Column]:
+    low = F.pmod(place, F.lit(_DIGIT * _DIGIT).cast("decimal(38,0)"))
+    return {"doc_id": ((place - low) / F.lit(_DIGIT * _DIGIT).cast("decimal(38,0)")).cast("long"),
+            "hash31": F.floor(low.cast("long") / _DIGIT).cast("long"), "line_no": F.pmod(low.cast("long"), F.lit(_DIGIT)).cast("int")}
+
+
+def _cut(text: Column) -> Column:
+    return F.split(text, "\n")
+
+
+def _name(line: Column) -> Column:
+    return F.xxhash64(F.btrim(line, F.lit(SPACES)))
 
 
 def near_pairs(distinct: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
     """``a, b``: ids of different lines of ``least`` characters or more within ``edits`` edits; each pair once.
 
     ``distinct`` has ``id, line, letters``. Only ids, keys and sketches are shuffled; candidates whose letter counts are
-    too far apart never leave the join. Texts are looked up for the others and compared by Spark's banded edit distance.
+    too far apart never leave the join. Texts are looked up for the others and compared bit-parallel.
     Segments need three characters, so ``least`` below 3 * (edits + 1) is an error.
     """
     if least < 3 * (edits + 1):
@@ -104,7 +161,7 @@ def near_pairs(distinct: DataFrame, edits: int = EDITS, least: int = LEAST) -> D
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     texts = stored(distinct.select("id", "line").join(wanted.hint("merge"), "id", "left_semi"), "candidate-lines")
     both = pairs.join(texts.toDF("a", "a_line"), "a").join(texts.toDF("b", "b_line"), "b")
-    return both.where(F.levenshtein("a_line", "b_line", edits) >= 0).select("a", "b")
+    return both.where(within(F.col("a_line"), F.col("b_line"), edits)).select("a", "b")
 
 
 def dedup(docs: DataFrame, *, edits: int = EDITS, least: int = LEAST, carry: list[str] | None = None) -> DataFrame:
@@ -113,49 +170,67 @@ def dedup(docs: DataFrame, *, edits: int = EDITS, least: int = LEAST, carry: lis
 
     A line is dropped if it, without outer white space, occurs earlier (smaller doc_id, then smaller line number), or if
     it has ``least`` characters or more and a line within ``edits`` edits occurs first earlier than it does. Blank
-    lines stay. The kept lines are put together from where they first occur, so a line that a third of all documents
-    hold is one row after partial aggregation and is never joined back to its occurrences.
+    lines stay. Where lines first occur is found without their texts, by one number for a place; a line that a third of all
+    documents hold is one row after partial aggregation and is never joined back to its occurrences.
 
     Null text stays null and has no lines. Documents without an id are returned as they are and their lines do not
-    count. Rows that repeat an id are one document with the same text; with different texts their kept lines are
-    put together in line order. Other columns are ignored; an empty table gives no rows.
+    count. Rows that repeat an id and its text are one document and all keep its lines; different texts under one id are documents
+    of their own, the one of the smaller ``hash31`` before the other. A removed line is checked against its hash, so texts whose
+    31 bits agree under one id lose nothing. Other columns are ignored; an empty table gives no rows.
     """
-    rows = lines_of(docs)
+    known = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(
+        F.col("doc_id").cast("long").alias("doc_id"), _hash31(F.col("text")).alias("hash31"), F.col("text").cast("string").alias("text"))
+    rows = known.select("doc_id", "hash31", F.posexplode(_cut(F.col("text"))).alias("line_no", "raw"))
+    rows = rows.withColumn("line", F.btrim("raw", F.lit(SPACES))).where("line != ''")
     # two hashes name a line: equal lines meet without their texts as a key
-    first = rows.where("line != ''").groupBy(F.xxhash64("line").alias("id"), F.hash("line").alias("id2")).agg(
-        F.min(F.struct("doc_id", "line_no", "raw")).alias("first"))
-    named = first.select("id", "first.*")
+    first = rows.groupBy(F.xxhash64("line").alias("id"), F.hash("line").alias("id2")).agg(
+        F.min(_place(F.col("doc_id"), F.col("hash31"), F.col("line_no"))).alias("place"))
+    spot = F.struct("line_no", "id")
+    # the lines that first occur in a document; what meets here is a document's own
+    firsts = stored(first.select("id", *[c.alias(k) for k, c in _unplaced(F.col("place")).items()])
+                    .groupBy("doc_id", "hash31").agg(F.collect_list(spot).alias("firsts")), "line-firsts")
+    once = known.groupBy("doc_id", "hash31").agg(F.min("text").alias("text"))
     line = F.btrim("raw", F.lit(SPACES))
-    lines = stored(named.withColumn("letters", letter_counts(line)), "lines").withColumn("line", line)
+    # numbers within the text only: a second text of the same 31 bits can be shorter
+    inside = F.filter("firsts", lambda w: w["line_no"] < F.size("lines"))
+    placed = once.join(firsts.hint("merge"), ["doc_id", "hash31"]).withColumn("lines", _cut(F.col("text"))).select(
+        "doc_id", "hash31", F.inline(F.transform(inside, lambda w: F.struct(
+            w["line_no"].alias("line_no"), w["id"].alias("id"), F.get(F.col("lines"), w["line_no"]).alias("raw"))))
+    ).where(_name(F.col("raw")) == F.col("id"))
+    lines = stored(placed.withColumn("letters", letter_counts(line)), "lines").withColumn("line", line)
     pairs = stored(near_pairs(lines.select("id", "line", "letters"), edits, least), "line-pairs")
     # both sides grow with the input: planned as merges at every size
-    place = lines.select("id", F.struct("doc_id", "line_no").alias("at")).hint("merge")
+    place = lines.select("id", F.struct("doc_id", "hash31", "line_no", "id").alias("at")).hint("merge")
     gone = (
         pairs.join(place.select(F.col("id").alias("a"), F.col("at").alias("a_at")), "a")
         .join(place.select(F.col("id").alias("b"), F.col("at").alias("b_at")), "b")
-        .select(F.greatest("a_at", "b_at").alias("at")).distinct()
-        .select("at.*", F.lit(None).cast("string").alias("raw"), F.lit(True).alias("near"))
+        .select(F.greatest("a_at", "b_at").alias("at")).distinct().select("at.*")
+        .groupBy("doc_id", "hash31").agg(F.collect_list(spot).alias("gone"))
     )
-    blank = rows.where("line = ''").select("doc_id", "line_no", "raw").distinct()
-    there = lines.select("doc_id", "line_no", "raw").union(blank).withColumn("near", F.lit(False))
-    # the lines that first occur in a document, and which of them go; only a document's own lines meet
-    own = there.union(gone).groupBy("doc_id").agg(
-        F.array_sort(F.collect_list(F.when(~F.col("near"), F.struct("line_no", "raw")))).alias("all"),
-        F.collect_list(F.when(F.col("near"), F.col("line_no"))).alias("gone"))
-    kept = own.select("doc_id", F.filter("all", lambda x: ~F.array_contains(F.col("gone"), x["line_no"])).alias("kept"),
-                      F.size("gone").alias("n_near"))
-    kept = kept.select("doc_id", "n_near", F.size("kept").alias("n_kept"), F.array_join(F.col("kept.raw"), "\n").alias("new"))
     row = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")] if carry else []
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *row, F.col("text").isNull().alias("none"),
-                      F.when(F.col("doc_id").isNull(), F.col("text")).alias("old"),
-                      F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines")).join(kept, "doc_id", "left")
-    same = F.col("doc_id").isNull() | F.col("none")
-    near = F.coalesce("n_near", F.lit(0)).cast("long")
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _hash31(F.col("text")).alias("hash31"), *row, F.col("text").cast("string").alias("text"))
+    out = out.join(firsts.join(gone, ["doc_id", "hash31"], "left").hint("merge"), ["doc_id", "hash31"], "left")
+    return _assembled(out, ["row"] if carry else [])
+
+
+def _assembled(out: DataFrame, also: list[str]) -> DataFrame:
+    """Texts put together from the numbers of their kept lines (``doc_id, text, firsts, gone``)."""
+    none = F.array().cast("array<int>")
+
+    def own(spots: str) -> Column:
+        # only if the line at the place is the one meant
+        meant = F.filter(F.col(spots), lambda w: F.get(F.col("names"), w["line_no"]) == w["id"])
+        return F.coalesce(F.transform(meant, lambda w: w["line_no"]), none)
+
+    out = out.withColumn("lines", _cut(F.col("text")))
+    out = out.withColumn("names", F.transform("lines", lambda x: F.when(F.btrim(x, F.lit(SPACES)) != "", _name(x))))
+    out = out.withColumn("blank", F.filter(F.transform("names", lambda x, i: F.when(x.isNull(), i)), lambda i: i.isNotNull()))
+    out = out.withColumns({"firsts": own("firsts"), "gone": own("gone")})
+    kept = F.array_sort(F.concat("blank", F.array_except("firsts", "gone")))
+    new = F.array_join(F.transform(kept, lambda i: F.get(F.col("lines"), i)), "\n")
+    same = F.col("doc_id").isNull() | F.col("text").isNull()
+    n_lines = F.coalesce(F.size("lines"), F.lit(0))
+    repeated = n_lines - F.size("blank") - F.size("firsts")
     return out.select(
-        "doc_id", "n_lines",
-        F.when(same, F.lit(0)).otherwise(F.col("n_lines") - F.coalesce("n_kept", F.lit(0)) - near).cast("long").alias("n_repeated"),
-        F.when(same, F.lit(0)).otherwise(near).cast("long").alias("n_near"),
-        F.when(F.col("none"), F.lit(None).cast("string")).when(F.col("doc_id").isNull(), F.col("old"))
-        .otherwise(F.coalesce("new", F.lit(""))).alias("text"), *(["row"] if carry else []))
-
-
+        "doc_id", n_lines.cast("long").alias("n_lines"), F.when(same, F.lit(0)).otherwise(repeated).cast("long").alias("n_repeated"),
+        F.when(same, F.lit(0)).otherwise(F.size("gone")).cast("long").alias("n_near"), F.when(same, F.col("text")).otherwise(new).alias("text"), *also)

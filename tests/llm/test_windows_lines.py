@@ -6,8 +6,11 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from fixtures import SCHEMA, documents, prose, rows, words
 
+from pyspark.sql import functions as F
+
 from strata.llm import packing, phrase_automata, segment_edit, separator_scan
 from strata.llm.common import run_dir
 from strata.llm.tokens import encode
@@ -60,12 +63,15 @@ def distance(a, b):
 
 
 def plain_lines(data, edits, least):
-    texts = {d: t for d, t in data if d is not None and t is not None}
+    """Documents are different (id, text); those of one id come in the order of 31 bits of the texts' hashes."""
+    def order(doc):
+        return doc[0], xxhash.xxh64(doc[1].encode(), seed=42).intdigest() % 2**31
+
     first = {}
-    for d in sorted(texts):
-        for i, line in enumerate(texts[d].split("\n")):
+    for d, t in sorted({(d, t) for d, t in data if d is not None and t is not None}, key=order):
+        for i, line in enumerate(t.split("\n")):
             if s := line.strip(" \t\n\x0b\x0c\r"):
-                first.setdefault(s, (d, i))
+                first.setdefault(s, (*order((d, t)), i))
     near = {a for a in first for b in first if len(a) >= least and len(b) >= least and first[b] < first[a]
             and abs(len(a) - len(b)) <= edits and distance(a, b) <= edits}
     out = []
@@ -75,7 +81,7 @@ def plain_lines(data, edits, least):
             out.append((d, len(lines), 0, 0, t))
             continue
         cut = [x.strip(" \t\n\x0b\x0c\r") for x in lines]
-        old = [bool(s) and first[s] != (d, i) for i, s in enumerate(cut)]
+        old = [bool(s) and first[s] != (*order((d, t)), i) for i, s in enumerate(cut)]
         close = [s in near and not o for s, o in zip(cut, old)]
         out.append((d, len(lines), sum(old), sum(close), "\n".join(x for x, o, c in zip(lines, old, close) if not o and not c)))
     return sorted(out, key=str)
@@ -96,10 +102,38 @@ def test_line_dedup(spark, edits):
             lines.append("".join(line))
         data.append((i, "\n".join(rng.choice([lines, lines + [""], lines + ["  "]]))))
     data += [(None, "a\na"), (200, None), (201, ""), (202, "\n\n"), (203, "aaaa " * 2000), (204, "b" * 24), (205, "b" * 25), data[0]]
+    # different texts under one id, one of them twice
+    data += [(300, "\n".join(rng.sample(base, 3) + [f"only in text {k} of three hundred"])) for k in (0, 1, 2, 2)] + [(-5, data[3][1])]
     df = spark.createDataFrame(data, "doc_id long, text string")
     assert got(segment_edit.dedup(df, edits=edits)) == plain_lines(data, edits, 24)
 
 
+def test_texts_under_one_id_lose_no_line(spark):
+    near = "a line that both texts have nearly alike"
+    data = [(1, f"a\nb\n{near}"), (1, f"c\nd\nunique line of the second text\nlast\n{near}!"), (1, f"a\nb\n{near}")]
+    out = segment_edit.dedup(spark.createDataFrame(data, "doc_id long, text string"))
+    assert got(out) == plain_lines(data, 2, 24)
+    rows = out.collect()
+    assert all(r.n_repeated >= 0 and r.n_near >= 0 for r in rows)
+    assert {x for r in rows for x in r.text.split("\n")} >= {"a", "b", "c", "d", "unique line of the second text", "last"}
+
+
+@pytest.mark.parametrize("edits", [1, 2, 5])
+def test_bit_parallel_distance(spark, edits):
+    rng = random.Random(edits)
+    pairs = []
+    for _ in range(400):
+        a = "".join(rng.choice("ab\nñ\U0001f600") for _ in range(rng.randint(6, 40)))
+        b = list(a)
+        for _ in range(rng.randint(0, edits + 2)):
+            k = rng.randrange(len(b) + 1)
+            b[k:k + rng.randint(0, 1)] = rng.choice(["", "a", "b", "é"])
+        pairs.append((a, "".join(b)))
+    df = spark.createDataFrame(pairs, "a string, b string").withColumn("near", segment_edit.within(F.col("a"), F.col("b"), edits))
+    rows = df.collect()
+    assert [r.near for r in rows] == [distance(r.a, r.b) <= edits for r in rows] and len({r.near for r in rows}) == 2
+
+
 def test_line_dedup_of_awkward_rows(spark):
     data = [r[:2] for r in rows()]
     out = segment_edit.dedup(documents(spark), carry=["source", "row", "line"])
