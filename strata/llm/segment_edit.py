@@ -46,13 +46,17 @@ def keys(lines: DataFrame, edits: int, index: bool) -> DataFrame:
     return each.select("id", mark.alias("letters"), _key(F.col("line"), F.col("n") - F.col("less"), F.col("i"), at + F.col("shift"), size).alias("key"))
 
 
-def letter_counts(line: Column) -> Column:
-    """Counts of seven letters, a byte each, and the length in seven bits; the highest bit is free."""
-    total = F.shiftleft(F.pmod(F.length(line), F.lit(128)).cast("long"), 8 * len(LETTERS))
+def with_letters(lines: DataFrame) -> DataFrame:
+    """Adds ``letters``: counts of seven letters, a byte each, and the length in seven bits; the highest bit is free.
+
+    Letter by letter is taken out of what the last one left, so each step reads less; the letters take a byte each.
+    """
+    out, total = lines.withColumn("strata_rest0", F.col("line")), F.shiftleft(F.pmod(F.length("line"), F.lit(128)).cast("long"), 8 * len(LETTERS))
     for k, c in enumerate(LETTERS):
-        count = F.pmod(F.length(line) - F.length(F.replace(line, F.lit(c), F.lit(""))), F.lit(256)).cast("long")
-        total = total.bitwiseOR(F.shiftleft(count, 8 * k))
-    return total
+        out = out.withColumn(f"strata_rest{k + 1}", F.replace(F.col(f"strata_rest{k}"), F.lit(c), F.lit("")))
+        count = F.octet_length(f"strata_rest{k}") - F.octet_length(f"strata_rest{k + 1}")
+        total = total.bitwiseOR(F.shiftleft(F.pmod(count, F.lit(256)).cast("long"), 8 * k))
+    return out.select(*lines.columns, total.alias("letters"))
 
 
 def _may_be_near(a: Column, b: Column, edits: int) -> Column:
@@ -189,15 +193,16 @@ def dedup(docs: DataFrame, *, edits: int = EDITS, least: int = LEAST, carry: lis
     # the lines that first occur in a document; what meets here is a document's own
     firsts = stored(first.select("id", *[c.alias(k) for k, c in _unplaced(F.col("place")).items()])
                     .groupBy("doc_id", "hash31").agg(F.collect_list(spot).alias("firsts")), "line-firsts")
-    once = known.groupBy("doc_id", "hash31").agg(F.min("text").alias("text"))
+    # cut before the join: what is computed above it may be moved into the functions that look a line up
+    once = known.groupBy("doc_id", "hash31").agg(_cut(F.min("text")).alias("lines"))
     line = F.btrim("raw", F.lit(SPACES))
     # numbers within the text only: a second text of the same 31 bits can be shorter
     inside = F.filter("firsts", lambda w: w["line_no"] < F.size("lines"))
-    placed = once.join(firsts.hint("merge"), ["doc_id", "hash31"]).withColumn("lines", _cut(F.col("text"))).select(
-        "doc_id", "hash31", F.inline(F.transform(inside, lambda w: F.struct(
+    placed = once.join(firsts.hint("merge"), ["doc_id", "hash31"]).select(
+        "doc_id", "hash31", F.inline_outer(F.transform(inside, lambda w: F.struct(
             w["line_no"].alias("line_no"), w["id"].alias("id"), F.get(F.col("lines"), w["line_no"]).alias("raw"))))
     ).where(_name(F.col("raw")) == F.col("id"))
-    lines = stored(placed.withColumn("letters", letter_counts(line)), "lines").withColumn("line", line)
+    lines = stored(with_letters(placed.withColumn("line", line)).drop("line"), "lines").withColumn("line", line)
     pairs = stored(near_pairs(lines.select("id", "line", "letters"), edits, least), "line-pairs")
     # both sides grow with the input: planned as merges at every size
     place = lines.select("id", F.struct("doc_id", "hash31", "line_no", "id").alias("at")).hint("merge")
@@ -208,29 +213,27 @@ def dedup(docs: DataFrame, *, edits: int = EDITS, least: int = LEAST, carry: lis
         .groupBy("doc_id", "hash31").agg(F.collect_list(spot).alias("gone"))
     )
     row = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")] if carry else []
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _hash31(F.col("text")).alias("hash31"), *row, F.col("text").cast("string").alias("text"))
+    names = F.transform("lines", lambda x: F.when(F.btrim(x, F.lit(SPACES)) != "", _name(x)))
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _hash31(F.col("text")).alias("hash31"), *row,
+                      _cut(F.col("text").cast("string")).alias("lines")).withColumn("names", names)
     out = out.join(firsts.join(gone, ["doc_id", "hash31"], "left").hint("merge"), ["doc_id", "hash31"], "left")
     return _assembled(out, ["row"] if carry else [])
 
 
 def _assembled(out: DataFrame, also: list[str]) -> DataFrame:
-    """Texts put together from the numbers of their kept lines (``doc_id, text, firsts, gone``)."""
-    none = F.array().cast("array<int>")
-
+    """Texts put together from the numbers of their kept lines (``doc_id, lines, names, firsts, gone``; a blank line has no name)."""
     def own(spots: str) -> Column:
         # only if the line at the place is the one meant
         meant = F.filter(F.col(spots), lambda w: F.get(F.col("names"), w["line_no"]) == w["id"])
-        return F.coalesce(F.transform(meant, lambda w: w["line_no"]), none)
+        return F.coalesce(F.transform(meant, lambda w: w["line_no"]), F.array().cast("array<int>"))
 
-    out = out.withColumn("lines", _cut(F.col("text")))
-    out = out.withColumn("names", F.transform("lines", lambda x: F.when(F.btrim(x, F.lit(SPACES)) != "", _name(x))))
-    out = out.withColumn("blank", F.filter(F.transform("names", lambda x, i: F.when(x.isNull(), i)), lambda i: i.isNotNull()))
-    out = out.withColumns({"firsts": own("firsts"), "gone": own("gone")})
-    kept = F.array_sort(F.concat("blank", F.array_except("firsts", "gone")))
+    blank = F.filter(F.transform("names", lambda x, i: F.when(x.isNull(), i)), lambda i: i.isNotNull())
+    kept = F.array_sort(F.concat(blank, F.array_except(own("firsts"), own("gone"))))
     new = F.array_join(F.transform(kept, lambda i: F.get(F.col("lines"), i)), "\n")
-    same = F.col("doc_id").isNull() | F.col("text").isNull()
+    same = F.col("doc_id").isNull() | F.col("lines").isNull()
     n_lines = F.coalesce(F.size("lines"), F.lit(0))
-    repeated = n_lines - F.size("blank") - F.size("firsts")
+    repeated = n_lines - F.size(blank) - F.size(own("firsts"))
     return out.select(
         "doc_id", n_lines.cast("long").alias("n_lines"), F.when(same, F.lit(0)).otherwise(repeated).cast("long").alias("n_repeated"),
-        F.when(same, F.lit(0)).otherwise(F.size("gone")).cast("long").alias("n_near"), F.when(same, F.col("text")).otherwise(new).alias("text"), *also)
+        F.when(same, F.lit(0)).otherwise(F.size(own("gone"))).cast("long").alias("n_near"),
+        F.when(same, F.array_join("lines", "\n")).otherwise(new).alias("text"), *also)
