@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import stored
 from .tokens import encode
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -23,12 +26,15 @@ def lengths(n: int, longest: int) -> list[int]:
 
 def pack(docs: DataFrame, *, longest: int = 2048, end_id: int = 1, ranks_path: str | None = None,
          with_ids: bool = False) -> DataFrame:
-    """Rows of pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ``ids`` if wanted).
+    """Rows of pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, bucket, place (and ``ids`` if wanted).
 
     A document's ids, then ``end_id``, are cut into pieces whose lengths are powers of two up to ``longest`` (itself a
-    power of two). Each piece is a sequence of its own in the bucket of its length, so sequences of one bucket batch
-    without padding. Documents are read once and nothing is shuffled; sequence_id follows from the order of
-    the rows read, so a task that runs again gives the same ids.
+    power of two). Each piece is a sequence of its own in the bucket of its length. ``bucket`` is the logarithm of the
+    length and ``place`` numbers a bucket's sequences without gaps, so any run of places is a batch without padding;
+    sequence_id numbers the buckets one behind the other, the longest first.
+
+    Documents are read and encoded once. A task numbers its own pieces of each length; the counts of all tasks, a row for
+    each task and length, are summed up in order. A task that runs again gives the same numbers.
 
     Null or empty text: one piece, the end id. Repeated rows are packed each. Null ids are kept. Other columns are
     ignored; an empty table gives no rows.
@@ -37,6 +43,7 @@ def pack(docs: DataFrame, *, longest: int = 2048, end_id: int = 1, ranks_path: s
         raise ValueError("the longest sequence must be a power of two")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, before = TaskContext.get().partitionId(), Counter()
         for batch in batches:
             ids_of = batch.column(0).to_pylist()
             out: list[list] = [[], [], [], [], []]
@@ -53,13 +60,28 @@ def pack(docs: DataFrame, *, longest: int = 2048, end_id: int = 1, ranks_path: s
                     values.extend(more)
                 if with_ids:
                     kept.extend(ids[s:s + n] for s, n in zip(starts, sizes, strict=True))
-            arrays = [pa.array(v, pa.int64()) for v in out]
-            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+            nth = []
+            for n in out[2]:
+                nth.append(before[n])
+                before[n] += 1
+            arrays = [pa.array(v, pa.int64()) for v in (*out, [task] * len(nth), nth)]
+            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "task", "nth"]
             if with_ids:
                 arrays.append(pa.array([k.astype(np.int64) for k in kept], pa.list_(pa.int64())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-    schema = PIECES + (", ids array<long>" if with_ids else "")
-    pieces = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, schema)
-    return pieces.withColumns({"sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
+    schema = PIECES + ", task long, nth long" + (", ids array<long>" if with_ids else "")
+    pieces = stored(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, schema), "pieces")
+    counts = stored(pieces.groupBy("length", "task").count(), "piece-counts")
+    earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("length", "task", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("first"))
+    # a row for each length: at most as many as the longest has bits
+    longer = Window.orderBy(F.desc("length")).rowsBetween(Window.unboundedPreceding, -1)
+    buckets = counts.groupBy("length").agg(F.sum("count").alias("n")).select(
+        "length", F.coalesce(F.sum("n").over(longer), F.lit(0)).alias("base"))
+    starts = stored(starts.join(buckets, "length"), "piece-starts")
+    place = F.col("first") + F.col("nth")
+    return pieces.join(starts, ["length", "task"]).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("base") + place).alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
+        F.log2("length").cast("int").alias("bucket"), place.alias("place"), *(["ids"] if with_ids else []))

@@ -197,15 +197,27 @@ def test_packing_is_a_round_trip(spark):
     assert all(p.length & (p.length - 1) == 0 and p.length <= 256 and p.offset == 0 for p in pieces)
     assert len({p.sequence_id for p in pieces}) == len(pieces)
     assert all(p.ids_crc32 == zlib.crc32(np.array(p.ids, "<u4").tobytes()) for p in pieces)
-    found = Counter()
-    by_doc = {}
-    for p in sorted(pieces, key=lambda p: p.sequence_id):
-        if p.start == 0:
-            by_doc[p.sequence_id] = current = [p.doc_id, []]
-        assert len(current[1]) == p.start
-        current[1].extend(p.ids)
-    found = Counter((d, tuple(ids)) for d, ids in by_doc.values())
-    assert found == Counter((r[0], (*plain.encode(r[1] or "", add_special_tokens=False).ids, 1)) for r in data)
+    want = Counter()
+    for r in data:
+        ids = (*plain.encode(r[1] or "", add_special_tokens=False).ids, 1)
+        sizes = packing.lengths(len(ids), 256)
+        starts = np.cumsum([0, *sizes[:-1]]).tolist()
+        assert sum(sizes) == len(ids)
+        want.update((r[0], s, ids[s:s + n], len(ids)) for s, n in zip(starts, sizes, strict=True))
+    assert Counter((p.doc_id, p.start, tuple(p.ids), p.doc_tokens) for p in pieces) == want
+
+
+def test_buckets_are_numbered_without_gaps(spark):
+    pieces = packing.pack(documents(spark), longest=256).collect()
+    buckets = {}
+    for p in pieces:
+        assert p.length == 1 << p.bucket
+        buckets.setdefault(p.bucket, []).append((p.place, p.sequence_id))
+    first = 0
+    for b in sorted(buckets, reverse=True):
+        assert sorted(buckets[b]) == [(k, first + k) for k in range(len(buckets[b]))]
+        first += len(buckets[b])
+    assert packing.pack(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
 def test_binary_lengths():
