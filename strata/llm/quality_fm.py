@@ -79,17 +79,20 @@ def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     for k, size in enumerate(sizes):
         dense[:, len(SHARES) + k] = place + np.minimum(23, np.log2(np.asarray(size, float) + 1) * (1 if k < 3 else 3)).astype(np.int64)
         place += 24
+    # one feature a bucket, so that a word that is repeated makes no pair with itself
+    held, times = np.unique(np.repeat(np.arange(n_docs), n_words) * BUCKETS + (hashes & np.uint64(BUCKETS - 1)).astype(np.int64),
+                            return_counts=True)
     # words first, then the dense features of the same text
     width = dense.shape[1]
-    offsets = at + np.arange(n_docs + 1) * width
+    offsets = np.searchsorted(held, np.arange(n_docs + 1) * BUCKETS) + np.arange(n_docs + 1) * width
     ids = np.empty(offsets[-1], np.int32)
     values = np.ones(offsets[-1], np.float32)
     is_dense = np.zeros(offsets[-1], bool)
     slots = (offsets[1:, None] - width + np.arange(width)[None, :]).ravel()
     is_dense[slots] = True
     ids[slots] = dense.ravel()
-    ids[~is_dense] = (hashes & np.uint64(BUCKETS - 1)).astype(np.int32)
-    values[~is_dense] = np.repeat(1.0 / np.maximum(n_words, 1), n_words)
+    ids[~is_dense] = (held % BUCKETS).astype(np.int32)
+    values[~is_dense] = times / n_words[held // BUCKETS]
     values[is_dense] = 1.0 / np.sqrt(width)
     return ids, values, offsets
 

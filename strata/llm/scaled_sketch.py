@@ -45,11 +45,11 @@ def containment(a: Column, b: Column) -> Column:
     return F.when(F.size(a) > 0, F.size(F.array_intersect(a, b)) / F.size(a))
 
 
-def likeness(a: Column, b: Column, same: Column) -> Column:
-    """Estimated Jaccard similarity; ``same`` decides where neither text retained a hash."""
+def likeness(a: Column, b: Column) -> Column:
+    """Estimated Jaccard similarity of two sketches; two that retained nothing are equal, so 1."""
     shared = F.size(F.array_intersect(a, b))
     either = F.size(a) + F.size(b) - shared
-    return F.when(either > 0, shared / either).otherwise(same.cast("double"))
+    return F.when(either > 0, shared / either).otherwise(F.lit(1.0))
 
 
 def _range_of(doc_id: Column, bounds: list[int], step: int = 32) -> Column:
@@ -92,6 +92,9 @@ def with_next(docs: DataFrame, kept: Column, spread: int | None = None) -> DataF
 def fingerprints(docs: DataFrame, *, width: int = SHINGLE, fraction: float = FRACTION) -> DataFrame:
     """A row for each document: its fingerprint, that of its edited text, and their likenesses.
 
+    Likenesses are those of the fingerprints: a text of k shingles retains none of them with probability (1 - ``fraction``)^k, and
+    texts that retained none have equal fingerprints, likeness 1, whatever they hold.
+
     Null text counts as empty, and an empty text has the one shingle of no words. A single document is its own next.
     Repeated rows have a row each; an empty table gives none; other columns are ignored.
     """
@@ -103,5 +106,4 @@ def fingerprints(docs: DataFrame, *, width: int = SHINGLE, fraction: float = FRA
     return made.select(
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         as_text(F.col("kept")).alias("fingerprint"), as_text(F.col("other")).alias("edited_fingerprint"),
-        likeness(F.col("kept"), F.col("other"), F.col("text") == F.col("edited")).alias("near_edited"),
-        likeness(F.col("kept"), F.col("next_kept"), F.col("text") == F.col("next_text")).alias("near_next"))
+        likeness(F.col("kept"), F.col("other")).alias("near_edited"), likeness(F.col("kept"), F.col("next_kept")).alias("near_next"))

@@ -34,8 +34,16 @@ REPORTS = ("said", "says", "called", "quoted", "wrote", "sagte", "nannte", "dit"
 
 PATTERNS = ("insult", "directed_insult", "negated_insult", "reported_insult", "threat", "directed_threat", "excused_threat",
             "suspect", "excused_suspect", "suspect_share")
-# Where the weights start, and what they are drawn to: bias, then the patterns.
-PRIOR = np.array([-3.0, 4.0, 4.5, 1.0, 1.0, 1.0, 3.5, 0.5, 0.5, 0.2, 0.5])
+# Patterns stand on ladders: a word that is only mentioned, one that is meant, one that is meant for someone. Weights are the
+# steps, none below zero, so negation and report never raise a clause's score and a target never lowers it.
+LADDERS = (
+    ("insult", "directed_insult", "negated_insult", "reported_insult"), ("insult", "directed_insult"), ("directed_insult",),
+    ("threat", "directed_threat", "excused_threat"), ("threat", "directed_threat"), ("directed_threat",),
+    ("suspect", "excused_suspect"), ("suspect",), ("suspect_share",),
+)
+_STEPS = np.array([[p in step for step in LADDERS] for p in PATTERNS], float)
+# Where the weights start, and what they are drawn to: bias, then the steps.
+PRIOR = np.array([-3.0, 1.0, 3.0, 0.5, 0.5, 0.5, 2.5, 0.2, 0.3, 0.5])
 LENGTHS = range(4, 10)
 SCOPE = 2
 _WORD = re.compile(r"\w+")
@@ -120,7 +128,7 @@ class Grammar:
         return np.array([found[p] for p in PATTERNS], float)
 
     def score(self, counts: np.ndarray) -> np.ndarray:
-        z = self.weights[0] + np.log1p(counts) @ self.weights[1:] / math.log(2)
+        z = self.weights[0] + np.log1p(counts @ _STEPS) @ self.weights[1:] / math.log(2)
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
@@ -205,8 +213,8 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", folds: in
 
 
 def fit_weights(counts: np.ndarray, labels: np.ndarray, pull: float = 2.0, steps: int = 60) -> np.ndarray:
-    """Newton steps on the logistic loss with the weights drawn to the prior; patterns never lower a score."""
-    x = np.column_stack([np.ones(len(counts)), np.log1p(counts) / math.log(2)])
+    """Newton steps on the logistic loss with the weights drawn to the prior; no step lowers a score."""
+    x = np.column_stack([np.ones(len(counts)), np.log1p(counts @ _STEPS) / math.log(2)])
     w = PRIOR.copy()
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))

@@ -107,6 +107,13 @@ def test_fingerprints(spark):
     assert scaled_sketch.fingerprints(spark.createDataFrame([], SCHEMA)).collect() == []
     one = spark.createDataFrame([(1, "a b c d e f g h")], "doc_id long, text string")
     assert scaled_sketch.fingerprints(one).collect()[0].near_next == 1.0
+    # short texts: whatever they retain, equal fingerprints are alike
+    short = spark.createDataFrame([(k, f"{k} b c d e {k}") for k in range(40)], "doc_id long, text string")
+    found = {r.doc_id: r for r in scaled_sketch.fingerprints(short).collect()}
+    assert "" in {r.fingerprint for r in found.values()}
+    for k, r in found.items():
+        assert r.near_edited == 1.0 or r.fingerprint != r.edited_fingerprint
+        assert r.near_next == 1.0 or r.fingerprint != found[(k + 1) % 40].fingerprint
 
 
 def test_sketches_estimate_containment(spark):
@@ -134,6 +141,17 @@ def test_machine_equals_all_pairs():
     assert m.raw(ids, x, np.array([0, 4]))[0] == pytest.approx(want, rel=1e-5)
 
 
+def test_repeated_words_are_one_feature():
+    texts = ["a b a c a", None, "one two", "", "x " * 500 + "y"]
+    ids, x, at = quality_fm.features(texts)
+    dense = len(quality_fm.SHARES) + len(quality_fm.SIZES)
+    for text, s, e in zip(texts, at[:-1], at[1:], strict=True):
+        ws = words(text)
+        own, value = ids[s:e - dense], x[s:e - dense]
+        assert len(own) == len(set(own.tolist())) == len(set(ws)) and (ids[e - dense:e] >= quality_fm.BUCKETS).all()
+        assert sorted(value.tolist()) == pytest.approx(sorted(ws.count(w) / len(ws) for w in set(ws)))
+
+
 @pytest.mark.parametrize("op,label,folds,held", [("op8_quality_fm", "quality", 4, 2), ("op9_toxicity_wfst", "toxic", 5, 0)])
 def test_held_out_accuracy(spark, op, label, folds, held):
     sf = "/root/testdata/sf0.1"
@@ -181,6 +199,18 @@ def test_grammar_reads_clauses():
     assert a[0] > 0.5 > a[1] > a[2]
 
 
+def test_fitted_weights_keep_the_order_of_clauses(spark):
+    sf = "/root/testdata/sf0.1"
+    g = toxicity_wfst.train(load(spark, sf, "documents"), load(spark, sf, "labels"))
+
+    def score(text):
+        return g.score(g.patterns(text)[None])[0]
+
+    assert score("you idiot") >= score("idiot") >= score("not an idiot") >= score("hello")
+    assert score("he said idiot") <= score("idiot")
+    assert score("I will kill you") >= score("to kill time") >= score("never kill time") >= score("hello")
+
+
 def test_learned_prefixes_need_evidence():
     prefixes = [("idio", 40, 0), ("idiot", 40, 0), ("rare", 2, 0), ("word", 60, 300), ("lowe", 20, 1), ("lowei", 20, 0), ("achlich", 50, 60)]
     assert toxicity_wfst.learn(prefixes, 100, 900) == (["idio", "lowei"], ["achlich", "lowe"])
