@@ -171,21 +171,57 @@ class Group:
         return (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)).astype(np.int32)
 
 
-def _slices(cells: pa.Array, limit: int = BYTES_AT_ONCE) -> Iterator[tuple[int, list]]:
-    """(first cell, cells as bytes) of consecutive slices of a batch, bounded in bytes; a larger cell stands alone."""
+def _slices(cells: pa.Array, limit: int = BYTES_AT_ONCE) -> Iterator[tuple[int, pa.Array]]:
+    """(first cell, cells) of consecutive slices of a batch, bounded in bytes; a larger cell stands alone."""
     total = np.cumsum(pc.fill_null(pc.binary_length(cells), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
     while start < len(cells):
         before = total[start - 1] if start else 0
         stop = max(start + 1, int(np.searchsorted(total, before + limit, side="right")))
-        yield start, cells.slice(start, stop - start).to_pylist()
+        yield start, cells.slice(start, stop - start)
         start = stop
 
 
+def _bytes(cells: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """A writable copy of the bytes of all cells, and where each begins and the last one ends."""
+    cells = cells.cast(pa.binary())
+    _, ends, data = cells.buffers()
+    at = np.frombuffer(ends, np.int32)[cells.offset:cells.offset + len(cells) + 1].astype(np.int64)
+    held = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return held[at[0]:at[-1]].copy(), at - at[0]
+
+
+def same_layouts(data: np.ndarray, at: np.ndarray, cells: np.ndarray, least: int = 8) -> tuple[list[tuple], np.ndarray]:
+    """Cells of a single coordinate block that agree in length and in all bytes before it (points above all), read at once.
+
+    (first byte of each block, (points, dimensions) array of a copy of all blocks) of each layout found, and the other
+    cells. Lengths that fewer than ``least`` cells have are not looked at.
+    """
+    size, found, rest = np.diff(at)[cells], [], [np.zeros(0, np.int64)]
+    order = np.argsort(size, kind="stable")
+    todo = np.split(cells[order], np.flatnonzero(np.diff(size[order])) + 1)
+    while todo:
+        alike = todo.pop()
+        own = list(blocks(memoryview(data), int(at[alike[0]]))) if len(alike) >= least else []
+        view = own[0][4] if len(own) == 1 and own[0][4].size else None
+        head = 0 if view is None else view.ctypes.data - data.ctypes.data - int(at[alike[0]])
+        if view is None or head + view.nbytes != at[alike[0] + 1] - at[alike[0]]:  # something follows the block
+            rest.append(alike)
+            continue
+        heads = np.lib.stride_tricks.sliding_window_view(data, head)[at[alike]]
+        same = (heads == heads[0]).all(1)
+        start = at[alike[same]] + head
+        block = np.lib.stride_tricks.sliding_window_view(data, view.nbytes)[start]
+        found.append((start, block.view(view.dtype).reshape(-1, view.shape[1])))
+        # others of that length are looked at again, unless layouts are so many that each has a few cells only
+        (todo if same.sum() >= least else rest).append(alike[~same])
+    return found, np.concatenate(rest)
+
+
 def _groups(cells: pa.Array) -> Iterator[Group]:
     """Blocks of a batch of WKB cells, handed on whenever enough points are together."""
     group, points = Group([], [], [], [], [], [], []), 0
-    for i, cell in ((first + k, cell) for first, part in _slices(cells) for k, cell in enumerate(part)):
+    for i, cell in ((first + k, cell) for first, part in _slices(cells) for k, cell in enumerate(part.to_pylist())):
         if cell is None:
             continue
         for body, part, kind, ring, view, has_z in blocks(cell):
@@ -341,11 +377,11 @@ def promote_to_multi(df: DataFrame, geom: str, geometry_type: str) -> DataFrame:
 
 # in-place rewriting -------------------------------------------------------
 
-def _rewritten(df: DataFrame, geom: str, change: Callable[[list], list]) -> DataFrame:
+def _rewritten(df: DataFrame, geom: str, change: Callable[[pa.Array], pa.Array]) -> DataFrame:
     """Replace the geometry cells slice by slice of each batch; the other columns stay in the JVM."""
     @F.arrow_udf("binary")
     def run(cells: pa.Array) -> pa.Array:
-        done = [pa.array(change(part), pa.binary()) for _, part in _slices(cells)]
+        done = [change(part) for _, part in _slices(cells)]
         return pa.concat_arrays(done) if done else pa.array([], pa.binary())
 
     field = df.schema[geom]
@@ -355,25 +391,29 @@ def _rewritten(df: DataFrame, geom: str, change: Callable[[list], list]) -> Data
 def reproject(df: DataFrame, geom: str, dst: int, src: int | None = None) -> DataFrame:
     """Transform all coordinates to ``dst``; an unknown system is an error.
 
-    The coordinates of a slice are transformed in one vectorised call.
+    The coordinates of a slice are transformed in one vectorised call and written over one copy of its bytes.
     """
     src = srid_of(df, geom) if src is None else src
     chain = crs.steps(src, dst)
     if not chain:
         return with_srid(df, geom, dst)
 
-    def change(cells: list) -> list:
-        copies = [bytearray(c) if c is not None else None for c in cells]
-        views = [b[4] for c in copies if c is not None for b in blocks(c)]
+    def change(cells: pa.Array) -> pa.Array:
+        data, at = _bytes(cells)
+        layouts, rest = same_layouts(data, at, np.flatnonzero(cells.is_valid().to_numpy(zero_copy_only=False)))
+        views = [block for _, block in layouts] + [b[4] for i in rest.tolist() for b in blocks(memoryview(data), int(at[i]))]
         if views:
             x = np.concatenate([v[:, 0] for v in views]).astype(np.float64)
             y = np.concatenate([v[:, 1] for v in views]).astype(np.float64)
             x, y = crs.transform_arrays(x, y, chain)
-            at = 0
-            for v in views:
-                v[:, 0], v[:, 1] = x[at:at + len(v)], y[at:at + len(v)]
-                at += len(v)
-        return [bytes(c) if c is not None else None for c in copies]
+            ends = np.cumsum([len(v) for v in views])
+            for v, k in zip(views, ends.tolist(), strict=True):
+                v[:, 0], v[:, 1] = x[k - len(v):k], y[k - len(v):k]
+            for start, block in layouts:
+                raw = block.view(np.uint8).reshape(len(start), -1)
+                np.lib.stride_tricks.sliding_window_view(data, raw.shape[1], writeable=True)[start] = raw
+        done = pa.Array.from_buffers(pa.binary(), len(cells), [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data)])
+        return pc.if_else(cells.is_valid(), done, pa.scalar(None, pa.binary())) if cells.null_count else done
 
     return with_srid(_rewritten(df, geom, change), geom, dst)
 
@@ -401,9 +441,9 @@ def repair_simple(df: DataFrame, geom: str = "geometry") -> DataFrame:
 
     Anything else is left as it is, for ``validity`` to flag again.
     """
-    return _rewritten(df, geom, lambda cells: [
-        rewrite(c, _repair_block)[0] if c is not None else None for c in cells
-    ])
+    return _rewritten(df, geom, lambda cells: pa.array([
+        rewrite(c, _repair_block)[0] if c is not None else None for c in cells.to_pylist()
+    ], pa.binary()))
 
 
 # validity -----------------------------------------------------------------

@@ -21,15 +21,33 @@ def scan_table(spark: SparkSession, path_or_table: str, pk: str) -> DataFrame:
     return columns.key_columns(_read(spark, path_or_table), [pk])
 
 
+def key_predicates(keys: DataFrame, pk: str, partitions: int) -> list[str]:
+    """Conditions on a number key that each hold for about as many rows; every row meets exactly one, a NULL key the first.
+
+    The cuts are approximate quantiles, so dense stretches of keys get as many ranges as their rows ask for. They are
+    found in one pass with partial sketches; ``partitions`` - 1 numbers come to the driver.
+    """
+    shares = [k / partitions for k in range(1, partitions)]
+    found = keys.select(F.percentile_approx(pk, shares, 100 * partitions).alias("cuts")).first().cuts if shares else None
+    cuts = sorted(set(found or []))
+    if not cuts:
+        return ["1 = 1"]
+    return [f"{pk} <= {cuts[0]} OR {pk} IS NULL", *[f"{pk} > {a} AND {pk} <= {b}" for a, b in zip(cuts, cuts[1:])], f"{pk} > {cuts[-1]}"]
+
+
 def scan_jdbc(spark: SparkSession, url: str, table: str, pk: str, bounds: tuple[int, int],
               partitions: int, fetch_rows: int = 20_000, **options: str) -> DataFrame:
-    """The same scan from a database, read in key ranges by many tasks."""
-    df = (
+    """The same scan from a database, read by many tasks in key ranges of about equal numbers of rows.
+
+    The keys alone are read first, in equal steps between ``bounds``, to find the ranges.
+    """
+    keys = (
         spark.read.format("jdbc").options(**options)
         .option("url", url).option("dbtable", table).option("fetchsize", fetch_rows)
         .option("partitionColumn", pk).option("lowerBound", bounds[0]).option("upperBound", bounds[1])
-        .option("numPartitions", partitions).load()
+        .option("numPartitions", partitions).load().select(pk)
     )
+    df = spark.read.jdbc(url, table, predicates=key_predicates(keys, pk, partitions), properties={**options, "fetchsize": str(fetch_rows)})
     return columns.key_columns(df, [pk])
 
 
