@@ -178,3 +178,84 @@ def test_holes_in_a_column_meet_few_walls(spark):
         return a.join(b, keys).agg(F.sum(F.col("a") * F.col("b"))).first()[0]
 
     assert pairs(4000) < 6 * pairs(1000)
+
+
+def turn(p, q, r):
+    return (q[0] - p[0]) * (r[1] - p[1]) - (q[1] - p[1]) * (r[0] - p[0])
+
+
+def on_side(p, q, r):
+    return turn(p, q, r) == 0 and min(p[0], q[0]) <= r[0] <= max(p[0], q[0]) and min(p[1], q[1]) <= r[1] <= max(p[1], q[1])
+
+
+def side_of_ring(ring, p):
+    """1 strictly inside a convex anticlockwise ring, 0 on it, -1 outside."""
+    turns = [turn(a, b, p) for a, b in zip(ring[:-1], ring[1:])]
+    return -1 if min(turns) < 0 else 0 if min(turns) == 0 else 1
+
+
+def valid_with_convex_holes(shell, holes):
+    """Holes of a convex shell, all within it: interiors apart, and no circle of rings that touch."""
+    rings = [shell, *holes]
+    for i, a in enumerate(holes):
+        for b in holes[i + 1:]:
+            # two convex rings are apart if a side of one has the other one behind it
+            if not any(max(turn(p, q, r) for r in other) <= 0 for ring, other in ((a, b), (b, a)) for p, q in zip(ring[:-1], ring[1:])):
+                return False
+    sides = [[(p, q) for p, q in zip(r[:-1], r[1:])] for r in rings]
+    for i in range(len(rings)):
+        for j in range(i):
+            for a in sides[i]:
+                for b in sides[j]:
+                    if turn(*a, b[0]) == turn(*a, b[1]) == 0:
+                        k = 0 if a[0][0] != a[1][0] else 1
+                        (a1, a2), (b1, b2) = sorted((a[0][k], a[1][k])), sorted((b[0][k], b[1][k]))
+                        if max(a1, b1) < min(a2, b2):
+                            return False
+    points = {p for r in rings for p in r}
+    edges = {(p, k) for p in points for k, s in enumerate(sides) if any(on_side(*side, p) for side in s)}
+    # take away what hangs on a single edge until nothing does: what is left goes in a circle
+    while True:
+        ends = [n for e in edges for n in (("p", e[0]), ("r", e[1]))]
+        left = {e for e in edges if ends.count(("p", e[0])) > 1 and ends.count(("r", e[1])) > 1}
+        if left == edges:
+            return not edges
+        edges = left
+
+
+def test_touching_holes_match_brute_force(spark):
+    ship(spark)
+    rng = np.random.default_rng(5)
+    shell = [(0, 0), (6, 0), (6, 6), (0, 6), (0, 0)]
+    shapes = []
+    while len(shapes) < 1500:
+        holes = []
+        for _ in range(int(rng.integers(1, 5))):
+            a = tuple(int(v) for v in rng.integers(0, 7, 2))
+            b, c = (tuple(int(v) for v in np.clip(np.array(a) + rng.integers(-2, 3, 2), 0, 6)) for _ in range(2))
+            if turn(a, b, c):
+                holes.append([a, b, c, a] if turn(a, b, c) > 0 else [a, c, b, a])
+        if holes:
+            shapes.append(holes)
+    expected = {i: valid_with_convex_holes(shell, h) for i, h in enumerate(shapes)}
+    cells = [(i, bytearray(polygon(shell, *h))) for i, h in enumerate(shapes)]
+    got = {r.fid: (r.valid, r.reason) for r in geometry.validity(spark.createDataFrame(cells, "fid long, geometry binary").repartition(4)).collect()}
+    assert {i: v for i, (v, _) in got.items()} == expected
+    reasons = [r for _, r in got.values()]
+    assert min(reasons.count(r) for r in ("Valid Geometry", "Self-intersection", "Interior is disconnected")) > 20
+
+
+def test_many_wedges_in_a_point(spark):
+    """Wedges that share one vertex touch there and are valid; one that is turned into its neighbour is not."""
+    ship(spark)
+
+    def wedges(n, turned=0.0):
+        shell = [(-2, -2), (2, -2), (2, 2), (-2, 2), (-2, -2)]
+        holes = []
+        for k in range(n):
+            a, b = 2 * np.pi * (k + (turned if k == 1 else 0.0)) / n, 2 * np.pi * (k + 0.5) / n
+            holes.append([(0, 0), (np.cos(a), np.sin(a)), (np.cos(b), np.sin(b)), (0, 0)])
+        return polygon(shell, *holes)
+
+    df = spark.createDataFrame([(1, bytearray(wedges(300))), (2, bytearray(wedges(300, -0.7)))], "fid long, geometry binary")
+    assert {r.fid: r.valid for r in geometry.validity(df).collect()} == {1: True, 2: False}

@@ -164,6 +164,13 @@ SHAPES: dict[int, tuple | None] = {
              [[(2, 2), (3, 2), (3, 3), (2, 3), (2, 2)]]]),
     23: (3, [[[(0, 0), (5, 0), (5, 5), (0, 5), (0, 0)], [(1, 1), (4, 1), (4, 4), (1, 4), (1, 1)],
               [(2, 2), (3, 2), (3, 3), (2, 3), (2, 2)]]]),
+    24: (3, [[[(0, 0), (4, 0), (4, 4), (0, 4), (0, 0)], [(0, 2), (2, 1), (4, 2), (2, 3), (0, 2)]]]),
+    25: (3, [[[(0, 0), (5, 0), (5, 5), (0, 5), (0, 0)], [(1, 1), (2, 1), (2, 2), (1, 2), (1, 1)],
+              [(2, 2), (3, 2), (3, 3), (2, 3), (2, 2)]]]),
+    26: (3, [[[(0, 1), (2, 1), (2, 3), (0, 3), (0, 1)], [(1, 2), (3, 4), (3, 0), (1, 2)]]]),
+    27: (6, [[[(0, 0), (1, 0), (1, 1), (0, 1), (0, 0)]], [[(1, 1), (2, 1), (2, 2), (1, 2), (1, 1)]]]),
+    28: (3, [[[(0, 0), (5, 0), (5, 5), (0, 5), (0, 0)], [(1, 2), (3, 1), (3, 2), (1, 2)],
+              [(3, 2), (4, 4), (2, 4), (3, 2)], [(1, 2), (2, 4), (1, 4), (1, 2)]]]),
 }
 FEATURE_BASE = {
     "fid": "o_orderkey", "shape": f"o_orderkey % {len(SHAPES)}",

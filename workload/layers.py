@@ -207,9 +207,16 @@ def _(spark, d):
 
 # headers ------------------------------------------------------------------
 
-_KIND = "CASE WHEN shape IN (0,1,2,3,4,5,6,7,12,14,17,19,21,23) THEN 'POLYGON' WHEN shape IN (8,15,18) THEN 'POINT' " \
-        "WHEN shape IN (9,13) THEN 'LINESTRING' WHEN shape IN (10, 20, 22) THEN 'MULTIPOLYGON' WHEN shape = 16 THEN 'MULTIPOINT' END"
-_PARTS = "CASE WHEN shape IN (10, 16, 20, 22) THEN 2 WHEN shape <> 11 THEN 1 END"
+_NAMES = {1: "POINT", 2: "LINESTRING", 3: "POLYGON", 4: "MULTIPOINT", 6: "MULTIPOLYGON"}
+
+
+def _shapes(test) -> str:
+    """The numbers of the shapes whose type code and parts pass the test."""
+    return ", ".join(str(i) for i, s in SHAPES.items() if s and test(*s))
+
+
+_KIND = "CASE " + " ".join(f"WHEN shape IN ({_shapes(lambda c, _: c % 1000 == k)}) THEN '{n}'" for k, n in _NAMES.items()) + " END"
+_PARTS = f"CASE WHEN shape IN ({_shapes(lambda c, parts: len(parts) == 2)}) THEN 2 WHEN shape <> 11 THEN 1 END"
 _EMPTY = "CASE WHEN shape = 11 THEN NULL ELSE shape IN (5, 18) END"
 
 
@@ -376,10 +383,23 @@ _SIDES = (
     "OR (same AND det = 0 AND un = 0 AND least(greatest(p0, p1), 1) >= greatest(least(p0, p1), 0) AND p0 <> 1 AND p1 <> 0) "
     "OR (same AND det <> 0 AND tn / det BETWEEN 0 AND 1 AND un / det BETWEEN 0 AND 1 "
     "AND NOT (tn / det = 1 AND un / det = 0) AND NOT (tn / det = 0 AND un / det = 1))), "
-    "touched AS (SELECT DISTINCT fid FROM pairs WHERE NOT same AND "
-    "((det <> 0 AND tn / det BETWEEN 0 AND 1 AND un / det BETWEEN 0 AND 1) "
-    "OR (det = 0 AND un = 0 AND least(greatest(p0, p1), 1) >= greatest(least(p0, p1), 0)))), "
-    "samples AS (SELECT fid, part, ring, x AS px, y AS py FROM verts WHERE kind = 3 AND seq = 0 AND isfinite(x)), "
+    # directions of each ring around every point where rings meet; two rings cross there if one has a single direction between the other's
+    "spots AS (SELECT DISTINCT fid, x1 AS px, y1 AS py FROM sides), "
+    "passes AS (SELECT s.*, px, py FROM sides s JOIN spots p ON s.fid = p.fid AND dx * (py - y1) = dy * (px - x1) "
+    "AND (px - x1) * dx + (py - y1) * dy BETWEEN 0 AND dx * dx + dy * dy), "
+    "ways AS (SELECT fid, px, py, part, ring, atan2(y1 + dy - py, x1 + dx - px) AS w FROM passes WHERE x1 + dx <> px OR y1 + dy <> py "
+    "UNION ALL SELECT fid, px, py, part, ring, atan2(y1 - py, x1 - px) FROM passes WHERE x1 <> px OR y1 <> py), "
+    "wedges AS (SELECT fid, px, py, part, ring, min(w) AS lo, max(w) AS hi FROM ways GROUP BY ALL), "
+    "through AS (SELECT DISTINCT a.fid FROM wedges a JOIN wedges b ON a.fid = b.fid AND a.px = b.px AND a.py = b.py "
+    "AND (a.part <> b.part OR a.ring <> b.ring) WHERE (b.lo > a.lo AND b.lo < a.hi) <> (b.hi > a.lo AND b.hi < a.hi)), "
+    # rings and contacts of a part as a graph: more edges than a forest has
+    "meets AS (SELECT * FROM wedges QUALIFY count(*) OVER (PARTITION BY fid, part, px, py) > 1), "
+    "links AS (SELECT DISTINCT a.fid, a.part, a.ring AS a, b.ring AS b FROM meets a JOIN meets b USING (fid, part, px, py)), "
+    "reach AS (SELECT * FROM links UNION SELECT r.fid, r.part, r.a, l.b FROM reach r JOIN links l ON r.fid = l.fid AND r.part = l.part AND r.b = l.a), "
+    "trees AS (SELECT fid, part, count(DISTINCT first) AS n FROM (SELECT fid, part, a, min(b) AS first FROM reach GROUP BY ALL) GROUP BY ALL), "
+    "cut AS (SELECT m.fid FROM meets m JOIN trees t ON m.fid = t.fid AND m.part = t.part GROUP BY m.fid, m.part, t.n "
+    "HAVING count(*) > count(DISTINCT ring) + count(DISTINCT (px, py)) - t.n), "
+    "samples AS (SELECT fid, part, ring, arg_min(x1 + 0.4142 * dx, seq) AS px, arg_min(y1 + 0.4142 * dy, seq) AS py FROM sides GROUP BY ALL), "
     "hits AS (SELECT r.fid, r.part, r.ring, s.part AS op, s.ring AS o_ring FROM samples r JOIN sides s ON r.fid = s.fid "
     "AND (r.part <> s.part OR r.ring <> s.ring) AND ((s.x1 <= px AND px < s.x1 + s.dx) OR (s.x1 + s.dx <= px AND px < s.x1)) "
     "AND s.y1 + s.dy * (px - s.x1) / s.dx > py GROUP BY ALL HAVING count(*) % 2 = 1), "
@@ -398,22 +418,23 @@ _AUDIT = (
     "FROM firsts f LEFT JOIN side_counts s ON f.fid = s.fid AND f.part = s.part AND f.ring = s.ring), "
     "still AS (SELECT fid, 2 AS code FROM verts WHERE kind = 2 GROUP BY fid, part HAVING count(DISTINCT (x, y)) < 2), "
     "codes AS (SELECT fid, code FROM rings UNION ALL SELECT fid, code FROM still UNION ALL SELECT fid, 3 FROM crossed "
-    "UNION ALL SELECT fid, 4 FROM touched UNION ALL SELECT fid, code FROM nests), "
+    "UNION ALL SELECT fid, 3 FROM through UNION ALL SELECT fid, 8 FROM cut UNION ALL SELECT fid, code FROM nests), "
     "worst AS (SELECT fid, min(code) AS code FROM codes GROUP BY fid), "
-    "audit AS (SELECT f.fid, f.shape, f.nome, f.wkb, CASE WHEN f.shape = 11 THEN false WHEN w.code = 4 THEN NULL ELSE w.code IS NULL END AS valid, "
+    "audit AS (SELECT f.fid, f.shape, f.nome, f.wkb, CASE WHEN f.shape = 11 THEN false ELSE w.code IS NULL END AS valid, "
     "CASE WHEN f.shape = 11 THEN NULL ELSE CASE w.code WHEN 0 THEN 'Invalid Coordinate' WHEN 1 THEN 'Ring not closed' "
-    "WHEN 2 THEN 'Too few points in geometry component' WHEN 3 THEN 'Self-intersection' WHEN 4 THEN 'Unchecked: rings touch' "
+    "WHEN 2 THEN 'Too few points in geometry component' WHEN 3 THEN 'Self-intersection' "
     "WHEN 5 THEN 'Hole lies outside shell' WHEN 6 THEN 'Holes are nested' WHEN 7 THEN 'Nested shells' "
+    "WHEN 8 THEN 'Interior is disconnected' "
     "ELSE 'Valid Geometry' END END AS reason FROM feats f LEFT JOIN worst w ON f.fid = w.fid) "
 )
 
 
-@query("g9_validity", f"WITH {_AUDIT} SELECT fid, valid, reason FROM audit")
+@query("g9_validity", f"WITH RECURSIVE {_AUDIT} SELECT fid, valid, reason FROM audit")
 def _(spark, d):
     return geometry.validity(features(spark, d))
 
 
-@query("a5_value_counts_validity", f"WITH {_AUDIT} SELECT reason, count(*) AS n FROM audit GROUP BY reason")
+@query("a5_value_counts_validity", f"WITH RECURSIVE {_AUDIT} SELECT reason, count(*) AS n FROM audit GROUP BY reason")
 def _(spark, d):
     return quality.value_counts(geometry.validity(features(spark, d)), "reason")
 
@@ -441,7 +462,7 @@ def _(spark, d):
 
 
 @query("g11_split_layers",
-       f"WITH {_AUDIT} SELECT 'invalid' AS layer, fid, reason AS invalid_reason FROM audit WHERE NOT valid UNION ALL "
+       f"WITH RECURSIVE {_AUDIT} SELECT 'invalid' AS layer, fid, reason AS invalid_reason FROM audit WHERE NOT valid UNION ALL "
        "SELECT 'invalid_after_autorepair' AS layer, fid, reason AS invalid_reason FROM audit WHERE NOT valid AND shape NOT IN (2, 3) "
        "UNION ALL SELECT 'valid' AS layer, fid, NULL AS invalid_reason FROM audit")
 def _(spark, d):
@@ -457,7 +478,7 @@ _NUL_NOME = "if(fid % 50 = 0, concat(nome, chr(0)), nome)"
 
 
 @query("q8_feature_report",
-       f"WITH {_AUDIT} SELECT 'LINESTRING,MULTIPOINT,MULTIPOLYGON,POINT,POLYGON' AS geometry_types, true AS crs_is_different, "
+       f"WITH RECURSIVE {_AUDIT} SELECT 'LINESTRING,MULTIPOINT,MULTIPOLYGON,POINT,POLYGON' AS geometry_types, true AS crs_is_different, "
        "bool_or(shape IN (5, 18)) AS has_empty_geometry, 'nome' AS null_byte_columns, count(*) <> count(DISTINCT fid) AS fid_is_duplicated, "
        "bool_or(valid = false) AS has_invalid_geometry, bool_or(valid IS NULL) AS has_unchecked_geometry, true AS has_null_byte_str FROM audit")
 def _(spark, d):
@@ -474,7 +495,7 @@ def _source(spark, d):
 
 
 @query("j7_feature_class",
-       f"WITH {_AUDIT} "
+       f"WITH RECURSIVE {_AUDIT} "
        "SELECT fid, nome, shape = 11 AS missing, CASE WHEN shape = 11 THEN NULL ELSE shape IN (5, 3, 18) END AS empty FROM audit")
 def _(spark, d):
     """Whole run; the loaded table holds every feature, short rings gone after repair."""
@@ -515,7 +536,7 @@ _COUNTED = "count(*) AS rows, count_if(valid) AS valid, count_if(NOT valid) AS i
 
 
 @query("j9_reload_layers",
-       f"WITH {_AUDIT} SELECT {_COUNTED} FROM audit UNION ALL SELECT {_COUNTED} FROM audit WHERE shape IN (0, 1, 5, 11)")
+       f"WITH RECURSIVE {_AUDIT} SELECT {_COUNTED} FROM audit UNION ALL SELECT {_COUNTED} FROM audit WHERE shape IN (0, 1, 5, 11)")
 def _(spark, d):
     """Two layers of different columns in one directory: a table and its validity counts for each."""
     path, df = fresh(spark, "j9-files"), features(spark, d)
