@@ -1,6 +1,7 @@
 """Mixing, fingerprints, the two classifiers, the queries and the pipeline."""
 
 import hashlib
+import itertools
 import zlib
 
 import numpy as np
@@ -194,11 +195,56 @@ def test_grammar_reads_clauses():
     assert found("he said idiot once; idiot") == {"reported_insult": 1, "insult": 1}
     assert found("I will kill you") == {"directed_threat": 1} and found("to kill time") == {"threat": 1}
     assert found("du loweiß") == {"directed_insult": 1} and found("video nidiot") == {} and found(None) == {} and found("") == {}
-    assert found("idiot " * 5000)["insult"] == 5000
+    assert found("idiot " * 5000) == {"insult": 1} and found("idiot. " * 5000) == {"insult": 5000}
+    assert found("not an idiot, you idiot idiot") == {"negated_insult": 1, "directed_insult": 1}
     a = g.score(np.array([g.patterns("you idiot"), g.patterns("not an idiot"), g.patterns("hello")]))
     assert a[0] > 0.5 > a[1] > a[2]
 
 
+SPOKEN = {"I": "idiot", "T": "kill", "W": "lowei", "Y": "you", "N": "not", "R": "said", "O": "house"}
+
+
+def plain_paths(symbols):
+    """The clause's patterns word by word: negation reaches two words on, report to the end, a target the whole clause."""
+    families, directed = {"I": "insult", "T": "threat", "W": "suspect"}, "Y" in symbols
+    marks = {"I": ("negated_insult", "reported_insult"), "T": ("excused_threat",) * 2, "W": ("excused_suspect",) * 2}
+    heights = {"negated": 0, "reported": 0, "excused": 0, "directed": 2}
+    best = {}
+    for k, s in enumerate(symbols):
+        if s in families:
+            name = families[s]
+            if "N" in symbols[max(0, k - toxicity_wfst.SCOPE):k]:
+                pattern = marks[s][0]
+            elif "R" in symbols[:k]:
+                pattern = marks[s][1]
+            else:
+                pattern = f"directed_{name}" if directed and s != "W" else name
+            best.setdefault(name, set()).add(pattern)
+    return {max(sorted(found), key=lambda p: (heights.get(p.split("_")[0], 1), p)): 1 for found in best.values()}
+
+
+def test_composed_machine_matches_every_path():
+    g = toxicity_wfst.Grammar(["idiot"], toxicity_wfst.PRIOR, ["lowei"])
+    for n in range(1, 6):
+        for symbols in itertools.product(SPOKEN, repeat=n):
+            assert dict(g.clause(" ".join(SPOKEN[s] for s in symbols))) == plain_paths(symbols), symbols
+
+
+@pytest.mark.parametrize("part,text,toxic", [
+    ("_target", "i will kill you", True),
+    ("_negation", "you are not an idiot", False), ("_reported", "you said idiot", False),
+])
+def test_each_transducer_decides(monkeypatch, part, text, toxic):
+    def predicted():
+        g = toxicity_wfst.Grammar(["idiot"], toxicity_wfst.PRIOR)
+        return bool(g.score(g.patterns(text)[None])[0] >= 0.5)
+
+    assert predicted() is toxic
+    monkeypatch.setattr(toxicity_wfst, part, lambda state, symbol: (0, symbol))
+    monkeypatch.setattr(toxicity_wfst, "ARCS", toxicity_wfst._compose())
+    assert predicted() is not toxic
+
+
 def test_fitted_weights_keep_the_order_of_clauses(spark):
     sf = "/root/testdata/sf0.1"
     g = toxicity_wfst.train(load(spark, sf, "documents"), load(spark, sf, "labels"))
