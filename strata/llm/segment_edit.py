@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SPACES, stored
@@ -126,15 +126,16 @@ def _hash31(text: Column) -> Column:
     return F.pmod(F.xxhash64(text), F.lit(_DIGIT)).cast("long")
 
 
-def _place(doc_id: Column, hash31: Column, line_no: Column) -> Column:
-    low = (hash31 * _DIGIT + line_no).cast("decimal(19,0)")
+def _text_place(doc_id: Column, hash31: Column) -> Column:
+    """The place of a text's line 0, computed once a text; a line's number is added to it."""
+    low = (hash31 * _DIGIT).cast("decimal(19,0)")
     return (doc_id.cast("decimal(19,0)") * F.lit(_DIGIT * _DIGIT).cast("decimal(19,0)") + low).cast("decimal(38,0)")
 
 
-def _unplaced(place: Column) -> dict[str, Column]:
-    low = F.pmod(place, F.lit(_DIGIT * _DIGIT).cast("decimal(38,0)"))
-    return {"doc_id": ((place - low) / F.lit(_DIGIT * _DIGIT).cast("decimal(38,0)")).cast("long"),
-            "hash31": F.floor(low.cast("long") / _DIGIT).cast("long"), "line_no": F.pmod(low.cast("long"), F.lit(_DIGIT)).cast("int")}
+def _unplaced(place: Column, doc_id: Column) -> dict[str, Column]:
+    """The parts of a place whose id is known, so nothing is divided."""
+    low = (place - _text_place(doc_id, F.lit(0).cast("long"))).cast("long")
+    return {"doc_id": doc_id, "hash31": F.shiftright(low, 31), "line_no": low.bitwiseAND(F.lit(_DIGIT - 1)).cast("int")}
 
 
 def _cut(text: Column) -> Column:
@@ -184,21 +185,25 @@ def dedup(docs: DataFrame, *, edits: int = EDITS, least: int = LEAST, carry: lis
     """
     known = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), _hash31(F.col("text")).alias("hash31"), F.col("text").cast("string").alias("text"))
-    rows = known.select("doc_id", "hash31", F.posexplode(_cut(F.col("text"))).alias("line_no", "raw"))
+    start = _text_place(F.col("doc_id"), F.col("hash31")).alias("start")
+    rows = known.select("doc_id", start, F.posexplode(_cut(F.col("text"))).alias("line_no", "raw"))
     rows = rows.withColumn("line", F.btrim("raw", F.lit(SPACES))).where("line != ''")
     # two hashes name a line: equal lines meet without their texts as a key
     first = rows.groupBy(F.xxhash64("line").alias("id"), F.hash("line").alias("id2")).agg(
-        F.min(_place(F.col("doc_id"), F.col("hash31"), F.col("line_no"))).alias("place"))
+        F.min(F.col("start") + F.col("line_no")).cast("decimal(38,0)").alias("place"), F.min("doc_id").alias("doc_id"))
     spot = F.struct("line_no", "id")
     # the lines that first occur in a document; what meets here is a document's own
-    firsts = stored(first.select("id", *[c.alias(k) for k, c in _unplaced(F.col("place")).items()])
+    firsts = stored(first.select("id", *[c.alias(k) for k, c in _unplaced(F.col("place"), F.col("doc_id")).items()])
                     .groupBy("doc_id", "hash31").agg(F.collect_list(spot).alias("firsts")), "line-firsts")
-    # cut before the join: what is computed above it may be moved into the functions that look a line up
-    once = known.groupBy("doc_id", "hash31").agg(_cut(F.min("text")).alias("lines"))
+    # one row of each text, picked behind the join, so that texts are sorted once, by numbers, and not before they are shuffled
+    order = Window.partitionBy("doc_id", "hash31").orderBy("text")
+    met = known.join(firsts.hint("merge"), ["doc_id", "hash31"]).withColumn("copy", F.row_number().over(order)).where("copy = 1")
+    # cut apart from the lookups: the window keeps it from being moved into the functions that look a line up
+    once = met.select("doc_id", "hash31", "firsts", _cut(F.col("text")).alias("lines"))
     line = F.btrim("raw", F.lit(SPACES))
     # numbers within the text only: a second text of the same 31 bits can be shorter
     inside = F.filter("firsts", lambda w: w["line_no"] < F.size("lines"))
-    placed = once.join(firsts.hint("merge"), ["doc_id", "hash31"]).select(
+    placed = once.select(
         "doc_id", "hash31", F.inline_outer(F.transform(inside, lambda w: F.struct(
             w["line_no"].alias("line_no"), w["id"].alias("id"), F.get(F.col("lines"), w["line_no"]).alias("raw"))))
     ).where(_name(F.col("raw")) == F.col("id"))
