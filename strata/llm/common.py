@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 #: What separates words: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 SPACES = " \t\n\x0b\x0c\r"
+#: Keys with more than one in so many of all rows are heavy; there are fewer than that, however many rows there are.
+HEAVIEST = 10_000
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _LOCAL_DIR = "spark.strata.llm.localDir"
 
@@ -58,6 +60,18 @@ def forget(df: DataFrame) -> None:
             path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def with_counts(rows: DataFrame, counts: DataFrame, keys: list[str], n: str, total: int) -> DataFrame:
+    """``rows`` with the columns of ``counts``, a stored table of one row a key whose column ``n`` adds up to ``total`` or less.
+
+    A key that holds many of the rows would fill one task of a merge. Keys of more than one in ``HEAVIEST`` of the total
+    are fewer than ``HEAVIEST``, so they are sent to all rows and their rows stay where they are; the others are merged.
+    """
+    heavy = F.col(n) * F.lit(HEAVIEST).cast("long") > F.lit(total)
+    few = counts.where(heavy)
+    rest = rows.join(F.broadcast(few.select(keys)), keys, "left_anti").join(counts.where(~heavy).hint("merge"), keys)
+    return rows.join(F.broadcast(few), keys).unionByName(rest)
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text, without Python; null counts as empty."""
     bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))

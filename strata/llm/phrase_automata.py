@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, sorted_groups, stored
+from .common import forget, sorted_groups, stored, with_counts
 from .wordhash import BY_SPACE, chunks, mix, rolling, words
 
 WINDOW, ANCHOR, CHUNK = 35, 12, 5
@@ -144,8 +144,8 @@ def _confirmed_hot(hot: DataFrame, window: int) -> DataFrame:
 
     each = stored(hot.select("doc", "row", "first", "text").mapInArrow(
         run, "one long, two long, doc long, row long, first int, w int"), "hot-windows")
-    many = each.groupBy("one", "two").agg(F.count("*").alias("times")).where("times > 1")
-    marks = each.join(many, ["one", "two"]).groupBy("doc", "row", "first").agg(F.collect_set("w").alias("marks"))
+    many = stored(each.groupBy("one", "two").agg(F.count("*").alias("times")).where("times > 1"), "hot-counts")
+    marks = with_counts(each, many, ["one", "two"], "times", each.count()).groupBy("doc", "row", "first").agg(F.collect_set("w").alias("marks"))
     return hot.join(marks, ["doc", "row", "first"])
 
 
@@ -236,10 +236,11 @@ def dedup(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, shard:
         raise ValueError("the window must be a multiple of five words and longer than the anchor")
     texts = _texts(docs)
     found = stored(_anchor_rows(texts, window, anchor), "anchors")
-    often = found.groupBy("h").agg(F.sum("weight").alias("n")).where("n > 1")
-    spots = found.join(often, "h").groupBy("doc", "row").agg(F.collect_set(F.struct("p", "n")).alias("spots"))
+    often = stored(found.groupBy("h").agg(F.sum("weight").alias("n")).where("n > 1"), "recurring-anchors")
+    spots = with_counts(found, often, ["h"], "n", 2 * found.count()).groupBy("doc", "row").agg(F.collect_set(F.struct("p", "n")).alias("spots"))
     parted = stored(_split(texts.join(spots, ["doc", "row"], "left").select("doc", "row", "doc_id", "text", "spots")), "suspects")
     forget(found)
+    forget(often)
     suspects = parted.where("spots IS NOT NULL")
     none = F.lit(None).cast("array<int>")
     rare = _segments(suspects, window, anchor, shard, False).select(F.col("h").alias("g"), "doc", "row", "first", "text", none.alias("marks"))

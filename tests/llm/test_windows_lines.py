@@ -11,7 +11,7 @@ from fixtures import SCHEMA, documents, prose, rows, words
 
 from pyspark.sql import functions as F
 
-from strata.llm import packing, phrase_automata, segment_edit, separator_scan
+from strata.llm import common, packing, phrase_automata, segment_edit, separator_scan
 from strata.llm.common import run_dir
 from strata.llm.tokens import encode
 
@@ -48,6 +48,20 @@ def test_substring_dedup_of_stitched_passages(spark):
     assert got(phrase_automata.dedup(df, shard=16)) == plain_windows(data, 35)
 
 
+@pytest.mark.parametrize("heaviest", [1, 6, 10_000])  # all keys merged, the heavy ones sent, all of them sent
+def test_heavy_keys_meet_where_they_are(spark, monkeypatch, heaviest):
+    monkeypatch.setattr(common, "HEAVIEST", heaviest)
+    rng = random.Random(9)
+    phrase = prose(rng, 60)
+    data = [(i, f"{prose(rng, rng.randint(0, 20))} {phrase} {prose(rng, rng.randint(0, 20))}") for i in range(30)]
+    data += [(100 + i, prose(random.Random(i // 2), 50)) for i in range(12)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    assert got(phrase_automata.dedup(df, shard=4)) == plain_windows(data, 35)
+    rows = spark.createDataFrame([(k, i) for k, n in (("a", 40), ("b", 3), ("c", 2), ("d", 1)) for i in range(n)], "k string, i long")
+    counts = rows.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
+    assert got(common.with_counts(rows, counts, ["k"], "n", 46)) == got(rows.join(counts, "k"))
+
+
 def test_substring_dedup_of_nothing(spark):
     assert phrase_automata.dedup(spark.createDataFrame([], SCHEMA)).collect() == []
 
