@@ -259,3 +259,64 @@ def test_many_wedges_in_a_point(spark):
 
     df = spark.createDataFrame([(1, bytearray(wedges(300))), (2, bytearray(wedges(300, -0.7)))], "fid long, geometry binary")
     assert {r.fid: r.valid for r in geometry.validity(df).collect()} == {1: True, 2: False}
+
+
+def jagged_cells(rng, n):
+    """Multipolygons and collections of boxes, stars and triangles on a coarse grid, so that rings often touch, cross and nest."""
+    def ring():
+        x, y, w = rng.integers(0, 7), rng.integers(0, 7), rng.integers(1, 5)
+        if rng.random() < 0.5:
+            return [(x, y), (x + w, y), (x + w, y + w), (x, y + w), (x, y)]
+        p = [tuple(q) for q in rng.integers(0, 9, (int(rng.integers(3, 6)), 2)).tolist()]
+        return [*p, p[0]] if rng.random() < 0.95 else p
+
+    def member():
+        if rng.random() < 0.05:
+            return polygon(star(rng, 60, float(rng.choice([0, 0.1]))), *[ring() for _ in range(rng.integers(0, 2))])
+        box = [[(0, 0), (8, 0), (8, 8), (0, 8), (0, 0)]] if rng.random() < 0.5 else []
+        return polygon(*box, *[ring() for _ in range(rng.integers(1, 4))])
+
+    def box(a, b):
+        return [(a, a), (b, a), (b, b), (a, b), (a, a)]
+
+    nested = [polygon(box(0, 9), box(1, 8), box(2, 7)), struct.pack("<BII", 1, 6, 2) + polygon(box(0, 9)) + polygon(box(1, 2))]
+    cells = list(enumerate(nested))
+    for i in range(len(nested), n):
+        k = int(rng.integers(0, 4))
+        parts = [member() for _ in range(rng.integers(1, 4))]
+        cells.append((i, parts[0] if k < 2 else struct.pack("<BII", 1, 6 if k == 2 else 7, len(parts)) + b"".join(parts)))
+    point = struct.pack("<BI", 1, 1)
+    return cells + [(n, None), (n + 1, point + struct.pack("<2d", 1, 2)), (n + 2, point + struct.pack("<2d", np.nan, 2)),
+                    (n + 3, struct.pack("<BII", 1, 2, 2) + struct.pack("<4d", 1, 1, 1, 1)), (n + 4, struct.pack("<BII", 1, 6, 0))]
+
+
+@pytest.mark.parametrize("pairs", [None, 50])
+def test_cells_judged_whole_agree_with_the_joins(spark, monkeypatch, pairs):
+    ship(spark)
+    cells = jagged_cells(np.random.default_rng(5), 1500)
+    df = spark.createDataFrame(cells, "fid long, geometry binary").repartition(4)
+    if pairs:  # many small chunks of pairs, in this process: the workers hold their own module
+        monkeypatch.setattr(geometry, "PAIRS_AT_ONCE", pairs)
+        monkeypatch.setattr(geometry, "CROWDED", 6)
+        worst = np.full(len(cells), geometry.FAULTLESS)
+        areal = np.array([i < 1500 or i == 1504 for i, _ in cells])
+        for group in geometry._groups(pa.array([c for _, c in cells], pa.binary())):
+            geometry._cell_codes(group, areal, worst)
+        reason = [geometry.VALID_TEXT if w == geometry.FAULTLESS else
+                  geometry.REASONS[geometry.UNCHECKED if w == geometry.OPEN else w] for w in worst.tolist()]
+        whole = {i: reason[i] if c is not None else None for i, c in cells}
+    else:
+        whole = {r.fid: r.reason for r in geometry.validity(df).collect()}
+    monkeypatch.setattr(geometry, "JUDGED_WHOLE", 0)
+    joined = {r.fid: r.reason for r in geometry.validity(df).collect()}
+    assert whole == joined
+    assert set(joined.values()) >= {geometry.VALID_TEXT, None, *(geometry.REASONS[i] for i in (1, 2, 3, 5, 6, 7, 8))}
+
+
+def test_small_cells_are_judged_without_a_shuffle_of_their_sides(spark):
+    ship(spark)
+    df = spark.createDataFrame(jagged_cells(np.random.default_rng(6), 50), "fid long, geometry binary")
+    assert "Exchange" not in geometry.cell_faults(df)._jdf.queryExecution().executedPlan().toString()
+    rows = spark.createDataFrame([(1, bytearray(polygon(star(np.random.default_rng(7), 20_000, 0))))], "fid long, geometry binary")
+    assert rows.where(f"octet_length(geometry) > {geometry.JUDGED_WHOLE}").count() == 1
+    assert [tuple(r) for r in geometry.validity(rows).collect()] == [(1, True, geometry.VALID_TEXT)]

@@ -255,11 +255,12 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """fid, shape, bx, byy, nome, geometry (WKB): a table derived once per application."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stored:
-        text = spark.sql(features_sql("{orders}"), orders=table(spark, sf_dir, "orders"))
+        # few small source files would leave all encoding to few tasks: the narrow rows are dealt before it
+        orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+        orders = orders.repartition(spark.sparkContext.defaultParallelism)
+        text = spark.sql(features_sql("{orders}"), orders=orders)
         path = new_run_dir(spark, "features")
-        cells = text.selectExpr("fid", "shape", "bx", "byy", "nome", "unhex(wkb) AS geometry")
-        # one small source file would leave all decoding to one task
-        cells.repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
+        text.selectExpr("fid", "shape", "bx", "byy", "nome", "unhex(wkb) AS geometry").write.parquet(path)
         _stored[key] = path
     return spark.read.parquet(_stored[key])
 
