@@ -467,10 +467,16 @@ def _(spark, d):
        "UNION ALL SELECT 'valid' AS layer, fid, NULL AS invalid_reason FROM audit")
 def _(spark, d):
     df = wkb_features(spark, d)
-    faults = feature_ops.faults_of(geometry.validity(df))
-    repaired = geometry.repair_simple(df.join(faults, "fid", "left_semi"))
+    root = fresh(spark, "g11")
+
+    def stored(part, frame):
+        """Used more than once: written, so that neither audit nor repair runs again for each use."""
+        return scan.read_layer_parquet(spark, sinks.write_checked(frame, f"{root}/{part}"))
+
+    faults = stored("faults", feature_ops.faults_of(geometry.validity(df)))
+    repaired = stored("repaired", geometry.repair_simple(df.join(faults, "fid", "left_semi")))
     left = feature_ops.faults_of(geometry.validity(repaired))
-    path = sinks.write_layers(feature_ops.split_layers(df, faults, repaired, left), fresh(spark, "g11"))
+    path = sinks.write_layers(feature_ops.split_layers(df, faults, repaired, left), root)
     return spark.read.parquet(path).select("layer", "fid", "invalid_reason")
 
 
