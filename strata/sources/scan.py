@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,10 +99,11 @@ def scan_dir(spark: SparkSession, directory: str, name_contains: str) -> DataFra
 def dir_tables(spark: SparkSession, directory: str, name_contains: str, prefix: str = "") -> dict[str, DataFrame]:
     """The same files as one table each, every one with its own schema; by table name.
 
-    File names alone come to the driver.
+    A folder of that name, as Spark writes it, is one table of many files. Names alone come to the driver.
     """
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", _glob(name_contains)).load(directory)
-    files = sorted(unquote(r.path.rsplit("/", 1)[-1]) for r in listed.select("path").collect())
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{directory.rstrip('/')}/{_glob(name_contains)}")
+    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    files = sorted(f for f in (s.getPath().getName() for s in found) if not f.startswith(("_", ".")))
     tables = {f.removesuffix(".parquet").removeprefix(prefix): f for f in files}
     if len(tables) != len(files):
         raise ValueError(f"files share a table name: {files}")

@@ -273,6 +273,14 @@ def test_reload_keeps_every_file_as_its_own_table(spark, tmp_path):
     assert sorted(both.columns) == ["a", "fid", "only_a", "only_b"] and both.where("only_b is not null").count() == 2
 
 
+def test_a_folder_of_files_is_one_table(spark, tmp_path):
+    spark.range(100).selectExpr("id as fid").repartition(4).write.parquet(str(tmp_path / "d" / "pre_many [1].parquet"))
+    spark.range(3).selectExpr("id as fid", "id as v").toPandas().to_parquet(tmp_path / "d" / "pre_one.parquet")
+    tables = scan.dir_tables(spark, str(tmp_path / "d"), "pre", "pre_")
+    assert {name: df.count() for name, df in tables.items()} == {"many [1]": 100, "one": 3}
+    assert tables["many [1]"].columns == ["fid"] and scan.dir_tables(spark, str(tmp_path / "d"), "nothing") == {}
+
+
 def test_names_lose_no_letter():
     assert columns.slug("δ18O (‰)") == "delta18o" and columns.slug("β") == "beta" and columns.slug("µg/l") == "ug_l"
     for name in ("Ж", "--", "°"[:0]):

@@ -546,8 +546,8 @@ _COUNTED = "count(*) AS rows, count_if(valid) AS valid, count_if(NOT valid) AS i
 def _(spark, d):
     """Two layers of different columns in one directory: a table and its validity counts for each."""
     path, df = fresh(spark, "j9-files"), features(spark, d)
-    df.select("fid", "nome", "geometry").coalesce(1).write.mode("append").parquet(path)
-    df.where("shape in (0, 1, 5, 11)").select("fid", "bx", "geometry").coalesce(1).write.mode("append").parquet(path)
+    df.select("fid", "nome", "geometry").write.parquet(f"{path}/part-all.parquet")
+    df.where("shape in (0, 1, 5, 11)").select("fid", "bx", "geometry").write.parquet(f"{path}/part-some.parquet")
     return jobs.reload_dir(spark, path, "part", fresh(spark, "j9")).drop("table_name")
 
 
