@@ -94,14 +94,11 @@ def within(a: Column, b: Column, edits: int) -> Column:
     def number(x: int) -> Column:
         return F.lit(x).cast("long")
 
-    left, right = (F.regexp_extract_all(x, F.lit("(?s)."), F.lit(0)) for x in (a, b))
-    same = F.transform(right, lambda _: number(0))
-    for bit in range(2 * edits + 1):
-        ahead = bit - edits
-        shifted = F.slice(left, ahead + 1, F.length(b)) if ahead >= 0 else F.slice(
-            F.concat(F.array_repeat(F.lit(None).cast("string"), -ahead), left), F.lit(1), F.length(b))
-        same = F.zip_with(same, F.zip_with(shifted, right, lambda x, y: F.when(x == y, 1).otherwise(0)),
-                          lambda bits, x: bits.bitwiseOR(F.shiftleft(x.cast("long"), bit)))  # noqa: B023
+    def bits(left: Column, x: Column, j: Column) -> Column:
+        out = number(0)
+        for bit in range(2 * edits + 1):
+            out = out.bitwiseOR(F.when(F.get(left, j + (bit - edits)) == x, number(1 << bit)).otherwise(number(0)))
+        return out
 
     def step(held: Column, agree: Column) -> Column:
         out = [held["r0"].bitwiseAND(agree)]
@@ -112,6 +109,10 @@ def within(a: Column, b: Column, edits: int) -> Column:
         return F.struct(*[x.alias(f"r{e}") for e, x in enumerate(out)])
 
     start = F.struct(*[number((1 << e + 1) - 1 << edits).alias(f"r{e}") for e in range(edits + 1)])
+    # characters as an argument of a lambda function are cut once a pair, and not once a character
+    left, right = (F.when(x == "", F.array().cast("array<string>")).otherwise(F.split(x, F.lit(""))) for x in (a, b))
+    texts = F.array(F.struct(left.alias("left"), right.alias("right")))
+    same = F.transform(texts, lambda p: F.transform(p["right"], lambda x, j: bits(p["left"], x, j)))[0]
     last = F.aggregate(same, start, step)[f"r{edits}"]
     diagonal = F.length(a) - F.length(b) + edits
     bit = F.get(F.array(*[number(1 << d) for d in range(2 * edits + 1)]), diagonal)
