@@ -143,32 +143,38 @@ def rewrite(buf: bytes, edit: Callable[[int, np.ndarray], np.ndarray | None], po
 class Group:
     """Coordinate blocks of some whole geometries: one entry per block."""
 
-    row: list[int]
-    body: list[int]
-    part: list[int]
-    kind: list[int]
-    ring: list[int]
-    has_z: list[bool]
+    row: np.ndarray
+    body: np.ndarray
+    part: np.ndarray
+    kind: np.ndarray
+    ring: np.ndarray
+    has_z: np.ndarray
     views: list[np.ndarray]
+    n: np.ndarray
+    xy: np.ndarray
 
-    def only(self, keep: Callable[[int, int], bool]) -> Group:
-        """The blocks whose (kind, number of points) pass."""
-        at = [i for i, v in enumerate(self.views) if keep(self.kind[i], len(v))]
-        return Group(*[[column[i] for i in at] for column in (
-            self.row, self.body, self.part, self.kind, self.ring, self.has_z, self.views)])
-
-    def sizes(self) -> np.ndarray:
-        return np.array([len(v) for v in self.views], np.int64)
-
-    def axis(self, i: int) -> np.ndarray:
-        return np.concatenate([v[:, i] for v in self.views]).astype(np.float64, copy=False)
+    @classmethod
+    def of(cls, row: list[int], body: list[int], part: list[int], kind: list[int], ring: list[int], has_z: list[bool],
+           views: list[np.ndarray]) -> Group:
+        flat = np.concatenate([v[:, :2] for v in views]) if views else np.empty((0, 2))
+        return cls(*[np.array(c, np.int32) for c in (row, body, part, kind, ring)], np.array(has_z, bool), views,
+                   np.array([len(v) for v in views], np.int64), flat.astype(np.float64, copy=False))
 
-    def each(self, values: list[int]) -> np.ndarray:
+    def only(self, keep: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> Group:
+        """The blocks whose (kind, number of points) pass."""
+        there = keep(self.kind, self.n)
+        if there.all():
+            return self
+        views = [self.views[i] for i in np.flatnonzero(there).tolist()]
+        return Group(*[c[there] for c in (self.row, self.body, self.part, self.kind, self.ring, self.has_z)], views,
+                     self.n[there], self.xy[np.repeat(there, self.n)])
+
+    def each(self, values: np.ndarray) -> np.ndarray:
         """A value of the blocks, repeated for their points."""
-        return np.repeat(np.array(values, np.int32), self.sizes())
+        return np.repeat(values, self.n)
 
     def seq(self) -> np.ndarray:
-        n = self.sizes()
+        n = self.n
         return (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)).astype(np.int32)
 
 
@@ -221,24 +227,28 @@ def same_layouts(data: np.ndarray, at: np.ndarray, cells: np.ndarray, least: int
 
 def _groups(cells: pa.Array) -> Iterator[Group]:
     """Blocks of a batch of WKB cells, handed on whenever enough points are together."""
-    group, points = Group([], [], [], [], [], [], []), 0
+    columns: tuple[list, ...] = ([], [], [], [], [], [], [])
+    rows, bodies, parts, kinds, rings, with_z, views = columns
+    points = 0
     for i, cell in ((first + k, cell) for first, part in _slices(cells) for k, cell in enumerate(part.to_pylist())):
         if cell is None:
             continue
         for body, part, kind, ring, view, has_z in blocks(cell):
-            group.row.append(i)
-            group.body.append(body)
-            group.part.append(part)
-            group.kind.append(kind)
-            group.ring.append(ring)
-            group.has_z.append(has_z)
-            group.views.append(view)
+            rows.append(i)
+            bodies.append(body)
+            parts.append(part)
+            kinds.append(kind)
+            rings.append(ring)
+            with_z.append(has_z)
+            views.append(view)
             points += len(view)
         if points >= ROWS_PER_BATCH:
-            yield group
-            group, points = Group([], [], [], [], [], [], []), 0
-    if group.row:
-        yield group
+            yield Group.of(*map(list, columns))
+            points = 0
+            for c in columns:
+                c.clear()
+    if rows:
+        yield Group.of(*columns)
 
 
 def _spread(df: DataFrame, fid: str, geom: str, fields: str, expand) -> DataFrame:
@@ -273,9 +283,9 @@ NOTHING = np.empty(0, np.int32), []
 
 def _vertex_rows(group: Group) -> tuple[np.ndarray, list[np.ndarray]]:
     g = group.only(lambda kind, n: n > 0)
-    if not g.row:
+    if not len(g.row):
         return NOTHING
-    x, y = g.axis(0), g.axis(1)
+    x, y = g.xy.T
     z, m = (np.full(len(x), np.nan) for _ in "zm")
     if any(v.shape[1] > 2 for v in g.views):
         z = np.concatenate([v[:, 2] if has else np.full(len(v), np.nan) for v, has in zip(g.views, g.has_z)])
@@ -295,9 +305,9 @@ def vertices(df: DataFrame, fid: str = "fid", geom: str = "geometry") -> DataFra
 
 def _segment_rows(group: Group) -> tuple[np.ndarray, list[np.ndarray]]:
     g = group.only(lambda kind, n: n > 0)
-    if not g.row:
+    if not len(g.row):
         return NOTHING
-    x, y, n = g.axis(0), g.axis(1), g.sizes()
+    (x, y), n = g.xy.T, g.n
     last = np.cumsum(n) - 1
     after = np.arange(1, len(x) + 1)
     # the last vertex starts no segment: it is kept as a row that only closes
@@ -437,14 +447,37 @@ def _repair_block(kind: int, points: np.ndarray) -> np.ndarray | None:
     return points
 
 
+def _unrepaired(cells: pa.Array) -> np.ndarray:
+    """Which cells have a repeated point or a ring that is open or short, so that ``_repair_block`` has work to do."""
+    found = np.zeros(len(cells), bool)
+    for group in _groups(cells):
+        g = group.only(lambda kind, n: kind != wkb.POINT)
+        area = g.kind == wkb.POLYGON
+        found[g.row[area & (g.n < 4)]] = True
+        g = g.only(lambda kind, n: n > 0)
+        if not len(g.row):
+            continue
+        last = np.cumsum(g.n) - 1
+        first = last - g.n + 1
+        repeated = np.r_[False, (g.xy[1:] == g.xy[:-1]).all(axis=1)]
+        repeated[first] = False
+        open_ = (g.kind == wkb.POLYGON) & (g.xy[first] != g.xy[last]).any(axis=1)
+        found[g.row[np.logical_or.reduceat(repeated, first) | open_]] = True
+    return found
+
+
 def repair_simple(df: DataFrame, geom: str = "geometry") -> DataFrame:
     """Drop repeated points, close rings, drop rings of fewer than four points.
 
     Anything else is left as it is, for ``validity`` to flag again.
     """
-    return _rewritten(df, geom, lambda cells: pa.array([
-        rewrite(c, _repair_block)[0] if c is not None else None for c in cells.to_pylist()
-    ], pa.binary()))
+    def change(cells: pa.Array) -> pa.Array:
+        cells = cells.cast(pa.binary())
+        work = pa.array(_unrepaired(cells))
+        done = [rewrite(c, _repair_block)[0] for c in cells.filter(work).to_pylist()]
+        return pc.replace_with_mask(cells, work, pa.array(done, pa.binary()))
+
+    return _rewritten(df, geom, change)
 
 
 # validity -----------------------------------------------------------------
@@ -544,7 +577,7 @@ def _sides(group: Group) -> tuple | None:
 
     (owner, [body, part, ring, seq, rings of the owner], coordinates, square side, finest side)
     """
-    g = group.only(lambda kind, n: kind == wkb.POLYGON and n > 0)
+    g = group.only(lambda kind, n: (kind == wkb.POLYGON) & (n > 0))
     owner, columns = _segment_rows(g)
     if not len(owner):
         return None

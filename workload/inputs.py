@@ -6,6 +6,11 @@ the two sides start from the same rows. Every derivation keeps all rows of its t
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.spec import LabSpec
@@ -248,6 +253,47 @@ def features_sql(orders: str = "orders") -> str:
     )
 
 
+def _shape_cell(shape: tuple) -> tuple[bytes, list[tuple[int, str, int]]]:
+    """WKB of a shape without its coordinates, and (first byte, axis, offset) of each of them."""
+    cell, slots = b"", []
+    for piece in _shape_hex(shape).split(" || "):
+        if piece.startswith("'"):
+            cell += bytes.fromhex(piece[1:-1])
+        else:
+            slots.append((len(cell), piece[1], int(piece[2:])))
+            cell += bytes(8)
+    return cell, slots
+
+
+def with_cells(base: DataFrame) -> DataFrame:
+    """The columns of ``FEATURE_BASE`` with ``geometry``, the bytes that ``features_sql`` spells as hex text."""
+    cells = {i: _shape_cell(s) for i, s in SHAPES.items() if s}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shape = batch["shape"].fill_null(-1).to_numpy(zero_copy_only=False)
+            axes = {a: batch[c].cast(pa.float64()).to_numpy(zero_copy_only=False) for a, c in (("x", "bx"), ("y", "byy"), ("z", "bx"))}
+            missing = {a: batch[c].is_null().to_numpy(zero_copy_only=False) for a, c in (("x", "bx"), ("y", "byy"), ("z", "bx"))}
+            known = [(np.flatnonzero(shape == i), *cell) for i, cell in cells.items()]
+            size, null = np.zeros(batch.num_rows, np.int64), np.ones(batch.num_rows, bool)
+            for at, cell, slots in known:
+                null[at] = np.any([missing[a][at] for _, a, _ in slots], axis=0) if slots else False
+                size[at] = len(cell)
+            ends = np.concatenate([[0], np.cumsum(size)])
+            data = np.zeros(ends[-1], np.uint8)
+            for at, cell, slots in known:
+                made = np.tile(np.frombuffer(cell, np.uint8), (len(at), 1))
+                for start, axis, more in slots:
+                    made[:, start:start + 8] = (axes[axis][at] + more).astype("<f8").view(np.uint8).reshape(-1, 8)
+                data[ends[at][:, None] + np.arange(len(cell))] = made
+            geometry = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
+            geometry = pc.if_else(pa.array(null), pa.scalar(None, pa.binary()), geometry)
+            yield pa.RecordBatch.from_arrays([*batch.columns, geometry], [*batch.schema.names, "geometry"])
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in base.schema.fields)
+    return base.mapInArrow(run, f"{fields}, geometry binary")
+
+
 _stored: dict[tuple[str, str], str] = {}
 
 
@@ -258,9 +304,8 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
         # few small source files would leave all encoding to few tasks: the narrow rows are dealt before it
         orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
         orders = orders.repartition(spark.sparkContext.defaultParallelism)
-        text = spark.sql(features_sql("{orders}"), orders=orders)
         path = new_run_dir(spark, "features")
-        text.selectExpr("fid", "shape", "bx", "byy", "nome", "unhex(wkb) AS geometry").write.parquet(path)
+        with_cells(orders.selectExpr(*[f"{e} AS {n}" for n, e in FEATURE_BASE.items()])).write.parquet(path)
         _stored[key] = path
     return spark.read.parquet(_stored[key])
 
