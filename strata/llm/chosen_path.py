@@ -127,6 +127,12 @@ def _bucketed(reps: DataFrame, runs: int, levels: int, small: int) -> DataFrame:
     return members.join(same.select("bucket", "members"), "bucket").select("id", F.col("bucket").alias("group"), "members")
 
 
+def _in_buckets(sets: DataFrame) -> DataFrame:
+    """A row of each set for each of its buckets, which it brings along: sets are shuffled by bucket only."""
+    each = sets.select("id", "copies", "tokens", "groups", F.explode("groups").alias("at"))
+    return each.select("id", "copies", "tokens", F.col("groups.group").alias("groups"), "at.group", "at.members")
+
+
 def join(docs: DataFrame, *, similarity: float = 0.8, recall: float = 0.9995, width: int = WIDTH, levels: int = LEVELS,
          small: int = 128, block: int = 256) -> DataFrame:
     """``doc_id, class_id, n_links, component_id, kept`` for every document.
@@ -151,7 +157,7 @@ def join(docs: DataFrame, *, similarity: float = 0.8, recall: float = 0.9995, wi
     # a class is read from a row of its smallest document
     reps = worded.join(classes, ["one", "two"]).where(F.col("doc_id") == F.col("first")).select("id", "paths").dropDuplicates(["id"])
     buckets = stored(_bucketed(reps, runs, levels, small), "members")
-    own = buckets.groupBy("id").agg(F.array_sort(F.collect_list("group")).alias("groups"))  # one for each run at most
+    own = buckets.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("group", "members"))).alias("groups"))  # one for each run at most
     texts = docs.select(F.col("doc_id").cast("long").alias("first"), F.col("text").cast("string").alias("text"))
     chosen = texts.join(own.join(classes, "id"), "first").select("id", "copies", "groups", "text", "one", "two", "rows")
 
@@ -168,17 +174,17 @@ def join(docs: DataFrame, *, similarity: float = 0.8, recall: float = 0.9995, wi
                                               ["id", "copies", "groups", "tokens", "rows"])
             yield made.filter(pc.and_(*own_text)) if same else made
 
-    made = stored(chosen.mapInArrow(sets, "id long, copies long, groups array<long>, tokens binary, rows long"), "sets")
+    made = stored(chosen.mapInArrow(sets, "id long, copies long, groups array<struct<group:long,members:long>>, tokens binary, rows long"), "sets")
+    forget(buckets)
     # a document that is there several times gives its set once
     tokens = made.where("rows = 1").union(made.where("rows > 1").dropDuplicates(["id"])).drop("rows")
     kernel = _kernel(similarity)
-    found = stored(blocks.compare(buckets.join(tokens, "id"), block, kernel), "text-links")
+    found = stored(blocks.compare(_in_buckets(tokens), block, kernel), "text-links")
     degree = found.where("links IS NOT NULL").groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("links"))
     linked = components(found.where("b IS NOT NULL")).withColumnRenamed("node", "id")
     least = linked.join(classes, "id").groupBy("component").agg(F.min("first").alias("least"))
     linked = linked.join(least, "component").select("id", "least")
-    for table in (made, buckets):
-        forget(table)
+    forget(made)
     result = classes.join(degree, "id", "left").join(linked, "id", "left").select(
         "one", "two", F.col("first").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("least", "first").alias("component_id"))

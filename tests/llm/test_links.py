@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from fixtures import SCHEMA, components, documents, prose, rows
 
-from strata.llm import chosen_path, pq_dedup
+from strata.llm import blocks, chosen_path, pq_dedup
 from strata.llm.components import components as spark_components
 
 
@@ -137,3 +137,16 @@ def test_components(spark):
     nodes = {x for e in links for x in e}
     assert {r.node: r.component for r in spark_components(df).collect()} == components(nodes, links)
     assert spark_components(df.limit(0)).collect() == []
+
+
+def test_sets_bring_their_buckets_along(spark, monkeypatch):
+    """Sets are shuffled by bucket only, and not by id to meet their buckets first."""
+    plans, compare = [], blocks.compare
+
+    def seen(rows, *how):
+        plans.append(rows._jdf.queryExecution().sparkPlan().toString())
+        return compare(rows, *how)
+
+    monkeypatch.setattr(blocks, "compare", seen)
+    assert chosen_path.join(documents(spark)).count() == documents(spark).count()
+    assert plans and not [p for p in plans if "Join" in p]
