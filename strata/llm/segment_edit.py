@@ -20,10 +20,6 @@ def _segment(n: Column, i: Column, parts: int) -> tuple[Column, Column]:
     return size * i + F.greatest(F.lit(0), i - parts + more), size + (i >= parts - more).cast("int")
 
 
-def _key(line: Column, n: Column, i: Column, at: Column, size: Column) -> Column:
-    return F.xxhash64(n, i, F.substring(line, at + 1, size))
-
-
 def places(edits: int, index: bool) -> list[tuple[int, int, int]]:
     """(characters fewer, segment, shift): where a segment of a line of equal or smaller length can lie in this one.
 
@@ -37,13 +33,20 @@ def places(edits: int, index: bool) -> list[tuple[int, int, int]]:
 
 
 def keys(lines: DataFrame, edits: int, index: bool) -> DataFrame:
-    """``id, letters, key`` for every place of every line (``id, letters, line, n``)."""
+    """``id, letters, key`` for every place of every line (``id, letters, line, n``).
+
+    A character is found by counting from the start of the line; where all have one byte, places are cut out of its bytes.
+    """
     spots = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(("less", "i", "shift"), p, strict=True)]) for p in places(edits, index)])
-    each = lines.select("id", "letters", "line", "n", F.inline(spots))
-    at, size = _segment(F.col("n") - F.col("less"), F.col("i"), edits + 1)
+    raw = F.when(F.octet_length("line") == F.col("n"), F.col("line").cast("binary"))
+    each = lines.select("id", "letters", "line", "n", raw.alias("raw"), F.inline(spots))
+    n = F.col("n") - F.col("less")
+    at, size = _segment(n, F.col("i"), edits + 1)
+    at = at + F.col("shift") + 1
+    piece = F.when(F.col("raw").isNotNull(), F.substring("raw", at, size)).otherwise(F.substring("line", at, size).cast("binary"))
     # the sketch's free bit tells keys that are in the index too from those that are only probed
     mark = F.when((F.col("less") == 0) & (F.col("shift") == 0), F.col("letters").bitwiseOR(F.lit(-(2**63)))).otherwise(F.col("letters"))
-    return each.select("id", mark.alias("letters"), _key(F.col("line"), F.col("n") - F.col("less"), F.col("i"), at + F.col("shift"), size).alias("key"))
+    return each.select("id", mark.alias("letters"), F.xxhash64(n, F.col("i"), piece).alias("key"))
 
 
 def with_letters(lines: DataFrame) -> DataFrame:
@@ -143,10 +146,6 @@ def _cut(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def _name(line: Column) -> Column:
-    return F.xxhash64(F.btrim(line, F.lit(SPACES)))
-
-
 def near_pairs(distinct: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
     """``a, b``: ids of different lines of ``least`` characters or more within ``edits`` edits; each pair once.
 
@@ -201,14 +200,13 @@ def dedup(docs: DataFrame, *, edits: int = EDITS, least: int = LEAST, carry: lis
     met = known.join(firsts.hint("merge"), ["doc_id", "hash31"]).withColumn("copy", F.row_number().over(order)).where("copy = 1")
     # cut apart from the lookups: the window keeps it from being moved into the functions that look a line up
     once = met.select("doc_id", "hash31", "firsts", _cut(F.col("text")).alias("lines"))
-    line = F.btrim("raw", F.lit(SPACES))
     # numbers within the text only: a second text of the same 31 bits can be shorter
     inside = F.filter("firsts", lambda w: w["line_no"] < F.size("lines"))
     placed = once.select(
         "doc_id", "hash31", F.inline_outer(F.transform(inside, lambda w: F.struct(
-            w["line_no"].alias("line_no"), w["id"].alias("id"), F.get(F.col("lines"), w["line_no"]).alias("raw"))))
-    ).where(_name(F.col("raw")) == F.col("id"))
-    lines = stored(with_letters(placed.withColumn("line", line)).drop("line"), "lines").withColumn("line", line)
+            w["line_no"].alias("line_no"), w["id"].alias("id"), F.btrim(F.get(F.col("lines"), w["line_no"]), F.lit(SPACES)).alias("line"))))
+    ).where(F.xxhash64("line") == F.col("id"))
+    lines = stored(with_letters(placed), "lines")
     pairs = stored(near_pairs(lines.select("id", "line", "letters"), edits, least), "line-pairs")
     # both sides grow with the input: planned as merges at every size
     place = lines.select("id", F.struct("doc_id", "hash31", "line_no", "id").alias("at")).hint("merge")
@@ -219,7 +217,7 @@ def dedup(docs: DataFrame, *, edits: int = EDITS, least: int = LEAST, carry: lis
         .groupBy("doc_id", "hash31").agg(F.collect_list(spot).alias("gone"))
     )
     row = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")] if carry else []
-    names = F.transform("lines", lambda x: F.when(F.btrim(x, F.lit(SPACES)) != "", _name(x)))
+    names = F.transform(F.transform("lines", lambda x: F.btrim(x, F.lit(SPACES))), lambda x: F.when(x != "", F.xxhash64(x)))
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _hash31(F.col("text")).alias("hash31"), *row,
                       _cut(F.col("text").cast("string")).alias("lines")).withColumn("names", names)
     out = out.join(firsts.join(gone, ["doc_id", "hash31"], "left").hint("merge"), ["doc_id", "hash31"], "left")

@@ -238,3 +238,28 @@ def test_binary_lengths():
     assert packing.lengths(5000, 2048) == [2048, 2048, 512, 256, 128, 8]
     assert all(sum(packing.lengths(n, 64)) == n for n in range(1, 300))
     assert packing.pack.__doc__
+
+
+def test_keys_of_wide_and_narrow_lines_are_hashes_of_their_segments(spark):
+    """Lines of one-byte characters are cut as bytes, others by characters: equal segments have equal keys."""
+    lines = ["the quick brown fox jumps over it", "the quick brown fox jumps over ñ!", "ñandú 漢字 𝔘𝔫𝔦 and plain words behind it"]
+    df = spark.createDataFrame([(i, 5, x, len(x)) for i, x in enumerate(lines)], "id long, letters long, line string, n int")
+    for index in (True, False):
+        want, spots = [], segment_edit.places(2, index)
+        for i, x in enumerate(lines):
+            for less, k, shift in spots:
+                n = len(x) - less
+                size, more = divmod(n, 3)
+                at = size * k + max(0, k - 3 + more) + shift
+                want.append((i, n, k, x[at:at + size + (k >= 3 - more)], less == shift == 0))
+        hashed = spark.createDataFrame(want, "id long, n int, i int, piece string, indexed boolean").selectExpr(
+            "id", "if(indexed, 5L | -9223372036854775808L, 5L) AS letters", "xxhash64(n, i, piece) AS key")
+        assert sorted(segment_edit.keys(df, 2, index).collect()) == sorted(hashed.collect())
+
+
+def test_stored_lines_are_trimmed_once(spark, monkeypatch):
+    """What the join reads is the line itself, so that no reader trims it again."""
+    held, stored = {}, segment_edit.stored
+    monkeypatch.setattr(segment_edit, "stored", lambda df, name: held.setdefault(name, stored(df, name)))
+    segment_edit.dedup(documents(spark, [(1, "  a line of thirty characters!!\t\nb", *[None] * 3, *["clash"] * (len(SCHEMA.split(",")) - 5))])).collect()
+    assert {r.line for r in held["lines"].collect()} == {"a line of thirty characters!!", "b"}
