@@ -124,31 +124,87 @@ def _segments(suspects: DataFrame, window: int, anchor: int, shard: int, hot: bo
         run, "h long, n long, doc long, row long, first int, text string")
 
 
-def _confirmed_hot(hot: DataFrame, window: int) -> DataFrame:
-    """Hot segments with the windows that recur, counted by two hashes of their words with partial sums."""
+def _hot_runs(hot: DataFrame, window: int, anchor: int) -> DataFrame:
+    """Hot segments cut once more, at the runs of windows with one longer anchor.
+
+    ``place`` is a run's first window in its segment. ``windows`` holds each different window of the run once: two hashes
+    of its words, its first place in the run, and whether it occurs there once or more (1 or 2).
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             docs, rows, firsts, cells = np.array(b.column(0)), np.array(b.column(1)), np.array(b.column(2)), b.column(3).to_pylist()
             for i, j in chunks(cells):
                 _, _, _, hashes, at = words(cells[i:j], BY_SPACE)
-                one, two = rolling(hashes, window), rolling(mix(hashes ^ np.uint64(0x2545F4914F6CDD1D)), window)
-                n = np.diff(at)
-                owner = np.repeat(np.arange(len(n)), n)[:len(one)]
-                where = np.arange(len(one)) - at[owner]
-                ok = where <= n[owner] - window
-                owner = owner[ok]
+                owner, place, last, h, weight = anchors(hashes, at, window, anchor)
+                size = last - place + 1
+                of = np.repeat(np.arange(len(size)), size)
+                w = np.arange(len(of)) - (np.cumsum(size) - size)[of]
+                spot = (at[owner] + place)[of] + w
+                one, two = rolling(hashes, window)[spot], rolling(mix(hashes ^ np.uint64(0x2545F4914F6CDD1D)), window)[spot]
+                # only a run that holds its anchor more than once can hold a window more than once
+                n, keep, again = np.ones(len(w), np.int32), np.ones(len(w), bool), np.flatnonzero(weight[of] > 1)
+                order = again[np.lexsort((two[again], one[again], of[again]))]
+                new = np.ones(len(order), bool)
+                new[1:] = np.any([x[order][1:] != x[order][:-1] for x in (of, one, two)], axis=0)
+                n[order[new]] = np.minimum(np.diff(np.append(np.flatnonzero(new), len(order))), 2)
+                keep[order[~new]] = False
+                of, w, one, two, n = of[keep], w[keep], one[keep], two[keep], n[keep]
+                windows = pa.ListArray.from_arrays(
+                    pa.array(np.searchsorted(of, np.arange(len(size) + 1)).astype(np.int32)), pa.StructArray.from_arrays(
+                        [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(w.astype(np.int32)), pa.array(n)], ["one", "two", "w", "n"]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(one[ok].view(np.int64)), pa.array(two[ok].view(np.int64)), pa.array(docs[i:j][owner]), pa.array(rows[i:j][owner]),
-                     pa.array(firsts[i:j][owner].astype(np.int32)), pa.array(where[ok].astype(np.int32))],
-                    ["one", "two", "doc", "row", "first", "w"])
-
-    each = stored(hot.select("doc", "row", "first", "text").mapInArrow(
-        run, "one long, two long, doc long, row long, first int, w int"), "hot-windows")
-    many = stored(each.groupBy("one", "two").agg(F.count("*").alias("times")).where("times > 1"), "hot-counts")
-    marks = with_counts(each, many, ["one", "two"], "times", each.count()).groupBy("doc", "row", "first").agg(F.collect_set("w").alias("marks"))
+                    [pa.array(docs[i:j][owner]), pa.array(rows[i:j][owner]), pa.array(firsts[i:j][owner].astype(np.int32)),
+                     pa.array(place.astype(np.int32)), pa.array(h.view(np.int64)), windows],
+                    ["doc", "row", "first", "place", "a", "windows"])
+
+    return hot.select("doc", "row", "first", "text").mapInArrow(
+        run, "doc long, row long, first int, place int, a long, windows array<struct<one:long,two:long,w:int,n:int>>")
+
+
+def _confirmed_hot(hot: DataFrame, window: int, anchor: int) -> DataFrame:
+    """Hot segments with places of the windows that recur, one or more for each different window.
+
+    Runs with equal windows are one kind, so the windows of a kind of several runs recur without being counted. Windows
+    are counted, with partial sums and once a kind, where a longer anchor is that of several kinds; only those that occur
+    once in a kind of one run meet the counts.
+    """
+    runs = stored(_hot_runs(hot, window, min(2 * anchor, window - 1)).withColumn("one", F.xxhash64("windows")).withColumn(
+        "two", F.xxhash64(F.lit(1), "windows")), "hot-runs")
+    kinds = stored(runs.groupBy("one", "two").agg(
+        F.count("*").alias("runs"), F.first("a").alias("a"), F.first("windows").alias("windows")).select(
+        F.struct("one", "two").alias("kind"), "runs", "a", "windows"), "hot-kinds")
+    shared = stored(kinds.groupBy("a").agg(F.count("*").alias("kinds")).where("kinds > 1"), "hot-anchors")
+    each = stored(with_counts(kinds, shared, ["a"], "kinds", kinds.count()).select("kind", "runs", F.inline("windows")), "hot-windows")
+    many = stored(each.groupBy("one", "two").agg(F.sum(F.when(F.col("runs") > 1, 2).otherwise(F.col("n"))).alias("times")).where("times > 1"), "hot-counts")
+    met = with_counts(each.where("runs = 1 AND n = 1"), many, ["one", "two"], "times", 2 * each.count()).groupBy("kind").agg(
+        F.collect_list("w").alias("met"))
+    own = F.expr("transform(filter(windows, x -> runs > 1 OR x.n > 1), x -> x.w)")
+    marked = stored(kinds.join(met, "kind", "left").select(
+        "kind.one", "kind.two", "runs", F.concat(own, F.coalesce("met", F.array().cast("array<int>"))).alias("found")).where("size(found) > 0"), "hot-marks")
+    marks = with_counts(runs.drop("a", "windows"), marked, ["one", "two"], "runs", runs.count()).groupBy("doc", "row", "first").agg(
+        F.flatten(F.collect_list(F.expr("transform(found, x -> x + place)"))).alias("marks"))
     return hot.join(marks, ["doc", "row", "first"])
 
 
+def _met(texts: list[str], window: int) -> list[list[int]]:
+    """Per text the windows whose hash occurs more than once in all of them; windows that are equal have equal hashes."""
+    hashes, owners, places = [], [], []
+    for i, j in chunks(texts):
+        _, _, _, h, at = words(texts[i:j], BY_SPACE)
+        h, n = rolling(h, window), np.diff(at)
+        owner = np.repeat(np.arange(len(n)), n)[:len(h)]
+        place = np.arange(len(h)) - at[owner]
+        ok = place <= n[owner] - window
+        hashes.append(h[ok])
+        owners.append(owner[ok] + i)
+        places.append(place[ok])
+    _, which, times = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+    more = times[which] > 1
+    owner, place = np.concatenate(owners)[more], np.concatenate(places)[more].tolist()
+    at = np.searchsorted(owner, np.arange(len(texts) + 1)).tolist()
+    return [place[i:j] for i, j in zip(at, at[1:], strict=False)]
+
+
 def _locate(segments: DataFrame, window: int) -> DataFrame:
     """``doc, row, start, stop``: words covered by recurring windows, segment by segment.
 
@@ -170,16 +226,19 @@ def _locate(segments: DataFrame, window: int) -> DataFrame:
         seen: Counter = Counter()
         known: set[tuple] = set()
         spelled = {}
-        for text, places in members.items():
+        if not members:
+            return
+        for (text, places), met in zip(members.items(), _met(list(members), window), strict=True):
+            if len(places) == 1 and not met and text not in marked:
+                continue  # none of its windows occurs anywhere else
             ids = [numbers.setdefault(w, len(numbers)) for w in text.split(" ")]
             spelled[text] = letters = [names.setdefault(t, len(names)) for t in zip(*(ids[k:] for k in range(CHUNK)), strict=False)]
-            windows = [tuple(letters[s:s + window:CHUNK]) for s in range(len(ids) - window + 1)]
             if text in marked:
-                known.update(windows[m] for m in marked[text])
+                known.update(tuple(letters[s:s + window:CHUNK]) for s in marked[text])
             elif len(places) > 1:
-                known.update(windows)
+                known.update(tuple(letters[s:s + window:CHUNK]) for s in range(len(ids) - window + 1))
             else:
-                seen.update(windows)
+                seen.update(tuple(letters[s:s + window:CHUNK]) for s in met)
         known.update(t for t, n in seen.items() if n > 1)
         if not known:
             return
@@ -246,7 +305,7 @@ def dedup(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, shard:
     rare = _segments(suspects, window, anchor, shard, False).select(F.col("h").alias("g"), "doc", "row", "first", "text", none.alias("marks"))
     hot = stored(_segments(suspects, window, anchor, shard, True), "hot-segments")
     dealt = F.xxhash64("h", F.pmod(F.xxhash64("doc", "row", "first"), F.ceil(F.col("n") / shard)))
-    crowded = _confirmed_hot(hot, window).select(dealt.alias("g"), "doc", "row", "first", "text", "marks")
+    crowded = _confirmed_hot(hot, window, anchor).select(dealt.alias("g"), "doc", "row", "first", "text", "marks")
     covered = _locate(rare.union(crowded), window).groupBy("doc", "row").agg(
         F.collect_set(F.struct("start", "stop")).alias("covered"))
 

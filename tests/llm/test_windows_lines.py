@@ -62,6 +62,37 @@ def test_heavy_keys_meet_where_they_are(spark, monkeypatch, heaviest):
     assert got(common.with_counts(rows, counts, ["k"], "n", 46)) == got(rows.join(counts, "k"))
 
 
+def test_windows_of_copies_are_counted_once(spark, monkeypatch):
+    sizes = []
+
+    def noted(df, name):
+        out = common.stored(df, name)
+        if name == "hot-windows":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(phrase_automata, "stored", noted)
+    rng = random.Random(4)
+    passages = [prose(rng, 60) for _ in range(6)]
+    for copies in (6, 30):
+        data = list(enumerate(passages * copies))
+        df = spark.createDataFrame(data, "doc_id long, text string")
+        assert got(phrase_automata.dedup(df, shard=4)) == plain_windows(data, 35)
+    assert sizes[0] == sizes[1] <= 6 * 26
+
+
+@pytest.mark.parametrize("shard", [1, 1024])
+def test_phrases_repeated_without_end(spark, shard):
+    rng = random.Random(6)
+    data = []
+    for period in (1, 2, 7, 11, 12, 13, 24, 34, 35, 36):
+        phrase = prose(rng, period)
+        data += [(len(data) + k, " ".join([prose(rng, k), *[phrase] * (times // period + 1), prose(rng, 4 - k)])) for k, times in enumerate((34, 36, 70, 150))]
+        cut = phrase.split()[: period // 2]
+        data.append((len(data), " ".join([phrase] * 3 + cut + [prose(rng, 40)] + cut + [phrase] * 5)))
+    assert got(phrase_automata.dedup(spark.createDataFrame(data, "doc_id long, text string"), shard=shard)) == plain_windows(data, 35)
+
+
 def test_substring_dedup_of_nothing(spark):
     assert phrase_automata.dedup(spark.createDataFrame([], SCHEMA)).collect() == []
 
